@@ -45,6 +45,14 @@ def vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_vitals(spark, events(spark, sf_dir))
 
 
+def vitals_with_unknown(spark: SparkSession, sf_dir: str, everywhere: bool = True) -> DataFrame:
+    """Vitals whose missing pressures are text without two parts, everywhere or in every other source."""
+    unknown = F.col("blood_pressure") == "n/a"
+    if not everywhere:
+        unknown = unknown & (F.col("source_partition") % 2 == 0)
+    return vitals(spark, sf_dir).withColumn("blood_pressure", F.when(unknown, F.lit("unknown")).otherwise(F.col("blood_pressure")))
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(F.col("event_type") == "error", "error").when(F.col("value") > 100, "timeout").otherwise("success")
     return events(spark, sf_dir).select(

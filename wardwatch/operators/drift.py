@@ -76,14 +76,19 @@ def mean_shift_drift(reference: DataFrame, current: DataFrame, columns: Sequence
     return column_shifts(reference, current, columns).agg(*_verdict(F.avg("shift"), MEAN_SHIFT_LIMIT))
 
 
-def shift_by_window(windows: DataFrame, keys: Sequence[str], reference: DataFrame, columns: Sequence[str], min_rows: int = WINDOW_MIN_ROWS) -> DataFrame:
-    """Mean-shift score of each group of `windows`; groups below `min_rows` give no row.
+def min_rows(groups: DataFrame, n: int = WINDOW_MIN_ROWS) -> DataFrame:
+    """Groups with enough rows to say anything."""
+    return groups.where(F.col("n_rows") >= n)
+
+
+def shift_by_window(windows: DataFrame, keys: Sequence[str], reference: DataFrame, columns: Sequence[str], at_least: int = WINDOW_MIN_ROWS) -> DataFrame:
+    """Mean-shift score of each group of `windows`; groups below `at_least` rows give no row.
 
     `windows` are the raw rows. Their means are taken in one aggregation, and the reference means,
     one row, are joined as constants.
     """
     means = windows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *[F.avg(c).alias(c) for c in columns])
-    return score_window_means(means.where(F.col("n_rows") >= min_rows), keys, reference, columns)
+    return score_window_means(min_rows(means, at_least), keys, reference, columns)
 
 
 def reference_means(reference: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
@@ -268,7 +273,7 @@ def _upper_gamma_share(a: float, x: float) -> float:
     return scale * h
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_p_value(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """P-value of a chi-square statistic; it runs on one row per compared column."""
     for statistic, dof in batches:

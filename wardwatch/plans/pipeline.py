@@ -49,7 +49,8 @@ def destination_summary(events: DataFrame, model: RiskModel = RISK_FACTOR_MODEL)
         F.count(F.lit(1)).alias("n_events"),
         F.count_if("anomaly").alias("n_anomalies"),
         F.count_if(F.col("risk_score") > 0.7).alias("n_high_risk"),
-        F.avg("risk_score").alias("mean_risk"),
+        F.avg(F.when(F.col("error").isNull(), F.col("risk_score"))).alias("mean_risk"),
+        F.count("error").alias("n_errors"),
         F.count_if(late_flag()).alias("n_late"),
         F.count_if(F.col(LABEL) == "Yes").alias("n_readmitted"),
     )
