@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardwatch.catalog.history import SMALL_CHUNK
-from wardwatch.catalog.registry import query, r6
+from wardwatch.catalog.registry import LOGIT, query, r6
 from wardwatch.fixtures import counter, current, reference, requests, vitals
 from wardwatch.operators import requests as R
 from wardwatch.operators import training as T
 from wardwatch.operators.drift import mean_shift_drift
 from wardwatch.operators.lateness import late_counts, late_ratio
 from wardwatch.operators.reconcile import metric_or
-from wardwatch.operators.scoring import score_vitals
+from wardwatch.operators.scoring import RISK_FACTOR_MODEL, score_vitals
 from wardwatch.sinks.tables import as_metrics
 
 _LATENCIES = """round(coalesce(quantile_cont(latency_ms, 0.5) FILTER (status = 'success'), 0), 6) AS p50_ms,
@@ -237,8 +237,8 @@ def _sample_rows(spark, sf_dir):
 @query(
     "classification_report",
     "scored",
-    """
-WITH pairs AS (SELECT (readmitted_30_days = 'Yes')::int AS y, (risk > 0.5)::int AS p FROM scored),
+    f"""
+WITH pairs AS (SELECT (readmitted_30_days = 'Yes')::int AS y, (error IS NULL AND {LOGIT} > 0)::int AS p FROM scored),
 per AS (SELECT c, count(*) FILTER (y = c AND p = c) AS hit, count(*) FILTER (p = c) AS predicted, count(*) FILTER (y = c) AS support
   FROM pairs, (VALUES (0), (1)) v(c) GROUP BY c),
 m AS (SELECT c, coalesce(hit / nullif(predicted, 0), 0) AS pr, coalesce(hit / nullif(support, 0), 0) AS re, support::double AS support FROM per),
@@ -251,7 +251,7 @@ SELECT class, round(pr, 6) AS precision, round(re, 6) AS recall, round(f1, 6) AS
   UNION ALL SELECT 'weighted avg', sum(pr * support) / sum(support), sum(re * support) / sum(support), sum(f1 * support) / sum(support), sum(support) FROM f)""",
 )
 def _classification_report(spark, sf_dir):
-    scored = T.predict_label(score_vitals(vitals(spark, sf_dir)))
+    scored = T.predict_label(score_vitals(vitals(spark, sf_dir)), RISK_FACTOR_MODEL, F.col("features"))
     labelled = scored.withColumn("readmitted_30_days", (F.col("readmitted_30_days") == "Yes").cast("int"))
     return _rounded(T.classification_report(labelled), "precision", "recall", "f1")
 

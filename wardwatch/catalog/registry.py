@@ -15,7 +15,8 @@ ORACLES: dict[str, str] = {}
 
 # Named parts of the check SQL. 'n/a' has two parts that are no numbers, so it is an error under
 # every policy; `defaulted` is about text without two parts, which counts as 120/80.
-_SCORE = "1 / (1 + exp(-(-15e-1 + 1e-2 * age + 5e-3 * sys + 3e-1 * dm + 2e-1 * ht + 5e-2 * medication_count + CASE WHEN bmi > 30 THEN 15e-2 ELSE 0e0 END)))"
+LOGIT = "-15e-1 + 1e-2 * age + 5e-3 * sys + 3e-1 * dm + 2e-1 * ht + 5e-2 * medication_count + CASE WHEN bmi > 30 THEN 15e-2 ELSE 0e0 END"
+_SCORE = f"1 / (1 + exp(-({LOGIT})))"
 _FLAG = "(risk > 0.7 OR sys > 160 OR dia > 100 OR bmi > 35)"
 _FORMAT = "'blood_pressure must be in format ''systolic/diastolic'''"
 _FLOAT = "'could not convert string to float: ''n'''"

@@ -1 +1,129 @@
-"""Streams over the given tables."""
+"""Streams over the given tables. Each runs until its input is used up and returns what it wrote."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from wardwatch.catalog.history import _DELTA_SQL
+from wardwatch.catalog.quality import _DAILY_DRIFT, _TIERS_SQL
+from wardwatch.catalog.registry import query, r6
+from wardwatch.fixtures import as_vitals, reference
+from wardwatch.operators.history import DAY_MS
+from wardwatch.operators.scoring import score_request
+from wardwatch.session import work_dir
+from wardwatch.sinks.snapshots import read_version
+from wardwatch.sinks.tables import latest_revision
+from wardwatch.streaming import queries as S
+from wardwatch.streaming.state import patient_state_stream, use_rocksdb
+from wardwatch.streaming.windows import tumbling_vitals
+
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
+
+def _vitals_stream(spark, sf_dir):
+    return as_vitals(spark, spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+
+
+@query(
+    "scoring_stream",
+    "judged",
+    """
+SELECT event_id, patient_id, round(risk, 4) AS risk_score, anomaly, NULL::varchar AS error FROM judged WHERE error IS NULL
+UNION ALL SELECT event_id, patient_id, NULL, NULL, 'could not convert string to float: ''n''' FROM judged WHERE error IS NOT NULL""",
+)
+def _scoring_stream(spark, sf_dir):
+    base = work_dir(spark, "scoring")
+    paths = S.ScoringPaths(f"{base}/predictions", f"{base}/dead-letters")
+    S.run_available(_vitals_stream(spark, sf_dir), S.scoring_writer(paths), f"{base}/checkpoint")
+    good = spark.read.parquet(paths.predictions).select("event_id", "patient_id", "risk_score", "anomaly")
+    bad = spark.read.parquet(paths.dead_letters).select("original_data.event_id", "original_data.patient_id", "error")
+    return good.unionByName(bad, allowMissingColumns=True).select("event_id", "patient_id", "risk_score", "anomaly", "error")
+
+
+@query(
+    "features_stream",
+    "judged",
+    """
+SELECT patient_id, event_id, event_ms, round(risk, 6) AS risk_score, anomaly FROM judged
+WHERE error IS NULL AND (SELECT max(event_ms) FROM judged WHERE error IS NULL) - event_ms < 86400000
+QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY event_ms DESC, event_id DESC) = 1""",
+)
+def _features_stream(spark, sf_dir):
+    base = work_dir(spark, "features")
+    paths = S.ScoringPaths(f"{base}/predictions", f"{base}/dead-letters", f"{base}/features", f"{base}/history")
+    S.run_available(_vitals_stream(spark, sf_dir), S.scoring_writer(paths), f"{base}/checkpoint")
+    return read_version(spark, paths.features, S.FEATURES).withColumn("risk_score", F.round("risk_score", 6))
+
+
+@query("patient_state_stream", "judged", _DELTA_SQL.format(ttl=DAY_MS))
+def _patient_state_stream(spark, sf_dir):
+    use_rocksdb(spark)
+    # With expiring state a finished stream would run empty batches for ever.
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    base = work_dir(spark, "patient-state")
+    changes = patient_state_stream(score_request(_vitals_stream(spark, sf_dir)), DAY_MS)
+    S.run_available(changes, S.table_writer(f"{base}/changes"), f"{base}/checkpoint")
+    out = spark.read.parquet(f"{base}/changes")
+    return out.select(
+        "event_id",
+        "previous_ms",
+        r6("glucose_change", "glucose_change"),
+        "systolic_change",
+        "diastolic_change",
+        r6("previous_readmission_risk", "previous_readmission_risk"),
+        "previous_anomaly",
+    )
+
+
+@query(
+    "tumbling_vitals_stream",
+    "vitals",
+    """
+SELECT event_ms // 3600000 * 3600000 AS window_ms, discharge_destination, count(*) AS n, round(avg(glucose_level), 6) AS mean_glucose,
+  max(bmi) AS max_bmi, max(arrival_ms - event_ms) AS max_delay_ms FROM vitals GROUP BY ALL""",
+)
+def _tumbling_vitals_stream(spark, sf_dir):
+    base = work_dir(spark, "tumbling")
+    windows = tumbling_vitals(_vitals_stream(spark, sf_dir), "1 hour")
+    S.run_available(windows, S.table_writer(f"{base}/windows"), f"{base}/checkpoint", "update")
+    out = latest_revision(spark.read.parquet(f"{base}/windows"), ["window_ms", "discharge_destination"])
+    return out.withColumn("mean_glucose", F.round("mean_glucose", 6))
+
+
+@query("lateness_stream", "vitals", _TIERS_SQL)
+def _lateness_stream(spark, sf_dir):
+    base = work_dir(spark, "lateness")
+    write = S.lateness_writer(f"{base}/main", f"{base}/side", f"{base}/seen")
+    S.run_available(_vitals_stream(spark, sf_dir), write, f"{base}/checkpoint")
+    both = spark.read.parquet(f"{base}/main").unionByName(spark.read.parquet(f"{base}/side"))
+    return both.select("event_id", "behind_ms", "tier")
+
+
+@query("drift_stream", "vitals reference", _DAILY_DRIFT.replace(" AS t_ms", " AS window_ms").replace("SELECT t_ms", "SELECT window_ms"))
+def _drift_stream(spark, sf_dir):
+    base = work_dir(spark, "drift")
+    columns = ["age", "bmi", "glucose_level"]
+    windows = S.drift_stream(_vitals_stream(spark, sf_dir), columns, "1 day")
+    S.run_available(windows, S.drift_writer(f"{base}/drift", reference(spark, sf_dir), columns), f"{base}/checkpoint", "update")
+    out = latest_revision(spark.read.parquet(f"{base}/drift"), ["window_ms"])
+    return out.withColumn("drift_score", F.round("drift_score", 6))
+
+
+@query("dedupe_stream", "vitals", "SELECT event_id, patient_id, event_ms FROM vitals")
+def _dedupe_stream(spark, sf_dir):
+    """Every event is sent twice."""
+    base = work_dir(spark, "dedupe")
+    twice = _vitals_stream(spark, sf_dir).unionByName(_vitals_stream(spark, sf_dir))
+    once = S.dedupe_stream(twice).select("event_id", "patient_id", "event_ms")
+    S.run_available(once, S.table_writer(f"{base}/events"), f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/events").drop("batch_id")

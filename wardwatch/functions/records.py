@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,10 +17,11 @@ def project_vitals(df: DataFrame) -> DataFrame:
     return df.select(*keep, *fields, F.lit(0.0).alias("readmission_risk"))
 
 
-def project_prediction(df: DataFrame, full: bool = True) -> DataFrame:
-    """The prediction record: thirteen fields, or the five of the short form."""
+def project_prediction(df: DataFrame, full: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """The prediction record: thirteen fields, or the five of the short form; `keep` adds key columns."""
     if not full:
         return df.select(
+            *keep,
             "patient_id",
             "risk_score",
             "anomaly",
@@ -27,6 +30,7 @@ def project_prediction(df: DataFrame, full: bool = True) -> DataFrame:
         )
     timing = {c: F.col(c) if c in df.columns else F.lit(None).cast("double") for c in ("inference_ms", "feature_ms", "processing_ms")}
     return df.select(
+        *keep,
         "patient_id",
         round_score(F.col("risk_score"), 4).alias("risk_score"),
         "anomaly",

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardwatch.functions.vitals import YES_NO_CODES, encode
@@ -106,5 +106,9 @@ def classification_report(df: DataFrame, label: str = LABEL, prediction: str = "
     return classes.unionByName(summaries.select(F.explode("_s").alias("_r")).select("_r.*"))
 
 
-def predict_label(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
-    return scored.withColumn("prediction", (F.col("risk_score") > threshold).cast("int"))
+def predict_label(df: DataFrame, model: RiskModel, features: Column) -> DataFrame:
+    """Class 1 where the logit is positive; a row in error is class 0."""
+    positive = model.logit(features) > 0
+    if "error" in df.columns:
+        positive = positive & F.col("error").isNull()
+    return df.withColumn("prediction", F.coalesce(positive, F.lit(False)).cast("int"))

@@ -63,8 +63,6 @@ def train(spark: SparkSession, patients: DataFrame, key: str, path: str | None =
     fitted = train_risk_model(parts.where(~F.col("is_test")))
     model = as_risk_model(fitted)
     held_out = parts.where("is_test")
-    inputs = F.struct(*FEATURE_ORDER)
-    scored = held_out.withColumn("risk_score", 1.0 / (1.0 + F.exp(-model.logit(inputs))))
     if path:
         save_model(spark, fitted, path)
-    return model, classification_report(predict_label(scored))
+    return model, classification_report(predict_label(held_out, model, F.struct(*FEATURE_ORDER)))

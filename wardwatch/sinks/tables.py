@@ -25,19 +25,11 @@ def write_topic(df: DataFrame, brokers: str, topic: str) -> None:
     keyed.write.format("kafka").option("kafka.bootstrap.servers", brokers).option("topic", topic).save()
 
 
-def write_snapshot(df: DataFrame, path: str, version: int) -> None:
-    """A full version of a keyed table; the version before stays readable while this one is written."""
-    df.write.mode("overwrite").parquet(f"{path}/version={version}")
-
-
-def read_snapshot(spark: SparkSession, path: str, version: int, schema: str) -> DataFrame:
-    """A version of a keyed table, or an empty table where none was written yet."""
-    try:
-        return spark.read.schema(schema).parquet(f"{path}/version={version}")
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], schema)
+def latest_revision(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Of a table written in update mode, the newest revision of each key."""
+    rest = [c for c in df.columns if c not in (*keys, "batch_id")]
+    newest = F.max_by(F.struct(*rest), "batch_id").alias("_r")
+    return df.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
 def as_metrics(df: DataFrame, values: list[str], job: str, ts_ms: Column, labels: list[str] | None = None) -> DataFrame:
