@@ -1,0 +1,82 @@
+"""Inference with a small model file, written by hand in the file format's wire form."""
+
+import struct
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+pytest.importorskip("onnxruntime")
+
+from wardwatch.operators.onnx_scoring import positive_share, score_onnx
+from wardwatch.operators.scoring import RiskModel, score_request
+from wardwatch.schemas import FEATURE_ORDER
+
+
+def varint(n):
+    out = b""
+    while True:
+        n, low = n >> 7, n & 127
+        out += bytes([low | (128 if n else 0)])
+        if not n:
+            return out
+
+
+def number(field, n):
+    return varint(field << 3) + varint(n)
+
+
+def data(field, value):
+    value = value.encode() if isinstance(value, str) else value
+    return varint(field << 3 | 2) + varint(len(value)) + value
+
+
+def tensor(name, array):
+    dims = b"".join(number(1, n) for n in array.shape)
+    return dims + number(2, 1) + data(8, name) + data(9, array.astype("<f4").tobytes())
+
+
+def value(name, *dims):
+    shape = b"".join(data(1, data(2, d) if isinstance(d, str) else number(1, d)) for d in dims)
+    return data(1, name) + data(2, data(1, number(1, 1) + data(2, shape)))
+
+
+def node(kind, inputs, output):
+    return b"".join(data(1, i) for i in inputs) + data(2, output) + data(4, kind)
+
+
+def softmax_model(weights, intercept):
+    """Softmax over (0, logit): two columns, the second the probability of class 1."""
+    w = np.column_stack([np.zeros(len(weights)), weights])
+    nodes = [node("MatMul", ["x", "w"], "m"), node("Add", ["m", "b"], "a"), node("Softmax", ["a"], "p")]
+    graph = b"".join(data(1, n) for n in nodes) + data(2, "g")
+    graph += data(5, tensor("w", w)) + data(5, tensor("b", np.array([0.0, intercept])))
+    graph += data(11, value("x", "n", len(weights))) + data(12, value("p", "n", 2))
+    return number(1, 7) + data(8, data(1, "") + number(2, 13)) + data(7, graph)
+
+
+def test_model_file_scores_like_the_literal_model(spark, sf_dir, tmp_path):
+    from wardwatch.fixtures import vitals
+
+    weights = dict(zip(FEATURE_ORDER, np.linspace(-0.02, 0.02, len(FEATURE_ORDER))))
+    path = tmp_path / "risk.onnx"
+    path.write_bytes(softmax_model(list(weights.values()), 0.25))
+    rows = vitals(spark, sf_dir)
+    a = score_onnx(rows, str(path)).select("event_id", "risk_score", "error", "anomaly")
+    b = score_request(rows, RiskModel(weights, 0.25)).select("event_id", F.col("risk_score").alias("want"), F.col("error").alias("want_error"))
+    both = a.join(b, "event_id").collect()
+    assert len(both) == 1000 and all(r.error == r.want_error for r in both)
+    assert all(r.risk_score == pytest.approx(r.want, abs=1e-5) for r in both)
+    assert all(r.risk_score == 0.0 and not r.anomaly for r in both if r.error)
+
+
+def test_output_forms():
+    two = np.array([[0.2, 0.8], [0.9, 0.1]], dtype="float32")
+    labels = np.array([1, 0])
+    assert positive_share([labels, two]) == pytest.approx([0.8, 0.1])
+    assert positive_share([labels, [{0: 0.2, 1: 0.8}, {0: 0.9, 1: 0.1}]]) == pytest.approx([0.8, 0.1])
+    assert positive_share([np.array([[0.0], [2.0]])]) == pytest.approx([0.5, 1 / (1 + np.exp(-2))])
+
+
+def test_wire_numbers():
+    assert varint(300) == b"\xac\x02" and struct.unpack("<f", np.float32(1).tobytes()) == (1.0,)

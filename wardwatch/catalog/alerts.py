@@ -16,6 +16,7 @@ from wardwatch.operators import alerts as A
 from wardwatch.operators.lateness import late_ratio_by_window
 from wardwatch.operators.scoring import score_vitals
 from wardwatch.plans import alerting as P
+from wardwatch.session import stage
 
 HOUR_MS, DAY_MS = 3_600_000, 86_400_000
 DRIFT_COLUMNS = ["age", "bmi", "glucose_level"]
@@ -217,7 +218,7 @@ UNION ALL SELECT 'event_time_lag_ms', * FROM e UNION ALL SELECT 'event_time_lag_
 def _lag_panel(spark, sf_dir):
     """Partitions 0 and 1 report as consumer groups too; elsewhere the sum over partitions steps in."""
     rows = vitals(spark, sf_dir)
-    lag = P.source_lag(rows)
+    lag = stage(P.source_lag(rows), "source-lag")
     groups = lag.where(F.col("source_partition") < 2).withColumn("consumer_group", F.concat(F.lit("group-"), F.col("source_partition")))
     return P.lag_panel(groups, lag, P.lag_series(rows), "group-1")
 

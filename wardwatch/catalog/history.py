@@ -24,9 +24,8 @@ SELECT event_id, p.ms AS previous_ms, round(abs(glucose_level - p.g), 6) AS gluc
 FROM kept"""
 
 
-def _delta(rows, ttl_ms, **options):
-    out = H.vitals_delta(score_request(rows), ttl_ms, **options)
-    return out.select(
+def delta_columns(df):
+    return df.select(
         "event_id",
         "previous_ms",
         r6("glucose_change", "glucose_change"),
@@ -37,6 +36,10 @@ def _delta(rows, ttl_ms, **options):
     )
 
 
+def _delta(rows, ttl_ms, **options):
+    return delta_columns(H.vitals_delta(score_request(rows), ttl_ms, **options))
+
+
 @query("vitals_delta", "judged", _DELTA_SQL.format(ttl=H.HOUR_MS))
 def _vitals_delta(spark, sf_dir):
     return _delta(vitals(spark, sf_dir), H.HOUR_MS)

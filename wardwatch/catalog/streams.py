@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardwatch.catalog.history import _DELTA_SQL
+from wardwatch.catalog.history import _DELTA_SQL, delta_columns
 from wardwatch.catalog.quality import _DAILY_DRIFT, _TIERS_SQL
-from wardwatch.catalog.registry import query, r6
+from wardwatch.catalog.registry import query
 from wardwatch.fixtures import as_vitals, reference
 from wardwatch.operators.history import DAY_MS
 from wardwatch.operators.scoring import score_request
@@ -73,16 +73,15 @@ def _patient_state_stream(spark, sf_dir):
     base = work_dir(spark, "patient-state")
     changes = patient_state_stream(score_request(_vitals_stream(spark, sf_dir)), DAY_MS)
     S.run_available(changes, S.table_writer(f"{base}/changes"), f"{base}/checkpoint")
-    out = spark.read.parquet(f"{base}/changes")
-    return out.select(
-        "event_id",
-        "previous_ms",
-        r6("glucose_change", "glucose_change"),
-        "systolic_change",
-        "diastolic_change",
-        r6("previous_readmission_risk", "previous_readmission_risk"),
-        "previous_anomaly",
-    )
+    return delta_columns(spark.read.parquet(f"{base}/changes"))
+
+
+@query("patient_changes_stream", "judged", _DELTA_SQL.format(ttl=DAY_MS))
+def _patient_changes_stream(spark, sf_dir):
+    base = work_dir(spark, "patient-changes")
+    write = S.delta_writer(f"{base}/changes", f"{base}/state", ttl_ms=DAY_MS)
+    S.run_available(_vitals_stream(spark, sf_dir), write, f"{base}/checkpoint")
+    return delta_columns(spark.read.parquet(f"{base}/changes"))
 
 
 @query(

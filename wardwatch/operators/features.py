@@ -87,11 +87,17 @@ def feature_struct(df: DataFrame, policy: str = "service", bp_policy: str = "def
 
 
 def featurize(df: DataFrame, policy: str = "service", bp_policy: str = "default") -> DataFrame:
-    """Add `features` and `error`; a row with an error keeps its raw fields."""
-    checked = validate_required(df)
-    return checked.withColumns(
-        {
-            "error": F.coalesce(F.col("error"), V.bp_error(F.col("blood_pressure"), bp_policy)),
-            "features": feature_struct(df, policy, bp_policy),
-        }
-    )
+    """Add `features` and `error`; a row in error keeps its raw fields.
+
+    Whether there is an error is decided by null tests alone, and its text is put together behind
+    them. A filter on `error` or a score that depends on it so costs the null tests and no text.
+    """
+    bp = F.col("blood_pressure")
+    usable = F.lit(True)
+    for column in (*[F.col(c) for c in REQUIRED_FIELDS], *V.split_bp(bp, bp_policy)):
+        usable = usable & column.isNotNull()
+    reasons = [V.missing_field_error(REQUIRED_FIELDS), V.bp_error(bp, bp_policy), F.lit("Invalid record")]
+    if "error" in df.columns:
+        usable = usable & F.col("error").isNull()
+        reasons.insert(0, F.col("error"))
+    return df.withColumns({"error": F.when(~usable, F.coalesce(*reasons)), "features": feature_struct(df, policy, bp_policy)})

@@ -1,0 +1,74 @@
+"""Scoring with a model file in ONNX form, one inference session per Python worker.
+
+Use it where the model is more than a weighted sum; `score_vitals` does those without Python.
+"""
+
+from __future__ import annotations
+
+import os
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from wardwatch.functions.scores import anomaly_flag
+from wardwatch.functions.vitals import feature_array
+from wardwatch.operators.features import featurize
+from wardwatch.schemas import FEATURE_ORDER
+
+
+def positive_share(outputs: list) -> np.ndarray:
+    """Probability of class 1 for each row of a model's outputs.
+
+    A two-column output holds class probabilities, and so does a list of `{class: probability}`.
+    With neither, one column is taken as logits.
+    """
+    for out in outputs:
+        if isinstance(out, list) and out and isinstance(out[0], dict):
+            return np.array([row.get(1, row.get("1", 0.0)) for row in out], dtype="float64")
+        if isinstance(out, np.ndarray) and out.ndim == 2 and out.shape[1] == 2:
+            return out[:, 1].astype("float64")
+    logits = np.asarray(outputs[0], dtype="float64").reshape(len(outputs[0]), -1)[:, 0]
+    return 1.0 / (1.0 + np.exp(-logits))
+
+
+def _session(path: str):
+    import onnxruntime
+
+    options = onnxruntime.SessionOptions()
+    options.graph_optimization_level = onnxruntime.GraphOptimizationLevel.ORT_ENABLE_ALL
+    options.execution_mode = onnxruntime.ExecutionMode.ORT_SEQUENTIAL
+    options.intra_op_num_threads = 1
+    return onnxruntime.InferenceSession(path, sess_options=options, providers=["CPUExecutionProvider"])
+
+
+def score_onnx(df: DataFrame, path: str, policy: str = "service", bp_policy: str = "reject", order: Sequence[str] = FEATURE_ORDER) -> DataFrame:
+    """Add `risk_score`, `anomaly` and `error`. Spark ships the model file to the executors.
+
+    Each Arrow batch is one call of the model. Rows in error are not sent to it.
+    """
+    df.sparkSession.sparkContext.addFile(path)
+    name = os.path.basename(path)
+
+    @F.pandas_udf(T.DoubleType())
+    def infer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        session = _session(SparkFiles.get(name))
+        feed = session.get_inputs()[0].name
+        for batch in batches:
+            share = pd.Series(np.nan, index=batch.index, dtype="float64")
+            known = batch.notna()
+            if known.any():
+                share[known] = positive_share(session.run(None, {feed: np.stack(batch[known].to_numpy()).astype("float32")}))
+            yield share
+
+    ready = featurize(df, policy, bp_policy)
+    ok = F.col("error").isNull()
+    scored = ready.withColumn("risk_score", F.coalesce(infer(F.when(ok, feature_array(F.col("features"), order))), F.lit(0.0)))
+    scored = scored.withColumn("risk_score", F.when(ok, F.col("risk_score")).otherwise(F.lit(0.0)))
+    f = F.col("features")
+    flag = anomaly_flag(F.col("risk_score"), f["systolic_bp"], f["diastolic_bp"], F.col("bmi"))
+    return scored.withColumn("anomaly", F.when(ok, flag).otherwise(F.lit(False)))

@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardwatch.operators.ordered import ROWS_PER_CHUNK, Scan, ordered_scan
 from wardwatch.session import stage
 
 
+def percentile_columns(value: Column, points: Mapping[str, float], approximate: int | None = None) -> list[Column]:
+    """Built-in percentile aggregates, exact or from a sketch of bounded size."""
+    if approximate:
+        return [F.percentile_approx(value, F.lit(q), F.lit(approximate)).alias(name) for name, q in points.items()]
+    return [F.percentile(value, F.lit(q)).alias(name) for name, q in points.items()]
+
+
 def percentiles(
     df: DataFrame,
     group: Sequence[str],
@@ -27,12 +34,9 @@ def percentiles(
     accuracy of a bounded sketch instead.
     """
     values = df.where(F.col(value).isNotNull()).select(*group, value)
-    if approximate:
-        return values.groupBy(*group).agg(
-            *[F.percentile_approx(value, F.lit(q), F.lit(approximate)).alias(name) for name, q in points.items()]
-        )
-    if values.count() <= rows_per_chunk:
-        return values.groupBy(*group).agg(*[F.percentile(value, F.lit(q)).alias(name) for name, q in points.items()])
+    direct = percentile_columns(F.col(value), points, approximate)
+    if approximate or values.count() <= rows_per_chunk:
+        return values.groupBy(*group).agg(*direct)
 
     counted = stage(values.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n")), "value-counts")
     ranked = ordered_scan(counted, group, [value], {"_cum": Scan("sum", F.col("_n"))}, rows_per_chunk)

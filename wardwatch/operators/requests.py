@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from wardwatch.functions.timing import cell_end
 from wardwatch.operators.ordered import ROWS_PER_CHUNK, Scan, ordered_scan, plan_splits
-from wardwatch.operators.quantiles import percentiles
+from wardwatch.operators.quantiles import percentile_columns, percentiles
 
 # Bucket edges of the latency histogram in milliseconds, the p99 target, report sizes.
 LATENCY_BUCKETS = (1, 2, 5, 10, 20, 30, 50, 100, 200, 500, 1000)
@@ -35,16 +35,21 @@ def latency_summary(
     Without a success all latencies are 0.
     """
     ok = F.col("status") == "success"
-    base = df.groupBy(*by).agg(
-        F.avg(F.when(ok, F.col("latency_ms"))).alias("avg_latency_ms"),
-        F.min(F.when(ok, F.col("latency_ms"))).alias("min_latency_ms"),
-        F.max(F.when(ok, F.col("latency_ms"))).alias("max_latency_ms"),
+    latency = F.when(ok, F.col("latency_ms"))
+    measures = [
+        F.avg(latency).alias("avg_latency_ms"),
+        F.min(latency).alias("min_latency_ms"),
+        F.max(latency).alias("max_latency_ms"),
         F.count_if(~ok).alias("error_count"),
         F.count_if(ok).alias("successful_requests"),
         F.count(F.lit(1)).alias("total_requests"),
-    )
-    points = percentiles(df.where(ok), by, "latency_ms", PERCENTILE_POINTS, rows_per_chunk, approximate)
-    joined = base.join(points, list(by), "left") if by else base.join(F.broadcast(points), F.lit(True), "left")
+    ]
+    if approximate or df.where(ok).count() <= rows_per_chunk:
+        joined = df.groupBy(*by).agg(*measures, *percentile_columns(latency, PERCENTILE_POINTS, approximate))
+    else:
+        points = percentiles(df.where(ok), by, "latency_ms", PERCENTILE_POINTS, rows_per_chunk)
+        base = df.groupBy(*by).agg(*measures)
+        joined = base.join(points, list(by), "left") if by else base.join(F.broadcast(points), F.lit(True), "left")
     latencies = [*PERCENTILE_POINTS, "avg_latency_ms", "min_latency_ms", "max_latency_ms"]
     share = F.coalesce(F.try_divide(F.col("error_count").cast("double"), F.col("total_requests")), F.lit(0.0))
 

@@ -12,8 +12,8 @@ from wardwatch.functions.scores import DRIFT_BANDS, LATE_BANDS, LATENCY_BANDS, R
 from wardwatch.functions.timing import cell_end, cell_start, ms_to_seconds
 from wardwatch.operators import alerts as A
 from wardwatch.operators import requests as R
-from wardwatch.operators.drift import shift_by_window
-from wardwatch.operators.lateness import event_time_lag, late_counts, late_ratio, late_ratio_by_window
+from wardwatch.operators.drift import WINDOW_MIN_ROWS, score_window_means, shift_by_window
+from wardwatch.operators.lateness import event_time_lag, late_flag, late_ratio, late_ratio_by_window
 from wardwatch.operators.ordered import ROWS_PER_CHUNK
 from wardwatch.operators.reconcile import metric_or
 
@@ -131,16 +131,23 @@ def lag_panel(group_lag: DataFrame, partition_lag: DataFrame, delays: DataFrame,
 
 
 def quality_panel(df: DataFrame, reference: DataFrame, columns: Sequence[str], width_ms: int = MINUTE_MS) -> DataFrame:
-    """Drift and late share per window, each with its band; a window too small for drift shows lateness only."""
-    drift = drift_series(df, reference, columns, width_ms).select("t_ms", "drift_score", F.col("drift_detected").cast("bigint").alias("drift_detected"))
-    cells = df.withColumn("t_ms", cell_start(F.col("event_ms"), width_ms))
-    late = late_ratio(late_counts(cells, ["t_ms"]))
-    joined = late.join(drift, "t_ms", "left")
-    return joined.select(
+    """Drift and late share per window, each with its band; a window too small for drift shows lateness only.
+
+    One aggregation gives the means and the late counts of all windows.
+    """
+    cell = cell_start(F.col("event_ms"), width_ms).alias("t_ms")
+    late = F.count_if(late_flag()).alias("late_data_count")
+    windows = df.groupBy(cell).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(F.lit(1)).alias("total_data_count"), late, *[F.avg(c).alias(c) for c in columns]
+    )
+    scored = score_window_means(late_ratio(windows), ["t_ms", "late_data_count", "late_data_ratio"], reference, columns)
+    large = F.col("n_rows") >= WINDOW_MIN_ROWS
+    score = F.when(large, F.col("drift_score"))
+    return scored.select(
         "t_ms",
-        "drift_score",
-        "drift_detected",
-        F.when(F.col("drift_score").isNotNull(), severity_band(F.col("drift_score"), DRIFT_BANDS)).alias("drift_band"),
+        score.alias("drift_score"),
+        F.when(large, F.col("drift_detected").cast("bigint")).alias("drift_detected"),
+        F.when(large, severity_band(F.col("drift_score"), DRIFT_BANDS)).alias("drift_band"),
         "late_data_ratio",
         (F.col("late_data_count") / (width_ms / 1000.0)).alias("late_per_sec"),
         severity_band(F.col("late_data_ratio"), LATE_BANDS).alias("late_band"),

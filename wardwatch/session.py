@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
+    # Above this size the JVM does not compile a generated method; smaller methods are used instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # No record of the Python line behind each column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

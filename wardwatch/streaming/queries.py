@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from wardwatch.functions.records import project_prediction
 from wardwatch.operators.drift import min_rows, reference_means, score_window_means
-from wardwatch.operators.history import DAY_MS, feature_rows, recent_history, upsert_features
+from wardwatch.operators.history import DAY_MS, HOUR_MS, feature_rows, latest_per_patient, recent_history, upsert_features, vitals_delta
 from wardwatch.operators.lateness import lateness_tiers, newest_by_source
 from wardwatch.operators.scoring import RISK_FACTOR_MODEL, RiskModel, dead_letter, score_request, successful_only
 from wardwatch.sinks.snapshots import read_version, update_version
@@ -117,6 +117,45 @@ def lateness_writer(main: str, side: str, seen: str) -> Batch:
     return write
 
 
+READINGS = (
+    "patient_id STRING, event_id BIGINT, event_ms BIGINT, glucose_level DOUBLE,"
+    " features STRUCT<systolic_bp: DOUBLE, diastolic_bp: DOUBLE>, risk_score DOUBLE, anomaly BOOLEAN, error STRING"
+)
+
+
+def readings(scored: DataFrame) -> DataFrame:
+    """Of scored events, what the next reading of a patient is compared with."""
+    pressure = F.struct("features.systolic_bp", "features.diastolic_bp").alias("features")
+    return scored.select("patient_id", "event_id", "event_ms", "glucose_level", pressure, "risk_score", "anomaly", "error")
+
+
+def delta_writer(changes: str, state: str, model: RiskModel = RISK_FACTOR_MODEL, ttl_ms: int = HOUR_MS) -> Batch:
+    """Changes since the patient's reading before, for streams in which one patient may send very much.
+
+    The last good reading of each patient is a table kept between batches. It joins the batch as
+    rows of its own, so the ordered scan of the batch operator finds it and splits a busy patient.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = readings(score_request(batch, model)).persist()
+        try:
+            before = read_version(spark, state, READINGS, before=batch_id)
+            both = rows.withColumn("_stored", F.lit(False)).unionByName(before.withColumn("_stored", F.lit(True)))
+            write_batch(vitals_delta(both, ttl_ms).where(~F.col("_stored")).drop("_stored", "features"), changes, batch_id)
+            good = successful_only(rows)
+            newest = good.agg(F.max("event_ms")).first()[0] or 0
+
+            def merge(old: DataFrame) -> DataFrame:
+                return latest_per_patient(old.where(F.col("event_ms") >= newest - ttl_ms).unionByName(good))
+
+            update_version(spark, state, READINGS, batch_id, merge)
+        finally:
+            rows.unpersist()
+
+    return write
+
+
 def drift_stream(df: DataFrame, columns: Sequence[str], width: str = "60 seconds", delay: str = ALLOWED_DELAY) -> DataFrame:
     """Row counts and means per window; `drift_writer` scores them against the reference."""
     return window_means(df, columns, width, delay)

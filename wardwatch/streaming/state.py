@@ -46,15 +46,15 @@ class PreviousReading(StatefulProcessor):
         batch = pd.concat(list(rows), ignore_index=True).sort_values(["event_ms", "event_id"], ignore_index=True)
         good = batch["error"].isna()
         held = {"ms": "event_ms", "glucose": "glucose_level", "systolic": "systolic", "diastolic": "diastolic", "risk": "risk_score", "anomaly": "anomaly"}
-        # Position of the newest good row before each row; -1 stands for the stored reading.
-        position = pd.Series(batch.index, index=batch.index).where(good).shift(1).ffill().fillna(-1).astype(int)
-        known = batch[list(held.values())].set_axis(list(held), axis=1)
-        if self.last.exists():
-            stored = dict(zip(FIELDS, self.last.get()))
-        else:
-            stored = dict.fromkeys(FIELDS)
-        known.loc[-1] = stored
-        before = known.loc[position].reset_index(drop=True)
+        # Position of the newest good row before each row; below 0 the stored reading stands in.
+        position = pd.Series(batch.index, index=batch.index).where(good).shift(1).ffill().fillna(-1).astype(int).to_numpy()
+        stored = dict(zip(FIELDS, self.last.get())) if self.last.exists() else dict.fromkeys(FIELDS)
+
+        def earlier(name: str) -> pd.Series:
+            column = batch[held[name]].to_numpy(dtype=object)
+            return pd.Series([column[p] if p >= 0 else stored[name] for p in position], index=batch.index)
+
+        before = {name: earlier(name) for name in FIELDS}
         before_ms = pd.to_numeric(before["ms"])
         valid = (batch["event_ms"] - before_ms <= self.ttl_ms) & before_ms.notna()
 
