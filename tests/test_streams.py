@@ -107,6 +107,33 @@ def test_patient_state_equals_batch_on_ordered_input(spark, feed, tmp_path):
     same(spark.read.parquet(f"{base}/o"), vitals_delta(score_request(in_order), DAY_MS), columns)
 
 
+def test_changes_of_a_busy_patient_equal_batch(spark, feed, tmp_path):
+    folder, _ = feed
+    base = str(tmp_path)
+
+    def busy(df):
+        name = F.when(F.col("gender") == "Male", F.lit("busy")).otherwise(F.col("patient_id"))
+        return df.withColumn("patient_id", name).withColumn("event_ms", F.col("arrival_ms"))
+
+    write = S.delta_writer(f"{base}/o", f"{base}/s", ttl_ms=DAY_MS)
+    S.run_available(busy(stream(spark, folder)), write, f"{base}/c")
+    columns = ["event_id", "previous_ms", "glucose_change", "bp_change", "diastolic_change", "previous_readmission_risk", "previous_anomaly"]
+    same(spark.read.parquet(f"{base}/o"), vitals_delta(score_request(busy(spark.read.parquet(folder))), DAY_MS), columns)
+
+
+def test_state_ends_after_a_gap_in_event_time(spark, tmp_path):
+    use_rocksdb(spark)
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    schema = "event_id BIGINT, patient_id STRING, age BIGINT, blood_pressure STRING, bmi DOUBLE, glucose_level DOUBLE, event_ms BIGINT, arrival_ms BIGINT"
+    folder = str(tmp_path / "in")
+    for i, ms in enumerate([0, 60_000, 120_001]):
+        spark.createDataFrame([(i, "a", 50, "120/80", 25.0, 100.0 + i, ms, ms)], schema).coalesce(1).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(schema).parquet(folder)
+        S.run_available(patient_state_stream(score_request(source), 60_000), S.table_writer(str(tmp_path / "o")), str(tmp_path / "c"))
+    got = {r.event_id: r.glucose_change for r in spark.read.parquet(str(tmp_path / "o")).collect()}
+    assert got == {0: None, 1: 1.0, 2: None}
+
+
 def test_late_row_meets_the_last_reading_seen(spark, tmp_path):
     """In keyed state a row of an older time that comes later is compared with what was seen last."""
     use_rocksdb(spark)

@@ -21,6 +21,7 @@ from wardwatch.operators.scoring import (
 )
 from wardwatch.operators.training import label_rate, prepare_training
 from wardwatch.plans.pipeline import destination_summary
+from wardwatch.plans.sql_functions import register_scoring_functions
 from wardwatch.schemas import FEATURE_ORDER, columns
 from wardwatch.sources.vitals import arrival_timestamp, event_time_error, parse_vitals
 
@@ -371,6 +372,27 @@ def _score_vitals_only(spark, sf_dir):
     return score_vitals(vitals(spark, sf_dir), policy="vitals_only").select("event_id", r6("risk_score", "risk_score"), "anomaly")
 
 
+@query(
+    "sql_scoring",
+    "scored",
+    """
+SELECT patient_id, event_ms, CASE WHEN error IS NULL THEN round(r, 4) END AS risk_score,
+  CASE WHEN error IS NULL THEN r > 0.7 OR sys > 160 OR dia > 100 OR bmi > 35 END AS anomaly, error IS NOT NULL AS failed FROM (
+  SELECT *, 1 / (1 + exp(-(-15e-1 + 1e-2 * age + 5e-3 * sys + 2e-1 * (sys > 140 OR dia > 90)::int + 15e-2 * (bmi > 30)::int))) AS r FROM scored)""",
+)
+def _sql_scoring(spark, sf_dir):
+    """The scorer called from SQL, its JSON read back."""
+    register_scoring_functions(spark)
+    text = spark.sql(
+        "SELECT predict_patient_risk_json(patient_id, age, glucose_level, blood_pressure, bmi, event_ms) AS value FROM {rows}",
+        rows=vitals(spark, sf_dir),
+    )
+    record = "patient_id STRING, risk_score DOUBLE, anomaly BOOLEAN, error STRING, timestamp BIGINT"
+    return text.select(F.from_json("value", record).alias("r")).select(
+        "r.patient_id", F.col("r.timestamp").alias("event_ms"), "r.risk_score", "r.anomaly", F.col("r.error").isNotNull().alias("failed")
+    )
+
+
 @query(
     "score_request",
     "judged",
