@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardwatch.operators.ordered import Scan, ordered_scan, plan_splits
+from wardwatch.operators.ordered import Scan, ordered_scan, plan_splits, settle
 
 
 def alert_hold(
@@ -23,7 +23,8 @@ def alert_hold(
     splits = None if rows_per_chunk is None else plan_splits(series, keys, [time], rows_per_chunk)
     flagged = series.withColumn("_on", F.coalesce(condition, F.lit(False)))
     previous = {"_was": Scan("last", F.col("_on"), inclusive=False)}
-    marked = ordered_scan(flagged, keys, [time], previous, None, splits)
+    flagged = settle(flagged, splits, "alert-samples")
+    marked = settle(ordered_scan(flagged, keys, [time], previous, None, splits), splits, "alert-flags")
     start = F.when(F.col("_on") & ~F.coalesce(F.col("_was"), F.lit(False)), F.col(time))
     started = ordered_scan(marked.withColumn("_start", start), keys, [time], {"_since": Scan("last", F.col("_start"))}, None, splits)
     on = F.col("_on")

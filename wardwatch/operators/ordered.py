@@ -22,12 +22,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
+from wardwatch.session import stage
+
 ROWS_PER_CHUNK = 2_000_000
 MAX_CHUNKS = 20_000
 SAMPLES_PER_CHUNK = 20
 GLOBAL_MIN_CHUNKS = 8
 GLOBAL_MIN_ROWS = 1_000
 
+FEW_EDGES = 32
+
 CHUNK = "_chunk"
 
 
@@ -53,34 +57,45 @@ class Splits:
     def keys(self) -> list[str]:
         return [*self.group, *self.order]
 
-    def _edge(self, index: Column) -> Column:
+    def _literal(self) -> Column:
         text = json.dumps([dict(zip(self.keys, e, strict=True)) for e in self.edges])
-        return F.get(F.from_json(F.lit(text), T.ArrayType(self.schema)), index)
+        return F.from_json(F.lit(text), T.ArrayType(self.schema))
 
-    def chunk(self) -> Column:
-        """Number of cut points up to the row's key, by binary search."""
-        if not self.edges:
-            return F.lit(0)
-        key = F.struct(*[F.col(c) for c in self.keys])
-        steps = [2**i for i in reversed(range(len(self.edges).bit_length()))]
-        return F.aggregate(
-            F.array(*[F.lit(s) for s in steps]),
-            F.lit(0),
-            lambda low, step: F.when(self._edge(low + step - 1) <= key, low + step).otherwise(low),
-        )
-
-    def spans(self) -> Column:
-        """True where the row's group also reaches into a neighbouring chunk."""
+    def hot(self) -> Column:
+        """True for rows of the groups that are cut; there are at most as many as cut points."""
         if not self.group:
             return F.lit(True)
+        owners = list(dict.fromkeys(e[: len(self.group)] for e in self.edges))
+        if len(self.group) == 1:
+            named = F.col(self.group[0]).isin([o[0] for o in owners if o[0] is not None])
+            missing = F.col(self.group[0]).isNull() if (None,) in owners else F.lit(False)
+            return F.coalesce(named, F.lit(False)) | missing
+        owned = F.struct(*[F.col(c) for c in self.group])
+        schema = T.ArrayType(T.StructType(self.schema.fields[: len(self.group)]))
+        text = json.dumps([dict(zip(self.group, o, strict=True)) for o in owners])
+        return F.array_contains(F.from_json(F.lit(text), schema), owned)
 
-        def same_group(edge: Column) -> Column:
-            same = edge.isNotNull()
-            for c in self.group:
-                same = same & edge[c].eqNullSafe(F.col(c))
-            return same
+    def chunk(self) -> Column:
+        """Number of cut points up to the row's key; 0 in groups that are not cut.
 
-        return same_group(self._edge(F.col(CHUNK) - 1)) | same_group(self._edge(F.col(CHUNK)))
+        A few cut points are compared one by one in generated code, many by binary search.
+        """
+        if not self.edges:
+            return F.lit(0)
+        key = F.struct(*[F.col(c) for c in self.keys])
+        edges = self._literal()
+        if len(self.edges) <= FEW_EDGES:
+            place = F.lit(0)
+            for i in range(len(self.edges)):
+                place = place + (edges[i] <= key).cast("int")
+        else:
+            steps = [2**i for i in reversed(range(len(self.edges).bit_length()))]
+            place = F.aggregate(
+                F.array(*[F.lit(s) for s in steps]),
+                F.lit(0),
+                lambda low, step: F.when(F.get(edges, low + step - 1) <= key, low + step).otherwise(low),
+            )
+        return F.when(self.hot(), place).otherwise(F.lit(0))
 
 
 def plan_splits(df: DataFrame, group: Sequence[str], order: Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK) -> Splits:
@@ -162,7 +177,7 @@ def ordered_scan(
     own = chunked.withColumns({name: _running(s, window) for name, s in scans.items()})
 
     totals = (
-        chunked.where(splits.spans())
+        chunked.where(splits.hot())
         .groupBy(*group, CHUNK)
         .agg(*[_chunk_total(s, order).alias(f"_total_{name}") for name, s in scans.items()])
     )
@@ -180,3 +195,12 @@ def ordered_scan(
         *df.columns,
         *[_combine(s, F.col(name), F.col(f"_carry_{name}")).alias(name) for name, s in scans.items()],
     )
+
+
+def settle(df: DataFrame, splits: Splits | None, name: str) -> DataFrame:
+    """Stage the result of one scan before the next one reads it; small input goes on as it is.
+
+    A split scan reads its input twice, so scans on top of each other would double the work at
+    every level.
+    """
+    return stage(df, name) if splits is not None and splits.edges else df

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardwatch.functions.timing import cell_end
-from wardwatch.operators.ordered import ROWS_PER_CHUNK, Scan, ordered_scan, plan_splits
+from wardwatch.operators.ordered import ROWS_PER_CHUNK, Scan, ordered_scan, plan_splits, settle
 from wardwatch.operators.quantiles import percentile_columns, percentiles
 
 # Bucket edges of the latency histogram in milliseconds, the p99 target, report sizes.
@@ -171,14 +171,16 @@ def counter_rate(counter: DataFrame, by: Sequence[str], range_ms: int = RATE_RAN
     """
     splits = plan_splits(counter, by, ["ms"], rows_per_chunk)
     before = {"_before": Scan("last", F.col("value"), inclusive=False)}
-    steps = ordered_scan(counter.select(*by, "ms", "value"), by, ["ms"], before, splits=splits)
+    samples = settle(counter.select(*by, "ms", "value"), splits, "counter")
+    steps = settle(ordered_scan(samples, by, ["ms"], before, None, splits), splits, "counter-steps")
     gain = F.when(F.col("value") >= F.col("_before"), F.col("value") - F.col("_before")).when(F.col("_before").isNotNull(), F.col("value"))
     gains = steps.withColumn("_gain", F.coalesce(gain, F.lit(0.0)))
-    totals = ordered_scan(gains, by, ["ms"], {"_total": Scan("sum", F.col("_gain"))}, splits=splits).select(*by, "ms", "_total")
+    totals = ordered_scan(gains, by, ["ms"], {"_total": Scan("sum", F.col("_gain"))}, None, splits).select(*by, "ms", "_total")
+    totals = settle(totals, splits, "counter-totals")
 
     leaving = totals.select(*by, (F.col("ms") + range_ms).alias("ms"), F.lit(0).alias("_side"), F.col("_total").alias("_left"), F.lit(None).cast("double").alias("_total"))
-    samples = totals.select(*by, "ms", F.lit(1).alias("_side"), F.lit(None).cast("double").alias("_left"), "_total")
-    scanned = ordered_scan(samples.unionByName(leaving), by, ["ms", "_side"], {"_gone": Scan("last", F.col("_left"))}, rows_per_chunk)
+    readers = totals.select(*by, "ms", F.lit(1).alias("_side"), F.lit(None).cast("double").alias("_left"), "_total")
+    scanned = ordered_scan(readers.unionByName(leaving), by, ["ms", "_side"], {"_gone": Scan("last", F.col("_left"))}, rows_per_chunk)
     increase = F.col("_total") - F.coalesce(F.col("_gone"), F.lit(0.0))
     return scanned.where(F.col("_side") == 1).select(*by, "ms", (increase / (range_ms / 1000.0)).alias("rate"))
 

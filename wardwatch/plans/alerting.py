@@ -16,6 +16,7 @@ from wardwatch.operators.drift import WINDOW_MIN_ROWS, score_window_means, shift
 from wardwatch.operators.lateness import event_time_lag, late_flag, late_ratio, late_ratio_by_window
 from wardwatch.operators.ordered import ROWS_PER_CHUNK
 from wardwatch.operators.reconcile import metric_or
+from wardwatch.session import stage
 
 MINUTE_MS = 60_000
 PANEL_POINTS = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
@@ -68,7 +69,7 @@ def high_prediction_latency(requests: DataFrame, by: Sequence[str] = (), step_ms
 
 def high_prediction_errors(counter: DataFrame, by: Sequence[str]) -> DataFrame:
     rates = R.counter_rate(counter, by).select(*by, F.col("ms").alias("t_ms"), F.col("rate").alias("value"))
-    return A.evaluate_rule(rates, A.HIGH_PREDICTION_ERRORS, by, ROWS_PER_CHUNK)
+    return A.evaluate_rule(stage(rates, "rates"), A.HIGH_PREDICTION_ERRORS, by, ROWS_PER_CHUNK)
 
 
 def high_lag(partition_lag: DataFrame, rule: A.AlertRule = A.HIGH_LAG) -> DataFrame:
