@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardwatch.operators.ordered import Scan, ordered_scan
+from wardwatch.operators.ordered import Scan, ordered_scan, plan_splits, settle
 
 VITALS_VIEW = """
 SELECT event_id, cast(user_id AS varchar(20)) AS patient_id, ts, {ms} AS event_ms,
@@ -67,9 +67,10 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A counter per source that resets at every thousandth event; one sample per millisecond."""
     rows = requests(spark, sf_dir).select("source", "ms", "event_id")
-    numbered = ordered_scan(rows, ["source"], ["ms", "event_id"], {"_no": Scan("count")})
+    splits = plan_splits(rows, ["source"], ["ms", "event_id"])
+    numbered = ordered_scan(rows, ["source"], ["ms", "event_id"], {"_no": Scan("count")}, None, splits)
     value = F.max_by((F.col("_no") % 1000).cast("double"), F.col("event_id"))
-    return numbered.groupBy("source", "ms").agg(value.alias("value"))
+    return settle(numbered.groupBy("source", "ms").agg(value.alias("value")), splits, "counter")
 
 
 def reference(spark: SparkSession, sf_dir: str) -> DataFrame:

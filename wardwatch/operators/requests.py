@@ -167,12 +167,12 @@ def counter_rate(counter: DataFrame, by: Sequence[str], range_ms: int = RATE_RAN
 
     A series has one sample per `ms`. A drop is a reset and counts the new value. The increase is
     a difference of two running totals: the one at `t`, and the newest one that has left the range
-    by `t`. Both come from ordered scans, so a series of any length is split.
+    by `t`. Both come from ordered scans, so a series of any length is split. `counter` is read
+    several times; it should be a stored table.
     """
     splits = plan_splits(counter, by, ["ms"], rows_per_chunk)
     before = {"_before": Scan("last", F.col("value"), inclusive=False)}
-    samples = settle(counter.select(*by, "ms", "value"), splits, "counter")
-    steps = settle(ordered_scan(samples, by, ["ms"], before, None, splits), splits, "counter-steps")
+    steps = settle(ordered_scan(counter.select(*by, "ms", "value"), by, ["ms"], before, None, splits), splits, "counter-steps")
     gain = F.when(F.col("value") >= F.col("_before"), F.col("value") - F.col("_before")).when(F.col("_before").isNotNull(), F.col("value"))
     gains = steps.withColumn("_gain", F.coalesce(gain, F.lit(0.0)))
     totals = ordered_scan(gains, by, ["ms"], {"_total": Scan("sum", F.col("_gain"))}, None, splits).select(*by, "ms", "_total")
