@@ -18,7 +18,9 @@ from pyspark.sql import types as T
 from wardwatch.functions.scores import relative_change
 from wardwatch.operators.ordered import ROWS_PER_CHUNK, Scan, ordered_scan
 from wardwatch.operators.quantiles import percentiles
-from wardwatch.session import stage
+from wardwatch.session import ship, stage
+
+ship(__name__)
 
 # Drift limits, floors, and the count windows of the drift watcher.
 MEAN_SHIFT_LIMIT = 0.2

@@ -19,6 +19,9 @@ from wardwatch.functions.scores import anomaly_flag
 from wardwatch.functions.vitals import feature_array
 from wardwatch.operators.features import featurize
 from wardwatch.schemas import FEATURE_ORDER
+from wardwatch.session import ship
+
+ship(__name__)
 
 
 def positive_share(outputs: list) -> np.ndarray:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -50,3 +52,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(module: str) -> None:
+    """Send the functions of a module to Python workers whole, so that workers need no copy of the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from wardwatch.operators.history import HOUR_MS
+from wardwatch.session import ship
+
+ship(__name__)
 
 STATE = "ms BIGINT, glucose DOUBLE, systolic DOUBLE, diastolic DOUBLE, risk DOUBLE, anomaly BOOLEAN"
 FIELDS = ("ms", "glucose", "systolic", "diastolic", "risk", "anomaly")
