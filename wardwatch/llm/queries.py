@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardwatch.llm import mixing
+from wardwatch.llm import decontamination, licenses, mixing, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,3 +30,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op8_mix_sources", mixing.SQL)
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).drop("source")
+
+
+@query("op3_benchmark_decontamination", decontamination.SQL)
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontamination.contamination(documents, benchmark).drop("text_hash")
+
+
+@query("op10_simhash_near_dedup")
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
+
+
+@query("op2_license_scan", licenses.sql())
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_matches(_table(spark, sf_dir, "documents")).drop("text_hash")
