@@ -61,11 +61,17 @@ def template_table(spark: SparkSession, templates: dict[str, str] = TEMPLATES) -
 def license_matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
     """`doc_id, text_hash, part, license, dice`: the best template of each part that reaches `least`; part 0 is the whole text."""
     known = template_table(docs.sparkSession, templates)
-    lines = F.concat(F.array("text"), F.when(F.contains("text", F.lit("\n")), F.split("text", "\n")).otherwise(F.array().cast("array<string>")))
-    parts = docs.where("text <> ''").select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(lines).alias("part", "_line"))
-    counted = parts.withColumn("_words", _words(F.col("_line")))
     low, high = least / (2 - least), (2 - least) / least
-    sized = counted.where(F.size("_words") >= 2).withColumn("_own", _bigrams(F.col("_words")))
+    smallest, largest = known.agg(F.min(F.size("template_bigrams")), F.max(F.size("template_bigrams"))).first()
+    # A line feed ends a word, so the words of the whole are those of its lines.
+    lines = F.transform(F.split("text", "\n"), _words)
+    cut = docs.where("text <> ''").select("doc_id", F.xxhash64("text").alias("text_hash"), lines.alias("_lines"))
+    several = F.when(F.size("_lines") > 1, F.col("_lines")).otherwise(F.array().cast("array<array<string>>"))
+    parts = cut.select("doc_id", "text_hash", F.posexplode(F.concat(F.array(F.flatten("_lines")), several)).alias("part", "_words"))
+    # Each distinct word but the first ends a bigram of its own: a part has no fewer bigrams, and no more than pairs of words.
+    fewest, most = F.size(F.array_distinct("_words")) - 1, F.size("_words") - 1
+    counted = parts.where((F.size("_words") >= 2) & (most >= (smallest or 0) * low)).where(fewest <= (largest or 0) * high)
+    sized = counted.withColumn("_own", _bigrams(F.col("_words")))
     near = sized.join(
         F.broadcast(known),
         (F.size("_own") >= F.size("template_bigrams") * low) & (F.size("_own") <= F.size("template_bigrams") * high),

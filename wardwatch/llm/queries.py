@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardwatch.llm import decontamination, licenses, mixing, simhash
+from wardwatch.llm import decontamination, languages, licenses, mixing, neighbors, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,3 +47,22 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_license_scan", licenses.sql())
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_matches(_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+@query("op9_nearest_neighbors")
+def op9_nearest_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbors.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = languages.remainder("doc_id", 5) == 0
+    documents = _table(spark, sf_dir, "documents").withColumn("held_out", held_out)
+    found = languages.identify(documents, ~F.col("held_out"), ("doc_id", "held_out"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "spans")
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").withColumn("held_out", languages.remainder("doc_id", 5) == 0)
+    return toxicity.toxicity(documents, _table(spark, sf_dir, "labels"), ~F.col("held_out"), ("doc_id", "held_out"))
