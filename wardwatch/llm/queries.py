@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardwatch.llm import decontamination, languages, licenses, mixing, neighbors, simhash, toxicity
+from wardwatch.llm import decontamination, languages, licenses, mixing, neighbors, simhash, substring_dedup, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,3 +66,13 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").withColumn("held_out", languages.remainder("doc_id", 5) == 0)
     return toxicity.toxicity(documents, _table(spark, sf_dir, "labels"), ~F.col("held_out"), ("doc_id", "held_out"))
+
+
+@query("op1_substring_dedup")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.cut_words(_table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op7_suffix_array_dedup")
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.cut_bytes(_table(spark, sf_dir, "documents")).drop("text_hash", "kept")
