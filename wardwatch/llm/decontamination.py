@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from wardwatch.session import stage
 
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+BETWEEN = WORD.replace("[^", "[")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 13
 SHINGLE = 3
@@ -39,7 +40,8 @@ def lowered(text: str) -> Column:
 
 
 def words_of(text: str) -> Column:
-    return F.coalesce(F.regexp_extract_all(lowered(text), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    """Cutting at what lies between is much cheaper than extracting each word."""
+    return F.coalesce(F.array_remove(F.split(lowered(text), BETWEEN), ""), F.array().cast("array<string>"))
 
 
 def windows_of(items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -96,7 +98,7 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> D
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """`doc_id, n_words, n_hit, n_items, items_sha256, contaminated` of each row."""
-    n_words = F.coalesce(F.regexp_count(lowered("text"), F.lit(WORD)), F.lit(0)).cast("long")
+    n_words = F.size(words_of("text")).cast("long")
     sizes = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), n_words.alias("n_words"))
     hits = benchmark_hits(docs, items, window)
     if hits is None:
