@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardwatch.llm import decontamination, languages, licenses, mixing, neighbors, simhash, substring_dedup, suffix_dedup, toxicity
+from wardwatch.llm import decontamination, language_model, languages, licenses, mixing, neighbors, simhash, substring_dedup, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,3 +76,9 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_suffix_array_dedup")
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.cut_bytes(_table(spark, sf_dir, "documents")).drop("text_hash", "kept")
+
+
+@query("op5_katz_language_model")
+def op5_katz_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").withColumn("held_out", languages.remainder("doc_id", 10) == 0)
+    return language_model.score_documents(documents, ~F.col("held_out"), ("doc_id", "held_out"))
