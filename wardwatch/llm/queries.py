@@ -75,7 +75,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_suffix_array_dedup")
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.cut_bytes(_table(spark, sf_dir, "documents")).drop("text_hash", "kept")
+    return suffix_dedup.cut_bytes(_table(spark, sf_dir, "documents"))
 
 
 @query("op5_katz_language_model")

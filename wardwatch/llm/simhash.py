@@ -34,6 +34,8 @@ from wardwatch.session import ship, stage
 ship(__name__)
 
 SEED = 42
+#: Stands for a null id where documents are kept: after all others.
+LAST_ID = (1 << 63) - 1
 WIDTH = 3
 BUDGET = 2
 #: Words of a text that are hashed and counted at a time.
@@ -190,7 +192,15 @@ def simhash_groups(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET) ->
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET) -> DataFrame:
-    """The documents that are the smallest of their component; rows of a null id stay."""
-    groups = simhash_groups(docs, width, budget)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """One document of each component: the smallest id (null last), of rows of one id that with the smaller hash of its text."""
+    key = F.struct(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)).alias("id"), F.xxhash64("text").alias("hash"))
+    groups = simhash_groups(docs.select(key.alias("doc_id"), "text"), width, budget)
+    groups = stage(groups.select("doc_id", "component_id"), "simhash-groups")
+    keyed = docs.withColumn("_key", key)
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_key")).distinct()
+    left = keyed.join(gone, "_key", "left_anti")
+    again = groups.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_key"))
+    if not again.isEmpty():  # rows with one id and one text
+        again = stage(again, "simhash-again")
+        left = left.join(again, "_key", "left_anti").unionByName(left.join(again, "_key", "left_semi").dropDuplicates(["_key"]))
+    return left.drop("_key")

@@ -153,21 +153,44 @@ def index_values(s: Symbols, n: np.ndarray, first_doc: np.ndarray, kind: Kind) -
     return value
 
 
-def cut_bytes(docs: DataFrame, kind: Kind = KIND) -> DataFrame:
-    """`doc_id, text_hash, n_bytes, n_removed, n_spans, kept_sha256, kept` of each row."""
-    rows = with_ids(docs)
-    joined = matched(rows, removed_spans(rows, kind, index_values, "suffix"))
+def _cut(rows: DataFrame, kind: Kind, columns: dict[str, str], make) -> DataFrame:
+    """The rows of `with_ids` (`_row` may be beside them) with columns made of text and removed bytes."""
+    joined = matched(rows, removed_spans(rows.select("doc_id", "text_hash", "text"), kind, index_values, "suffix"))
+    keep = [c for c in joined.columns if c not in ("text", "spans")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = {"bigint": pa.int64(), "string": pa.string()}
         for batch in batches:
+            texts, spans = texts_of(batch.column(batch.schema.names.index("text"))), batch.column(batch.schema.names.index("spans")).to_pylist()
             out = []
-            for text, spans in zip(texts_of(batch.column(2)), batch.column(3).to_pylist()):
-                gone = covered(spans, len(text))
-                kept = np.frombuffer(text, np.uint8)[~gone].tobytes() if spans else text
-                runs = int((np.diff(np.r_[0, gone.astype(np.int8)]) == 1).sum())
-                out.append((len(text), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore")))
-            columns = [pa.array(c, t) for c, t in zip(zip(*out), (*[pa.int64()] * 3, pa.string(), pa.string()))]
-            yield pa.record_batch([batch.column(0), batch.column(1), *columns], ["doc_id", "text_hash", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-
-    cut = map_arrow(joined, run, "doc_id bigint, text_hash bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string")
-    return cut.withColumn("doc_id", F.nullif("doc_id", F.lit(LAST_ID)))
+            for text, own in zip(texts, spans):
+                gone = covered(own, len(text))
+                out.append(make(text, gone, np.frombuffer(text, np.uint8)[~gone].tobytes() if own else text))
+            made = [pa.array(c, kinds[t]) for c, t in zip(zip(*out), columns.values())]
+            yield pa.record_batch([*(batch.column(batch.schema.names.index(c)) for c in keep), *made], [*keep, *columns])
+
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in joined.select(*keep).schema] + [f"{c} {t}" for c, t in columns.items()])
+    return map_arrow(joined, run, schema)
+
+
+def cut_bytes(docs: DataFrame, kind: Kind = KIND) -> DataFrame:
+    """`doc_id, n_bytes, n_removed, n_spans, kept_sha256` of each row."""
+
+    def make(text: bytes, gone: np.ndarray, kept: bytes) -> tuple:
+        runs = int((np.diff(np.r_[0, gone.astype(np.int8)]) == 1).sum())
+        return len(text), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()
+
+    columns = {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"}
+    cut = _cut(with_ids(docs), kind, columns, make)
+    return cut.select(F.nullif("doc_id", F.lit(LAST_ID)).alias("doc_id"), *columns)
+
+
+def cut_documents(docs: DataFrame, kind: Kind = KIND) -> DataFrame:
+    """The documents with `text` as it is kept, and `n_chars`, where there is one, as its length. A null text stays null."""
+    made = _cut(with_ids(docs, row=True), kind, {"kept": "string"}, lambda text, gone, kept: (kept.decode(errors="ignore"),))
+    length = F.col("_row.length")
+    kept = {"text": F.when(length.isNotNull(), F.col("kept"))}
+    if "n_chars" in docs.columns:
+        same = F.length("kept") == length
+        kept["n_chars"] = F.when(same | length.isNull(), F.col("_row.c_n_chars")).otherwise(F.length("kept")).cast(docs.schema["n_chars"].dataType)
+    return made.select(*[kept.get(c, F.col("_row")[f"c_{c}"]).alias(c) for c in docs.columns])

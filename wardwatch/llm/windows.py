@@ -410,10 +410,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def with_ids(docs: DataFrame) -> DataFrame:
-    """`doc_id` (null last), `text_hash`, `text`."""
+def with_ids(docs: DataFrame, row: bool = False) -> DataFrame:
+    """`doc_id` (null last), `text_hash`, `text`, and the other columns and the length as `_row` where they are asked for."""
     ids = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID))
-    return bounded_batches(docs).select(ids.alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    others = [F.col(c).alias(f"c_{c}") for c in docs.columns if c != "text"]
+    whole = [F.struct(*others, F.length("text").alias("length")).alias("_row")] if row else []
+    return bounded_batches(docs).select(ids.alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text", *whole)
 
 
 def removed_spans(docs: DataFrame, kind: Kind, index: Index, name: str) -> DataFrame:
@@ -439,4 +441,4 @@ def covered(spans: list[dict] | None, n: int) -> np.ndarray:
 
 def matched(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """The documents of `with_ids` with their spans, null where there are none."""
-    return docs.join(spans, ["doc_id", "text_hash"], "left").select("doc_id", "text_hash", "text", "spans")
+    return docs.join(spans, ["doc_id", "text_hash"], "left").select(*docs.columns, "spans")
