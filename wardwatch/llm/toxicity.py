@@ -146,16 +146,19 @@ def _taken(units: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     return every[np.sort(np.array(taken, np.int64))]
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """Learn from `doc_id, text, toxic` rows; None unless both labels occur."""
-    count = dict(docs.groupBy("toxic").count().collect())  # two rows
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
+    """Learn from `doc_id, text` and `doc_id, toxic` (boolean); None unless both labels occur."""
+    known = labels.join(docs.select("doc_id").distinct(), "doc_id")
+    count = dict(known.groupBy("toxic").count().collect())  # two rows
     if not count.get(True) or not count.get(False):
         return None
     part = 1_000_000
     limit = F.lit(0)
     for label in (True, False):
         limit = F.when(F.col("toxic") == label, F.lit(int(np.ceil(min(1, sample / count[label]) * part)))).otherwise(limit)
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(part)) < limit)
+    picked = known.where(F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(part)) < limit)
+    # About twice `sample` ids, whatever the tables hold; so no text is shuffled.
+    chosen = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     rows = chosen.select("toxic", F.lower("text").alias("text")).distinct().orderBy("toxic", F.xxhash64("text"), "text").toArrow()
     toxic = rows["toxic"].to_numpy().astype(bool)
     texts = [t or b"" for t in rows["text"].cast(pa.binary()).to_pylist()]
@@ -272,5 +275,4 @@ def score_documents(docs: DataFrame, model: Model | None, keep: tuple[str, ...]
 def toxicity(docs: DataFrame, labels: DataFrame, trained: Column, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Scores of all documents by a model learned from the labels of documents with `trained`."""
     label = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
-    known = docs.where(trained).select("doc_id", "text").join(label, "doc_id")
-    return score_documents(docs, fit(known), keep)
+    return score_documents(docs, fit(docs.where(trained), label), keep)
