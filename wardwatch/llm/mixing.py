@@ -34,7 +34,8 @@ def n_words(text: Column | str) -> Column:
 
 def id_hash(doc_id: Column | str) -> Column:
     """32 bits that every engine with md5 can compute: the first eight hex digits."""
-    digest = F.md5(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit("")).cast("string"))
+    text = (F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string")
+    digest = F.md5(F.coalesce(text, F.lit("")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 

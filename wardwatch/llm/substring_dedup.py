@@ -68,7 +68,7 @@ def cut_words(docs: DataFrame, kind: Kind = KIND) -> DataFrame:
             out = []
             for text, spans in zip(texts_of(batch.column(2)), batch.column(3).to_pylist()):
                 words = text.split()
-                gone = covered(spans, len(words))
+                gone = covered(spans, len(words), kind)
                 kept = b" ".join([words[i] for i in np.flatnonzero(~gone)] if spans else words)
                 out.append((len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode()))
             columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.string(), pa.string()))]

@@ -50,7 +50,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     while len(tied):
         sub = order[tied]
         own, after = rank[sub], rank[np.minimum(sub + depth, n)]
-        moved = np.lexsort((after, own))
+        moved = np.argsort(own * (n + 1) + after + 1)
         sub, own, after = sub[moved], own[moved], after[moved]
         order[tied] = sub
         new = np.r_[True, (own[1:] != own[:-1]) | (after[1:] != after[:-1])]
@@ -70,6 +70,7 @@ class RunIndex:
         begin = np.flatnonzero(np.r_[True, last[1:] != last[:-1]])
         size = np.diff(np.r_[begin, len(last)])
         self.text, self.begin, self.symbol = text, begin, last[begin]
+        self.run_of = np.repeat(np.arange(len(begin), dtype=np.int32), size)
         self.high_row, self.low_place, self.high_place = begin + size - 1, order[begin], order[begin + size - 1]
         # Row that the first row of a run steps to: smaller symbols, then equal ones in runs before.
         by_symbol = np.argsort(self.symbol, kind="stable")
@@ -96,7 +97,7 @@ class RunIndex:
         here[:] = self.low_place[0]
         for t, n in enumerate(live):
             want = symbols[end[:n] - t]
-            run = np.searchsorted(self.begin, row[:n], "right") - 1
+            run = self.run_of[row[:n]]
             miss = np.flatnonzero(self.symbol[run] != want)
             if len(miss):
                 c, j, now = want[miss], run[miss], here[miss]
@@ -164,7 +165,7 @@ def _cut(rows: DataFrame, kind: Kind, columns: dict[str, str], make) -> DataFram
             texts, spans = texts_of(batch.column(batch.schema.names.index("text"))), batch.column(batch.schema.names.index("spans")).to_pylist()
             out = []
             for text, own in zip(texts, spans):
-                gone = covered(own, len(text))
+                gone = covered(own, len(text), kind)
                 out.append(make(text, gone, np.frombuffer(text, np.uint8)[~gone].tobytes() if own else text))
             made = [pa.array(c, kinds[t]) for c, t in zip(zip(*out), columns.values())]
             yield pa.record_batch([*(batch.column(batch.schema.names.index(c)) for c in keep), *made], [*keep, *columns])

@@ -15,6 +15,9 @@ Both dedup operators ask this, one over words and one over bytes. Four steps kee
    third of all documents, are taken at full length instead: their windows are aggregated by content.
 4. Spans. Windows whose value meets the rule become spans of symbols, gathered by document.
 
+Exact copies of a text are found first, by two hashes and the length, and only one of them is cut into
+segments; what becomes of the others follows from their being copies.
+
 Hashes only decide what meets; anchors that collide cost work, not results. The windows of anchors at full
 length are told apart by two hashes, 112 bits together.
 """
@@ -59,6 +62,8 @@ HOT = 4_000
 ANCHOR_BITS = 48
 #: Stands in for a null id: after all others.
 LAST_ID = (1 << 63) - 1
+#: Ends the span of a text that goes whole.
+WHOLE = (1 << 31) - 1
 
 
 @dataclass(frozen=True)
@@ -268,14 +273,29 @@ def _slices(blob: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def segments(docs: DataFrame, kind: Kind) -> DataFrame:
-    """`doc_id, text_hash, start, n, key, content`: runs of windows with a repeated anchor; start counts symbols of the text."""
+def copies(docs: DataFrame, kind: Kind) -> DataFrame:
+    """`doc_id, text_hash, spare, whole`: texts that others equal; spare ones need no segments of their own, whole ones are removed whole."""
+    same = [F.xxhash64("text").alias("h1"), F.hash("text").alias("h2"), F.octet_length("text").alias("bytes")]
+    rows = docs.where("text IS NOT NULL").select("doc_id", "text_hash", *same)
+    first = rows.groupBy("h1", "h2", "bytes").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")).where("rows > 1")
+    met = rows.join(first, ["h1", "h2", "bytes"]).select("doc_id", "text_hash", (F.col("doc_id") > F.col("first")).alias("spare"))
+    whole = F.col("spare") if kind.first_doc else F.lit(True)
+    return met.distinct().withColumn("whole", whole)
+
+
+def segments(docs: DataFrame, alike: DataFrame, kind: Kind) -> DataFrame:
+    """`doc_id, text_hash, start, weight, key, content`: runs of windows with a repeated anchor; start counts symbols of the text."""
     held = repeated_anchors(docs, kind).groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
-    rows = docs.join(held, "doc_id").select("doc_id", "text_hash", "text", "keys")
+    by_doc = alike.groupBy("doc_id").agg(F.collect_list(F.struct("text_hash", "spare")).alias("alike"))
+    rows = docs.join(held.join(by_doc, "doc_id", "left"), "doc_id").select("doc_id", "text_hash", "text", "keys", "alike")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, wanted = texts_of(batch.column(2)), batch.column(3).to_pylist()
+            texts, wanted, hashes = texts_of(batch.column(2)), batch.column(3).to_pylist(), batch.column(1).to_pylist()
+            marks = [{m["text_hash"]: m["spare"] for m in own or ()} for own in batch.column(4).to_pylist()]
+            spare = np.array([m.get(h, False) for m, h in zip(marks, hashes)], bool)
+            weight = np.array([1 + (h in m) for m, h in zip(marks, hashes)], np.int32)
+            texts = [b"" if gone else t for t, gone in zip(texts, spare)]
             for rows in groups_of(texts):
                 s = symbols_of([texts[i] for i in rows], kind)
                 anchor, doc, begin, n = runs_of(s.hashes, s.at, kind)
@@ -287,16 +307,17 @@ def segments(docs: DataFrame, kind: Kind) -> DataFrame:
                 if not len(anchor):
                     continue
                 content = _slices(s.blob, s.start[begin], s.stop[begin + n + kind.window - 2])
-                place = pa.array(doc + rows.start)
+                at = doc + rows.start
+                place = pa.array(at)
                 yield pa.record_batch(
-                    [batch.column(0).take(place), batch.column(1).take(place), pa.array((begin - s.at[doc]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(anchor.view(np.int64)), content],
-                    ["doc_id", "text_hash", "start", "n", "key", "content"],
+                    [batch.column(0).take(place), batch.column(1).take(place), pa.array((begin - s.at[doc]).astype(np.int32)), pa.array(weight[at]), pa.array(anchor.view(np.int64)), content],
+                    ["doc_id", "text_hash", "start", "weight", "key", "content"],
                 )
 
-    return map_arrow(rows, cut, "doc_id bigint, text_hash bigint, start int, n int, key bigint, content binary")
+    return map_arrow(rows, cut, "doc_id bigint, text_hash int, start int, weight int, key bigint, content binary")
 
 
-#: Symbols of the contents one after the other with where each begins, number of windows and weight or document of each, to a value per window.
+#: Symbols of distinct texts, number of windows of each and its weight or first document, to a value per window.
 Index = Callable[[Symbols, np.ndarray, np.ndarray, Kind], np.ndarray]
 
 
@@ -319,21 +340,22 @@ def _cold_spans(parts: DataFrame, kind: Kind, index: Index) -> DataFrame:
 
     def solve(block: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(block).combine_chunks()
-        key, same = rows["key"].to_numpy(), rows["ch"].to_numpy()
-        doc, n = rows["doc_id"].to_numpy(), rows["n"].to_numpy().astype(np.int64)
-        order = np.lexsort((same, key))
-        new = np.r_[True, (key[order][1:] != key[order][:-1]) | (same[order][1:] != same[order][:-1])]
+        key, doc = rows["key"].to_numpy(), rows["doc_id"].to_numpy()
+        content = pa.table([rows["key"], rows["content"]], ["key", "content"])
+        distinct = content.append_column("row", pa.array(np.arange(len(key)))).group_by(["key", "content"], use_threads=False).aggregate([("row", "list")])
+        lists = distinct["row_list"].combine_chunks()
         group = np.empty(len(key), np.int64)
-        group[order] = np.cumsum(new) - 1
-        one = order[new]
+        group[lists.flatten().to_numpy()] = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
         if kind.first_doc:
-            weight = np.minimum.reduceat(doc[order], np.flatnonzero(new))
+            weight = np.full(len(lists), LAST_ID)
+            np.minimum.at(weight, group, doc)
         else:
-            weight = np.bincount(group)
-        s = symbols_of(rows["content"].take(pa.array(one)).to_pylist(), kind)
-        value = index(s, n[one], weight, kind)
-        first = (np.cumsum(n[one]) - n[one])[group]
-        row, low, high = _spans(value, doc, first, n, rows["start"].to_numpy().astype(np.int64), kind)
+            weight = np.bincount(group, rows["weight"].to_numpy(), len(lists)).astype(np.int64)
+        s = symbols_of(distinct["content"].to_pylist(), kind)
+        each = np.diff(s.at) - kind.window + 1
+        value = index(s, each, weight, kind)
+        first = (np.cumsum(each) - each)[group]
+        row, low, high = _spans(value, doc, first, each[group], rows["start"].to_numpy().astype(np.int64), kind)
         place = pa.array(row)
         ids, texts = (rows[c].combine_chunks().take(place) for c in ("doc_id", "text_hash"))
         return pa.record_batch([ids, texts, pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], names)
@@ -355,17 +377,18 @@ def _cold_spans(parts: DataFrame, kind: Kind, index: Index) -> DataFrame:
                 else:
                     continue
             block.append(batch)
-            size += batch.column(6).nbytes
+            size += batch.column(5).nbytes
         if block:
             yield solve(block)
 
-    met = parts.select("doc_id", "text_hash", "start", "n", "key", "ch", "content").repartition("key").sortWithinPartitions("key")
-    return map_arrow(met, run, "doc_id bigint, text_hash bigint, start int, stop int")
+    met = parts.select("doc_id", "text_hash", "start", "weight", "key", "content").repartition("key").sortWithinPartitions("key")
+    return map_arrow(met, run, "doc_id bigint, text_hash int, start int, stop int")
 
 
 def _hot_spans(parts: DataFrame, kind: Kind) -> DataFrame:
     """By content: windows of distinct segments are aggregated, and their values go back to the segments."""
-    weight = F.min("doc_id") if kind.first_doc else F.count("*")
+    parts = parts.withColumn("ch", F.xxhash64("content"))
+    weight = F.min("doc_id") if kind.first_doc else F.sum("weight")
     distinct = parts.groupBy("key", "ch").agg(F.first("content").alias("content"), weight.alias("weight"))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -415,27 +438,30 @@ def with_ids(docs: DataFrame, row: bool = False) -> DataFrame:
     ids = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID))
     others = [F.col(c).alias(f"c_{c}") for c in docs.columns if c != "text"]
     whole = [F.struct(*others, F.length("text").alias("length")).alias("_row")] if row else []
-    return bounded_batches(docs).select(ids.alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text", *whole)
+    return bounded_batches(docs).select(ids.alias("doc_id"), F.hash("text").alias("text_hash"), "text", *whole)
 
 
 def removed_spans(docs: DataFrame, kind: Kind, index: Index, name: str) -> DataFrame:
     """`doc_id, text_hash, spans`: for each document the spans of symbols that the rule removes, unordered; from `with_ids`."""
-    found = written(segments(docs, kind).withColumn("ch", F.xxhash64("content")), f"{name}-segments")
+    alike = written(copies(docs, kind), f"{name}-copies")
+    found = written(segments(docs, alike, kind), f"{name}-segments")
     hot = found.groupBy("key").count().where(F.col("count") > HOT).select("key")
     hot = written(hot, f"{name}-hot")
     cold = _cold_spans(found.join(hot, "key", "left_anti"), kind, index)
     spans = cold.unionByName(_hot_spans(found.join(hot, "key", "left_semi"), kind))
-    # Sorted and merged by document; there are no more spans than windows of its text.
-    per_doc = spans.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    all_of = alike.where("whole").select("doc_id", "text_hash", F.lit(0).alias("start"), F.lit(WHOLE).alias("stop"))
+    # There are no more spans than windows of a text.
+    per_doc = spans.unionByName(all_of).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     return written(per_doc, f"{name}-spans")
 
 
-def covered(spans: list[dict] | None, n: int) -> np.ndarray:
-    """Which of n symbols lie in a span."""
+def covered(spans: list[dict] | None, n: int, kind: Kind) -> np.ndarray:
+    """Which of n symbols lie in a span. A text that goes whole must have a window."""
     edge = np.zeros(n + 1, np.int32)
+    spans = [s for s in spans or () if s["stop"] < WHOLE or n >= kind.window]
     if spans:
         np.add.at(edge, [s["start"] for s in spans], 1)
-        np.add.at(edge, [s["stop"] for s in spans], -1)
+        np.add.at(edge, [min(n, s["stop"]) for s in spans], -1)
     return np.cumsum(edge[:-1]) > 0
 
 
