@@ -102,8 +102,8 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return state
 
 
-def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """`doc_id, source, size, source_size, target, taken`: what the mix takes of each document, in words.
+def _drawn(docs: DataFrame, weights, share: float, most: float) -> DataFrame:
+    """`doc_id, source, size, source_size, target, draws`: how often each row is taken.
 
     The sizes are computed once and written to the shared folder; the passes after that read a few
     numbers per document.
@@ -111,28 +111,32 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: fl
     sized = docs.select("doc_id", "source", n_words("text").alias("size"), id_hash("doc_id").alias("h"))
     sized = stage(sized, "mix-sizes")
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
-    plan = thresholds(sized, targets)
-    taken = F.col("size") * (F.col("times") + F.when(F.col("h") < F.col("cut"), 1).otherwise(0))
-    return _by_source(sized, plan).select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+    draws = F.col("times") + F.when(F.col("h") < F.col("cut"), 1).otherwise(0)
+    joined = _by_source(sized, thresholds(sized, targets))
+    return joined.select("doc_id", "source", "size", "source_size", "target", draws.alias("draws"))
+
 
+def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """`doc_id, source, size, source_size, target, taken`: what the mix takes of each document, in words."""
+    drawn = _drawn(docs, weights, share, most)
+    return drawn.withColumn("draws", F.col("size") * F.col("draws")).withColumnRenamed("draws", "taken")
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents that the mix takes, with `size, source_size, target, taken`; columns of those names are replaced.
 
-    Rows are matched by id; rows of one id are alike in what is taken of a word, so each keeps its own size.
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """The documents of which the mix takes words, with `size, source_size, target, taken`; columns of those names are replaced.
+
+    Rows of one source and id are drawn equally often, so rows are matched by these.
     """
     added = ("size", "source_size", "target", "taken")
-    plan = mix_sources(docs, **options)
-    per_source = plan.groupBy("source", "doc_id").agg(
-        *[F.first(c).alias(f"_{c}") for c in ("source_size", "target")], (F.max("taken") / F.max("size")).alias("_times")
-    )
+    firsts = [F.first(c).alias(f"_{c}") for c in ("source_size", "target", "draws")]
+    per_id = _drawn(docs, weights, share, most).groupBy("source", "doc_id").agg(*firsts)
     rest = docs.select(*[c for c in docs.columns if c not in added])
-    joined = _by_source(rest, per_source, "doc_id")
-    sized = joined.withColumn("size", n_words("text"))
-    return sized.where(F.col("_times") > 0).select(
+    joined = _by_source(rest, per_id, "doc_id").withColumn("size", n_words("text"))
+    mixed = joined.select(
         *rest.columns, "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
-        (F.col("size") * F.round("_times").cast("long")).alias("taken"),
+        (F.col("size") * F.col("_draws")).alias("taken"),
     )
+    return mixed.where("taken > 0")
 
 
 SQL = """

@@ -139,9 +139,10 @@ def trie_links(fps: DataFrame, budget: int = BUDGET) -> DataFrame:
     keyed = spun.select("spin", cases.alias("key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        held = list(batches)
+        if not held:
             return
+        table = pa.Table.from_batches(held)
         spins, keys = table["spin"].to_numpy(), table["key"].to_numpy().view(np.uint64)
         for spin in np.unique(spins):
             own = np.sort(keys[spins == spin])
