@@ -244,3 +244,74 @@ def test_running_query_reports_state_and_checkpoint(spark, feed, tmp_path):
     finally:
         spark.streams.removeListener(collector)
     assert {"state_size_bytes", "state_rows", "checkpoint_duration_ms", "input_rows_total"} <= {r[0] for r in collector.rows}
+
+
+def test_clock_far_ahead_expires_nobody(spark, feed, tmp_path):
+    """Its event is a dead letter; the other patients keep their features and their last reading."""
+    folder, rows = feed
+    base = spark.read.parquet(folder).where("blood_pressure <> 'n/a'").limit(1)
+    minute = 60_000
+
+    def send(i, *events):
+        made = None
+        for patient, ms, arrival in events:
+            one = base.withColumns({"patient_id": F.lit(patient), "event_ms": F.lit(ms).cast("bigint"), "arrival_ms": F.lit(arrival), "event_id": F.lit(i * 10 + len(patient))})
+            made = one if made is None else made.unionByName(one)
+        made.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    t = 1_700_000_000_000
+    send(1, ("a", t, t))
+    send(2, ("z", t + 10**12, t + minute), ("nn", None, t + minute))
+    send(3, ("a", t + minute, t + minute))
+    paths = S.ScoringPaths(*[str(tmp_path / p) for p in ("predictions", "dead", "features", "history")])
+    S.run_available(stream(spark, str(tmp_path / "in")), S.scoring_writer(paths), str(tmp_path / "c1"))
+    assert [r.patient_id for r in read_version(spark, paths.features, S.FEATURES).collect()] == ["a"]
+    assert {r.error for r in spark.read.parquet(paths.dead_letters).collect()} == {"event_time_ahead", "missing_event_time"}
+    S.run_available(stream(spark, str(tmp_path / "in")), S.delta_writer(str(tmp_path / "changes"), str(tmp_path / "state")), str(tmp_path / "c2"))
+    changed = {(r.patient_id, r.event_id): r.previous_ms for r in spark.read.parquet(str(tmp_path / "changes")).collect()}
+    assert changed["a", 31] == t and changed["z", 21] is None
+    use_rocksdb(spark)
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    kept = patient_state_stream(score_request(stream(spark, str(tmp_path / "in"))))
+    S.run_available(kept, S.table_writer(str(tmp_path / "kept")), str(tmp_path / "c3"))
+    assert {r.event_id: r.previous_ms for r in spark.read.parquet(str(tmp_path / "kept")).where("patient_id = 'a'").collect()} == {11: None, 31: t}
+
+
+def test_no_metric_row_is_lost(spark, tmp_path):
+    listener = ProgressMetrics()
+    listener.rows += [("m", {"query": "q"}, i, float(i)) for i in range(200_000)]
+    blocked = tmp_path / "file"
+    blocked.write_text("in the way")
+    with pytest.raises(Exception):
+        listener.flush(spark, f"{blocked}/metrics")
+    assert len(listener.rows) == 200_000
+    listener.flush(spark, str(tmp_path / "metrics"))
+    assert not listener.rows and spark.read.parquet(str(tmp_path / "metrics")).count() == 200_000
+
+
+def test_checkpoint_older_than_all_versions_is_an_error(spark, tmp_path):
+    for batch in range(3, 7):
+        update_version(spark, str(tmp_path / "t"), "a INT", batch, lambda old: old) if batch > 3 else spark.createDataFrame([(1,)], "a INT").write.parquet(str(tmp_path / "t/version=3"))
+    with pytest.raises(ValueError, match="no version before batch 2"):
+        read_version(spark, str(tmp_path / "t"), "a INT", before=2)
+    assert read_version(spark, str(tmp_path / "new"), "a INT", before=2).count() == 0
+
+
+def test_start_policies(spark, tmp_path):
+    from wardwatch.sources.vitals import start_options
+
+    assert start_options("latest-offset") == {"startingOffsets": "latest"} and start_options("earliest", "parquet") == {}
+    with pytest.raises(ValueError, match="needs a topic"):
+        vitals_stream(spark, str(tmp_path), starting="latest")
+    with pytest.raises(ValueError, match="one of"):
+        start_options("middle")
+
+
+def test_no_shared_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from wardwatch.session import work_dir
+
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: ""), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(cluster, "x")

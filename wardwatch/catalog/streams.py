@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from wardwatch.catalog.history import _DELTA_SQL, delta_columns
 from wardwatch.catalog.quality import _DAILY_DRIFT, _TIERS_SQL
 from wardwatch.catalog.registry import query
-from wardwatch.fixtures import as_vitals, reference
+from wardwatch.fixtures import as_vitals, events, reference, vitals
 from wardwatch.operators.history import DAY_MS
 from wardwatch.operators.scoring import score_request
 from wardwatch.session import work_dir
@@ -30,8 +30,32 @@ EVENTS = T.StructType(
 )
 
 
-def _vitals_stream(spark, sf_dir):
-    return as_vitals(spark, spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+SLICES = 4
+_SLICED: dict[tuple[str, str, str], tuple[str, int]] = {}
+
+
+def _sliced(spark, sf_dir, order):
+    """The events as files that follow each other in `order`, and how many files make one batch."""
+    key = (spark.sparkContext.applicationId, sf_dir, order)
+    if key not in _SLICED:
+        path = work_dir(spark, "event-slices")
+        rows = vitals(spark, sf_dir).select("event_id", order)
+        cuts = rows.approxQuantile(order, [i / SLICES for i in range(1, SLICES)], 0.001)
+        bounds = [None, *cuts, None]
+        raw = events(spark, sf_dir).join(rows, "event_id")
+        for low, high in zip(bounds, bounds[1:]):
+            part = raw if low is None else raw.where(F.col(order) > low)
+            part = part if high is None else part.where(F.col(order) <= high)
+            part.select(*EVENTS.names).write.mode("append").parquet(path)
+        files = len(spark.read.parquet(path).inputFiles())
+        _SLICED[key] = (path, max(1, files // SLICES))
+    return _SLICED[key]
+
+
+def _vitals_stream(spark, sf_dir, order="event_ms"):
+    """The table in batches that follow each other in `order`."""
+    path, files = _sliced(spark, sf_dir, order)
+    return as_vitals(spark, spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(path))
 
 
 @query(
@@ -103,7 +127,7 @@ def _tumbling_vitals_stream(spark, sf_dir):
 def _lateness_stream(spark, sf_dir):
     base = work_dir(spark, "lateness")
     write = S.lateness_writer(f"{base}/main", f"{base}/side", f"{base}/seen")
-    S.run_available(_vitals_stream(spark, sf_dir), write, f"{base}/checkpoint")
+    S.run_available(_vitals_stream(spark, sf_dir, "arrival_ms"), write, f"{base}/checkpoint")
     both = spark.read.parquet(f"{base}/main").unionByName(spark.read.parquet(f"{base}/side"))
     return both.select("event_id", "behind_ms", "tier")
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from wardwatch.functions.scores import anomaly_flag, sigmoid
 from wardwatch.operators.features import featurize
 from wardwatch.schemas import FEATURE_ORDER
+from wardwatch.sources.vitals import event_time_error
 
 
 @dataclass(frozen=True)
@@ -42,7 +43,7 @@ def _input(features: Column, name: str) -> Column:
     return F.coalesce(features[name], F.lit(0.0))
 
 
-# Weights of the known risk factors; the intercept puts the 0.7 limit inside the range of scores.
+# Weights of the known risk factors; the intercept puts the 0.7 limit inside the range of scores.
 RISK_FACTOR_MODEL = RiskModel(
     weights={
         "age": 0.01,
@@ -68,7 +69,12 @@ def score_vitals(df: DataFrame, model: RiskModel = RISK_FACTOR_MODEL, policy: st
 
 
 def score_request(df: DataFrame, model: RiskModel = RISK_FACTOR_MODEL) -> DataFrame:
-    """The scoring service's contract: malformed pressure is an error, and each answer names the model version."""
+    """The scoring service's contract: malformed pressure is an error, and each answer names the model version.
+
+    An event without a time, or with one far ahead of its arrival, is an error too, so no path can skip that.
+    """
+    if "event_ms" in df.columns:
+        df = event_time_error(df)
     scored = score_vitals(df, model, "service", "reject")
     version = F.when(F.col("error").isNull(), F.lit(model.version))
     return scored.withColumn("model_version", version)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
@@ -33,11 +34,14 @@ def build_session(app: str = "wardwatch", master: str | None = None, **conf: str
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new path under the folder all executors share.
 
-    A cluster names that folder in `spark.checkpoint.dir`; only where the setting is empty
-    (tests on one machine) a temporary folder takes its place.
+    A cluster names that folder in `spark.checkpoint.dir`. Where the setting is empty, a temporary
+    folder takes its place if driver and executors are one process; elsewhere each machine would
+    write to a disk of its own, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="wardwatch-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

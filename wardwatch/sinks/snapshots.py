@@ -33,8 +33,15 @@ def versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def read_version(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
-    """The newest version, or the newest before a batch; an empty table where there is none."""
-    found = [v for v in versions(spark, path) if before is None or v < before]
+    """The newest version, or the newest before a batch; an empty table where none was ever written.
+
+    Where only later versions are left, as after a restart from an old checkpoint, going on with an
+    empty table would lose all state, so that is an error.
+    """
+    there = versions(spark, path)
+    found = [v for v in there if before is None or v < before]
+    if not found and there and before and min(there) > 0:
+        raise ValueError(f"{path}: no version before batch {before} is kept; the oldest is {min(there)}")
     if not found:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{path}/version={found[-1]}")

@@ -18,6 +18,9 @@ START_POLICIES = {"earliest": "earliest", "latest": "latest", "latest-offset": "
 TOPIC_ROWS_PER_TRIGGER = 5_000_000
 FILES_PER_TRIGGER = 256
 
+# How far an event's clock may be ahead of its arrival.
+AHEAD_MS = 300_000
+
 
 def parse_vitals(df: DataFrame, column: str = "value", schema: T.StructType = VITALS_JSON, keep: tuple[str, ...] = ()) -> DataFrame:
     """Decode JSON objects. Text that is no JSON object is skipped; a field of the wrong type is null.
@@ -44,10 +47,15 @@ def arrival_timestamp(df: DataFrame) -> DataFrame:
     return df.withColumn("arrival_time", ms_to_ts(F.col("arrival_ms")))
 
 
-def event_time_error(df: DataFrame) -> DataFrame:
-    """A row without an event time is an error, not a row at time zero."""
+def event_time_error(df: DataFrame, ahead_ms: int = AHEAD_MS) -> DataFrame:
+    """A row without an event time is an error, not a row at time zero, and so is one far ahead of its arrival.
+
+    Such a clock would otherwise expire what all others have sent.
+    """
     kept = [F.col("error")] if "error" in df.columns else []
-    return df.withColumn("error", F.coalesce(*kept, F.when(F.col("event_ms").isNull(), F.lit("missing_event_time"))))
+    missing = F.when(F.col("event_ms").isNull(), F.lit("missing_event_time"))
+    ahead = [F.when(F.col("event_ms") - F.col("arrival_ms") > ahead_ms, F.lit("event_time_ahead"))] if "arrival_ms" in df.columns else []
+    return df.withColumn("error", F.coalesce(*kept, missing, *ahead))
 
 
 def vitals_table(spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | None = None) -> DataFrame:
@@ -60,8 +68,19 @@ def vitals_table(spark: SparkSession, path: str, fmt: str | None = None, schema:
     return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
+def start_options(starting: str, fmt: str = "kafka") -> dict[str, str]:
+    """The option for a start policy. Files have no offsets to start from, so there only `earliest` has a meaning."""
+    if starting not in START_POLICIES:
+        raise ValueError(f"start policy {starting}: one of {sorted(START_POLICIES)}")
+    if fmt == "kafka":
+        return {"startingOffsets": START_POLICIES[starting]}
+    if START_POLICIES[starting] != "earliest":
+        raise ValueError(f"start policy {starting} needs a topic; files are read from the first on")
+    return {}
+
+
 def _topic_options(brokers: str, topic: str, starting: str, extra: Mapping[str, str]) -> dict[str, str]:
-    return {"kafka.bootstrap.servers": brokers, "subscribe": topic, "startingOffsets": START_POLICIES[starting], **extra}
+    return {"kafka.bootstrap.servers": brokers, "subscribe": topic, **start_options(starting), **extra}
 
 
 def topic_stream(spark: SparkSession, brokers: str, topic: str, starting: str = "latest", group: str | None = None, **extra: str) -> DataFrame:
@@ -85,9 +104,16 @@ def topic_table(spark: SparkSession, brokers: str, topic: str, **extra: str) ->
 
 
 def vitals_stream(
-    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType = VITALS, files_per_trigger: int = FILES_PER_TRIGGER, **extra: str
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    schema: T.StructType = VITALS,
+    files_per_trigger: int = FILES_PER_TRIGGER,
+    starting: str = "earliest",
+    **extra: str,
 ) -> DataFrame:
     """New files of a folder as a stream. JSON text files go through `parse_vitals`."""
+    extra = {**start_options(starting, fmt), **extra}
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).options(**extra)
     if fmt == "text":
         return with_arrival(parse_vitals(reader.format("text").load(path)))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from collections import deque
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,8 @@ from pyspark.sql.streaming import StreamingQueryListener
 from wardwatch.schemas import METRICS
 from wardwatch.sinks.tables import emit_metrics
 
-ROWS_KEPT = 100_000
+#: Rows held before they are written, where a table is named.
+FLUSH_ROWS = 10_000
 
 
 def _ms(text: str) -> int:
@@ -57,16 +57,23 @@ def progress_rows(report: dict) -> list[tuple[str, dict[str, str], int, float]]:
 
 
 class ProgressMetrics(StreamingQueryListener):
-    """Collects the metric rows of all queries of a session until they are flushed to the metric table."""
+    """Collects the metric rows of all queries of a session until they are flushed to the metric table.
 
-    def __init__(self) -> None:
-        self.rows: deque = deque(maxlen=ROWS_KEPT)
+    No row is dropped. With a session and a path, rows are written whenever `FLUSH_ROWS` have gathered;
+    otherwise call `flush` now and then. Rows leave the memory only after they have been written.
+    """
+
+    def __init__(self, spark: SparkSession | None = None, path: str | None = None) -> None:
+        self.rows: list = []
+        self.spark, self.path = spark, path
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
         self.rows.extend(progress_rows(json.loads(event.progress.json)))
+        if self.path and len(self.rows) >= FLUSH_ROWS:
+            self.flush(self.spark, self.path)
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -78,6 +85,7 @@ class ProgressMetrics(StreamingQueryListener):
         return spark.createDataFrame(list(self.rows), METRICS)
 
     def flush(self, spark: SparkSession, path: str) -> None:
-        taken = [self.rows.popleft() for _ in range(len(self.rows))]
+        taken = self.rows[:]
         if taken:
             emit_metrics(spark.createDataFrame(taken, METRICS).coalesce(1), path)
+            del self.rows[: len(taken)]

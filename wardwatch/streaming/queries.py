@@ -16,7 +16,6 @@ from wardwatch.operators.lateness import lateness_tiers, newest_by_source
 from wardwatch.operators.scoring import RISK_FACTOR_MODEL, RiskModel, dead_letter, score_request, successful_only
 from wardwatch.sinks.snapshots import read_version, update_version
 from wardwatch.sinks.tables import write_batch
-from wardwatch.sources.vitals import event_time_error
 from wardwatch.streaming.windows import ALLOWED_DELAY, CODED_DELAY, window_means, with_watermark
 
 FEATURES = "patient_id STRING, risk_score DOUBLE, anomaly BOOLEAN, event_ms BIGINT, event_id BIGINT"
@@ -66,11 +65,12 @@ class ScoringPaths:
 def scoring_writer(paths: ScoringPaths, model: RiskModel = RISK_FACTOR_MODEL, ttl_ms: int = DAY_MS, keep: int = 100) -> Batch:
     """Score a batch; good rows go to predictions and history, bad rows to the dead letters.
 
-    Expiry is judged by the newest event seen, so a replay expires what the first run did.
+    Expiry is judged by the newest event seen, so a replay expires what the first run did. Events far
+    ahead of their arrival are dead letters, so no clock but the receiver's own moves the expiry.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        scored = score_request(event_time_error(batch), model).persist()
+        scored = score_request(batch, model).persist()
         try:
             write_batch(project_prediction(successful_only(scored), keep=("event_id",)), paths.predictions, batch_id)
             write_batch(dead_letter(scored), paths.dead_letters, batch_id)
@@ -134,22 +134,19 @@ def delta_writer(changes: str, state: str, model: RiskModel = RISK_FACTOR_MODEL,
 
     The last good reading of each patient is a table kept between batches. It joins the batch as
     rows of its own, so the ordered scan of the batch operator finds it and splits a busy patient.
+    Rows that were sent again with the same `event_id` in a batch are taken once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = readings(score_request(batch, model)).persist()
+        rows = readings(score_request(batch, model)).dropDuplicates(["patient_id", "event_ms", "event_id"]).persist()
         try:
             before = read_version(spark, state, READINGS, before=batch_id)
             both = rows.withColumn("_stored", F.lit(False)).unionByName(before.withColumn("_stored", F.lit(True)))
             write_batch(vitals_delta(both, ttl_ms).where(~F.col("_stored")).drop("_stored", "features"), changes, batch_id)
             good = successful_only(rows)
-            newest = good.agg(F.max("event_ms")).first()[0] or 0
-
-            def merge(old: DataFrame) -> DataFrame:
-                return latest_per_patient(old.where(F.col("event_ms") >= newest - ttl_ms).unionByName(good))
-
-            update_version(spark, state, READINGS, batch_id, merge)
+            # One row per patient; whether it has expired is judged by the patient's own next reading.
+            update_version(spark, state, READINGS, batch_id, lambda old: latest_per_patient(old.unionByName(good)))
         finally:
             rows.unpersist()
 

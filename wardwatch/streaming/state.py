@@ -69,7 +69,7 @@ class PreviousReading(StatefulProcessor):
             {
                 "patient_id": key[0],
                 "event_id": batch["event_id"],
-                "event_ms": batch["event_ms"],
+                "event_ms": batch["event_ms"].astype("Int64"),
                 "risk_score": batch["risk_score"],
                 "anomaly": batch["anomaly"],
                 "error": batch["error"],
