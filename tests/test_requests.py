@@ -62,22 +62,38 @@ def test_rolling_percentiles_match_brute_force(spark):
     pdf = pd.DataFrame({"event_id": range(2600), "ms": range(2600), "source": "a", "latency_ms": rng.exponential(20, 2600)})
     got = R.rolling_percentiles(spark.createDataFrame(pdf), ["source"], every=700, rows_per_chunk=300).orderBy("report").toPandas()
     for r in got.itertuples():
-        end = r.report * 700
+        end = min(r.report * 700, 2600)
         part = pdf.latency_ms[max(0, end - 1000) : end]
         assert np.allclose([r.p50_ms, r.p99_ms, r.avg_latency_ms], [np.percentile(part, 50), np.percentile(part, 99), part.mean()])
-    assert list(got.report) == [1, 2, 3]
+    assert list(got.report) == [1, 2, 3, 4]
+
+
+def test_short_series_are_reported_too(spark):
+    df = spark.createDataFrame([("a", i, i, float(i)) for i in range(1, 41)], "source STRING, event_id INT, ms INT, latency_ms DOUBLE")
+    got = R.rolling_percentiles(df, ["source"], every=500).collect()
+    assert [(r.report, r.p50_ms) for r in got] == [(1, 20.5)]
 
 
 def test_alert_states(spark):
     values = [0, 1, 1, 1, 0, None, 1, 1]
     df = spark.createDataFrame([(i * 60_000, None if v is None else float(v)) for i, v in enumerate(values)], "t_ms BIGINT, value DOUBLE")
     want = ["inactive", "pending", "pending", "firing", "inactive", "inactive", "pending", "pending"]
-    for chunk in (None, 10**9, 2):
+    for chunk in (10**9, 2):
         out = A.alert_hold(df, [], F.col("value") > 0, 120_000, rows_per_chunk=chunk).orderBy("t_ms").collect()
         assert [r.state for r in out] == want
         assert [r.active_since_ms for r in out] == [None, 60_000, 60_000, 60_000, None, None, 360_000, 360_000]
 
 
+def test_a_hole_starts_anew(spark):
+    """Two true samples ten hours apart are no ten hours of alert."""
+    at = [0, 60_000, 36_000_000, 36_300_000, 36_600_001]
+    df = spark.createDataFrame([(t, 1.0) for t in at], "t_ms BIGINT, value DOUBLE")
+    for chunk in (10**9, 2):
+        out = A.alert_hold(df, [], F.col("value") > 0, 300_000, rows_per_chunk=chunk).orderBy("t_ms").collect()
+        assert [r.state for r in out] == ["pending", "pending", "pending", "firing", "pending"]
+        assert [r.active_since_ms for r in out] == [0, 0, 36_000_000, 36_000_000, 36_600_001]
+
+
 def test_rule_limits_and_texts(spark):
     df = spark.createDataFrame([(0, 0.1), (300_000, 0.1001), (600_000, 0.25)], "t_ms BIGINT, value DOUBLE")
     out = A.evaluate_rule(df, A.HIGH_LATE_RATIO).orderBy("t_ms").collect()
@@ -91,6 +107,24 @@ def test_missing_heartbeats_fire(spark):
     assert [r.state for r in out] == ["inactive", "pending", "firing", "firing", "inactive"]
 
 
+def test_a_service_that_stops_for_good_is_down(spark):
+    beats = [("a", i * 60_000) for i in range(10)] + [("b", i * 60_000) for i in range(3)] + [("c", 240_000)]
+    df = spark.createDataFrame(beats, "service STRING, arrival_ms BIGINT")
+    states = {}
+    for r in P.model_server_down(df, ["service"], until_ms=660_000).orderBy("t_ms").collect():
+        states.setdefault(r.service, []).append(r.state)
+    assert states["a"] == ["inactive"] * 10 + ["pending", "firing"]
+    assert states["b"] == ["inactive"] * 3 + ["pending"] + ["firing"] * 8
+    assert states["c"] == ["inactive", "pending"] + ["firing"] * 6
+    assert P.model_server_down(df.limit(0), ["service"]).collect() == []
+
+
+def test_rates_fall_to_zero_when_traffic_stops(spark):
+    df = spark.createDataFrame([(1, 30_000), (2, 600_000)], "event_id INT, ms BIGINT")
+    got = {r.t_ms: r.rate for r in R.count_rate(df, [], 60_000, 300_000).collect()}
+    assert got == {**{60_000 * i: 1 / 300 for i in range(1, 6)}, 360_000: 0.0, **{60_000 * i: 1 / 300 for i in range(10, 15)}, 900_000: 0.0}
+
+
 def test_lag_counts_rows_under_way(spark):
     df = spark.createDataFrame([(0, 10_000, 130_000), (0, 20_000, 30_000)], "source_partition BIGINT, event_ms BIGINT, arrival_ms BIGINT")
     got = [(r.t_ms, r.value) for r in P.source_lag(df).orderBy("t_ms").collect()]

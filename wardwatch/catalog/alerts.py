@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wardwatch.catalog.history import SMALL_CHUNK
 from wardwatch.catalog.registry import query, r6
 from wardwatch.catalog.quality import _shift_of
-from wardwatch.fixtures import counter, reference, requests, vitals
+from wardwatch.fixtures import HALF_DAY, counter, reference, requests, vitals
 from wardwatch.operators import alerts as A
 from wardwatch.operators.lateness import late_ratio_by_window
 from wardwatch.operators.scoring import score_vitals
@@ -22,14 +22,15 @@ HOUR_MS, DAY_MS = 3_600_000, 86_400_000
 DRIFT_COLUMNS = ["age", "bmi", "glucose_level"]
 
 
-def hold_sql(series: str, condition: str, hold_ms: int, keys: str = "", digits: int = 6) -> str:
-    """Check SQL: islands of true samples of `series(keys, t_ms, value)` and their state."""
+def hold_sql(series: str, condition: str, hold_ms: int, keys: str = "", digits: int = 6, gap_ms: int = HOUR_MS) -> str:
+    """Check SQL: islands of true samples of `series(keys, t_ms, value)`, none across a hole, and their state."""
     by = f"PARTITION BY {keys}" if keys else ""
     also = f"PARTITION BY {keys}, island" if keys else "PARTITION BY island"
     listed = f"{keys}, " if keys else ""
     return f"""
 flagged AS (SELECT *, coalesce({condition}, false) AS yes FROM {series}),
-islands AS (SELECT *, sum((NOT yes)::int) OVER ({by} ORDER BY t_ms) AS island FROM flagged),
+cut AS (SELECT *, NOT yes OR coalesce(t_ms - lag(t_ms) OVER ({by} ORDER BY t_ms) > {gap_ms}, false) AS breaks FROM flagged),
+islands AS (SELECT *, sum(breaks::int) OVER ({by} ORDER BY t_ms) AS island FROM cut),
 begun AS (SELECT *, min(CASE WHEN yes THEN t_ms END) OVER ({also}) AS since FROM islands)
 SELECT {listed}t_ms, round(value, {digits}) AS value, CASE WHEN yes THEN since END AS active_since_ms,
   CASE WHEN NOT yes THEN 'inactive' WHEN t_ms - since >= {hold_ms} THEN 'firing' ELSE 'pending' END AS state
@@ -47,7 +48,7 @@ WITH s AS (SELECT event_ms // 3600000 * 3600000 AS t_ms, avg((arrival_ms - event
 @query("alert_hold", "vitals", _LATE_BY_HOUR + hold_sql("s", "value > 0.02", 7_200_000))
 def _alert_hold(spark, sf_dir):
     ratio = late_ratio_by_window(vitals(spark, sf_dir), HOUR_MS).select(F.col("window_ms").alias("t_ms"), F.col("late_data_ratio").alias("value"))
-    return _states(A.alert_hold(ratio, [], F.col("value") > 0.02, 7_200_000))
+    return _states(A.alert_hold(stage(ratio, "ratio"), [], F.col("value") > 0.02, 7_200_000, max_gap_ms=HOUR_MS))
 
 
 @query(
@@ -58,7 +59,7 @@ def _alert_hold(spark, sf_dir):
 def _alert_hold_raw_samples(spark, sf_dir):
     """Series of raw samples are split into chunks."""
     series = counter(spark, sf_dir).select("source", F.col("ms").alias("t_ms"), "value")
-    return _states(A.alert_hold(series, ["source"], F.col("value") > 500, HOUR_MS, rows_per_chunk=SMALL_CHUNK), "source")
+    return _states(A.alert_hold(series, ["source"], F.col("value") > 500, HOUR_MS, rows_per_chunk=SMALL_CHUNK, max_gap_ms=HOUR_MS), "source")
 
 
 @query(
@@ -87,19 +88,23 @@ def _alert_text(spark, sf_dir):
     "model_server_down",
     "vitals",
     """
-WITH beats AS (SELECT DISTINCT source_partition, arrival_ms // 3600000 * 3600000 AS t_ms FROM vitals),
-grid AS (SELECT source_partition, unnest(range(min(t_ms), max(t_ms) + 1, 3600000)) AS t_ms FROM beats GROUP BY source_partition),
+WITH beats AS (SELECT DISTINCT source_partition, arrival_ms // 3600000 * 3600000 AS t_ms FROM vitals
+  WHERE NOT (source_partition = 2 AND ts >= TIMESTAMP '2024-01-16')),
+life AS (SELECT source_partition, min(t_ms) AS born FROM beats GROUP BY ALL),
+grid AS (SELECT source_partition, t_ms FROM (SELECT unnest(range(min(t_ms), max(t_ms) + 1, 3600000)) AS t_ms FROM beats) JOIN life ON t_ms >= born),
 s AS (SELECT source_partition, g.t_ms, CASE WHEN b.t_ms IS NULL THEN 0e0 ELSE 1e0 END AS value FROM grid g LEFT JOIN beats b USING (source_partition, t_ms)),"""
     + hold_sql("s", "value = 0", 30_000, "source_partition"),
 )
 def _model_server_down(spark, sf_dir):
-    return _states(P.model_server_down(vitals(spark, sf_dir), ["source_partition"], HOUR_MS), "source_partition")
+    """One source stops for good in the middle of the month and stays down."""
+    gone = (F.col("source_partition") == 2) & (F.col("ts") >= F.lit(HALF_DAY).cast("timestamp_ntz"))
+    return _states(P.model_server_down(vitals(spark, sf_dir).where(~gone), ["source_partition"], HOUR_MS), "source_partition")
 
 
 _RATES_SQL = """
 WITH les AS (SELECT unnest([1, 2, 5, 10, 20, 30, 50, 100, 200, 500, 1000, NULL]) AS b),
 cells AS (SELECT *, ceil(ms / 3600000)::bigint * 3600000 AS cell FROM requests),
-times AS (SELECT DISTINCT cell AS t_ms FROM cells),
+times AS (SELECT DISTINCT cell + k * 3600000 AS t_ms FROM cells, range(0, 6) r(k)),
 hist AS (SELECT t_ms, b, count(*) FILTER (b IS NULL OR latency_ms <= b) / 21600 AS cum, count(*) / 21600 AS n
   FROM times JOIN cells ON cell <= t_ms AND cell > t_ms - 21600000, les GROUP BY ALL),
 steps AS (SELECT *, coalesce(lag(b) OVER w, 0) AS lo, coalesce(lag(cum) OVER w, 0) AS below FROM hist WINDOW w AS (PARTITION BY t_ms ORDER BY b NULLS LAST)),
@@ -132,15 +137,18 @@ def _latency_panel(spark, sf_dir):
 
 @query(
     "high_prediction_errors",
-    "counter",
+    "requests",
     """
-WITH steps AS (SELECT *, value - lag(value) OVER (PARTITION BY source ORDER BY ms) AS d FROM counter),
+WITH counted AS (SELECT source, ms, max_by(no % 1000, event_id)::double AS value FROM (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY ms, event_id) AS no FROM requests WHERE status <> 'success') GROUP BY ALL),
+steps AS (SELECT *, value - lag(value) OVER (PARTITION BY source ORDER BY ms) AS d FROM counted),
 gains AS (SELECT *, CASE WHEN d >= 0 THEN d WHEN d < 0 THEN value ELSE 0 END AS inc FROM steps),
 s AS (SELECT source, ms AS t_ms, sum(inc) OVER (PARTITION BY source ORDER BY ms RANGE BETWEEN 299999 PRECEDING AND CURRENT ROW) / 300 AS value FROM gains),"""
-    + hold_sql("s", "value > 0.1", 120_000, "source"),
+    + hold_sql("s", "value > 0.1", 120_000, "source", gap_ms=300_000),
 )
 def _high_prediction_errors(spark, sf_dir):
-    return _states(P.high_prediction_errors(counter(spark, sf_dir), ["source"]), "source")
+    """Over the counter of failed requests."""
+    return _states(P.high_prediction_errors(counter(spark, sf_dir, failed_only=True), ["source"]), "source")
 
 
 _LAG_SQL = """
@@ -158,7 +166,7 @@ def _source_lag(spark, sf_dir):
     return P.source_lag(vitals(spark, sf_dir))
 
 
-@query("partition_lag_alert", "vitals", _LAG_SQL + hold_sql("lag_", "value > 0", 60_000, "source_partition"))
+@query("partition_lag_alert", "vitals", _LAG_SQL + hold_sql("lag_", "value > 0", 60_000, "source_partition", gap_ms=300_000))
 def _partition_lag_alert(spark, sf_dir):
     return _states(P.partition_lag_alert(P.source_lag(vitals(spark, sf_dir)), rule=_LOW_LAG), "source_partition")
 
@@ -166,7 +174,7 @@ def _partition_lag_alert(spark, sf_dir):
 @query(
     "high_lag",
     "vitals",
-    _LAG_SQL + "s AS (SELECT t_ms, sum(value) AS value FROM lag_ GROUP BY ALL)," + hold_sql("s", "value > 1000", 300_000),
+    _LAG_SQL + "s AS (SELECT t_ms, sum(value) AS value FROM lag_ GROUP BY ALL)," + hold_sql("s", "value > 1000", 300_000, gap_ms=300_000),
 )
 def _high_lag(spark, sf_dir):
     return _states(P.high_lag(P.source_lag(vitals(spark, sf_dir))))
@@ -178,7 +186,7 @@ WITH m AS (SELECT event_ms // 86400000 * 86400000 AS t_ms, avg(age) AS age, avg(
 s AS (SELECT t_ms, ({_shift_of("m")} > 0.2)::int::double AS value FROM m),"""
 
 
-@query("data_drift_detected", "vitals reference", _DAILY + hold_sql("s", "value > 0", 300_000))
+@query("data_drift_detected", "vitals reference", _DAILY + hold_sql("s", "value > 0", 300_000, gap_ms=DAY_MS))
 def _data_drift_detected(spark, sf_dir):
     """Glucose readings in another unit make every day drift."""
     rows = vitals(spark, sf_dir).withColumn("glucose_level", F.col("glucose_level") * 1.8)
@@ -194,9 +202,10 @@ def _high_late_ratio(spark, sf_dir):
     "throughput_panel",
     "requests",
     """
-WITH steps AS (SELECT ceil(ms / 3600000)::bigint * 3600000 AS t_ms, count(*) AS n, count(*) FILTER (status <> 'success') AS bad FROM requests GROUP BY ALL)
-SELECT t_ms, round(sum(n) OVER w / 21600, 9) AS predictions_per_sec, round(sum(bad) OVER w / 21600, 9) AS errors_per_sec FROM steps
-WINDOW w AS (ORDER BY t_ms RANGE BETWEEN 18000000 PRECEDING AND CURRENT ROW)""",
+WITH steps AS (SELECT ceil(ms / 3600000)::bigint * 3600000 AS t_ms, count(*) AS n, count(*) FILTER (status <> 'success') AS bad FROM requests GROUP BY ALL),
+times AS (SELECT DISTINCT t_ms + k * 3600000 AS moment FROM steps, range(0, 7) r(k))
+SELECT moment AS t_ms, round(coalesce((SELECT sum(n) FROM steps s WHERE s.t_ms <= moment AND s.t_ms > moment - 21600000), 0) / 21600, 9) AS predictions_per_sec,
+  round(coalesce((SELECT sum(bad) FROM steps s WHERE s.t_ms <= moment AND s.t_ms > moment - 21600000), 0) / 21600, 9) AS errors_per_sec FROM times""",
 )
 def _throughput_panel(spark, sf_dir):
     out = P.throughput_panel(requests(spark, sf_dir), HOUR_MS, 6 * HOUR_MS)

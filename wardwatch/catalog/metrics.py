@@ -144,8 +144,11 @@ def _counter_rate_split(spark, sf_dir):
     "count_rate",
     "requests",
     """
-WITH steps AS (SELECT source, ceil(ms / 3600000)::bigint * 3600000 AS t_ms, count(*) AS n FROM requests GROUP BY ALL)
-SELECT source, t_ms, round(sum(n) OVER (PARTITION BY source ORDER BY t_ms RANGE BETWEEN 18000000 PRECEDING AND CURRENT ROW) / 21600, 9) AS rate FROM steps""",
+WITH steps AS (SELECT source, ceil(ms / 3600000)::bigint * 3600000 AS t_ms, count(*) AS n FROM requests GROUP BY ALL),
+times AS (SELECT DISTINCT source, t_ms + k * 3600000 AS moment FROM steps, range(0, 7) r(k))
+SELECT source, moment AS t_ms, round(coalesce(sum(n), 0) / 21600, 9) AS rate
+FROM times t LEFT JOIN steps s USING (source) WHERE s.t_ms <= moment AND s.t_ms > moment - 21600000 GROUP BY ALL
+UNION ALL SELECT source, moment, 0 FROM times t WHERE NOT EXISTS (FROM steps s WHERE s.source = t.source AND s.t_ms <= moment AND s.t_ms > moment - 21600000)""",
 )
 def _count_rate(spark, sf_dir):
     return R.count_rate(requests(spark, sf_dir), ["source"], 3_600_000, 21_600_000).withColumn("rate", F.round("rate", 9))
@@ -156,10 +159,11 @@ def _count_rate(spark, sf_dir):
     "requests",
     """
 WITH numbered AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY ms, event_id) AS no FROM requests WHERE latency_ms > 0),
-reports AS (SELECT source, unnest(range(1, max(no) // 500 + 1)) AS report FROM numbered GROUP BY source)
+ends AS (SELECT source, max(no) AS n FROM numbered GROUP BY source),
+reports AS (SELECT source, n, unnest(range(1, (n + 499) // 500 + 1)) AS report FROM ends)
 SELECT source, report, round(quantile_cont(latency_ms, 0.5), 6) AS p50_ms, round(quantile_cont(latency_ms, 0.95), 6) AS p95_ms,
   round(quantile_cont(latency_ms, 0.99), 6) AS p99_ms, round(avg(latency_ms), 6) AS avg_latency_ms
-FROM reports JOIN numbered USING (source) WHERE no <= report * 500 AND no > report * 500 - 1000 GROUP BY ALL""",
+FROM reports JOIN numbered USING (source) WHERE no <= least(report * 500, n) AND no > least(report * 500, n) - 1000 GROUP BY ALL""",
 )
 def _rolling_percentiles(spark, sf_dir):
     out = R.rolling_percentiles(requests(spark, sf_dir), ["source"], every=500)

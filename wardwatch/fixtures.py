@@ -64,9 +64,10 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def counter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A counter per source that resets at every thousandth event; one sample per millisecond."""
-    rows = requests(spark, sf_dir).select("source", "ms", "event_id")
+def counter(spark: SparkSession, sf_dir: str, failed_only: bool = False) -> DataFrame:
+    """A counter per source, of all or of failed requests, that resets at every thousandth; one sample per millisecond."""
+    rows = requests(spark, sf_dir)
+    rows = (rows.where(F.col("status") != "success") if failed_only else rows).select("source", "ms", "event_id")
     splits = plan_splits(rows, ["source"], ["ms", "event_id"])
     numbered = ordered_scan(rows, ["source"], ["ms", "event_id"], {"_no": Scan("count")}, None, splits)
     value = F.max_by((F.col("_no") % 1000).cast("double"), F.col("event_id"))

@@ -8,29 +8,41 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardwatch.operators.ordered import Scan, ordered_scan, plan_splits, settle
+from wardwatch.operators.ordered import ROWS_PER_CHUNK, Scan, ordered_scan, plan_splits, settle
+from wardwatch.session import stage
+
+
+# Fixed value: a series without a sample for longer than this says nothing.
+STALE_MS = 300_000
 
 
 def alert_hold(
-    series: DataFrame, keys: Sequence[str], condition: Column, hold_ms: int, time: str = "t_ms", rows_per_chunk: int | None = None
+    series: DataFrame,
+    keys: Sequence[str],
+    condition: Column,
+    hold_ms: int,
+    time: str = "t_ms",
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+    max_gap_ms: int = STALE_MS,
 ) -> DataFrame:
     """Add `state` and `active_since_ms`: a condition that has held for `hold_ms` fires.
 
     A series has one sample per time. A run of true samples starts where the sample before was
-    not true; until it has lasted long enough it is pending. Series with one sample per step need
-    no splitting; for series of raw samples give `rows_per_chunk`.
+    not true, or lies more than `max_gap_ms` back; until it has lasted long enough it is pending.
+    The series is read several times; it should be a stored table.
     """
-    splits = None if rows_per_chunk is None else plan_splits(series, keys, [time], rows_per_chunk)
+    splits = plan_splits(series, keys, [time], rows_per_chunk)
     flagged = series.withColumn("_on", F.coalesce(condition, F.lit(False)))
-    previous = {"_was": Scan("last", F.col("_on"), inclusive=False)}
+    previous = {"_was": Scan("last", F.col("_on"), inclusive=False), "_at": Scan("last", F.col(time), inclusive=False)}
     flagged = settle(flagged, splits, "alert-samples")
     marked = settle(ordered_scan(flagged, keys, [time], previous, None, splits), splits, "alert-flags")
-    start = F.when(F.col("_on") & ~F.coalesce(F.col("_was"), F.lit(False)), F.col(time))
+    goes_on = F.coalesce(F.col("_was") & (F.col(time) - F.col("_at") <= max_gap_ms), F.lit(False))
+    start = F.when(F.col("_on") & ~goes_on, F.col(time))
     started = ordered_scan(marked.withColumn("_start", start), keys, [time], {"_since": Scan("last", F.col("_start"))}, None, splits)
     on = F.col("_on")
     held = F.col(time) - F.col("_since") >= hold_ms
     state = F.when(~on, F.lit("inactive")).when(held, F.lit("firing")).otherwise(F.lit("pending"))
-    return started.withColumns({"active_since_ms": F.when(on, F.col("_since")), "state": state}).drop("_on", "_was", "_start", "_since")
+    return started.withColumns({"active_since_ms": F.when(on, F.col("_since")), "state": state}).drop("_on", "_was", "_at", "_start", "_since")
 
 
 @dataclass(frozen=True)
@@ -65,9 +77,12 @@ def alert_text(rule: AlertRule, value: Column) -> Column:
     return F.format_string(rule.text, shown.cast("double"))
 
 
-def evaluate_rule(series: DataFrame, rule: AlertRule, keys: Sequence[str] = (), rows_per_chunk: int | None = None) -> DataFrame:
+def evaluate_rule(
+    series: DataFrame, rule: AlertRule, keys: Sequence[str] = (), max_gap_ms: int = STALE_MS, rows_per_chunk: int = ROWS_PER_CHUNK
+) -> DataFrame:
     """State of a rule at every sample of `(keys, t_ms, value)`; the text is set where it is not inactive."""
-    states = alert_hold(series.select(*keys, "t_ms", "value"), keys, rule.condition(F.col("value")), rule.hold_ms, rows_per_chunk=rows_per_chunk)
+    samples = stage(series.select(*keys, "t_ms", "value"), "alert-series")
+    states = alert_hold(samples, keys, rule.condition(F.col("value")), rule.hold_ms, rows_per_chunk=rows_per_chunk, max_gap_ms=max_gap_ms)
     text = F.when(F.col("state") != "inactive", alert_text(rule, F.col("value")))
     return states.select(
         F.lit(rule.name).alias("alert"), F.lit(rule.severity).alias("severity"), *keys, "t_ms", "value", "active_since_ms", "state", text.alias("description")

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from wardwatch.functions.timing import cell_end
 from wardwatch.operators.ordered import ROWS_PER_CHUNK, Scan, ordered_scan, plan_splits, settle
 from wardwatch.operators.quantiles import percentile_columns, percentiles
+from wardwatch.session import stage
 
 # Bucket edges of the latency histogram in milliseconds, the p99 target, report sizes.
 LATENCY_BUCKETS = (1, 2, 5, 10, 20, 30, 50, 100, 200, 500, 1000)
@@ -146,19 +147,31 @@ def histogram_quantiles(buckets: DataFrame, keys: Sequence[str], points: Mapping
     return ranked.groupBy(*keys).agg(*out)
 
 
-def bucket_rates(
-    df: DataFrame, by: Sequence[str] = (), step_ms: int = 60_000, range_ms: int = RATE_RANGE_MS, buckets: Sequence[float] = LATENCY_BUCKETS
+def trailing_sums(steps: DataFrame, by: Sequence[str], values: Sequence[str], step_ms: int, range_ms: int) -> DataFrame:
+    """Sums over the trailing range, for `(by, t_ms, values)` with one row per step.
+
+    Each row is handed to the steps that it reaches, and to the one after these with nothing, so a series
+    falls to 0 when its traffic stops. What is summed is range / step rows for each, wherever they lie; no
+    task holds a series.
+    """
+    reached = F.explode(F.sequence(F.lit(0), F.lit(range_ms), F.lit(step_ms))).alias("_after")
+    spread = steps.select(*by, F.col("t_ms").alias("_from"), *values, reached)
+    sums = [F.sum(F.when(F.col("_after") < range_ms, F.col(v)).otherwise(F.lit(0))).alias(v) for v in values]
+    return spread.groupBy(*by, (F.col("_from") + F.col("_after")).alias("t_ms")).agg(*sums)
+
+
+def bucket_rates(    df: DataFrame, by: Sequence[str] = (), step_ms: int = 60_000, range_ms: int = RATE_RANGE_MS, buckets: Sequence[float] = LATENCY_BUCKETS
 ) -> DataFrame:
-    """Per-second rate of each latency bucket over the trailing range, at every step with requests.
+    """Per-second rate of each latency bucket over the trailing range, at every step that a request reaches.
 
     Requests are counted per step first, so the trailing sum runs over at most one row per series
     and step.
     """
     at = cell_end(F.col("ms"), step_ms).alias("t_ms")
     steps = df.groupBy(*by, at).agg(*_bucket_columns(F.col("latency_ms"), buckets), F.count("latency_ms").alias("count"))
-    trailing = Window.partitionBy(*by).orderBy("t_ms").rangeBetween(-(range_ms - step_ms), 0)
     names = [f"le_{b}" for b in buckets] + ["count"]
-    rates = steps.select(*by, "t_ms", *[(F.sum(c).over(trailing) / (range_ms / 1000.0)).alias(c) for c in names])
+    sums = trailing_sums(steps, by, names, step_ms, range_ms)
+    rates = sums.select(*by, "t_ms", *[(F.col(c) / (range_ms / 1000.0)).alias(c) for c in names])
     return _as_buckets(rates, [*by, "t_ms"], buckets)
 
 
@@ -186,10 +199,9 @@ def counter_rate(counter: DataFrame, by: Sequence[str], range_ms: int = RATE_RAN
 
 
 def count_rate(df: DataFrame, by: Sequence[str], step_ms: int = 60_000, range_ms: int = RATE_RANGE_MS) -> DataFrame:
-    """Rows per second over the trailing range, at every step with rows."""
+    """Rows per second over the trailing range, at every step that a row reaches, down to 0 after the last."""
     steps = df.groupBy(*by, cell_end(F.col("ms"), step_ms).alias("t_ms")).agg(F.count(F.lit(1)).alias("n"))
-    trailing = Window.partitionBy(*by).orderBy("t_ms").rangeBetween(-(range_ms - step_ms), 0)
-    return steps.select(*by, "t_ms", (F.sum("n").over(trailing) / (range_ms / 1000.0)).alias("rate"))
+    return trailing_sums(steps, by, ["n"], step_ms, range_ms).select(*by, "t_ms", (F.col("n") / (range_ms / 1000.0)).alias("rate"))
 
 
 def rolling_percentiles(
@@ -200,20 +212,27 @@ def rolling_percentiles(
     points: Mapping[str, float] = PERCENTILE_POINTS,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """Percentiles of the last `size` latencies of a series, reported after every `every` requests.
+    """Percentiles of the last `size` latencies of a series, reported after every `every` requests and at its end.
 
     Requests are numbered by an ordered scan, then each goes to the few reports that cover it, so
-    a report gathers at most `size` rows.
+    a report gathers at most `size` rows. The report at the end covers the last `size` rows there are.
     """
     positive = non_empty_latency(df).select(*by, "ms", "event_id", "latency_ms")
     numbered = ordered_scan(positive, by, ["ms", "event_id"], {"_no": Scan("count")}, rows_per_chunk)
+    numbered = stage(numbered, "numbered-requests")
+    ends = numbered.groupBy(*by).agg(F.max("_no").alias("_end"))
+    on = F.lit(True)
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_key_{c}"))
+    ends = ends.withColumnsRenamed({c: f"_key_{c}" for c in by})
+    tail = numbered.join(ends, on).where((F.col("_end") % every != 0) & (F.col("_no") > F.col("_end") - size))
+    tail = tail.select(*numbered.columns, (F.floor(F.col("_end") / every) + 1).cast("bigint").alias("report"))
     first = F.ceil(F.col("_no") / every).cast("bigint")
     last = F.floor((F.col("_no") + size - 1) / every).cast("bigint")
     reports = numbered.where(first <= last).withColumn("report", F.explode(F.sequence(first, last)))
-    summary = reports.groupBy(*by, "report").agg(
+    # Reports past the end of the series, other than the last one, were never made.
+    full = reports.join(ends, on).where(F.col("report") * every <= F.col("_end")).select(*numbered.columns, "report")
+    return full.unionByName(tail).groupBy(*by, "report").agg(
         *[F.percentile("latency_ms", F.lit(q)).alias(name) for name, q in points.items()],
         F.avg("latency_ms").alias("avg_latency_ms"),
-        F.max("_no").alias("_newest"),
     )
-    # A report past the end of the series was never made.
-    return summary.where(F.col("_newest") == F.col("report") * every).drop("_newest")

@@ -14,7 +14,6 @@ from wardwatch.operators import alerts as A
 from wardwatch.operators import requests as R
 from wardwatch.operators.drift import WINDOW_MIN_ROWS, score_window_means, shift_by_window
 from wardwatch.operators.lateness import event_time_lag, late_flag, late_ratio, late_ratio_by_window
-from wardwatch.operators.ordered import ROWS_PER_CHUNK
 from wardwatch.operators.reconcile import metric_or
 from wardwatch.session import stage
 
@@ -26,14 +25,20 @@ def lag_series(df: DataFrame, width_ms: int = MINUTE_MS) -> DataFrame:
     return event_time_lag(df, width_ms).select(F.col("window_ms").alias("t_ms"), F.col("lag_ms").cast("double").alias("value"))
 
 
-def heartbeat_series(df: DataFrame, by: Sequence[str], step_ms: int = MINUTE_MS) -> DataFrame:
-    """`up` of each service at every step of its life: 1 with a heartbeat in the step, else 0.
+def heartbeat_series(df: DataFrame, by: Sequence[str], step_ms: int = MINUTE_MS, until_ms: int | None = None) -> DataFrame:
+    """`up` of each service at every step from its first heartbeat on: 1 with a heartbeat in the step, else 0.
 
-    Heartbeats are first reduced to one row per step, so the grid is joined to no more rows than it has.
+    All services are watched until `until_ms`, or until the newest heartbeat of any, so one that stops
+    for good is down from then on. The steps are a distributed range joined to the services, of which
+    there are few; heartbeats are first reduced to one row per step.
     """
-    beats = df.select(*by, cell_start(F.col("arrival_ms"), step_ms).alias("t_ms")).distinct()
-    life = beats.groupBy(*by).agg(F.min("t_ms").alias("_first"), F.max("t_ms").alias("_last"))
-    grid = life.select(*by, F.explode(F.sequence("_first", "_last", F.lit(step_ms))).alias("t_ms"))
+    beats = stage(df.select(*by, cell_start(F.col("arrival_ms"), step_ms).alias("t_ms")).distinct(), "heartbeats")
+    first, last = beats.agg(F.min("t_ms"), F.max("t_ms")).first()
+    if until_ms is not None and first is not None:
+        last = max(first, until_ms // step_ms * step_ms)
+    steps = df.sparkSession.range(first or 0, (last + step_ms) if first is not None else 0, step_ms).withColumnRenamed("id", "t_ms")
+    life = beats.groupBy(*by).agg(F.min("t_ms").alias("_first"))
+    grid = steps.join(life, F.col("t_ms") >= F.col("_first")).drop("_first")
     return grid.join(beats.withColumn("_up", F.lit(1.0)), [*by, "t_ms"], "left").select(*by, "t_ms", F.coalesce("_up", F.lit(0.0)).alias("value"))
 
 
@@ -54,22 +59,27 @@ def latency_quantiles(requests: DataFrame, by: Sequence[str] = (), step_ms: int
     return R.histogram_quantiles(R.bucket_rates(requests, by, step_ms, range_ms), [*by, "t_ms"], PANEL_POINTS)
 
 
+def gap_of(step_ms: int) -> int:
+    """Samples one step apart belong together, however long the step."""
+    return max(A.STALE_MS, step_ms)
+
+
 def high_processing_latency(df: DataFrame, width_ms: int = MINUTE_MS) -> DataFrame:
-    return A.evaluate_rule(lag_series(df, width_ms), A.HIGH_PROCESSING_LATENCY)
+    return A.evaluate_rule(lag_series(df, width_ms), A.HIGH_PROCESSING_LATENCY, max_gap_ms=gap_of(width_ms))
 
 
-def model_server_down(df: DataFrame, by: Sequence[str], step_ms: int = MINUTE_MS) -> DataFrame:
-    return A.evaluate_rule(heartbeat_series(df, by, step_ms), A.MODEL_SERVER_DOWN, by)
+def model_server_down(df: DataFrame, by: Sequence[str], step_ms: int = MINUTE_MS, until_ms: int | None = None) -> DataFrame:
+    return A.evaluate_rule(heartbeat_series(df, by, step_ms, until_ms), A.MODEL_SERVER_DOWN, by, gap_of(step_ms))
 
 
 def high_prediction_latency(requests: DataFrame, by: Sequence[str] = (), step_ms: int = MINUTE_MS, range_ms: int = R.RATE_RANGE_MS) -> DataFrame:
     p99 = R.histogram_quantile(R.bucket_rates(requests, by, step_ms, range_ms), [*by, "t_ms"], 0.99, "value")
-    return A.evaluate_rule(p99.withColumn("value", ms_to_seconds(F.col("value"))), A.HIGH_PREDICTION_LATENCY, by)
+    return A.evaluate_rule(p99.withColumn("value", ms_to_seconds(F.col("value"))), A.HIGH_PREDICTION_LATENCY, by, gap_of(step_ms))
 
 
 def high_prediction_errors(counter: DataFrame, by: Sequence[str]) -> DataFrame:
     rates = R.counter_rate(counter, by).select(*by, F.col("ms").alias("t_ms"), F.col("rate").alias("value"))
-    return A.evaluate_rule(stage(rates, "rates"), A.HIGH_PREDICTION_ERRORS, by, ROWS_PER_CHUNK)
+    return A.evaluate_rule(rates, A.HIGH_PREDICTION_ERRORS, by)
 
 
 def high_lag(partition_lag: DataFrame, rule: A.AlertRule = A.HIGH_LAG) -> DataFrame:
@@ -88,12 +98,12 @@ def drift_series(df: DataFrame, reference: DataFrame, columns: Sequence[str], wi
 
 def data_drift_detected(df: DataFrame, reference: DataFrame, columns: Sequence[str], width_ms: int = MINUTE_MS) -> DataFrame:
     flags = drift_series(df, reference, columns, width_ms).select("t_ms", F.col("drift_detected").cast("double").alias("value"))
-    return A.evaluate_rule(flags, A.DATA_DRIFT_DETECTED)
+    return A.evaluate_rule(flags, A.DATA_DRIFT_DETECTED, max_gap_ms=gap_of(width_ms))
 
 
 def high_late_ratio(df: DataFrame, width_ms: int = MINUTE_MS) -> DataFrame:
     ratio = late_ratio_by_window(df, width_ms).select(F.col("window_ms").alias("t_ms"), F.col("late_data_ratio").alias("value"))
-    return A.evaluate_rule(ratio, A.HIGH_LATE_RATIO)
+    return A.evaluate_rule(ratio, A.HIGH_LATE_RATIO, max_gap_ms=gap_of(width_ms))
 
 
 def latency_panel(requests: DataFrame, step_ms: int = MINUTE_MS, range_ms: int = R.RATE_RANGE_MS) -> DataFrame:
@@ -102,17 +112,13 @@ def latency_panel(requests: DataFrame, step_ms: int = MINUTE_MS, range_ms: int =
 
 
 def throughput_panel(requests: DataFrame, step_ms: int = MINUTE_MS, range_ms: int = R.RATE_RANGE_MS) -> DataFrame:
-    """Requests and errors per second at every step with requests."""
+    """Requests and errors per second at every step that a request reaches, down to 0 after the last."""
     steps = requests.groupBy(cell_end(F.col("ms"), step_ms).alias("t_ms")).agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(F.col("status") != "success").alias("_bad")
     )
-    trailing = Window.partitionBy().orderBy("t_ms").rangeBetween(-(range_ms - step_ms), 0)
+    sums = R.trailing_sums(steps, (), ["_n", "_bad"], step_ms, range_ms)
     seconds = range_ms / 1000.0
-    return steps.select(
-        "t_ms",
-        (F.sum("_n").over(trailing) / seconds).alias("predictions_per_sec"),
-        (F.sum("_bad").over(trailing) / seconds).alias("errors_per_sec"),
-    )
+    return sums.select("t_ms", (F.col("_n") / seconds).alias("predictions_per_sec"), (F.col("_bad") / seconds).alias("errors_per_sec"))
 
 
 def lag_panel(group_lag: DataFrame, partition_lag: DataFrame, delays: DataFrame, watched: str) -> DataFrame:
