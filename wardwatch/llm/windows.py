@@ -56,8 +56,8 @@ ship(__name__)
 CHUNK_BYTES, BLOCK_BYTES, LONGEST_RUN = 8 << 20, 1 << 20, 256
 #: Symbols that are hashed at a time.
 PIECE = 1 << 20
-#: Segments of one anchor above which its windows are taken at full length.
-HOT = 4_000
+#: Segments of one anchor above which its windows are taken at full length; about a block of bytes' segments.
+HOT = 1 << 14
 #: Bits of an anchor that are kept.
 ANCHOR_BITS = 48
 #: Stands in for a null id: after all others.
@@ -173,12 +173,33 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
     return np.cumsum(np.frombuffer(pa.decompress(data, 8 * n, "zstd", asbytes=True), "<i8"))
 
 
-_SENT = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("keys", pa.binary()), ("docs", pa.binary()), ("known", pa.binary())])
+def _group_of(ids: np.ndarray, groups: int) -> np.ndarray:
+    return (mix64(ids.view(np.uint64)) % np.uint64(groups)).astype(np.int64)
+
+
+def _by_document(anchors: np.ndarray, ids: np.ndarray, groups: int) -> list[tuple]:
+    """A row for each group of documents: group, ids, how many anchors each has, and these."""
+    order = np.lexsort((ids, _group_of(ids, groups)))
+    anchors, ids = anchors[order], ids[order]
+    first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]][: len(ids)])
+    count, docs = np.diff(np.r_[first, len(ids)]), ids[first]
+    edges = np.searchsorted(_group_of(docs, groups), np.arange(groups + 1))
+    upto = np.r_[first, len(ids)]
+    return [(g, _pack(docs[lo:hi]), _pack(count[lo:hi]), hi - lo, _six(anchors[upto[lo] : upto[hi]])) for g, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]
+
+
+_SENT = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("n", pa.int32()), ("keys", pa.binary()), ("known", pa.binary())])
+_HELD = pa.schema([("grp", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("n", pa.int32()), ("keys", pa.binary())])
+
+
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def _send(anchors: np.ndarray, ids: np.ndarray, twice: np.ndarray, buckets: int, kind: Kind) -> pa.RecordBatch:
-    """One row per bucket with the anchors that one document of the chunk holds, and those known to be repeated;
-    one row per document with the anchors that the chunk alone shows to be repeated."""
+    """Rows of `_SENT`: per bucket the anchors that one document of the chunk holds, and those known to be repeated;
+    without `known`, per group of documents the anchors that the chunk alone shows to be repeated."""
     order = np.lexsort((ids, anchors))
     anchors, ids, twice = anchors[order], ids[order], twice[order]
     if kind.first_doc:
@@ -198,19 +219,13 @@ def _send(anchors: np.ndarray, ids: np.ndarray, twice: np.ndarray, buckets: int,
     for b in range(buckets):
         low, high, kl, kh = edges[b], edges[b + 1], known_edges[b], known_edges[b + 1]
         if high > low or kh > kl:
-            rows.append((b, None, _six(single[low:high]), _pack(single_ids[low:high]), _six(known[kl:kh])))
-    local, local_ids = anchors[own], ids[own]
-    order = np.argsort(local_ids, kind="stable")
-    local, local_ids = local[order], local_ids[order]
-    cut = np.flatnonzero(np.r_[True, local_ids[1:] != local_ids[:-1]][: len(local)])
-    for low, high in zip(cut, np.r_[cut[1:], len(local)]):
-        doc = int(local_ids[low])
-        rows.append((int(mix64(np.array([doc], np.int64).view(np.uint64))[0] % np.uint64(buckets)), doc, _six(local[low:high]), None, None))
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SENT)] if rows else [pa.array([], f.type) for f in _SENT], schema=_SENT)
+            rows.append((b, _pack(single_ids[low:high]), None, high - low, _six(single[low:high]), _six(known[kl:kh])))
+    rows += [(*row, None) for row in _by_document(anchors[own], ids[own], buckets)]
+    return _rows(rows, _SENT)
 
 
 def repeated_anchors(docs: DataFrame, kind: Kind) -> DataFrame:
-    """`doc_id, keys`: arrays of anchors of the document that occur more than once (in two documents, where documents count)."""
+    """`doc_id, keys`: anchors of each document that occur more than once (in two documents, where documents count)."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,13 +248,12 @@ def repeated_anchors(docs: DataFrame, kind: Kind) -> DataFrame:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, ids, known = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
         for batch in batches:
-            passed = batch.filter(pa.compute.is_valid(batch.column(1)))
-            if passed.num_rows:
-                yield pa.record_batch([passed.column(1), passed.column(2)], ["doc_id", "keys"])
-            for _, doc, k, d, sure in zip(*(c.to_pylist() for c in batch.columns)):
-                if doc is None:
+            for grp, docs, counts, n, k, sure in zip(*(c.to_pylist() for c in batch.columns)):
+                if sure is None:
+                    yield _rows([(grp, docs, counts, n, k)], _HELD)
+                else:
                     keys.append(_from_six(k))
-                    ids.append(_unpack(d, len(k) // 6))
+                    ids.append(_unpack(docs, n))
                     known.append(_from_six(sure))
         key, doc, sure = np.concatenate(keys), np.concatenate(ids), np.concatenate(known)
         del keys, ids, known
@@ -251,17 +265,25 @@ def repeated_anchors(docs: DataFrame, kind: Kind) -> DataFrame:
             same[1:-1] &= doc[1:] != doc[:-1]
         more = same[1:] | same[:-1] | np.isin(key, sure)
         # Of an anchor that occurs in several documents, all of them.
-        key, doc = key[more], doc[more]
+        yield _rows(_by_document(key[more], doc[more], buckets), _HELD)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, ids = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for batch in batches:
+            for _, docs, counts, n, k in zip(*(c.to_pylist() for c in batch.columns)):
+                keys.append(_from_six(k))
+                ids.append(np.repeat(_unpack(docs, n), _unpack(counts, n)))
+        key, doc = np.concatenate(keys), np.concatenate(ids)
         order = np.argsort(doc, kind="stable")
         key, doc = key[order], doc[order]
-        cut = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]][: len(doc)])
-        for at in range(0, len(cut), 5_000):
-            low = cut[at : at + 5_000]
-            high = np.r_[cut[at + 1 : at + 5_001], len(doc)][: len(low)]
-            yield pa.record_batch([pa.array(doc[low]), pa.array([_six(key[a:b]) for a, b in zip(low, high)], pa.binary())], ["doc_id", "keys"])
+        cut = np.r_[np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]][: len(doc)]), len(doc)]
+        for at in range(0, len(cut) - 1, 2_000):
+            edges = cut[at : at + 2_001]
+            yield pa.record_batch([pa.array(doc[edges[:-1]]), pa.array([_six(key[a:b]) for a, b in zip(edges, edges[1:])], pa.binary())], ["doc_id", "keys"])
 
-    sent = map_arrow(docs.select("doc_id", "text"), send, "bucket int, doc_id bigint, keys binary, docs binary, known binary")
-    return map_arrow(sent.repartition(buckets, "bucket"), meet, "doc_id bigint, keys binary")
+    sent = map_arrow(docs.select("doc_id", "text"), send, "bucket int, docs binary, counts binary, n int, keys binary, known binary")
+    held = map_arrow(sent.repartition(buckets, "bucket"), meet, "grp int, docs binary, counts binary, n int, keys binary")
+    return map_arrow(held.repartition(buckets, "grp"), gather, "doc_id bigint, keys binary")
 
 
 def _slices(blob: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Array:
@@ -285,7 +307,7 @@ def copies(docs: DataFrame, kind: Kind) -> DataFrame:
 
 def segments(docs: DataFrame, alike: DataFrame, kind: Kind) -> DataFrame:
     """`doc_id, text_hash, start, weight, key, content`: runs of windows with a repeated anchor; start counts symbols of the text."""
-    held = repeated_anchors(docs, kind).groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
+    held = repeated_anchors(docs, kind)
     by_doc = alike.groupBy("doc_id").agg(F.collect_list(F.struct("text_hash", "spare")).alias("alike"))
     rows = docs.join(held.join(by_doc, "doc_id", "left"), "doc_id").select("doc_id", "text_hash", "text", "keys", "alike")
 
@@ -299,7 +321,7 @@ def segments(docs: DataFrame, alike: DataFrame, kind: Kind) -> DataFrame:
             for rows in groups_of(texts):
                 s = symbols_of([texts[i] for i in rows], kind)
                 anchor, doc, begin, n = runs_of(s.hashes, s.at, kind)
-                keys = [_from_six(b"".join(wanted[i])) for i in rows]
+                keys = [_from_six(wanted[i]) for i in rows]
                 owner = np.repeat(np.arange(len(keys), dtype=np.uint64), [len(k) for k in keys])
                 shift = np.uint64(ANCHOR_BITS)
                 keep = np.isin(anchor | (doc.astype(np.uint64) << shift), np.concatenate(keys) | (owner << shift))
