@@ -58,8 +58,8 @@ def brute(a, b):
 def test_distances_match_brute_force(spark, chunk):
     pa, a = data(spark, 1)
     pb, b = data(spark, 2, shift=0.5, n=400)
-    ks = {r.column: r.statistic for r in D.ks_drift(a, b, ["x", "y"], rows_per_chunk=chunk).collect()}
-    wd = {r.column: r.distance for r in D.column_drift(a, b, ["x", "y"], rows_per_chunk=chunk).collect()}
+    ks = {r.column: r.statistic for r in D.ks_drift(a, b, ["x", "y"], bins=None, rows_per_chunk=chunk).collect()}
+    wd = {r.column: r.distance for r in D.column_drift(a, b, ["x", "y"], bins=None, rows_per_chunk=chunk).collect()}
     for c in ("x", "y"):
         want_ks, want_wd = brute(pa[c].to_numpy(), pb[c].to_numpy())
         assert ks[c] == pytest.approx(want_ks) and wd[c] == pytest.approx(want_wd)
@@ -68,7 +68,7 @@ def test_distances_match_brute_force(spark, chunk):
 def test_binned_distance_is_close(spark):
     _, a = data(spark, 1)
     _, b = data(spark, 2, shift=0.5)
-    exact = D.column_drift(a, b, ["x"]).first().distance
+    exact = D.column_drift(a, b, ["x"], bins=None).first().distance
     assert D.column_drift(a, b, ["x"], bins=500).first().distance == pytest.approx(exact, rel=0.05)
 
 
@@ -125,3 +125,25 @@ def test_late_ratio_of_nothing_is_zero(spark):
     empty = spark.createDataFrame([], "arrival_ms BIGINT, event_ms BIGINT")
     row = late_ratio(late_counts(empty)).first()
     assert (row.total_data_count, row.late_data_count, row.late_data_ratio) == (0, 0, 0.0)
+
+
+@pytest.mark.parametrize("bins", [None, 50])
+def test_a_dead_sensor_and_values_that_are_no_numbers(spark, bins):
+    """No current value: not comparable and not drifted; a NaN counts as missing; with nothing at all there is no row."""
+    nan = float("nan")
+    rows = lambda off, dead: [(float(i + off), None if dead else float(i), nan if i % 3 else float(i), None, "a" if i % 2 else "b", None if dead else "c") for i in range(200)]
+    schema = "x DOUBLE, dead DOUBLE, odd DOUBLE, never DOUBLE, c STRING, gone STRING"
+    ref, cur = spark.createDataFrame(rows(0, False), schema), spark.createDataFrame(rows(0, True), schema)
+    numbers = ["x", "dead", "odd", "never"]
+    got = {r.column: r for r in D.column_drift(ref, cur, numbers, ["c", "gone"], bins=bins).collect()}
+    assert set(got) == {"x", "dead", "odd", "c", "gone"}
+    assert all(got[c].distance is None and not got[c].drifted and not got[c].comparable for c in ("dead", "gone"))
+    assert all(got[c].distance == 0 and got[c].comparable for c in ("x", "odd", "c"))
+    ks = {r.column: r for r in D.ks_drift(ref, cur, numbers, bins=bins).collect()}
+    assert (ks["dead"].statistic, ks["dead"].p_value, ks["dead"].drifted, ks["dead"].comparable) == (None, None, False, False)
+    assert ks["odd"].statistic == 0 and ks["x"].comparable
+    psi = {r.column: r.psi for r in D.psi_drift(ref, cur, ["x", "dead", "odd"]).collect()}
+    assert psi["dead"] is None and psi["odd"] == 0 and psi["x"] == 0
+    chi = {r.column: r for r in D.chi2_drift(ref, cur, ["c", "gone"]).collect()}
+    assert chi["c"].statistic == 0 and not chi["gone"].drifted
+    assert D.mean_shift_drift(ref, cur, ["x", "odd", "dead"]).first().drift_score == 0

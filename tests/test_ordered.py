@@ -107,3 +107,26 @@ def test_approximate_percentiles_have_bounded_error(spark):
     df = spark.range(100_000).select(F.col("id").cast("double").alias("v"))
     row = percentiles(df, [], "v", {"p95": 0.95}, approximate=1000).first()
     assert abs(row.p95 - 95_000) <= 100
+
+
+KEYS = {
+    "timestamp": "timestamp_millis(1700000000000 + t * 137)",
+    "timestamp_ntz": "cast(timestamp_millis(1700000000000 + t * 137) AS timestamp_ntz)",
+    "date": "date_add(DATE'2024-01-01', cast(t AS int))",
+    "decimal": "cast(t / 7.0 AS decimal(20, 6))",
+    "binary": "unhex(lpad(hex(t), 8, '0'))",
+    "string": "concat('k', lpad(cast(t AS string), 6, '0'))",
+    "double": "CASE WHEN t % 10 = 9 THEN double('NaN') WHEN t % 10 = 8 THEN NULL ELSE t / 3.0D END",
+}
+
+
+@pytest.mark.parametrize("kind", KEYS)
+def test_keys_of_every_type_are_split(spark, kind):
+    """As the order, and as the group."""
+    df = spark.createDataFrame(rows(1500)).selectExpr("g", "id", "v", f"{KEYS[kind]} AS k")
+    for group, order in ((["g"], ["k", "id"]), (["k"], ["v", "id"]), (["g", "k"], ["id"])):
+        one = ordered_scan(df, group, order, {"n": Scan("count"), "s": Scan("sum", F.col("v"))}, 10**9)
+        cut = plan_splits(df, group, order, 40)
+        assert cut.edges or group != ["g"]
+        many = ordered_scan(df, group, order, {"n": Scan("count"), "s": Scan("sum", F.col("v"))}, 40)
+        assert {tuple(r) for r in many.select("id", "n", "s").collect()} == {tuple(r) for r in one.select("id", "n", "s").collect()}

@@ -168,17 +168,61 @@ def _distances(df):
 
 @query("column_drift", "reference current_", _edf_sql() + _shares_sql(",") + _COLUMN_DRIFT)
 def _column_drift(spark, sf_dir):
-    return _distances(D.column_drift(reference(spark, sf_dir), current(spark, sf_dir), NUMBERS, TEXTS))
+    return _distances(D.column_drift(reference(spark, sf_dir), current(spark, sf_dir), NUMBERS, TEXTS, bins=None))
 
 
 @query("column_drift_split", "reference current_", _edf_sql() + _shares_sql(",") + _COLUMN_DRIFT)
 def _column_drift_split(spark, sf_dir):
-    return _distances(D.column_drift(reference(spark, sf_dir), current(spark, sf_dir), NUMBERS, TEXTS, rows_per_chunk=SMALL_CHUNK))
+    return _distances(D.column_drift(reference(spark, sf_dir), current(spark, sf_dir), NUMBERS, TEXTS, bins=None, rows_per_chunk=SMALL_CHUNK))
 
 
 @query("column_drift_binned", "reference current_", _edf_sql(200) + _shares_sql(",") + _COLUMN_DRIFT)
 def _column_drift_binned(spark, sf_dir):
-    return _distances(D.column_drift(reference(spark, sf_dir), current(spark, sf_dir), NUMBERS, TEXTS, bins=200))
+    return _distances(D.column_drift(reference(spark, sf_dir), current(spark, sf_dir), NUMBERS, TEXTS))
+
+
+# The same distances over sides of which one lacks a column, or holds values that are not numbers.
+_ODD_SIDES = """
+ref_ AS (SELECT age, CASE WHEN event_id % 7 = 0 THEN 'nan'::double ELSE bmi END AS bmi, glucose_level, diabetes FROM reference),
+cur_ AS (SELECT age, CASE WHEN event_id % 5 = 0 THEN 'nan'::double ELSE bmi END AS bmi, glucose_level, diabetes FROM current_)"""
+
+
+def _odd_sql(empty: str) -> str:
+    sides = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {c}::double AS value, {side} AS side FROM {name}{' WHERE false' if (c, side) == (empty, 1) else ''}"
+        for c in ("age", "bmi", "glucose_level")
+        for side, name in ((0, "ref_"), (1, "cur_"))
+    )
+    return f"""WITH {_ODD_SIDES}, long AS (SELECT * FROM ({sides}) WHERE NOT isnan(value)),
+counts AS (SELECT "column", value AS v, count(*) FILTER (side = 0) AS r, count(*) FILTER (side = 1) AS c FROM long GROUP BY ALL),
+edf AS (SELECT "column", v, lead(v) OVER w AS next_v, sum(r) OVER w / sum(r) OVER (PARTITION BY "column") AS fr,
+    sum(c) OVER w / nullif(sum(c) OVER (PARTITION BY "column"), 0) AS fc FROM counts WINDOW w AS (PARTITION BY "column" ORDER BY v)),
+spread AS (SELECT "column", stddev_pop(value) AS s FROM long WHERE side = 0 GROUP BY ALL),
+wd AS (SELECT "column", sum(abs(fr - fc) * (next_v - v)) / greatest(any_value(s), 0.001) AS distance FROM edf JOIN spread USING ("column") GROUP BY ALL)
+SELECT "column", round(distance, 5) AS distance, coalesce(distance >= 0.1, false) AS drifted, distance IS NOT NULL AS comparable FROM wd"""
+
+
+def _odd_drift(spark, sf_dir, empty):
+    def side(df, every):
+        bmi = F.when(F.col("event_id") % every == 0, F.lit(float("nan"))).otherwise(F.col("bmi"))
+        return df.withColumn("bmi", bmi)
+
+    now = side(current(spark, sf_dir), 5)
+    if empty:
+        now = now.withColumn(empty, F.lit(None).cast("double"))
+    out = D.column_drift(side(reference(spark, sf_dir), 7), now, ["age", "bmi", "glucose_level"], bins=None)
+    return out.select("column", F.round("distance", 5).alias("distance"), "drifted", "comparable")
+
+
+@query("drift_with_nan", "reference current_", _odd_sql(""))
+def _drift_with_nan(spark, sf_dir):
+    return _odd_drift(spark, sf_dir, "")
+
+
+@query("drift_empty_side", "reference current_", _odd_sql("glucose_level"))
+def _drift_empty_side(spark, sf_dir):
+    """A sensor that died: no current glucose at all."""
+    return _odd_drift(spark, sf_dir, "glucose_level")
 
 
 @query(
@@ -190,7 +234,7 @@ def _column_drift_binned(spark, sf_dir):
 SELECT round(avg((distance >= 0.1)::int), 6) AS drift_score, avg((distance >= 0.1)::int) > 0.2 AS drift_detected FROM (FROM wd UNION ALL FROM js)""",
 )
 def _dataset_drift(spark, sf_dir):
-    out = D.dataset_drift(D.column_drift(reference(spark, sf_dir), current(spark, sf_dir), NUMBERS, TEXTS))
+    out = D.dataset_drift(D.column_drift(reference(spark, sf_dir), current(spark, sf_dir), NUMBERS, TEXTS, bins=None))
     return out.withColumn("drift_score", F.round("drift_score", 6))
 
 
@@ -206,7 +250,7 @@ p AS (SELECT "column", d, CASE WHEN x2 < 0.04 THEN 1 ELSE least(greatest(list_su
 SELECT "column", round(d, 6) AS statistic, round(p, 6) AS p_value, p < 0.05 AS drifted FROM p""",
 )
 def _ks_drift(spark, sf_dir):
-    out = D.ks_drift(reference(spark, sf_dir), current(spark, sf_dir), NUMBERS)
+    out = D.ks_drift(reference(spark, sf_dir), current(spark, sf_dir), NUMBERS, bins=None)
     return out.select("column", r6("statistic", "statistic"), r6("p_value", "p_value"), "drifted")
 
 

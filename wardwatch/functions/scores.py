@@ -57,7 +57,8 @@ def abs_change(current: Column, previous: Column, has_previous: Column) -> Colum
 
 
 def relative_change(reference: Column, current: Column) -> Column:
-    return F.least(F.abs(current - reference) / F.abs(reference), F.lit(1.0))
+    """Null where there is nothing to compare with; capped at 1."""
+    return F.when(current.isNotNull(), F.least(F.abs(current - reference) / F.abs(reference), F.lit(1.0)))
 
 
 def round_score(x: Column, digits: int = 4) -> Column:

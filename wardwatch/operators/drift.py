@@ -33,6 +33,15 @@ WINDOW_ROWS, WINDOW_CARRY, WINDOW_MIN_ROWS = 1000, 100, 100
 
 NEVER_COMPARED = ("patient_id",)
 
+# Numbers are compared over so many bins of the reference range unless every value is to be told apart.
+BINS = 200
+
+
+def known(column: Column | str) -> Column:
+    """A number, null where it is not a number: a NaN is a missing value."""
+    value = F.col(column) if isinstance(column, str) else column
+    return F.when(~F.isnan(value.cast("double")), value)
+
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = NEVER_COMPARED) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
@@ -46,7 +55,7 @@ def common_columns(reference: DataFrame, current: DataFrame, exclude: Sequence[s
 def column_means(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Mean of every column in one pass, as rows `(column, mean)`."""
     columns = list(columns or numeric_columns(df))
-    wide = df.agg(*[F.avg(c).alias(c) for c in columns])
+    wide = df.agg(*[F.avg(known(c)).alias(c) for c in columns])
     return wide.unpivot([], columns, "column", "mean")
 
 
@@ -89,18 +98,18 @@ def shift_by_window(windows: DataFrame, keys: Sequence[str], reference: DataFram
     `windows` are the raw rows. Their means are taken in one aggregation, and the reference means,
     one row, are joined as constants.
     """
-    means = windows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *[F.avg(c).alias(c) for c in columns])
+    means = windows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *[F.avg(known(c)).alias(c) for c in columns])
     return score_window_means(min_rows(means, at_least), keys, reference, columns)
 
 
 def reference_means(reference: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """The reference means as numbers for the plan: one row, whatever the size of the reference."""
-    return reference.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
+    return reference.agg(*[F.avg(known(c)).alias(c) for c in columns]).first().asDict()
 
 
 def score_window_means(means: DataFrame, keys: Sequence[str], reference: DataFrame | dict, columns: Sequence[str]) -> DataFrame:
-    known = reference if isinstance(reference, dict) else reference_means(reference, columns)
-    shifts = [relative_change(F.lit(float(known[c])), F.col(c)) for c in columns if known.get(c)]
+    before = reference if isinstance(reference, dict) else reference_means(reference, columns)
+    shifts = [relative_change(F.lit(float(before[c])), F.col(c)) for c in columns if before.get(c)]
     total = sum((F.coalesce(s, F.lit(0.0)) for s in shifts), F.lit(0.0))
     counted = sum((s.isNotNull().cast("int") for s in shifts), F.lit(0))
     return means.select(*keys, "n_rows", *_verdict(F.try_divide(total, counted), MEAN_SHIFT_LIMIT))
@@ -121,18 +130,18 @@ def count_windows(df: DataFrame, size: int = WINDOW_ROWS, carry: int = WINDOW_CA
 
 
 def value_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins: int | None = None) -> DataFrame:
-    """Rows `(column, value, ref_n, cur_n)` over the merged values of numeric columns; nulls are skipped.
+    """Rows `(column, value, ref_n, cur_n)` over the merged values of numeric columns; nulls and NaNs are skipped.
 
     With `bins` a value counts as the middle of its bin; bins divide the reference range evenly
     and the outer two are open.
     """
     sides = []
     for side, frame in (("ref_n", reference), ("cur_n", current)):
-        doubles = frame.select(*[F.col(c).cast("double").alias(c) for c in columns])
+        doubles = frame.select(*[known(F.col(c).cast("double")).alias(c) for c in columns])
         sides.append(doubles.unpivot([], list(columns), "column", "value").withColumn("_side", F.lit(side)))
     rows = sides[0].unionByName(sides[1]).where(F.col("value").isNotNull())
     if bins:
-        bounds = reference.agg(*[f(c).cast("double").alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]).first()
+        bounds = reference.agg(*[f(known(c)).cast("double").alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]).first()
         binned = F.col("value")
         for c in columns:
             lo, hi = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
@@ -161,9 +170,13 @@ def _cumulative(counts: DataFrame, rows_per_chunk: int) -> DataFrame:
     return ordered_scan(counts, ["column"], ["value"], scans, rows_per_chunk).join(F.broadcast(totals), "column")
 
 
-def ks_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins: int | None = None, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Largest distance of the two distribution functions per column, with its asymptotic p-value."""
-    gap = F.abs(F.col("_ref_cum") / F.col("_ref_total") - F.col("_cur_cum") / F.col("_cur_total"))
+def ks_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins: int | None = BINS, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+    """Largest distance of the two distribution functions per column, with its asymptotic p-value.
+
+    A column without a value on one side is not `comparable`: its statistic and p-value are null, and it
+    has not drifted. A column without a value on either side gives no row.
+    """
+    gap = F.abs(F.try_divide("_ref_cum", "_ref_total") - F.try_divide("_cur_cum", "_cur_total"))
     scanned = _cumulative(value_counts(reference, current, columns, bins), rows_per_chunk)
     stats = scanned.groupBy("column").agg(
         F.max(gap).alias("statistic"),
@@ -177,20 +190,23 @@ def ks_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str], b
         lambda acc, k: acc + F.when(k % 2 == 1, F.lit(2.0)).otherwise(F.lit(-2.0)) * F.exp(-2.0 * k * k * x2),
     )
     p = F.when(x2 < 0.04, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
-    return stats.select("column", "statistic", p.alias("p_value"), (p < P_VALUE_LIMIT).alias("drifted"))
+    p = F.when(F.col("statistic").isNotNull(), p)
+    drifted = F.coalesce(p < P_VALUE_LIMIT, F.lit(False))
+    return stats.select("column", "statistic", p.alias("p_value"), drifted.alias("drifted"), F.col("statistic").isNotNull().alias("comparable"))
 
 
 def _wasserstein(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins: int | None, rows_per_chunk: int) -> DataFrame:
-    before_ref = (F.col("_ref_cum") - F.col("ref_n")) / F.col("_ref_total")
-    before_cur = (F.col("_cur_cum") - F.col("cur_n")) / F.col("_cur_total")
+    before_ref = F.try_divide(F.col("_ref_cum") - F.col("ref_n"), F.col("_ref_total"))
+    before_cur = F.try_divide(F.col("_cur_cum") - F.col("cur_n"), F.col("_cur_total"))
     area = F.abs(before_ref - before_cur) * (F.col("value") - F.col("_before"))
     scanned = _cumulative(value_counts(reference, current, columns, bins), rows_per_chunk)
-    spread = reference.agg(*[F.stddev_pop(c).alias(c) for c in columns]).unpivot([], list(columns), "column", "_std")
+    spread = reference.agg(*[F.stddev_pop(known(c)).alias(c) for c in columns]).unpivot([], list(columns), "column", "_std")
     return (
         scanned.groupBy("column")
-        .agg(F.coalesce(F.sum(area), F.lit(0.0)).alias("_area"))
+        .agg(F.coalesce(F.sum(area), F.lit(0.0)).alias("_area"), F.max("_ref_total").alias("_n"), F.max("_cur_total").alias("_m"))
+        .withColumn("_area", F.when((F.col("_n") > 0) & (F.col("_m") > 0), F.col("_area")))
         .join(F.broadcast(spread), "column")
-        .select("column", F.lit("wasserstein").alias("method"), (F.col("_area") / F.greatest(F.col("_std"), F.lit(STD_FLOOR))).alias("distance"))
+        .select("column", F.lit("wasserstein").alias("method"), F.try_divide("_area", F.greatest(F.col("_std"), F.lit(STD_FLOOR))).alias("distance"))
     )
 
 
@@ -209,7 +225,7 @@ def _category_pairs(reference: DataFrame, current: DataFrame, columns: Sequence[
     pairs = tagged.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.sum("r").alias("ref_n"), F.sum("c").alias("cur_n"))
     totals = pairs.groupBy("column").agg(F.sum("ref_n").alias("ref_total"), F.sum("cur_n").alias("cur_total"))
     return pairs.join(F.broadcast(totals), "column").withColumns(
-        {"ref_share": F.col("ref_n") / F.col("ref_total"), "cur_share": F.col("cur_n") / F.col("cur_total")}
+        {"ref_share": F.try_divide("ref_n", "ref_total"), "cur_share": F.try_divide("cur_n", "cur_total")}
     )
 
 
@@ -221,8 +237,9 @@ def _jensen_shannon(reference: DataFrame, current: DataFrame, columns: Sequence[
         return F.when(share > 0, share * F.log2(share / middle)).otherwise(F.lit(0.0))
 
     divergence = F.greatest(F.sum((part(r) + part(c)) / 2), F.lit(0.0))
+    both = (F.max("ref_total") > 0) & (F.max("cur_total") > 0)
     return _category_pairs(reference, current, columns).groupBy("column").agg(
-        F.lit("jensenshannon").alias("method"), F.sqrt(divergence).alias("distance")
+        F.lit("jensenshannon").alias("method"), F.when(both, F.sqrt(divergence)).alias("distance")
     )
 
 
@@ -231,17 +248,22 @@ def column_drift(
     current: DataFrame,
     numeric: Sequence[str],
     categorical: Sequence[str] = (),
-    bins: int | None = None,
+    bins: int | None = BINS,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """Distance of each column: scaled Wasserstein for numbers, Jensen-Shannon for categories."""
+    """Distance of each column: scaled Wasserstein for numbers, Jensen-Shannon for categories.
+
+    A column without a value on one side is not `comparable`: its distance is null, and it has not drifted.
+    With `bins=None` numbers are compared value by value.
+    """
     parts = []
     if numeric:
         parts.append(_wasserstein(reference, current, numeric, bins, rows_per_chunk))
     if categorical:
         parts.append(_jensen_shannon(reference, current, categorical))
     both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return both.withColumn("drifted", F.col("distance") >= COLUMN_DRIFT_LIMIT)
+    drifted = F.coalesce(F.col("distance") >= COLUMN_DRIFT_LIMIT, F.lit(False))
+    return both.withColumns({"drifted": drifted, "comparable": F.col("distance").isNotNull()})
 
 
 def dataset_drift(columns: DataFrame) -> DataFrame:
@@ -287,7 +309,7 @@ def chi2_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str],
 
     A category the reference lacks has no expected count; it is left out of the statistic.
     """
-    expected = F.col("ref_share") * F.col("cur_total")
+    expected = F.coalesce(F.col("ref_share") * F.col("cur_total"), F.lit(0.0))
     stats = (
         _category_pairs(reference, current, columns)
         .groupBy("column")
@@ -302,11 +324,11 @@ def chi2_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str],
 
 
 def psi_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Population stability index per column over the reference deciles.
+    """Population stability index per column over the reference deciles; null without a value on one side.
 
     A bin holds `edge < x <= next edge`; equal deciles are merged; the outer bins are open.
     """
-    doubles = [F.col(c).cast("double").alias(c) for c in columns]
+    doubles = [known(F.col(c).cast("double")).alias(c) for c in columns]
     ref_long = reference.select(*doubles).unpivot([], list(columns), "column", "value").where(F.col("value").isNotNull())
     cur_long = current.select(*doubles).unpivot([], list(columns), "column", "value").where(F.col("value").isNotNull())
     deciles = percentiles(ref_long, ["column"], "value", {f"d{i}": i / 10 for i in range(1, 10)}, rows_per_chunk)
@@ -319,6 +341,8 @@ def psi_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str],
         F.count_if(F.col("_cur") == 0).alias("ref_n"), F.count_if(F.col("_cur") == 1).alias("cur_n")
     )
     totals = counts.groupBy("column").agg(F.sum("ref_n").alias("ref_total"), F.sum("cur_n").alias("cur_total"))
-    r = F.greatest(F.col("ref_n") / F.col("ref_total"), F.lit(SHARE_FLOOR))
-    c = F.greatest(F.col("cur_n") / F.col("cur_total"), F.lit(SHARE_FLOOR))
-    return counts.join(F.broadcast(totals), "column").groupBy("column").agg(F.sum((c - r) * F.log(c / r)).alias("psi"))
+    both = (F.col("ref_total") > 0) & (F.col("cur_total") > 0)
+    r = F.greatest(F.try_divide("ref_n", "ref_total"), F.lit(SHARE_FLOOR))
+    c = F.greatest(F.try_divide("cur_n", "cur_total"), F.lit(SHARE_FLOOR))
+    part = F.when(both, (c - r) * F.log(c / r))
+    return counts.join(F.broadcast(totals), "column").groupBy("column").agg(F.sum(part).alias("psi"))

@@ -57,23 +57,31 @@ class Splits:
     def keys(self) -> list[str]:
         return [*self.group, *self.order]
 
+    def _array(self, rows: Sequence[tuple], width: int) -> Column:
+        """Keys as one typed literal: kept as text where JSON has no form for a type, and cast back."""
+        fields = self.schema.fields[:width]
+        names = [f.name for f in fields]
+        text = json.dumps([dict(zip(names, r, strict=True)) for r in rows])
+        plain = T.StructType([T.StructField(f.name, T.StringType() if _as_text(f.dataType) else f.dataType) for f in fields])
+        parsed = F.from_json(F.lit(text), T.ArrayType(plain))
+        if plain == T.StructType(fields):
+            return parsed
+        return F.transform(parsed, lambda e: F.struct(*[_typed(e[f.name], f.dataType).alias(f.name) for f in fields]))
+
     def _literal(self) -> Column:
-        text = json.dumps([dict(zip(self.keys, e, strict=True)) for e in self.edges])
-        return F.from_json(F.lit(text), T.ArrayType(self.schema))
+        return self._array(self.edges, len(self.keys))
 
     def hot(self) -> Column:
         """True for rows of the groups that are cut; there are at most as many as cut points."""
         if not self.group:
             return F.lit(True)
         owners = list(dict.fromkeys(e[: len(self.group)] for e in self.edges))
-        if len(self.group) == 1:
+        if len(self.group) == 1 and not _as_text(self.schema.fields[0].dataType):
             named = F.col(self.group[0]).isin([o[0] for o in owners if o[0] is not None])
             missing = F.col(self.group[0]).isNull() if (None,) in owners else F.lit(False)
             return F.coalesce(named, F.lit(False)) | missing
         owned = F.struct(*[F.col(c) for c in self.group])
-        schema = T.ArrayType(T.StructType(self.schema.fields[: len(self.group)]))
-        text = json.dumps([dict(zip(self.group, o, strict=True)) for o in owners])
-        return F.array_contains(F.from_json(F.lit(text), schema), owned)
+        return F.array_contains(self._array(owners, len(self.group)), owned)
 
     def chunk(self) -> Column:
         """Number of cut points up to the row's key; 0 in groups that are not cut.
@@ -98,6 +106,20 @@ class Splits:
         return F.when(self.hot(), place).otherwise(F.lit(0))
 
 
+def _as_text(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType, T.DecimalType, T.BinaryType))
+
+
+def _text_of(name: str, kind: T.DataType) -> Column:
+    if isinstance(kind, T.BinaryType):
+        return F.hex(name)
+    return F.col(name).cast("string") if _as_text(kind) else F.col(name)
+
+
+def _typed(text: Column, kind: T.DataType) -> Column:
+    return F.unhex(text) if isinstance(kind, T.BinaryType) else text.cast(kind) if _as_text(kind) else text
+
+
 def plan_splits(df: DataFrame, group: Sequence[str], order: Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK) -> Splits:
     """Find cut points from a sample of keys whose size depends on the number of chunks only."""
     keys = df.select(*group, *order)
@@ -112,7 +134,8 @@ def plan_splits(df: DataFrame, group: Sequence[str], order: Sequence[str], rows_
     wanted = chunks * SAMPLES_PER_CHUNK
     hashed = F.pmod(F.xxhash64(*[F.col(c) for c in keys.columns]), F.lit(1_000_000_007))
     share = min(1.0, wanted / rows)
-    sample = keys.where(hashed < int(share * 1_000_000_007)).orderBy(*keys.columns).collect()
+    chosen = keys.where(hashed < int(share * 1_000_000_007)).orderBy(*keys.columns)
+    sample = chosen.select(*[_text_of(f.name, f.dataType).alias(f.name) for f in schema.fields]).collect()
     every = max(1, round(len(sample) / chunks))
     cuts = [tuple(sample[i]) for i in range(every, len(sample), every)]
     if group:
