@@ -329,6 +329,34 @@ def _count_window_drift(spark, sf_dir):
     return out.withColumn("drift_score", F.round("drift_score", 6))
 
 
+_WATCH_SQL = f"""
+WITH n AS (SELECT *, row_number() OVER (ORDER BY arrival_ms, event_id) AS r, arrival_ms // {{timer}} AS cell,
+  sum((arrival_ms - event_ms > 300000)::int) OVER (ORDER BY arrival_ms, event_id) AS late FROM vitals),
+p AS (SELECT *, (r - min(r) OVER (PARTITION BY cell)) // 900 AS part FROM n),
+c AS (SELECT cell, part, min(r) AS lo, max(r) AS hi, max(late)::bigint AS late, max_by(arrival_ms, r) AS t_ms FROM p GROUP BY ALL),
+m AS (SELECT hi, any_value(t_ms) AS t_ms, any_value(c.late) AS late, count(*) AS n_rows, avg(age) AS age, avg(bmi) AS bmi, avg(glucose_level) AS glucose_level
+  FROM c JOIN n ON r <= hi AND r > greatest(lo - 101, 0) GROUP BY hi HAVING count(*) >= 100)
+SELECT hi AS row_no, t_ms, n_rows, late AS late_data_count, round(late / hi, 6) AS late_data_ratio, round({_shift_of("m")}, 6) AS drift_score,
+  {_shift_of("m")} > 0.2 AS drift_detected FROM m"""
+
+
+def _watch(spark, sf_dir, **options):
+    out = D.drift_watch(vitals(spark, sf_dir), reference(spark, sf_dir), ["age", "bmi", "glucose_level"], **options)
+    return out.withColumns({c: F.round(c, 6) for c in ("drift_score", "late_data_ratio")})
+
+
+@query("drift_watch", "vitals reference", _WATCH_SQL.format(timer=5 * DAY_MS))
+def _drift_watch(spark, sf_dir):
+    """Both triggers act: some 1,700 rows arrive between two ticks of the timer."""
+    return _watch(spark, sf_dir, timer_ms=5 * DAY_MS)
+
+
+@query("drift_watch_sparse", "vitals reference", _WATCH_SQL.format(timer=DAY_MS // 4))
+def _drift_watch_sparse(spark, sf_dir):
+    """Fewer rows come between two ticks than are carried over."""
+    return _watch(spark, sf_dir, timer_ms=DAY_MS // 4, rows_per_chunk=SMALL_CHUNK)
+
+
 _DAILY_DRIFT = f"""
 SELECT t_ms, n_rows, round({_shift_of("m")}, 6) AS drift_score, {_shift_of("m")} > 0.2 AS drift_detected
 FROM (SELECT event_ms // 86400000 * 86400000 AS t_ms, count(*) AS n_rows, avg(age) AS age, avg(bmi) AS bmi, avg(glucose_level) AS glucose_level

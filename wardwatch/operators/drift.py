@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardwatch.functions.scores import relative_change
+from wardwatch.operators.lateness import late_flag
 from wardwatch.operators.ordered import ROWS_PER_CHUNK, Scan, ordered_scan
 from wardwatch.operators.quantiles import percentiles
 from wardwatch.session import ship, stage
@@ -30,6 +31,7 @@ P_VALUE_LIMIT = 0.05
 STD_FLOOR = 0.001
 SHARE_FLOOR = 1e-4
 WINDOW_ROWS, WINDOW_CARRY, WINDOW_MIN_ROWS = 1000, 100, 100
+WATCH_TIMER_MS = 60_000
 
 NEVER_COMPARED = ("patient_id",)
 
@@ -129,6 +131,47 @@ def count_windows(df: DataFrame, size: int = WINDOW_ROWS, carry: int = WINDOW_CA
     return numbered.withColumn("window_no", F.explode(F.sequence(first, last)))
 
 
+def drift_watch(
+    df: DataFrame,
+    reference: DataFrame | dict,
+    columns: Sequence[str],
+    timer_ms: int = WATCH_TIMER_MS,
+    size: int = WINDOW_ROWS,
+    carry: int = WINDOW_CARRY,
+    at_least: int = WINDOW_MIN_ROWS,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+) -> DataFrame:
+    """What a watcher finds that checks after `size` rows or when its timer runs out, whichever comes first.
+
+    Rows come in order of arrival and the timer runs out at every multiple of `timer_ms`. A check sees the
+    rows since the one before and the last `carry` rows before these, and says nothing below `at_least`
+    rows; the last rows are checked too. Beside the drift it gives the share of late rows so far.
+
+    Nothing is gathered by check: sums over a run of rows are differences of two running sums.
+    """
+    scans = {"row_no": Scan("count"), "late_data_count": Scan("sum", late_flag().cast("bigint"))}
+    for c in columns:
+        scans |= {f"_sum_{c}": Scan("sum", F.coalesce(known(F.col(c).cast("double")), F.lit(0.0))), f"_n_{c}": Scan("sum", known(c).isNotNull().cast("bigint"))}
+    rows = df.select("arrival_ms", "event_ms", "event_id", *[c for c in columns if c not in ("arrival_ms", "event_ms", "event_id")])
+    sums = stage(ordered_scan(rows, [], ["arrival_ms", "event_id"], scans, rows_per_chunk), "drift-watch")
+    cells = sums.select("row_no", "arrival_ms", F.floor(F.col("arrival_ms") / timer_ms).alias("_cell"))
+    begun = cells.groupBy("_cell").agg(F.min("row_no").alias("_first"))
+    part = F.floor((F.col("row_no") - F.col("_first")) / (size - carry))
+    checks = cells.join(begun, "_cell").groupBy("_cell", part.alias("_part")).agg(F.min("row_no").alias("_from"), F.max("row_no").alias("row_no"))
+    checks = checks.withColumn("_out", F.greatest(F.col("_from") - 1 - carry, F.lit(0))).withColumn("n_rows", F.col("row_no") - F.col("_out"))
+    names = [n for c in columns for n in (f"_sum_{c}", f"_n_{c}")]
+    before = sums.select(F.col("row_no").alias("_out"), *[F.col(n).alias(f"{n}_out") for n in names])
+    joined = min_rows(checks, at_least).join(sums, "row_no").join(before, "_out", "left")
+
+    def inside(name: str) -> Column:
+        return F.col(name) - F.coalesce(F.col(f"{name}_out"), F.lit(0))
+
+    means = [F.try_divide(inside(f"_sum_{c}"), inside(f"_n_{c}")).alias(c) for c in columns]
+    ratio = F.col("late_data_count") / F.col("row_no")
+    seen = joined.select("row_no", F.col("arrival_ms").alias("t_ms"), "n_rows", "late_data_count", ratio.alias("late_data_ratio"), *means)
+    return score_window_means(seen, ["row_no", "t_ms", "late_data_count", "late_data_ratio"], reference, columns)
+
+
 def value_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins: int | None = None) -> DataFrame:
     """Rows `(column, value, ref_n, cur_n)` over the merged values of numeric columns; nulls and NaNs are skipped.
 
