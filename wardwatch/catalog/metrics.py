@@ -13,7 +13,8 @@ from wardwatch.operators.drift import mean_shift_drift
 from wardwatch.operators.lateness import late_counts, late_ratio
 from wardwatch.operators.reconcile import metric_or
 from wardwatch.operators.scoring import RISK_FACTOR_MODEL, score_vitals
-from wardwatch.sinks.tables import as_metrics
+from wardwatch.session import work_dir
+from wardwatch.sinks.tables import as_metrics, emit_metrics, read_metrics
 
 _LATENCIES = """round(coalesce(quantile_cont(latency_ms, 0.5) FILTER (status = 'success'), 0), 6) AS p50_ms,
   round(coalesce(quantile_cont(latency_ms, 0.95) FILTER (status = 'success'), 0), 6) AS p95_ms,
@@ -209,8 +210,10 @@ def _emit_metrics(spark, sf_dir):
     late = as_metrics(late_ratio(late_counts(rows)), ["total_data_count", "late_data_count", "late_data_ratio"], "vitals", F.lit(at))
     drift = mean_shift_drift(reference(spark, sf_dir), current(spark, sf_dir), ["bmi"])
     drift = drift.select(F.col("drift_score").alias("data_drift_score"), F.col("drift_detected").cast("int").alias("data_drift_detected"))
-    both = late.unionByName(as_metrics(drift, drift.columns, "data_drift", F.lit(at)))
-    return both.select("metric", F.col("labels")["job"].alias("job"), "ts_ms", r6("value", "value"))
+    path = work_dir(spark, "metrics")
+    emit_metrics(late, path)
+    emit_metrics(as_metrics(drift, drift.columns, "data_drift", F.lit(at)), path)
+    return read_metrics(spark, path).select("metric", F.col("labels")["job"].alias("job"), "ts_ms", r6("value", "value"))
 
 
 _SPLIT_SQL = """

@@ -23,7 +23,7 @@ from wardwatch.operators.training import label_rate, prepare_training
 from wardwatch.plans.pipeline import destination_summary
 from wardwatch.plans.sql_functions import register_scoring_functions
 from wardwatch.schemas import FEATURE_ORDER, columns
-from wardwatch.sources.vitals import arrival_timestamp, event_time_error, parse_vitals
+from wardwatch.sources.vitals import arrival_timestamp, event_time_error, parse_vitals, with_arrival
 
 
 @query(
@@ -61,7 +61,9 @@ def _parse_vitals(spark, sf_dir):
     "SELECT event_id, strftime(make_timestamp_ms(arrival_ms), '%Y-%m-%d %H:%M:%S') AS arrival, arrival_ms % 1000 AS arrival_part FROM vitals",
 )
 def _with_arrival(spark, sf_dir):
-    rows = arrival_timestamp(vitals(spark, sf_dir))
+    """The arrival as a source's timestamp column, and back."""
+    sent = arrival_timestamp(vitals(spark, sf_dir)).withColumnRenamed("arrival_time", "sent_at").drop("arrival_ms")
+    rows = arrival_timestamp(with_arrival(sent, "sent_at"))
     text = F.date_format("arrival_time", "yyyy-MM-dd HH:mm:ss").alias("arrival")
     return rows.select("event_id", text, (F.unix_millis("arrival_time") % 1000).alias("arrival_part"))
 
