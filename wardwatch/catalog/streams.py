@@ -12,7 +12,7 @@ from wardwatch.fixtures import as_vitals, events, reference, vitals
 from wardwatch.operators.history import DAY_MS
 from wardwatch.operators.scoring import score_request
 from wardwatch.session import work_dir
-from wardwatch.sinks.snapshots import read_version
+from wardwatch.sinks.snapshots import read_keyed
 from wardwatch.sinks.tables import latest_revision
 from wardwatch.streaming import queries as S
 from wardwatch.streaming.state import patient_state_stream, use_rocksdb
@@ -86,7 +86,21 @@ def _features_stream(spark, sf_dir):
     base = work_dir(spark, "features")
     paths = S.ScoringPaths(f"{base}/predictions", f"{base}/dead-letters", f"{base}/features", f"{base}/history")
     S.run_available(_vitals_stream(spark, sf_dir), S.scoring_writer(paths), f"{base}/checkpoint")
-    return read_version(spark, paths.features, S.FEATURES).withColumn("risk_score", F.round("risk_score", 6))
+    return S.live_features(spark, paths.features).withColumn("risk_score", F.round("risk_score", 6))
+
+
+@query(
+    "history_stream",
+    "judged",
+    """
+SELECT patient_id, event_id, event_ms, round(risk, 6) AS risk_score, anomaly FROM judged WHERE error IS NULL
+QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY event_ms DESC, event_id DESC) <= 20""",
+)
+def _history_stream(spark, sf_dir):
+    base = work_dir(spark, "history")
+    paths = S.ScoringPaths(f"{base}/predictions", f"{base}/dead-letters", history=f"{base}/history")
+    S.run_available(_vitals_stream(spark, sf_dir), S.scoring_writer(paths, keep=20), f"{base}/checkpoint")
+    return read_keyed(spark, paths.history, S.HISTORY).withColumn("risk_score", F.round("risk_score", 6))
 
 
 @query("patient_state_stream", "judged", _DELTA_SQL.format(ttl=DAY_MS))

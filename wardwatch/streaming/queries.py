@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -14,7 +14,7 @@ from wardwatch.operators.drift import min_rows, reference_means, score_window_me
 from wardwatch.operators.history import DAY_MS, HOUR_MS, feature_rows, latest_per_patient, recent_history, upsert_features, vitals_delta
 from wardwatch.operators.lateness import lateness_tiers, newest_by_source
 from wardwatch.operators.scoring import RISK_FACTOR_MODEL, RiskModel, dead_letter, score_request, successful_only
-from wardwatch.sinks.snapshots import read_version, update_version
+from wardwatch.sinks.snapshots import read_keyed, read_version, update_keyed, update_version
 from wardwatch.sinks.tables import write_batch
 from wardwatch.streaming.windows import ALLOWED_DELAY, CODED_DELAY, window_means, with_watermark
 
@@ -65,7 +65,8 @@ class ScoringPaths:
 def scoring_writer(paths: ScoringPaths, model: RiskModel = RISK_FACTOR_MODEL, ttl_ms: int = DAY_MS, keep: int = 100) -> Batch:
     """Score a batch; good rows go to predictions and history, bad rows to the dead letters.
 
-    Expiry is judged by the newest event seen, so a replay expires what the first run did. Events far
+    A batch rewrites only the buckets of its patients. Expired rows go when their bucket is rewritten, and
+    `live_features` leaves out those that are still there, judged by the newest event seen. Events far
     ahead of their arrival are dead letters, so no clock but the receiver's own moves the expiry.
     """
 
@@ -77,17 +78,11 @@ def scoring_writer(paths: ScoringPaths, model: RiskModel = RISK_FACTOR_MODEL, tt
             spark = batch.sparkSession
             fresh = feature_rows(scored)
             if paths.features:
-                newest = fresh.agg(F.max("event_ms")).first()[0]
-
-                def merge_features(old: DataFrame) -> DataFrame:
-                    before = old.agg(F.max("event_ms")).first()[0]
-                    now = max((t for t in (newest, before) if t is not None), default=0)
-                    return upsert_features(old, fresh, now, ttl_ms)
-
-                update_version(spark, paths.features, FEATURES, batch_id, merge_features)
+                newest = fresh.agg(F.max("event_ms")).first()[0] or 0
+                update_keyed(spark, paths.features, FEATURES, batch_id, fresh, "patient_id", lambda old: upsert_features(old, fresh, newest, ttl_ms))
             if paths.history:
-                update_version(
-                    spark, paths.history, HISTORY, batch_id, lambda old: recent_history(old.unionByName(fresh), keep).drop("position")
+                update_keyed(
+                    spark, paths.history, HISTORY, batch_id, fresh, "patient_id", lambda old: recent_history(old.unionByName(fresh), keep).drop("position")
                 )
         finally:
             scored.unpersist()
@@ -95,6 +90,13 @@ def scoring_writer(paths: ScoringPaths, model: RiskModel = RISK_FACTOR_MODEL, tt
     return write
 
 
+def live_features(spark: SparkSession, path: str, ttl_ms: int = DAY_MS) -> DataFrame:
+    """The newest features of each patient, without those that have expired by the newest event seen."""
+    table = read_keyed(spark, path, FEATURES)
+    newest = table.agg(F.max("event_ms")).first()[0] or 0
+    return table.where(F.lit(newest) - F.col("event_ms") < ttl_ms)
+
+
 def lateness_writer(main: str, side: str, seen: str) -> Batch:
     """Split a batch by how late its rows are; the newest event per source is kept between batches."""
 
@@ -141,12 +143,12 @@ def delta_writer(changes: str, state: str, model: RiskModel = RISK_FACTOR_MODEL,
         spark = batch.sparkSession
         rows = readings(score_request(batch, model)).dropDuplicates(["patient_id", "event_ms", "event_id"]).persist()
         try:
-            before = read_version(spark, state, READINGS, before=batch_id)
+            before = read_keyed(spark, state, READINGS, before=batch_id).join(rows.select("patient_id").distinct(), "patient_id", "left_semi")
             both = rows.withColumn("_stored", F.lit(False)).unionByName(before.withColumn("_stored", F.lit(True)))
             write_batch(vitals_delta(both, ttl_ms).where(~F.col("_stored")).drop("_stored", "features"), changes, batch_id)
             good = successful_only(rows)
             # One row per patient; whether it has expired is judged by the patient's own next reading.
-            update_version(spark, state, READINGS, batch_id, lambda old: latest_per_patient(old.unionByName(good)))
+            update_keyed(spark, state, READINGS, batch_id, good, "patient_id", lambda old: latest_per_patient(old.unionByName(good)))
         finally:
             rows.unpersist()
 
