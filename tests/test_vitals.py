@@ -102,9 +102,9 @@ def test_cells(spark):
 
 
 BAD_AND_GOOD = [
-    '{"invalid":"data"}',
-    '{"patient_id":999,"age":"invalid"}',
-    "invalid json",
+    '{"bmi":24.5,"ward":"B7"}',
+    '{"patient_id":"x-41","age":{"years":50},"gender":"Male"}',
+    "{patient_id: 7",
     "[]",
     '"text"',
     '{"patient_id":1,"age":50,"blood_pressure":"130/72","bmi":31.5,"timestamp":1700000000000}',
@@ -119,7 +119,7 @@ def test_json_with_bad_rows(spark):
     rows = {(r.patient_id, r.event_ms): r.error for r in scored.collect()}
     assert rows == {
         (None, None): "missing_event_time",
-        ("999", None): "missing_event_time",
+        ("x-41", None): "missing_event_time",
         ("1", 1700000000000): None,
         ("2", 1700000000001): None,
         ("3", None): "missing_event_time",
@@ -129,7 +129,7 @@ def test_json_with_bad_rows(spark):
 def test_wrong_type_is_null_and_reported_as_missing(spark):
     raw = spark.createDataFrame([(t,) for t in BAD_AND_GOOD[:3]], "value STRING")
     errors = {r.patient_id: r.error for r in score_request(parse_vitals(raw)).collect()}
-    assert errors == {None: "Missing required field: patient_id", "999": "Missing required field: age"}
+    assert errors == {None: "Missing required field: patient_id", "x-41": "Missing required field: age"}
 
 
 def test_coerce_numeric(spark):

@@ -46,7 +46,7 @@ def anomaly_flag(risk: Column, systolic: Column, diastolic: Column, bmi: Column)
 
 
 def risk_factor_logit(age: Column, systolic: Column, diabetes: Column, hypertension: Column, medication: Column, bmi: Column) -> Column:
-    """Weighted sum of the known risk factors."""
+    """Weighted sum of the known risk factors. The weights, which `RISK_FACTOR_MODEL` has too."""
     obese = F.when(bmi > 30, F.lit(0.15)).otherwise(F.lit(0.0))
     return age * 0.01 + systolic * 0.005 + diabetes * 0.3 + hypertension * 0.2 + medication * 0.05 + obese
 

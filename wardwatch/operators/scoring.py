@@ -58,9 +58,16 @@ RISK_FACTOR_MODEL = RiskModel(
 )
 
 
-def score_vitals(df: DataFrame, model: RiskModel = RISK_FACTOR_MODEL, policy: str = "service", bp_policy: str = "default") -> DataFrame:
-    """Add `features`, `risk_score`, `anomaly` and `error`. A row in error scores 0 and is no anomaly."""
+def score_vitals(
+    df: DataFrame, model: RiskModel = RISK_FACTOR_MODEL, policy: str = "service", bp_policy: str = "default", timed: bool = False
+) -> DataFrame:
+    """Add `features`, `risk_score`, `anomaly` and `error`. A row in error scores 0 and is no anomaly.
+
+    With `timed`, an event time that is missing or far ahead of the arrival is an error too.
+    """
     ready = featurize(df, policy, bp_policy)
+    if timed:
+        ready = event_time_error(ready)
     ok = F.col("error").isNull()
     f = F.col("features")
     scored = ready.withColumn("risk_score", F.when(ok, sigmoid(model.logit(f))).otherwise(F.lit(0.0)))
@@ -73,9 +80,7 @@ def score_request(df: DataFrame, model: RiskModel = RISK_FACTOR_MODEL) -> DataFr
 
     An event without a time, or with one far ahead of its arrival, is an error too, so no path can skip that.
     """
-    if "event_ms" in df.columns:
-        df = event_time_error(df)
-    scored = score_vitals(df, model, "service", "reject")
+    scored = score_vitals(df, model, "service", "reject", timed="event_ms" in df.columns)
     version = F.when(F.col("error").isNull(), F.lit(model.version))
     return scored.withColumn("model_version", version)
 

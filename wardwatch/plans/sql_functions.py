@@ -39,6 +39,8 @@ def _logit(model: RiskModel) -> str:
 def register_scoring_functions(spark: SparkSession, model: RiskModel = RISK_FACTOR_MODEL, name: str = "predict_patient_risk_json") -> None:
     """Register `name(patient_id, age, glucose_level, blood_pressure, bmi, ts)`, which gives the prediction as JSON.
 
+    Fixed value: the default name, by which existing SQL calls the function.
+
     Features the arguments do not hold take the fixed values of the `vitals_only` policy. A row
     that cannot be scored gives `{patient_id, error, timestamp}`.
     """

@@ -22,7 +22,14 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "wardwatch", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(app: str = "wardwatch", master: str | None = None, parallelism: int | None = None, **conf: str) -> SparkSession:
+    """A session with the library's settings.
+
+    `parallelism` is the number of shuffle partitions. A stream keeps the one that its first checkpoint
+    was written with, so it is set before.
+    """
+    if parallelism is not None:
+        conf["spark.sql.shuffle.partitions"] = str(parallelism)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
