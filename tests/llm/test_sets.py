@@ -38,7 +38,9 @@ def simhash_of(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def test_simhash(crowded, edge_rows):
+@pytest.mark.parametrize("hot", [simhash.HOT_BLOCK, 0, 2])
+def test_simhash(crowded, edge_rows, monkeypatch, hot):
+    monkeypatch.setattr(simhash, "HOT_BLOCK", hot)
     fps = [simhash_of(t) for _, t, *_ in edge_rows]
     groups = components(fps)
     least = {}
@@ -73,7 +75,9 @@ def test_trie_pairs(shared):
     assert got == wanted and len(left) == len(wanted)
 
 
-def test_long_chain_is_one_component(spark):
+@pytest.mark.parametrize("hot", [simhash.HOT_BLOCK, 5])
+def test_long_chain_is_one_component(spark, monkeypatch, hot):
+    monkeypatch.setattr(simhash, "HOT_BLOCK", hot)
     chain = [0]
     for i in range(60):
         chain.append(chain[-1] ^ (1 << i))

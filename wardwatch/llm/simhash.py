@@ -4,7 +4,8 @@ Fingerprints at most `budget` bits apart are linked. Cut into `budget + 1` block
 agree in at least one whole block. So each distinct fingerprint is put, once per block, under the trie
 whose path from the root begins with that block, and a partition joins its tries with themselves: pairs
 of nodes go down together, bit by bit, adding up the bits in which their paths differ, and a pair over the
-budget is dropped with all that lies below it. All pairs of one depth are handled as arrays.
+budget is dropped with all that lies below it. All pairs of one depth are handled as arrays. A block that
+very many fingerprints share is dealt out by the bits that follow it.
 
 What is shuffled is distinct fingerprints with their smallest id, never documents, so a group of exact
 copies is one row after map-side aggregation. A fingerprint has at most 64 + 2016 others within two bits,
@@ -38,6 +39,8 @@ SEED = 42
 LAST_ID = (1 << 63) - 1
 WIDTH = 3
 BUDGET = 2
+#: Fingerprints under one block above which they are dealt out by the bits after it, and how many bits.
+HOT_BLOCK, MORE_BITS = 100_000, 8
 #: Words of a text that are hashed and counted at a time.
 WORDS_AT_ONCE = 50_000
 
@@ -145,15 +148,25 @@ def trie_links(fps: DataFrame, budget: int = BUDGET) -> DataFrame:
         table = pa.Table.from_batches(held)
         spins, keys = table["spin"].to_numpy(), table["key"].to_numpy().view(np.uint64)
         for spin in np.unique(spins):
-            own = np.sort(keys[spins == spin])
+            own = np.unique(keys[spins == spin])
             moved, low = forest(len(own), *trie_pairs(own, narrow, budget))
             by = np.uint64(spin)
             back = (own >> by) | (own << np.uint64(64 - spin)) if spin else own
             back = back.view(np.int64)
             yield pa.record_batch([pa.array(back[moved]), pa.array(back[low])], ["left", "right"])
 
-    parts = keyed.repartition("spin", F.shiftrightunsigned("key", 64 - narrow))
-    return map_arrow(parts, run, "left bigint, right bigint")
+    keyed = keyed.withColumn("block", F.shiftrightunsigned("key", 64 - narrow))
+    crowded = keyed.groupBy("spin", "block").count().where(F.col("count") > HOT_BLOCK).select("spin", "block")
+    crowded = stage(crowded, "simhash-crowded")
+    # Under a crowded block, the next bits of two that are linked differ in no more than the budget: each goes to
+    # its own value of these bits and to all values so near.
+    near = [m for m in range(1 << MORE_BITS) if m.bit_count() <= budget]
+    after = F.shiftrightunsigned("key", 64 - narrow - MORE_BITS).bitwiseAND(F.lit((1 << MORE_BITS) - 1))
+    dealt = keyed.join(crowded, ["spin", "block"], "left_semi")
+    dealt = dealt.withColumn("more", F.explode(F.transform(F.array(*[F.lit(m) for m in near]), lambda m: after.bitwiseXOR(m.cast("long")))))
+    parts = keyed.join(crowded, ["spin", "block"], "left_anti").withColumn("more", F.lit(-1).cast("long")).unionByName(dealt)
+    met = parts.repartition("spin", "block", "more").select("spin", "key")
+    return map_arrow(met, run, "left bigint, right bigint")
 
 
 def components(links: DataFrame, least_id: DataFrame) -> DataFrame:
