@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -19,8 +18,6 @@ ROWS_AT_ONCE = "500"
 #: Bytes of text that are turned into arrays at a time.
 BYTES_AT_ONCE = 1 << 20
 
-_SPACES = re.compile(rb"[\x20\x09-\x0d]+")
-
 
 def bounded_batches(df: DataFrame) -> DataFrame:
     """Set the session's Arrow batches to a size that long texts allow."""
