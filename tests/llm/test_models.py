@@ -120,6 +120,19 @@ def test_language_model(crowded, edge_rows, monkeypatch, chunk):
         assert tuple(a)[4:] == pytest.approx(b[4:], rel=1e-9, abs=1e-9)
 
 
+@pytest.mark.parametrize("share", [3e-3, 0.05, 1.0])
+def test_language_model_keeps_pairs_of_rare_words(crowded, edge_rows, monkeypatch, share):
+    """Scores are those of the definition, however few words are frequent enough for every task to know."""
+    monkeypatch.setattr(language_model, "SHARE", share)
+    monkeypatch.setattr(language_model, "HOT_SHARE", 10 * share)
+    crc = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 10 != 0
+    got = language_model.score_documents(crowded, languages.remainder("doc_id", 10) != 0).collect()
+    order = lambda r: (r[0] is None, r[0] or 0, r[1], round(r[5], 6))
+    for a, b in zip(sorted(got, key=order), sorted(katz(edge_rows, crc), key=order), strict=True):
+        assert tuple(a)[:4] == b[:4]
+        assert tuple(a)[4:] == pytest.approx(b[4:], rel=1e-9, abs=1e-9)
+
+
 def test_language_model_without_rows(edge_docs, no_docs):
     assert language_model.score_documents(no_docs, F.lit(True)).collect() == []
     got = language_model.score_documents(edge_docs, F.lit(False)).collect()

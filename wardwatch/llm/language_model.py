@@ -6,11 +6,15 @@ unknown word. The backoff weight of each word is computed so that its probabilit
 log p(w | h) is that of the discounted pair where the pair is in the table, else weight(h) times p(w), and
 p(w) in turn that of the discounted word or the unknown one.
 
-Pairs are kept of words that make up at least `SHARE` of the training tokens, so there are at most
-1 / SHARE such words and they can be sent to every task; rarer ones back off. Three passes over the texts:
+All pairs are kept, whatever their counts. Words that make up at least `SHARE` of the training tokens (at
+most 1 / SHARE, and the end) are frequent: every task knows them, and they have short numbers. Rare ones
+are known only in their partitions. Three passes over the texts:
 
 1. Words are counted, chunk by chunk, and the counts added up in partitions by hash (a stored table).
-2. Pairs are counted in the same way (a stored table). Per first word only sums go to the driver.
+2. Pairs are counted in the same way (a stored table): pairs of two frequent words by the pair, those with a
+   rare second word where that word's count is, other ones where their first word's count is. Pairs of two
+   rare words then move to their first word, with the second one's count (a stored table). Per frequent
+   first word sums go to the driver; the backoff weights of rare ones are found in their partitions.
 3. Texts are scored. Frequent words and the few most frequent pairs are scored on the spot. For the others
    each chunk sends to the partition that has their counts which texts hold them, and sums by text come
    back. What is sent of one word or pair is bounded by the shares below, so no partition is hot.
@@ -36,14 +40,14 @@ from wardwatch.session import ship
 
 ship(__name__)
 
-#: Least share of the training tokens of a word with pairs, and of a pair that is scored on the spot.
+#: Least share of the training tokens of a word that every task knows, and of a pair that is scored on the spot.
 SHARE, HOT_SHARE = 2e-6, 2e-5
 #: Counts up to this are discounted.
 K = 5
 CHUNK_BYTES = 8 << 20
-#: Stands for the end of a text; words' hashes are never so small.
+#: Stands for the end of a text; words' hashes are never so small, nor as small as numbers of frequent words.
 END = np.uint64(1)
-LEAST_HASH = np.uint64(16)
+LEAST_HASH = np.uint64(1 << 24)
 
 
 def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -113,6 +117,73 @@ def _read_counts(n: int, keys: bytes, counts: bytes) -> tuple[np.ndarray, np.nda
 
 
 COUNTS = "bucket int, n int, keys binary, counts binary"
+#: Kinds of rows: sums of texts, words, pairs of frequent words, pairs kept with their rare second or rare
+#: first word, pairs moved to their first word, sums of frequent first words; and occurrences of rare pairs.
+DIRECT, WORD, PAIR, BY_SECOND, BY_FIRST, MOVED, SUMS, RARE = range(8)
+PAIR_COUNTS = "bucket int, kind int, n int, keys binary, others binary, counts binary, seconds binary"
+_PAIR_TYPES = (pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 4)
+_PAIR_NAMES = ["bucket", "kind", "n", "keys", "others", "counts", "seconds"]
+
+
+def _pair_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[]] * len(_PAIR_NAMES)
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, _PAIR_TYPES)], _PAIR_NAMES)
+
+
+def _pair_rows(kind: int, keys: np.ndarray, others: np.ndarray, counts: np.ndarray, buckets: int, seconds: np.ndarray | None = None) -> list[tuple]:
+    """A row for each bucket of what is in order of keys."""
+    bucket = _bucket(keys, buckets)
+    order = np.argsort(bucket, kind="stable")
+    edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    return [_pair_row(b, kind, *(x[order[lo:hi]] for x in (keys, others, counts)), None if seconds is None else seconds[order[lo:hi]]) for b, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]
+
+
+def _pair_row(bucket: int, kind: int, keys: np.ndarray, others: np.ndarray, counts: np.ndarray, seconds: np.ndarray | None = None) -> tuple:
+    packed = None if kind == PAIR else _squeeze(others)
+    return bucket, kind, len(keys), _squeeze(np.diff(keys, prepend=np.uint64(0))), packed, _squeeze(counts), None if seconds is None else _squeeze(seconds)
+
+
+def _read_pairs(n: int, keys: bytes, others: bytes | None, counts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    keys, counts = _read_counts(n, keys, counts)
+    return keys, np.zeros(n, np.uint64) if others is None else _expand(others, n, np.uint64), counts
+
+
+def _summed(kind: int, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of equal keys and others, added up, in order."""
+    keys, others, counts = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(keys) if kind == PAIR else np.lexsort((others, keys))
+    keys, others, counts = keys[order], others[order], counts[order]
+    first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (others[1:] != others[:-1])][: len(keys)])
+    return keys[first], others[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _add_up_pairs(sent: DataFrame, buckets: int) -> DataFrame:
+    """The pair rows of all chunks, added up: a row for each bucket and kind."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], list] = {}
+        for batch in batches:
+            for bucket, kind, n, keys, others, counts, _ in zip(*(c.to_pylist() for c in batch.columns)):
+                own = held.setdefault((bucket, kind), [])
+                own.append(_read_pairs(n, keys, others, counts))
+                if sum(len(p[0]) for p in own) > 2 * len(own[0][0]) + 1_000_000:
+                    held[bucket, kind] = [_summed(kind, own)]
+        for (bucket, kind), own in held.items():
+            yield _pair_batch([_pair_row(bucket, kind, *_summed(kind, own))])
+
+    return map_arrow(sent.repartition(buckets, "bucket"), run, PAIR_COUNTS)
+
+
+def _pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix64(mix64(first) * np.uint64(0x9E3779B97F4A7C15) + second)
+
+
+def _found(keys: np.ndarray, held: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The value of each key, 0 where it is not held; `held` is in order."""
+    if not len(held):
+        return np.zeros(len(keys), values.dtype)
+    place = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+    return np.where(held[place] == keys, values[place], values.dtype.type(0))
 
 
 def _add_up(sent: DataFrame, buckets: int) -> DataFrame:
@@ -217,10 +288,10 @@ def word_model(table: DataFrame) -> Words:
     least = max(1, int(np.ceil(SHARE * got.total)))
 
     def frequent(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        keep = counts >= least
+        keep = (counts >= least) | (keys == END)
         return pa.record_batch([pa.array(keys[keep].view(np.int64)), pa.array(counts[keep])], ["key", "n"])
 
-    top = _summaries(table, frequent, "key bigint, n bigint").toArrow()  # at most 1 / SHARE rows
+    top = _summaries(table, frequent, "key bigint, n bigint").toArrow()  # at most 1 / SHARE rows and the end's
     keys, counts = top["key"].to_numpy().view(np.uint64), top["n"].to_numpy()
     order = np.argsort(keys)
     unknown = np.log10(freed / got.total) if got.total else 0.0
@@ -228,24 +299,65 @@ def word_model(table: DataFrame) -> Words:
 
 
 def count_pairs(docs: DataFrame, words: Words, buckets: int) -> DataFrame:
-    """Pairs of frequent words as first * (n + 1) + second; first is n at the begin of a text."""
+    """All pairs. Those of frequent words as first * (n + 1) + second; first is n at the begin of a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, _ in _chunks(batches, 0):
             tokens, at = _all_tokens(texts)
-            first, second = _pair_parts(words.number(tokens), at, len(words.keys))
-            both = (first >= 0) & (second >= 0)
-            keys, counts = np.unique(first[both].astype(np.uint64) * np.uint64(len(words.keys) + 1) + second[both].astype(np.uint64), return_counts=True)
-            yield _count_rows(keys, counts.astype(np.int64), buckets)
-
-    return written(_add_up(map_arrow(docs.select("text"), run, COUNTS), buckets), "model-pairs")
-
-
-def _pair_parts(number: np.ndarray, at: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
-    first = np.empty_like(number)
-    first[1:] = number[:-1]
-    first[at[:-1]] = begin
-    return first, number
+            first, second, rare_first, rare_second = _pair_parts(tokens, words, at)
+            both = ~(rare_first | rare_second)
+            keys, counts = np.unique(first[both] * np.uint64(len(words.keys) + 1) + second[both], return_counts=True)
+            rows = _pair_rows(PAIR, keys, keys, counts.astype(np.int64), buckets)
+            for kind, some, owner, other in ((BY_SECOND, rare_second, second, first), (BY_FIRST, rare_first & ~rare_second, first, second)):
+                rows += _pair_rows(kind, *_summed(kind, [(owner[some], other[some], np.ones(some.sum(), np.int64))]), buckets)
+            yield _pair_batch(rows)
+
+    return written(_add_up_pairs(map_arrow(docs.select("text"), run, PAIR_COUNTS), buckets), "model-pairs")
+
+
+def _pair_parts(tokens: np.ndarray, words: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and second of each pair, as numbers of frequent words and hashes of rare ones, and which are rare."""
+    number = words.number(tokens)
+    rare_second = number < 0
+    second = np.where(rare_second, tokens, number.astype(np.uint64))
+    first, rare_first = np.empty_like(second), np.empty_like(rare_second)
+    first[1:], rare_first[1:] = second[:-1], rare_second[:-1]
+    first[at[:-1]], rare_first[at[:-1]] = len(words.keys), False
+    return first, second, rare_first, rare_second
+
+
+_SUMS = ["first", *[f"n{r}" for r in range(1, K + 3)], "seen", "p"]
+
+
+def _first_sums(first: np.ndarray, counts: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words, and of each how many pairs occur 1 to K + 1 times, the tokens of the more frequent, all, and the seconds' p."""
+    met, place = np.unique(first, return_inverse=True)
+    columns = [np.bincount(place, counts == r, len(met)) for r in range(1, K + 2)]
+    columns += [np.bincount(place, np.where(counts > K, counts, 0), len(met)), np.bincount(place, counts, len(met)), np.bincount(place, p, len(met))]
+    return met.astype(np.int64), np.stack(columns)
+
+
+def move_pairs(counted: DataFrame, table: DataFrame, words: Words, buckets: int) -> DataFrame:
+    """Pairs of two rare words in the partition of their first one, with the count of the second; and sums of the
+    pairs with a rare second word by frequent first word (-1 stands for all rare ones)."""
+
+    def run(pairs: pa.Table, known: pa.Table) -> pa.Table:
+        held = _merged([(np.empty(0, np.uint64), np.empty(0, np.int64)), *(_read_counts(*r) for r in zip(*(known[c].to_pylist() for c in ("n", "keys", "counts"))))])
+        rows = []
+        for bucket, n, keys, others, counts in zip(*(pairs[c].to_pylist() for c in ("bucket", "n", "keys", "others", "counts"))):
+            second, first, counts = _read_pairs(n, keys, others, counts)
+            seconds = _found(second, *held)
+            rare = first >= LEAST_HASH
+            met, sums = _first_sums(np.where(rare, -1, first.astype(np.int64)), counts, np.where(rare, 0.0, 10 ** words.log_p(seconds)))
+            rows.append((bucket, SUMS, len(met), _squeeze(met), _squeeze(sums), None, None))
+            order = np.flatnonzero(rare)
+            order = order[np.argsort(first[order], kind="stable")]
+            rows += _pair_rows(MOVED, first[order], second[order], counts[order], buckets, seconds[order])
+        return pa.Table.from_batches([_pair_batch(rows)])
+
+    pairs = counted.where(F.col("kind") == BY_SECOND)
+    moved = pairs.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(run, PAIR_COUNTS)
+    return written(moved, "model-moved")
 
 
 @dataclass
@@ -260,26 +372,50 @@ class Pairs:
     def gain(self, keys: np.ndarray, counts: np.ndarray, words: Words) -> np.ndarray:
         """What a pair in the table adds to the score of backing off."""
         first, second = (keys // np.uint64(len(words.keys) + 1)).astype(np.int64), (keys % np.uint64(len(words.keys) + 1)).astype(np.int64)
-        kept = counts * np.where(counts <= K, self.discount[np.minimum(counts, K)], 1.0) * self.scale[first]
-        return np.log10(kept / self.first_counts[first]) - self.log_weight[first] - words.log_p(words.counts)[second]
+        return self.gain_of(first, counts, words.log_p(words.counts)[second])
+
+    def kept(self, counts: np.ndarray) -> np.ndarray:
+        return counts * np.where(counts <= K, self.discount[np.minimum(counts, K)], 1.0)
+
+    def gain_of(self, first: np.ndarray, counts: np.ndarray, log_p: np.ndarray) -> np.ndarray:
+        """The same for frequent first words by their number."""
+        return np.log10(self.kept(counts) * self.scale[first] / self.first_counts[first]) - self.log_weight[first] - log_p
+
+    def rare_firsts(self, first: np.ndarray, counts: np.ndarray, log_p: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of all pairs of some rare first words, whose counts are `of`: those words, their log weights, and the pairs' gains."""
+        met, begin, place = np.unique(first, return_index=True, return_inverse=True)
+        own, kept = of[begin].astype(float), self.kept(counts)
+        total = np.bincount(place, kept, len(met))
+        scale = np.where(total >= own - 1e-9, 1 - 0.5 / np.maximum(own, 1), 1.0)
+        log_weight = np.log10((1 - total * scale / own) / np.maximum(1e-300, 1 - np.bincount(place, 10**log_p, len(met))))
+        return met, log_weight, np.log10(kept * (scale / own)[place]) - log_weight[place] - log_p
 
 
-def pair_model(table: DataFrame, words: Words, texts: int) -> Pairs:
+def pair_model(counted: DataFrame, moved: DataFrame, words: Words, texts: int) -> Pairs:
     n, p = len(words.keys), 10 ** words.log_p(words.counts)
-    names = ["first", *[f"n{r}" for r in range(1, K + 3)], "seen", "p"]
 
-    def sums(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        first, second = (keys // np.uint64(n + 1)).astype(np.int64), (keys % np.uint64(n + 1)).astype(np.int64)
-        met, place = np.unique(first, return_inverse=True)
-        columns = [np.bincount(place, counts == r, len(met)) for r in range(1, K + 2)]
-        columns += [np.bincount(place, np.where(counts > K, counts, 0), len(met)), np.bincount(place, counts, len(met)), np.bincount(place, p[second], len(met))]
-        return pa.record_batch([pa.array(met), *map(pa.array, columns)], names)
-
-    each = _summaries(table, sums, "first bigint, " + ", ".join(f"{c} double" for c in names[1:]))
-    got = each.groupBy("first").agg(*[F.sum(c).alias(c) for c in names[1:]]).toArrow()  # at most 1 / SHARE + 1 rows
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for kind, m, keys, others, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if kind == SUMS:
+                    met, sums = _expand(keys, m, np.int64), _expand(others, (K + 3) * m + m, np.float64).reshape(-1, m)
+                else:
+                    keys, counts = _read_counts(m, keys, counts)
+                    if kind == PAIR:
+                        met, sums = _first_sums((keys // np.uint64(n + 1)).astype(np.int64), counts, p[(keys % np.uint64(n + 1)).astype(np.int64)])
+                    else:
+                        met, sums = _first_sums(np.full(m, -1), counts, np.zeros(m))
+                yield pa.record_batch([pa.array(met), *map(pa.array, sums)], _SUMS)
+
+    columns = ["kind", "n", "keys", "others", "counts"]
+    rows = counted.where(F.col("kind") != BY_SECOND).select(columns).unionByName(moved.where(F.col("kind") == SUMS).select(columns))
+    sums = map_arrow(rows, each, "first bigint, " + ", ".join(f"{c} double" for c in _SUMS[1:]))
+    got = sums.groupBy("first").agg(*[F.sum(c).alias(c) for c in _SUMS[1:]]).toArrow()  # at most 1 / SHARE + 3 rows
     first = got["first"].to_numpy()
     types = np.stack([got[f"n{r}"].to_numpy() for r in range(1, K + 2)]) if len(first) else np.zeros((K + 1, 0))
     factor = discounts(np.r_[0, types.sum(1)])
+    frequent_first = first >= 0
+    got, first, types = got.filter(pa.array(frequent_first)), first[frequent_first], types[:, frequent_first]
     counts = np.r_[words.counts, texts].astype(float)
     weight, scale = np.ones(n + 1), np.ones(n + 1)
     kept = (types[:K] * (np.arange(1, K + 1) * factor[1:])[:, None]).sum(0) + got[f"n{K + 2}"].to_numpy()
@@ -294,7 +430,7 @@ def pair_model(table: DataFrame, words: Words, texts: int) -> Pairs:
         keep = counts >= least
         return pa.record_batch([pa.array(keys[keep].view(np.int64)), pa.array(counts[keep])], ["key", "n"])
 
-    top = _summaries(table, frequent, "key bigint, n bigint").toArrow()  # at most 1 / HOT_SHARE rows
+    top = _summaries(counted.where(F.col("kind") == PAIR), frequent, "key bigint, n bigint").toArrow()  # at most 1 / HOT_SHARE rows
     keys = top["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     model.hot, model.hot_gain = keys[order], model.gain(keys[order], top["n"].to_numpy()[order], words)
@@ -305,17 +441,17 @@ _SENT = pa.schema([
     ("bucket", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("sizes", pa.binary()), ("texts", pa.binary()), ("rows", pa.binary()), ("m", pa.int32()),
 ])
 _PART = "grp int, kind int, n int, ids binary, a binary, b binary, c binary"
-DIRECT, WORD, PAIR = 0, 1, 2
 
 
-def _occurrences(kind: int, keys: np.ndarray, text: np.ndarray, rids: np.ndarray, buckets: int) -> list[tuple]:
-    """A row for each bucket: keys in order, in how many texts each occurs (with repeats), and in which."""
+def _occurrences(kind: int, keys: np.ndarray, text: np.ndarray, rids: np.ndarray, buckets: int, owner: np.ndarray | None = None) -> list[tuple]:
+    """A row for each bucket (of the keys or their owners): keys in order, in how many texts each occurs (with repeats), and in which."""
     order = np.lexsort((text, keys))
+    owner = (keys if owner is None else owner)[order]
     keys, text = keys[order], text[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
     size = np.diff(np.r_[first, len(keys)])
     unique = keys[first]
-    bucket = _bucket(unique, buckets)
+    bucket = _bucket(owner[first], buckets)
     order = np.lexsort((unique, bucket))
     edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
     begin = np.cumsum(size) - size
@@ -341,22 +477,24 @@ def _score_texts(docs: DataFrame, words: Words, pairs: Pairs, buckets: int) -> D
             rids = rest["rid"].to_numpy()
             tokens, at = _all_tokens(texts)
             text = np.repeat(np.arange(len(texts)), np.diff(at))
-            number = words.number(tokens)
-            first, second = _pair_parts(number, at, n)
-            known = second >= 0
-            base = np.bincount(text, log_base[np.where(known, second, n)], len(texts))
-            # The begin has a weight of its own; a first word that is not frequent has weight one.
-            score = np.bincount(text, log_p[np.where(known, second, n)] + log_weight[np.where(first >= 0, first, n + 1)], len(texts))
+            first, second, rare_first, rare_second = _pair_parts(tokens, words, at)
+            known = ~rare_second
+            place = np.where(known, second, np.uint64(n)).astype(np.int64)
+            base = np.bincount(text, log_base[place], len(texts))
+            # The begin has a weight of its own; that of a rare first word is added where its count is.
+            score = np.bincount(text, log_p[place] + log_weight[np.where(rare_first, np.uint64(n + 1), first).astype(np.int64)], len(texts))
             seen = np.bincount(text, known, len(texts))
-            both = np.flatnonzero(known & (first >= 0))
-            keys = first[both].astype(np.uint64) * np.uint64(n + 1) + second[both].astype(np.uint64)
+            both = np.flatnonzero(known & ~rare_first)
+            keys = first[both] * np.uint64(n + 1) + second[both]
             if len(pairs.hot):
                 place = np.minimum(np.searchsorted(pairs.hot, keys), len(pairs.hot) - 1)
                 hot = pairs.hot[place] == keys
                 score += np.bincount(text[both[hot]], pairs.hot_gain[place[hot]], len(texts))
                 both, keys = both[~hot], keys[~hot]
-            rare = np.flatnonzero(~known)
+            rare, mixed = np.flatnonzero(rare_second), np.flatnonzero(rare_first | rare_second)
             rows = _occurrences(WORD, tokens[rare], text[rare], rids, buckets) + _occurrences(PAIR, keys, text[both], rids, buckets)
+            owner = np.where(rare_first, first, second)[mixed]
+            rows += _occurrences(RARE, _pair_hash(first[mixed], second[mixed]), text[mixed], rids, buckets, owner)
             packed = np.stack([np.diff(at).astype(float), seen, base, score])
             spread = _bucket(rids.view(np.uint64), buckets)
             order = np.argsort(spread, kind="stable")
@@ -380,10 +518,22 @@ def _sums_by_text(sent: DataFrame, tables: DataFrame, words: Words, pairs: Pairs
         return [(b, 1, hi - lo, _squeeze(ids[order[lo:hi]]), *[_squeeze(v[order[lo:hi]]) for v in values]) for b, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]
 
     def run(sent: pa.Table, known: pa.Table) -> pa.Table:
-        counted = {WORD: [(np.empty(0, np.uint64), np.empty(0, np.int64))], PAIR: [(np.empty(0, np.uint64), np.empty(0, np.int64))]}
-        for kind, n, keys, counts in zip(*(known[c].to_pylist() for c in ("kind", "n", "keys", "counts"))):
-            counted[kind].append(_read_counts(n, keys, counts))
-        tables = {kind: _merged(own) for kind, own in counted.items()}
+        counted = {kind: [(np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))] for kind in (WORD, PAIR, BY_SECOND, BY_FIRST, MOVED)}
+        for kind, n, keys, others, counts, seconds in zip(*(known[c].to_pylist() for c in ("kind", "n", "keys", "others", "counts", "seconds"))):
+            counted[kind].append((*_read_pairs(n, keys, others, counts), np.zeros(n, np.int64) if seconds is None else _expand(seconds, n, np.int64)))
+        (w, _, w_counts, _), (ff, _, ff_counts, _), back, front, moved = ([np.concatenate(c) for c in zip(*own)] for own in counted.values())
+        tables = {kind: _merged([own]) for kind, own in ((WORD, (w, w_counts)), (PAIR, (ff, ff_counts)))}
+        # Pairs of a frequent first word and a rare second one, whose count is here.
+        second, first, counts = (c[back[1] < LEAST_HASH] for c in back[:3])
+        gains = [pairs.gain_of(first.astype(np.int64), counts, words.log_p(_found(second, *tables[WORD])))]
+        hashes = [_pair_hash(first, second)]
+        # All pairs of the rare first words whose counts are here.
+        first, second, counts = (np.r_[a, b] for a, b in zip(front[:3], moved[:3]))
+        log_p = np.r_[words.log_p(words.counts)[front[1].astype(np.int64)], words.log_p(moved[3])]
+        met, weights, gain = pairs.rare_firsts(first, counts, log_p, _found(first, *tables[WORD]))
+        hashes, gains = np.concatenate([*hashes, _pair_hash(first, second)]), np.concatenate([*gains, gain])
+        order = np.argsort(hashes)
+        tables[RARE] = hashes[order], gains[order]
         ids, sums, out = [np.empty(0, np.int64)], [np.empty((3, 0))], []
         for kind, n, keys, sizes, texts, rows, m in zip(*(sent[c].to_pylist() for c in ("kind", "n", "keys", "sizes", "texts", "rows", "m"))):
             if kind == DIRECT:
@@ -395,11 +545,11 @@ def _sums_by_text(sent: DataFrame, tables: DataFrame, words: Words, pairs: Pairs
                     out.append((int(b), DIRECT, int(at.sum()), _squeeze(own[at]), _squeeze(values[:, at]), None, None))
                 continue
             keys, sizes = np.cumsum(_expand(keys, n, np.uint64), dtype=np.uint64), _expand(sizes, n, np.uint32).astype(np.int64)
-            held, counts = tables[kind]
-            place = np.minimum(np.searchsorted(held, keys), max(0, len(held) - 1))
-            count = np.where(held[place] == keys, counts[place], 0) if len(held) else np.zeros(n, np.int64)
+            count = _found(keys, *tables[kind])
             if kind == WORD:
-                values = np.stack([(count > 0).astype(float), words.log_base(count), words.log_p(count)])
+                values = np.stack([(count > 0).astype(float), words.log_base(count), words.log_p(count) + _found(keys, met, weights)])
+            elif kind == RARE:
+                values = np.stack([np.zeros(n), np.zeros(n), count])
             else:
                 gain = np.zeros(n)
                 gain[count > 0] = pairs.gain(keys[count > 0], count[count > 0], words)
@@ -456,9 +606,10 @@ def score_documents(docs: DataFrame, trained: Column, keep: tuple[str, ...] = ("
     table = count_words(learned, buckets)
     words = word_model(table)
     counted = count_pairs(learned, words, buckets)
-    pairs = pair_model(counted, words, learned.count())
+    moved = move_pairs(counted, table, words, buckets)
+    pairs = pair_model(counted, moved, words, learned.count())
     sent = _score_texts(texts, words, pairs, buckets)
-    known = table.withColumn("kind", F.lit(WORD)).unionByName(counted.withColumn("kind", F.lit(PAIR)))
+    known = table.withColumn("kind", F.lit(WORD)).unionByName(counted.unionByName(moved.where(F.col("kind") == MOVED)), allowMissingColumns=True)
     scores = _gathered(_sums_by_text(sent, known, words, pairs, buckets), buckets)
     ids = docs.select(*keep, rid.alias("rid"))
     joined = ids.join(scores, "rid")
