@@ -216,3 +216,19 @@ def test_neighbours_recall_with_a_hot_vector(spark, monkeypatch):
         score[q] = -np.inf
         hits += len(set(np.lexsort((np.arange(len(x)), -score))[:20]) & set(own.vec_id))
     assert got.query_id.nunique() == 300 and hits / 6_000 >= 0.9
+
+
+def test_neighbours_recall_does_not_hang_on_the_first_probes(spark, monkeypatch):
+    """From two lists of thirty, calibration goes on until the sampled queries find their neighbours."""
+    monkeypatch.setattr(neighbors, "PROBES", 2)
+    monkeypatch.setattr(neighbors, "LEAST_ROWS", 1)
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (6_000, 24)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], VECTORS).repartition(4)
+    got = neighbors.nearest(df, F.col("vec_id") % 20 == 0).toPandas()
+    hits = 0
+    for q, own in got.groupby("query_id"):
+        score = x.astype(float) @ x[q].astype(float)
+        score[q] = -np.inf
+        hits += len(set(np.argsort(-score)[:20]) & set(own.vec_id))
+    assert got.query_id.nunique() == 300 and hits / 6_000 >= 0.9

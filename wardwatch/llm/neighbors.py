@@ -3,7 +3,9 @@
 Centroids are fitted on a bounded sample: halves of equal size, cut again and again, so lists come out
 balanced. Every vector is put into the list of its nearest centroid and, where it lies near a border, into
 those of the next ones too. Centroids are few enough for one task; they are searched by walking a graph of
-neighbours. A query visits the lists whose centroid is not much farther than its nearest.
+neighbours. A query visits the lists whose centroid is not much farther than its nearest; how many, and how
+much farther, is found per run: both grow until a sample of the queries, held against brute force over all
+rows, finds `RECALL` of its neighbours, if need be up to all lists.
 
 Inner product is turned into distance by one more coordinate that gives all vectors the largest norm; the
 scores are inner products of the vectors as they are, added up in double precision from first to last.
@@ -36,8 +38,11 @@ K = 20
 SAMPLE, LIST_ROWS, MOST_LISTS = 65_536, 200, 4_096
 #: A vector goes to at most so many lists, those within this ratio of the nearest centroid's distance.
 REPLICAS, NEAR = 4, 1.1
-#: A query visits at most so many lists, those within this ratio, and at least lists with so many rows.
+#: A query visits so many lists, those within this ratio, and at least lists with so many rows; the first two
+#: are where calibration begins.
 PROBES, REACH, LEAST_ROWS = 64, 1.35, 1_000
+#: Queries that calibration holds against brute force, the recall they have to reach, and the steps to it.
+HELD, RECALL, MORE_PROBES, MORE_REACH = 256, 0.95, 1.25, 1.05
 #: Neighbours of a centroid in the graph.
 DEGREE = 24
 #: Rows of a list, and queries of a list, in one group.
@@ -137,6 +142,71 @@ def walk(x: np.ndarray, centroids: np.ndarray, graph: np.ndarray, width: int) ->
     return np.take_along_axis(best, order, 1), np.maximum(0, np.take_along_axis(apart, order, 1))
 
 
+def nearest_lists(x: np.ndarray, centroids: np.ndarray, graph: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """As `walk`; where a walk would look at all centroids anyway, they are compared at once."""
+    width = min(width, len(centroids))
+    if width * graph.shape[1] < len(centroids):
+        return walk(x, centroids, graph, width)
+    squared = np.maximum(0, (x * x).sum(1)[:, None] + (centroids * centroids).sum(1)[None, :] - 2 * x @ centroids.T)
+    order = np.argsort(squared, axis=1, kind="stable")[:, :width]
+    return order, np.take_along_axis(squared, order, 1)
+
+
+def visited(v: np.ndarray, most: float, centroids: np.ndarray, graph: np.ndarray, rows_of: np.ndarray, probes: int, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each query the nearest lists, and which of them it visits."""
+    v = v * (most / np.sqrt((v * v).sum(1)))[:, None]
+    found, squared = nearest_lists(np.c_[v, np.zeros(len(v))], centroids, graph, probes)
+    before = np.cumsum(rows_of[found], axis=1) - rows_of[found]
+    return found, (squared <= reach * reach * np.maximum(squared[:, :1], 1e-300)) | (before < LEAST_ROWS)
+
+
+def true_neighbours(x: DataFrame, ids: np.ndarray, q: np.ndarray, k: int) -> DataFrame:
+    """`number, vec_id`: the k best others of each of a few queries (`ids`, rows of `q`), from all rows of x."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, score = np.zeros((len(q), 0), np.int64), np.empty((len(q), 0))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 5_000):
+                part = batch.slice(at, 5_000)
+                own = part["vec_id"].to_numpy()
+                order = np.argsort(own, kind="stable")
+                first = np.flatnonzero(np.r_[True, own[order][1:] != own[order][:-1]])
+                new = np.maximum.reduceat((q @ _matrix(part["v"]).T)[:, order], first, axis=1)
+                new[ids[:, None] == own[order][first][None, :]] = -np.inf
+                top = np.argsort(-new, axis=1, kind="stable")[:, :k]
+                best, score = np.c_[best, own[order][first][top]], np.c_[score, np.take_along_axis(new, top, 1)]
+                # An id met before counts once, with its best score.
+                order = np.lexsort((-score, best), axis=1)
+                best, score = np.take_along_axis(best, order, 1), np.take_along_axis(score, order, 1)
+                score[:, 1:][best[:, 1:] == best[:, :-1]] = -np.inf
+                order = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                best, score = np.take_along_axis(best, order, 1), np.take_along_axis(score, order, 1)
+        number, _ = np.nonzero(score > -np.inf)
+        good = score > -np.inf
+        yield pa.record_batch([pa.array(number), pa.array(best[good]), pa.array(score[good])], ["number", "vec_id", "score"])
+
+    once = map_arrow(x, run, "number bigint, vec_id bigint, score double").groupBy("number", "vec_id").agg(F.max("score").alias("score"))
+    by_score = Window.partitionBy("number").orderBy(F.desc("score"), "vec_id")
+    return once.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k).select("number", "vec_id")
+
+
+def calibrated(wanted: pa.Table, held_out: np.ndarray, most: float, centroids: np.ndarray, graph: np.ndarray, rows_of: np.ndarray) -> tuple[int, float]:
+    """Probes and reach with which queries find `RECALL` of their neighbours; `wanted` says in which lists these are."""
+    number, of, lists = (wanted[c].to_numpy() for c in ("number", "vec_id", "list"))
+    pair = np.unique(np.stack([number, of]), axis=1, return_inverse=True)[1].reshape(-1)
+    probes, reach = min(PROBES, len(centroids)), REACH
+    while len(pair):
+        found, keep = visited(held_out, most, centroids, graph, rows_of, probes, reach)
+        open_lists = np.zeros((len(held_out), len(centroids)), bool)
+        row, _ = np.nonzero(keep)
+        open_lists[row, found[keep]] = True
+        hit = np.bincount(pair, open_lists[number, lists]) > 0
+        if hit.mean() >= RECALL or open_lists.all():
+            break
+        probes, reach = min(len(centroids), int(np.ceil(probes * MORE_PROBES))), reach * MORE_REACH
+    return probes, reach
+
+
 def _chunks(sizes: DataFrame, n: str) -> Column:
     return F.ceil(F.col(n) / CHUNK).cast("int")
 
@@ -171,19 +241,24 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     for number, rows in sizes.collect():  # one row per list, at most MOST_LISTS
         rows_of[number] = rows
 
+    queries = x.where(is_query).distinct()
+    sampled = queries.orderBy(F.xxhash64("vec_id", F.lit("calibration")), "vec_id", "v").limit(HELD).select("vec_id", "v").toArrow()
+    probes, reach = PROBES, REACH
+    if len(sampled):
+        held_out = _matrix(sampled["v"])
+        truth = true_neighbours(x, sampled["vec_id"].to_numpy(), held_out, k)
+        # At most k rows per sampled query and list of the neighbour.
+        wanted = posted.join(F.broadcast(truth), "vec_id").select("number", "vec_id", "list").distinct().toArrow()
+        probes, reach = calibrated(wanted, held_out, most, centroids, graph, rows_of)
+
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2_000):
                 part = batch.slice(at, 2_000)
-                v = _matrix(part["v"])
-                v = v * (most / np.sqrt((v * v).sum(1)))[:, None]
-                found, squared = walk(np.c_[v, np.zeros(len(v))], centroids, graph, PROBES)
-                before = np.cumsum(rows_of[found], axis=1) - rows_of[found]
-                keep = (squared <= REACH * REACH * squared[:, :1]) | (before < LEAST_ROWS)
+                found, keep = visited(_matrix(part["v"]), most, centroids, graph, rows_of, probes, reach)
                 row, _ = np.nonzero(keep)
                 yield pa.record_batch([pa.array(found[keep]), part["vec_id"].take(pa.array(row)), part["v"].take(pa.array(row))], ["list", "query_id", "v"])
 
-    queries = x.where(is_query).distinct()
     visits = stage(map_arrow(queries, visit, f"list bigint, query_id {kind}, v array<double>"), "neighbours-visits")
     asked = visits.groupBy("list").agg(F.count("*").alias("asks"))
     # One row per list, at most MOST_LISTS.
