@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import textwrap
 
 import duckdb
 import numpy as np
@@ -184,6 +185,16 @@ def test_licences(spark, crowded, no_docs):
     assert licenses.license_matches(crowded).collect() == [] == licenses.license_matches(no_docs).collect()
 
 
+def test_whole_licence_texts(spark):
+    """Genuine texts with title and copyright line are found, in one line and wrapped."""
+    titles = {"MIT text": "MIT License", "ISC text": "ISC License", "BSD-2-Clause text": "BSD 2-Clause License", "BSD-3-Clause text": "BSD 3-Clause License"}
+    whole = [f"{titles.get(name, '')}\n\nCopyright (c) 2019, Jane Q. Doe. All rights reserved.\n\n{text}" for name, text in licenses.FULL_TEXTS.items()]
+    rows = list(enumerate([*whole, *("\n".join(textwrap.fill(p, 70) for p in t.split("\n")) for t in whole)]))
+    got = {r.doc_id: r.license for r in licenses.license_matches(spark.createDataFrame(rows, "doc_id bigint, text string")).where("part = 0").collect()}
+    assert [got.get(i) for i, _ in rows] == [*licenses.FULL_TEXTS] * 2
+    assert "Jane" not in licenses.sql() and all(name not in licenses.sql() for name in licenses.FULL_TEXTS)
+
+
 VECTORS = "vec_id bigint, embedding array<float>, label int"
 
 
