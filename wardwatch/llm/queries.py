@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardwatch.llm import decontamination, language_model, languages, licenses, mixing, neighbors, simhash, substring_dedup, suffix_dedup, toxicity
+from wardwatch.llm import (
+    decontamination,
+    language_model,
+    languages,
+    licenses,
+    mixing,
+    neighbors,
+    personal_data,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,3 +94,8 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_katz_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").withColumn("held_out", languages.remainder("doc_id", 10) == 0)
     return language_model.score_documents(documents, ~F.col("held_out"), ("doc_id", "held_out"))
+
+
+@query("op13_personal_data")
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digest(personal_data.personal_data(_table(spark, sf_dir, "documents")))
