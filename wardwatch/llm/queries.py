@@ -19,6 +19,7 @@ from wardwatch.llm import (
     substring_dedup,
     suffix_dedup,
     toxicity,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +100,8 @@ def op5_katz_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_personal_data")
 def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.digest(personal_data.personal_data(_table(spark, sf_dir, "documents")))
+
+
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
