@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardwatch.llm import (
+    conversations,
     decontamination,
     language_model,
     languages,
@@ -105,3 +106,8 @@ def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_embedding_whitening")
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(_table(spark, sf_dir, "conversations")))
