@@ -9,7 +9,7 @@ from wardwatch.operators.lateness import lateness_tiers
 from wardwatch.operators.reconcile import reconcile
 from wardwatch.operators.scoring import score_request, successful_only
 from wardwatch.schemas import METRICS
-from wardwatch.sinks.snapshots import BUCKET, read_keyed, read_version, update_keyed, update_version, versions
+from wardwatch.sinks.snapshots import read_version, update_version, versions
 from wardwatch.sinks.tables import latest_revision
 from wardwatch.sources.vitals import decode_topic, predictions_table, vitals_stream
 from wardwatch.streaming import queries as S
@@ -59,8 +59,8 @@ def test_scoring_stream_equals_batch(spark, feed, tmp_path):
     assert predictions_table(spark, paths.predictions).select("batch_id").distinct().count() == 4
     assert spark.read.parquet(paths.dead_letters).count() == scored.where("error is not null").count()
     columns = ["patient_id", "event_id", "event_ms", "anomaly"]
-    same(read_keyed(spark, paths.features, S.FEATURES), latest_per_patient(feature_rows(scored)), columns)
-    same(read_keyed(spark, paths.history, S.HISTORY), recent_history(feature_rows(scored), 5), columns)
+    same(S.features_table(paths.features).read(spark), latest_per_patient(feature_rows(scored)), columns)
+    same(S.history_table(paths.history, 5).read(spark), recent_history(feature_rows(scored), 5), columns)
 
 
 def test_restart_loses_and_repeats_nothing(spark, feed, tmp_path):
@@ -77,12 +77,12 @@ def test_restart_loses_and_repeats_nothing(spark, feed, tmp_path):
 
     with pytest.raises(Exception, match="killed"):
         S.run_available(stream(spark, folder), dies, f"{base}/c")
-    assert versions(spark, paths.features) == [0, 1, 2]
+    assert S.features_table(paths.features).versions(spark) == [0, 1, 2]
     S.run_available(stream(spark, folder), write, f"{base}/c")
     good = successful_only(score_request(rows))
     row = reconcile(good, predictions_table(spark, paths.predictions)).first()
     assert (row.missing, row.duplicates, row.all_processed) == (0, 0, True)
-    same(read_keyed(spark, paths.history, S.HISTORY), recent_history(feature_rows(score_request(rows)), 5), ["patient_id", "event_id"])
+    same(S.history_table(paths.history, 5).read(spark), recent_history(feature_rows(score_request(rows)), 5), ["patient_id", "event_id"])
 
 
 def test_lateness_stream_equals_batch(spark, feed, tmp_path):
@@ -265,7 +265,7 @@ def test_clock_far_ahead_expires_nobody(spark, feed, tmp_path):
     send(3, ("a", t + minute, t + minute))
     paths = S.ScoringPaths(*[str(tmp_path / p) for p in ("predictions", "dead", "features", "history")])
     S.run_available(stream(spark, str(tmp_path / "in")), S.scoring_writer(paths), str(tmp_path / "c1"))
-    assert [r.patient_id for r in read_keyed(spark, paths.features, S.FEATURES).collect()] == ["a"]
+    assert [r.patient_id for r in S.features_table(paths.features).read(spark).collect()] == ["a"]
     assert {r.error for r in spark.read.parquet(paths.dead_letters).collect()} == {"event_time_ahead", "missing_event_time"}
     S.run_available(stream(spark, str(tmp_path / "in")), S.delta_writer(str(tmp_path / "changes"), str(tmp_path / "state")), str(tmp_path / "c2"))
     changed = {(r.patient_id, r.event_id): r.previous_ms for r in spark.read.parquet(str(tmp_path / "changes")).collect()}
@@ -315,23 +315,3 @@ def test_no_shared_folder_on_a_cluster(spark, monkeypatch):
     cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: ""), sparkContext=SimpleNamespace(master="spark://host:7077"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_dir(cluster, "x")
-
-
-def test_a_batch_rewrites_only_its_buckets(spark, tmp_path):
-    """One patient in a hundred: one bucket of 64 is written; replays and retention keep the table whole."""
-    path, schema = str(tmp_path / "t"), "patient_id STRING, n INT"
-    rows = lambda *pairs: spark.createDataFrame(list(pairs), schema)
-    newest = lambda new: lambda old: old.unionByName(new).groupBy("patient_id").agg(F.max("n").alias("n"))
-    first = rows(*[(f"p{i}", 0) for i in range(500)])
-    update_keyed(spark, path, schema, 0, first, "patient_id", newest(first))
-    for batch in (*range(1, 6), 5):
-        one = rows(("p7", batch))
-        update_keyed(spark, path, schema, batch, one, "patient_id", newest(one), keep=2)
-    written = [len(list((tmp_path / "t" / f"version={v}").glob(f"{BUCKET}=*"))) for v in (0, 4, 5)]
-    assert written[0] >= 60 and written[1:] == [1, 1]
-    assert not list((tmp_path / "t" / "version=1").glob(f"{BUCKET}=*"))
-    table = {r.patient_id: r.n for r in read_keyed(spark, path, schema).collect()}
-    assert len(table) == 500 and table["p7"] == 5 and sum(table.values()) == 5
-    assert read_keyed(spark, path, schema, before=5).where("patient_id = 'p7'").first().n == 4
-    with pytest.raises(ValueError, match="no version before batch 2"):
-        read_keyed(spark, path, schema, before=2)

@@ -12,7 +12,6 @@ from wardwatch.fixtures import as_vitals, events, reference, vitals
 from wardwatch.operators.history import DAY_MS
 from wardwatch.operators.scoring import score_request
 from wardwatch.session import work_dir
-from wardwatch.sinks.snapshots import read_keyed
 from wardwatch.sinks.tables import latest_revision
 from wardwatch.streaming import queries as S
 from wardwatch.streaming.state import patient_state_stream, use_rocksdb
@@ -100,7 +99,7 @@ def _history_stream(spark, sf_dir):
     base = work_dir(spark, "history")
     paths = S.ScoringPaths(f"{base}/predictions", f"{base}/dead-letters", history=f"{base}/history")
     S.run_available(_vitals_stream(spark, sf_dir), S.scoring_writer(paths, keep=20), f"{base}/checkpoint")
-    return read_keyed(spark, paths.history, S.HISTORY).withColumn("risk_score", F.round("risk_score", 6))
+    return S.history_table(paths.history, 20).read(spark).withColumn("risk_score", F.round("risk_score", 6))
 
 
 @query("patient_state_stream", "judged", _DELTA_SQL.format(ttl=DAY_MS))

@@ -1,44 +1,38 @@
-"""Keyed tables that a stream keeps, in a shared folder.
+"""Small tables that a stream keeps whole, in a shared folder; `keyed` has those that grow.
 
 A batch reads the newest complete version before its own and writes its own, so a replayed batch
-gives the same table again. A small table is written whole. A large one is cut into buckets by the hash
-of its key: a batch rewrites only the buckets that its rows fall into, and a manifest of the version
-says where each bucket was last written.
+gives the same table again.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 VERSIONS_KEPT = 10
-BUCKETS = 64
-BUCKET = "bucket_no"
 
 
-def _folder(spark: SparkSession, path: str):
+def folder(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
-def _gone(path: str, before: int, there: list[int]) -> ValueError:
+def gone(path: str, before: int, there: list[int]) -> ValueError:
     return ValueError(f"{path}: no version before batch {before} is kept; the oldest is {min(there)}")
 
 
-def versions(spark: SparkSession, path: str, kind: str = "version") -> list[int]:
+def versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the complete versions, oldest first."""
-    fs, target = _folder(spark, path)
+    fs, target = folder(spark, path)
     if not fs.exists(target):
         return []
     done = []
     for entry in fs.listStatus(target):
         marker = spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")
         name = entry.getPath().getName()
-        if name.startswith(f"{kind}=") and fs.exists(marker):
-            done.append(int(name.removeprefix(f"{kind}=")))
+        if name.startswith("version=") and fs.exists(marker):
+            done.append(int(name.removeprefix("version=")))
     return sorted(done)
 
 
@@ -51,7 +45,7 @@ def read_version(spark: SparkSession, path: str, schema: str, before: int | None
     there = versions(spark, path)
     found = [v for v in there if before is None or v < before]
     if not found and there and before and min(there) > 0:
-        raise _gone(path, before, there)
+        raise gone(path, before, there)
     if not found:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{path}/version={found[-1]}")
@@ -63,64 +57,6 @@ def update_version(
     """Write version `batch_id` as `merge(previous version)`, and drop versions too old to be read again."""
     merged = merge(read_version(spark, path, schema, before=batch_id))
     merged.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
-    fs, _ = _folder(spark, path)
+    fs, _ = folder(spark, path)
     for old in [v for v in versions(spark, path) if v <= batch_id][:-keep]:
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={old}"), True)
-
-
-def bucket_of(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
-
-
-def _manifest(spark: SparkSession, path: str, before: int | None = None) -> dict[int, int]:
-    """The version that holds each bucket, as of the newest version, or the newest before a batch."""
-    there = versions(spark, path, "manifest")
-    found = [v for v in there if before is None or v < before]
-    if not found:
-        if there and before and min(there) > 0:
-            raise _gone(path, before, there)
-        return {}
-    text = spark.read.text(f"{path}/manifest={found[-1]}").first()[0]
-    return {int(b): v for b, v in json.loads(text).items()}
-
-
-def _read_buckets(spark: SparkSession, path: str, schema: str, places: dict[int, int]) -> DataFrame:
-    folders = [f"{path}/version={v}/{BUCKET}={b}" for b, v in sorted(places.items())]
-    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
-
-
-def read_keyed(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
-    """The newest version of a table of buckets, or the newest before a batch; empty where none was ever written."""
-    return _read_buckets(spark, path, schema, _manifest(spark, path, before))
-
-
-def update_keyed(
-    spark: SparkSession, path: str, schema: str, batch_id: int, rows: DataFrame, key: str, merge: Callable[[DataFrame], DataFrame], keep: int = VERSIONS_KEPT
-) -> None:
-    """Write version `batch_id`: the buckets of `rows` as `merge(what they held)`, all others as they are.
-
-    The driver sees the numbers of the buckets, at most `BUCKETS`.
-    """
-    prior = _manifest(spark, path, before=batch_id)
-    hit = [r[0] for r in rows.select(bucket_of(key).alias(BUCKET)).distinct().collect()]
-    merged = merge(_read_buckets(spark, path, schema, {b: prior[b] for b in hit if b in prior}))
-    target = f"{path}/version={batch_id}"
-    merged.withColumn(BUCKET, bucket_of(key)).repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(target)
-    fs, _ = _folder(spark, path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path
-    now = {b: v for b, v in prior.items() if b not in hit}
-    now |= {b: batch_id for b in hit if fs.exists(folder(f"{target}/{BUCKET}={b}"))}
-    spark.createDataFrame([(json.dumps(now),)], "manifest string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest={batch_id}")
-
-    manifests = [v for v in versions(spark, path, "manifest") if v <= batch_id]
-    kept, old = manifests[-keep:], manifests[:-keep]
-    used = {(v, b) for m in kept for b, v in _manifest(spark, path, m + 1).items()}
-    for v in old:
-        fs.delete(folder(f"{path}/manifest={v}"), True)
-    for v in {*old, *kept} - {batch_id}:
-        held = folder(f"{path}/version={v}")
-        if fs.exists(held):
-            for entry in fs.listStatus(held):
-                name = entry.getPath().getName()
-                if name.startswith(f"{BUCKET}=") and (v, int(name.partition("=")[2])) not in used:
-                    fs.delete(entry.getPath(), True)

@@ -11,10 +11,11 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from wardwatch.functions.records import project_prediction
 from wardwatch.operators.drift import min_rows, reference_means, score_window_means
-from wardwatch.operators.history import DAY_MS, HOUR_MS, feature_rows, latest_per_patient, recent_history, upsert_features, vitals_delta
+from wardwatch.operators.history import DAY_MS, HOUR_MS, feature_rows, latest_per_patient, recent_history, vitals_delta
 from wardwatch.operators.lateness import lateness_tiers, newest_by_source
 from wardwatch.operators.scoring import RISK_FACTOR_MODEL, RiskModel, dead_letter, score_request, successful_only
-from wardwatch.sinks.snapshots import read_keyed, read_version, update_keyed, update_version
+from wardwatch.sinks.keyed import KeyedTable
+from wardwatch.sinks.snapshots import read_version, update_version
 from wardwatch.sinks.tables import write_batch
 from wardwatch.streaming.windows import ALLOWED_DELAY, CODED_DELAY, window_means, with_watermark
 
@@ -62,10 +63,18 @@ class ScoringPaths:
     history: str | None = None
 
 
+def features_table(path: str) -> KeyedTable:
+    return KeyedTable(path, FEATURES, "patient_id", latest_per_patient)
+
+
+def history_table(path: str, keep: int = 100) -> KeyedTable:
+    return KeyedTable(path, HISTORY, "patient_id", lambda rows: recent_history(rows, keep).drop("position"))
+
+
 def scoring_writer(paths: ScoringPaths, model: RiskModel = RISK_FACTOR_MODEL, ttl_ms: int = DAY_MS, keep: int = 100) -> Batch:
     """Score a batch; good rows go to predictions and history, bad rows to the dead letters.
 
-    A batch rewrites only the buckets of its patients. Expired rows go when their bucket is rewritten, and
+    A batch adds its rows to the keyed tables as a run of its own. Expired rows go when their run is merged, and
     `live_features` leaves out those that are still there, judged by the newest event seen. Events far
     ahead of their arrival are dead letters, so no clock but the receiver's own moves the expiry.
     """
@@ -79,11 +88,9 @@ def scoring_writer(paths: ScoringPaths, model: RiskModel = RISK_FACTOR_MODEL, tt
             fresh = feature_rows(scored)
             if paths.features:
                 newest = fresh.agg(F.max("event_ms")).first()[0] or 0
-                update_keyed(spark, paths.features, FEATURES, batch_id, fresh, "patient_id", lambda old: upsert_features(old, fresh, newest, ttl_ms))
+                features_table(paths.features).update(spark, batch_id, fresh, F.lit(newest) - F.col("event_ms") < ttl_ms)
             if paths.history:
-                update_keyed(
-                    spark, paths.history, HISTORY, batch_id, fresh, "patient_id", lambda old: recent_history(old.unionByName(fresh), keep).drop("position")
-                )
+                history_table(paths.history, keep).update(spark, batch_id, fresh)
         finally:
             scored.unpersist()
 
@@ -92,7 +99,7 @@ def scoring_writer(paths: ScoringPaths, model: RiskModel = RISK_FACTOR_MODEL, tt
 
 def live_features(spark: SparkSession, path: str, ttl_ms: int = DAY_MS) -> DataFrame:
     """The newest features of each patient, without those that have expired by the newest event seen."""
-    table = read_keyed(spark, path, FEATURES)
+    table = features_table(path).read(spark)
     newest = table.agg(F.max("event_ms")).first()[0] or 0
     return table.where(F.lit(newest) - F.col("event_ms") < ttl_ms)
 
@@ -131,6 +138,10 @@ def readings(scored: DataFrame) -> DataFrame:
     return scored.select("patient_id", "event_id", "event_ms", "glucose_level", pressure, "risk_score", "anomaly", "error")
 
 
+def readings_table(path: str) -> KeyedTable:
+    return KeyedTable(path, READINGS, "patient_id", latest_per_patient)
+
+
 def delta_writer(changes: str, state: str, model: RiskModel = RISK_FACTOR_MODEL, ttl_ms: int = HOUR_MS) -> Batch:
     """Changes since the patient's reading before, for streams in which one patient may send very much.
 
@@ -139,16 +150,17 @@ def delta_writer(changes: str, state: str, model: RiskModel = RISK_FACTOR_MODEL,
     Rows that were sent again with the same `event_id` in a batch are taken once.
     """
 
+    table = readings_table(state)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = readings(score_request(batch, model)).dropDuplicates(["patient_id", "event_ms", "event_id"]).persist()
         try:
-            before = read_keyed(spark, state, READINGS, before=batch_id).join(rows.select("patient_id").distinct(), "patient_id", "left_semi")
+            before = table.read(spark, batch_id, rows)
             both = rows.withColumn("_stored", F.lit(False)).unionByName(before.withColumn("_stored", F.lit(True)))
             write_batch(vitals_delta(both, ttl_ms).where(~F.col("_stored")).drop("_stored", "features"), changes, batch_id)
-            good = successful_only(rows)
             # One row per patient; whether it has expired is judged by the patient's own next reading.
-            update_keyed(spark, state, READINGS, batch_id, good, "patient_id", lambda old: latest_per_patient(old.unionByName(good)))
+            table.update(spark, batch_id, successful_only(rows))
         finally:
             rows.unpersist()
 
