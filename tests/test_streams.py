@@ -14,7 +14,7 @@ from wardwatch.sinks.tables import latest_revision
 from wardwatch.sources.vitals import decode_topic, predictions_table, vitals_stream
 from wardwatch.streaming import queries as S
 from wardwatch.streaming.progress import ProgressMetrics, progress_rows
-from wardwatch.streaming.state import patient_state_stream, use_rocksdb
+from wardwatch.streaming.state import Readings, patient_state_stream, use_rocksdb
 from wardwatch.streaming.windows import tumbling_vitals
 
 
@@ -134,18 +134,72 @@ def test_state_ends_after_a_gap_in_event_time(spark, tmp_path):
     assert got == {0: None, 1: 1.0, 2: None}
 
 
-def test_late_row_meets_the_last_reading_seen(spark, tmp_path):
-    """In keyed state a row of an older time that comes later is compared with what was seen last."""
+def test_shuffled_arrival_over_batches_equals_batch(spark, sf_dir, tmp_path):
+    """Rows come in no order at all over four batches; late ones meet their true predecessor and revise their successor."""
     use_rocksdb(spark)
     spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
-    schema = "event_id BIGINT, patient_id STRING, age BIGINT, blood_pressure STRING, bmi DOUBLE, glucose_level DOUBLE, event_ms BIGINT, arrival_ms BIGINT"
-    folder = str(tmp_path / "in")
-    for i, (ms, glucose) in enumerate([(5000, 100.0), (1000, 90.0)]):
-        spark.createDataFrame([(i, "a", 50, "120/80", 25.0, glucose, ms, 9000 + i)], schema).coalesce(1).write.mode("append").parquet(folder)
-        source = spark.readStream.schema(schema).parquet(folder)
-        S.run_available(patient_state_stream(score_request(source)), S.table_writer(str(tmp_path / "o")), str(tmp_path / "c"))
-    rows = {r.event_id: r for r in spark.read.parquet(str(tmp_path / "o")).collect()}
-    assert rows[0].previous_ms is None and (rows[1].previous_ms, rows[1].glucose_change) == (5000, 10.0)
+    rows = vitals(spark, sf_dir).drop("ts", "readmitted_30_days").withColumn("patient_id", (F.col("event_id") % 7).cast("string"))
+    for i in range(4):
+        rows.where(F.pmod(F.hash("event_id"), F.lit(4)) == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    changes = patient_state_stream(score_request(stream(spark, str(tmp_path / "in"))), DAY_MS, late_ms=10**12)
+    S.run_available(changes, S.table_writer(str(tmp_path / "o")), str(tmp_path / "c"))
+    written = spark.read.parquet(str(tmp_path / "o"))
+    assert written.select("batch_id").distinct().count() == 4 and written.count() > rows.count()
+    columns = ["event_id", "previous_ms", "glucose_change", "bp_change", "diastolic_change", "previous_readmission_risk", "previous_anomaly", "error"]
+    same(latest_revision(written, ["patient_id", "event_id"]), vitals_delta(score_request(rows), DAY_MS), columns)
+
+
+def _frames(rng, n, size=100_000):
+    import pandas as pd
+
+    for start in range(0, n, size):
+        m = min(size, n - start)
+        yield pd.DataFrame(
+            {
+                "event_id": range(start, start + m),
+                "event_ms": rng.integers(0, 10**8, m),
+                "glucose_level": rng.normal(100, 9, m),
+                "systolic": 120.0,
+                "diastolic": 80.0,
+                "risk_score": rng.random(m),
+                "anomaly": rng.random(m) < 0.2,
+                "error": [None if e else "bad" for e in rng.random(m) < 0.99],
+            }
+        )
+
+
+def test_two_million_rows_of_one_patient_fit(spark):
+    import tracemalloc
+
+    import numpy as np
+
+    tracemalloc.start()
+    out, _ = Readings({}, 10**8, 0).add(_frames(np.random.default_rng(1), 2_000_000), None)
+    n = sum(len(frame) for frame in out)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 2_000_000 and peak < 10**9
+
+
+def test_old_parts_go_and_late_rows_revise(spark):
+    import numpy as np
+    import pandas as pd
+
+    def send(store, newest, *rows):
+        frame = pd.DataFrame(rows, columns=["event_id", "event_ms", "glucose_level", "error"])
+        frame = frame.assign(systolic=np.nan, diastolic=np.nan, risk_score=0.5, anomaly=None)
+        out, newest = Readings(store, 100, 50).add(iter([frame]), newest)
+        return {r.event_id: None if pd.isna(r.previous_ms) else r.previous_ms for f in out for r in f.itertuples()}, newest
+
+    store = {}
+    got, newest = send(store, None, (1, 10, 1.0, None), (2, 90, 2.0, None), (3, 95, 2.0, "bad"))
+    assert got == {1: None, 2: 10, 3: 90}
+    got, newest = send(store, newest, (4, 50, 3.0, None))
+    assert got == {4: 10, 2: 50}  # the row between comes out again, the one behind the next good row does not
+    got, newest = send(store, newest, (5, 60, 3.0, "bad"), (2, 90, 2.0, None))
+    assert got == {5: 50, 2: 50}
+    got, newest = send(store, newest, (6, 400, 1.0, None), (7, None, 1.0, None))
+    assert got == {6: None, 7: None} and min(p for p in store if p > 0) * 25 >= 225
 
 
 def test_windows_keep_late_revisions(spark, feed, tmp_path):

@@ -104,13 +104,14 @@ def _history_stream(spark, sf_dir):
 
 @query("patient_state_stream", "judged", _DELTA_SQL.format(ttl=DAY_MS))
 def _patient_state_stream(spark, sf_dir):
+    """The batches follow the clock of arrival, so late rows come after newer ones."""
     use_rocksdb(spark)
     # With expiring state a finished stream would run empty batches for ever.
     spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     base = work_dir(spark, "patient-state")
-    changes = patient_state_stream(score_request(_vitals_stream(spark, sf_dir)), DAY_MS)
+    changes = patient_state_stream(score_request(_vitals_stream(spark, sf_dir, "arrival_ms")), DAY_MS)
     S.run_available(changes, S.table_writer(f"{base}/changes"), f"{base}/checkpoint")
-    return delta_columns(spark.read.parquet(f"{base}/changes"))
+    return delta_columns(latest_revision(spark.read.parquet(f"{base}/changes"), ["patient_id", "event_id"]))
 
 
 @query("patient_changes_stream", "judged", _DELTA_SQL.format(ttl=DAY_MS))

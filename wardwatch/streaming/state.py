@@ -1,10 +1,11 @@
-"""Keyed state of a stream: the previous reading of each patient, kept in the state store."""
+"""Keyed state of a stream: the recent readings of each patient in order of event time, kept in the state store."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, MutableMapping
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +16,21 @@ from wardwatch.session import ship
 
 ship(__name__)
 
-STATE = "ms BIGINT, glucose DOUBLE, systolic DOUBLE, diastolic DOUBLE, risk DOUBLE, anomaly BOOLEAN"
-FIELDS = ("ms", "glucose", "systolic", "diastolic", "risk", "anomaly")
 OUTPUT = (
     "patient_id STRING, event_id BIGINT, event_ms BIGINT, risk_score DOUBLE, anomaly BOOLEAN, error STRING, previous_ms BIGINT,"
     " glucose_change DOUBLE, systolic_change DOUBLE, diastolic_change DOUBLE, bp_change DOUBLE,"
     " previous_readmission_risk DOUBLE, previous_anomaly BOOLEAN"
 )
+#: A stored reading: numbers as NaN, flags as -1, ids and times as `NONE` where null; `error` counts into a list of texts.
+NUMBERS = {"glucose": "glucose_level", "systolic": "systolic", "diastolic": "diastolic", "risk": "risk_score"}
+READING = np.dtype(
+    [("ms", "<i8"), ("id", "<i8"), *[(n, "<f8") for n in NUMBERS], ("anomaly", "i1"), ("error", "<i4"), ("previous_ms", "<i8"), ("previous_id", "<i8")]
+)
+NONE = np.iinfo(np.int64).min
+#: Rows of one frame that is handed to Spark.
+FRAME_ROWS = 20_000
+#: The state of a patient is cut into parts of event time, so many in one lifetime of a reading.
+PARTS = 4
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -32,72 +41,219 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+def _packed(frame: pd.DataFrame, errors: list[str]) -> np.ndarray:
+    out = np.empty(len(frame), READING)
+    out["ms"] = frame["event_ms"].fillna(NONE).astype("int64")
+    out["id"] = frame["event_id"].fillna(NONE).astype("int64")
+    for name, column in NUMBERS.items():
+        out[name] = pd.to_numeric(frame[column]).astype("float64")
+    out["anomaly"] = frame["anomaly"].astype("boolean").fillna(False).astype("int8").where(frame["anomaly"].notna(), -1)
+    place = {text: i for i, text in enumerate(errors)}
+    for text in frame["error"].dropna().unique():
+        if text not in place:
+            place[text] = len(errors)
+            errors.append(text)
+    out["error"] = frame["error"].map(place).fillna(-1).astype("int32")
+    out["previous_ms"] = out["previous_id"] = NONE
+    return out
+
+
+def _later(rows: np.ndarray) -> np.ndarray:
+    """In order of (time, id); of rows with both the same the last stays."""
+    rows = rows[np.lexsort((rows["id"], rows["ms"]))]
+    if len(rows) < 2:
+        return rows
+    again = (rows["ms"][1:] == rows["ms"][:-1]) & (rows["id"][1:] == rows["id"][:-1])
+    return rows[np.append(~again, True)]
+
+
+class Readings:
+    """The recent readings of one patient over parts of event time, and what each is compared with.
+
+    `parts` maps the number of a part to its readings and the texts of their errors. New rows take their place in order; rows
+    after them, up to the next good one, are compared anew and come out again where that changed.
+    """
+
+    def __init__(self, parts: MutableMapping[int, tuple[bytes, list[str]]], ttl_ms: int, late_ms: int):
+        self.parts, self.ttl_ms, self.late_ms = parts, ttl_ms, late_ms
+        self.width = max(1, ttl_ms // PARTS)
+
+    def _load(self, part: int) -> tuple[np.ndarray, list[str]]:
+        if part not in self.parts:
+            return np.empty(0, READING), []
+        rows, errors = self.parts[part]
+        return np.frombuffer(rows, READING), list(errors)
+
+    def _before(self, part: int, known: list[int]) -> np.ndarray:
+        """The last good reading of an earlier part, as an array of one, or of none."""
+        for earlier in reversed([p for p in known if p < part]):
+            if (part - earlier - 1) * self.width > self.ttl_ms:
+                break
+            rows, _ = self._load(earlier)
+            good = rows[rows["error"] < 0]
+            if len(good):
+                return good[-1:]
+        return np.empty(0, READING)
+
+    def _settle(self, part: int, new: np.ndarray, texts: list[str], known: list[int]) -> tuple[Iterator[pd.DataFrame], bool, bool]:
+        """Put rows into a part. Returns what comes out, whether its last good reading changed, and whether it has one."""
+        old, errors = self._load(part)
+        moved = np.array([errors.index(t) if t in errors else len(errors) + i for i, t in enumerate(texts)] or [0], np.int32)
+        errors = [*errors, *texts]
+        new = new.copy()
+        new["error"] = np.where(new["error"] < 0, -1, moved[np.maximum(new["error"], 0)])
+        last = old[old["error"] < 0][-1:]
+        rows = _later(np.concatenate([old, new]))
+        fresh = np.isin(rows["ms"], new["ms"]) & np.isin(rows["id"], new["id"]) if len(new) else np.zeros(len(rows), bool)
+        both = np.concatenate([self._before(part, known), rows])
+        ahead = len(both) - len(rows)
+        # For each row the place of the newest good row before it; 0 stands for none.
+        good = np.where(both["error"] < 0, np.arange(1, len(both) + 1), 0)
+        place = np.concatenate([[0], np.maximum.accumulate(good)[:-1]])[ahead:] if len(both) else good
+        there = place > 0
+        at = np.maximum(place - 1, 0)
+        previous_ms = np.where(there, both["ms"][at], NONE) if len(rows) else place
+        previous_id = np.where(there, both["id"][at], NONE) if len(rows) else place
+        changed = fresh | (rows["previous_ms"] != previous_ms) | (rows["previous_id"] != previous_id)
+        rows["previous_ms"], rows["previous_id"] = previous_ms, previous_id
+        if len(rows):
+            used = sorted(set(rows["error"][rows["error"] >= 0].tolist()))
+            kept = rows.copy()
+            for i, e in enumerate(used):
+                kept["error"][rows["error"] == e] = i
+            self.parts[part] = (kept.tobytes(), [errors[e] for e in used])
+        now = rows[rows["error"] < 0][-1:]
+        out = self._frames(rows[changed], both[at[changed]], there[changed], errors)
+        return out, now.tobytes() != last.tobytes(), bool(len(now))
+
+    def _frames(self, rows: np.ndarray, before: np.ndarray, there: np.ndarray, errors: list[str]) -> Iterator[pd.DataFrame]:
+        names = np.array([*errors, None], object)
+        for start in range(0, len(rows), FRAME_ROWS):
+            piece = slice(start, start + FRAME_ROWS)
+            r, b, some = rows[piece], before[piece], there[piece]
+            valid = some & (r["ms"] != NONE) & (b["ms"] != NONE)
+            valid[valid] = r["ms"][valid] - b["ms"][valid] <= self.ttl_ms
+
+            def change(name: str) -> np.ndarray:
+                return np.where(valid, np.abs(r[name] - np.nan_to_num(b[name], nan=0.0)), np.nan)
+
+            def flags(values: np.ndarray, known: np.ndarray) -> pd.Series:
+                return pd.Series(values > 0, dtype="boolean").where(known & (values >= 0))
+
+            def whole(values: np.ndarray, known: np.ndarray) -> pd.Series:
+                return pd.Series(np.where(known, values, 0), dtype="Int64").where(known)
+
+            systolic = change("systolic")
+            yield pd.DataFrame(
+                {
+                    "event_id": whole(r["id"], r["id"] != NONE),
+                    "event_ms": whole(r["ms"], r["ms"] != NONE),
+                    "risk_score": r["risk"],
+                    "anomaly": flags(r["anomaly"], np.ones(len(r), bool)),
+                    "error": names[r["error"]],
+                    "previous_ms": whole(b["ms"], valid),
+                    "glucose_change": change("glucose"),
+                    "systolic_change": systolic,
+                    "diastolic_change": change("diastolic"),
+                    "bp_change": systolic,
+                    "previous_readmission_risk": np.where(valid, np.nan_to_num(b["risk"], nan=0.0), np.nan),
+                    "previous_anomaly": flags(b["anomaly"], valid),
+                }
+            )
+
+    def add(self, frames: Iterator[pd.DataFrame], newest: int | None) -> tuple[Iterator[pd.DataFrame], int | None]:
+        """Rows as they come, in any order, a frame at a time; returns what comes out and the newest time seen."""
+        texts: list[str] = []
+        chunks = [_packed(frame, texts) for frame in frames]
+        new = _later(np.concatenate(chunks)) if chunks else np.empty(0, READING)
+        del chunks
+        timed = new["ms"][new["ms"] != NONE]
+        if len(timed):
+            newest = max(int(timed[-1]), newest if newest is not None else NONE)
+
+        def run() -> Iterator[pd.DataFrame]:
+            part_of = new["ms"] // self.width
+            starts = np.flatnonzero(np.append(True, part_of[1:] != part_of[:-1])) if len(new) else []
+            touched = {int(part_of[a]): new[a:b] for a, b in zip(starts, [*starts[1:], len(new)])}
+            known = sorted({*self.parts.keys(), *touched})
+            # Whether the parts from here on may be compared with a reading that is new to them.
+            pending = False
+            for part in known:
+                if part not in touched and not pending:
+                    continue
+                out, changed, has_good = self._settle(part, touched.get(part, new[:0]), texts if part in touched else [], known)
+                yield from out
+                pending = changed or (pending and not has_good)
+            if newest is not None:
+                for part in known:
+                    if (part + 1) * self.width <= newest - self.ttl_ms - self.late_ms and part in self.parts:
+                        del self.parts[part]
+
+        return run(), newest
+
+
+class _Stored(MutableMapping):
+    """A map in the state store as a mapping."""
+
+    def __init__(self, state: Any):
+        self.state = state
+
+    def __contains__(self, part: object) -> bool:
+        return self.state.containsKey((part,))
+
+    def __getitem__(self, part: int) -> tuple[bytes, list[str]]:
+        rows, errors = self.state.getValue((part,))
+        return bytes(rows), list(errors)
+
+    def __setitem__(self, part: int, value: tuple[bytes, list[str]]) -> None:
+        self.state.updateValue((part,), value)
+
+    def __delitem__(self, part: int) -> None:
+        self.state.removeKey((part,))
+
+    def __iter__(self) -> Iterator[int]:
+        return iter([key[0] for key in self.state.keys()])
+
+    def __len__(self) -> int:
+        return sum(1 for _ in self)
+
+
 class PreviousReading(StatefulProcessor):
-    """Compares each reading with the last good one seen, and keeps that one until it expires.
+    """Compares each reading with the patient's newest earlier good one, whatever order they arrive in.
 
-    Rows of a batch are taken in order of event time. A row that arrives in a later batch than a
-    newer reading is compared with that newer one.
+    A row that comes in a later batch than newer ones takes its place among them: it is compared with its true
+    predecessor, and the rows after it that had been compared with an older one come out again.
     """
 
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = ttl_ms
+    def __init__(self, ttl_ms: int, late_ms: int):
+        self.ttl_ms, self.late_ms = ttl_ms, late_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("previous_reading", STATE, ttlDurationMs=self.ttl_ms)
+        kept = self.ttl_ms + self.late_ms
+        self.parts = handle.getMapState("readings", "part BIGINT", "readings BINARY, errors ARRAY<STRING>", ttlDurationMs=kept)
+        self.newest = handle.getValueState("newest", "ms BIGINT", ttlDurationMs=kept)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["event_ms", "event_id"], ignore_index=True)
-        good = batch["error"].isna()
-        held = {"ms": "event_ms", "glucose": "glucose_level", "systolic": "systolic", "diastolic": "diastolic", "risk": "risk_score", "anomaly": "anomaly"}
-        # Position of the newest good row before each row; below 0 the stored reading stands in.
-        position = pd.Series(batch.index, index=batch.index).where(good).shift(1).ffill().fillna(-1).astype(int).to_numpy()
-        stored = dict(zip(FIELDS, self.last.get())) if self.last.exists() else dict.fromkeys(FIELDS)
-
-        def earlier(name: str) -> pd.Series:
-            column = batch[held[name]].to_numpy(dtype=object)
-            return pd.Series([column[p] if p >= 0 else stored[name] for p in position], index=batch.index)
-
-        before = {name: earlier(name) for name in FIELDS}
-        before_ms = pd.to_numeric(before["ms"])
-        valid = (batch["event_ms"] - before_ms <= self.ttl_ms) & before_ms.notna()
-
-        def change(now: str, then: str) -> pd.Series:
-            return (batch[now] - pd.to_numeric(before[then]).fillna(0.0)).abs().where(valid)
-
-        systolic = change("systolic", "systolic")
-        yield pd.DataFrame(
-            {
-                "patient_id": key[0],
-                "event_id": batch["event_id"],
-                "event_ms": batch["event_ms"].astype("Int64"),
-                "risk_score": batch["risk_score"],
-                "anomaly": batch["anomaly"],
-                "error": batch["error"],
-                "previous_ms": before_ms.where(valid).astype("Int64"),
-                "glucose_change": change("glucose_level", "glucose"),
-                "systolic_change": systolic,
-                "diastolic_change": change("diastolic", "diastolic"),
-                "bp_change": systolic,
-                "previous_readmission_risk": pd.to_numeric(before["risk"]).fillna(0.0).where(valid),
-                "previous_anomaly": before["anomaly"].where(valid).astype("boolean"),
-            }
-        )
-        if good.any():
-            newest = batch[good].iloc[-1]
-            reading = [None if pd.isna(newest[c]) else newest[c] for c in held.values()]
-            self.last.update((int(reading[0]), *[None if v is None else float(v) for v in reading[1:5]], bool(reading[5])))
+        newest = self.newest.get()[0] if self.newest.exists() else None
+        out, newest = Readings(_Stored(self.parts), self.ttl_ms, self.late_ms).add(rows, newest)
+        for frame in out:
+            frame.insert(0, "patient_id", key[0])
+            yield frame
+        if newest is not None:
+            self.newest.update((newest,))
 
     def close(self) -> None:
         pass
 
 
-def patient_state_stream(scored: DataFrame, ttl_ms: int = HOUR_MS) -> DataFrame:
+def patient_state_stream(scored: DataFrame, ttl_ms: int = HOUR_MS, late_ms: int | None = None) -> DataFrame:
     """Scored events with their change since the patient's last good reading, from keyed state.
 
-    The state expires `ttl_ms` after it was written; a gap of that length in event time, as in a
-    replay, ends it too. The rows of one patient in one batch meet in one task, and the sources
-    bound how many rows a batch takes in. For replays of whole tables use `vitals_delta`, which
-    splits a busy patient.
+    Each row comes out once, and again when a row that arrived later turns out to lie between it and what it was
+    compared with; the newest batch of an event holds (`latest_revision`). Readings are kept for `ttl_ms`, after which they
+    are compared with nothing, and `late_ms` more of event time (as long again by default); rows later than that are
+    compared with what is left. In one batch a patient's rows are held as numbers, some 70 bytes each; for replays of whole
+    tables use `vitals_delta`, which splits a busy patient.
     """
     slim = scored.select(
         "patient_id",
@@ -111,5 +267,5 @@ def patient_state_stream(scored: DataFrame, ttl_ms: int = HOUR_MS) -> DataFrame:
         "error",
     )
     return slim.groupBy("patient_id").transformWithStateInPandas(
-        PreviousReading(ttl_ms), outputStructType=OUTPUT, outputMode="Append", timeMode="ProcessingTime"
+        PreviousReading(ttl_ms, ttl_ms if late_ms is None else late_ms), outputStructType=OUTPUT, outputMode="Append", timeMode="ProcessingTime"
     )
