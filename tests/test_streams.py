@@ -97,12 +97,11 @@ def test_lateness_stream_equals_batch(spark, feed, tmp_path):
 def test_patient_state_equals_batch_on_ordered_input(spark, feed, tmp_path):
     folder, _ = feed
     use_rocksdb(spark)
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     base = str(tmp_path)
     rows = spark.read.parquet(folder)
     in_order = rows.withColumn("event_ms", F.col("arrival_ms"))
     source = stream(spark, folder).withColumn("event_ms", F.col("arrival_ms"))
-    S.run_available(patient_state_stream(score_request(source), DAY_MS), S.table_writer(f"{base}/o"), f"{base}/c")
+    S.run_available(patient_state_stream(score_request(source), DAY_MS), S.table_writer(f"{base}/o"), f"{base}/c", empty_batches=False)
     columns = ["event_id", "previous_ms", "glucose_change", "bp_change", "diastolic_change", "previous_readmission_risk", "previous_anomaly"]
     same(spark.read.parquet(f"{base}/o"), vitals_delta(score_request(in_order), DAY_MS), columns)
 
@@ -123,13 +122,12 @@ def test_changes_of_a_busy_patient_equal_batch(spark, feed, tmp_path):
 
 def test_state_ends_after_a_gap_in_event_time(spark, tmp_path):
     use_rocksdb(spark)
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     schema = "event_id BIGINT, patient_id STRING, age BIGINT, blood_pressure STRING, bmi DOUBLE, glucose_level DOUBLE, event_ms BIGINT, arrival_ms BIGINT"
     folder = str(tmp_path / "in")
     for i, ms in enumerate([0, 60_000, 120_001]):
         spark.createDataFrame([(i, "a", 50, "120/80", 25.0, 100.0 + i, ms, ms)], schema).coalesce(1).write.mode("append").parquet(folder)
         source = spark.readStream.schema(schema).parquet(folder)
-        S.run_available(patient_state_stream(score_request(source), 60_000), S.table_writer(str(tmp_path / "o")), str(tmp_path / "c"))
+        S.run_available(patient_state_stream(score_request(source), 60_000), S.table_writer(str(tmp_path / "o")), str(tmp_path / "c"), empty_batches=False)
     got = {r.event_id: r.glucose_change for r in spark.read.parquet(str(tmp_path / "o")).collect()}
     assert got == {0: None, 1: 1.0, 2: None}
 
@@ -137,12 +135,11 @@ def test_state_ends_after_a_gap_in_event_time(spark, tmp_path):
 def test_shuffled_arrival_over_batches_equals_batch(spark, sf_dir, tmp_path):
     """Rows come in no order at all over four batches; late ones meet their true predecessor and revise their successor."""
     use_rocksdb(spark)
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     rows = vitals(spark, sf_dir).drop("ts", "readmitted_30_days").withColumn("patient_id", (F.col("event_id") % 7).cast("string"))
     for i in range(4):
         rows.where(F.pmod(F.hash("event_id"), F.lit(4)) == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     changes = patient_state_stream(score_request(stream(spark, str(tmp_path / "in"))), DAY_MS, late_ms=10**12)
-    S.run_available(changes, S.table_writer(str(tmp_path / "o")), str(tmp_path / "c"))
+    S.run_available(changes, S.table_writer(str(tmp_path / "o")), str(tmp_path / "c"), empty_batches=False)
     written = spark.read.parquet(str(tmp_path / "o"))
     assert written.select("batch_id").distinct().count() == 4 and written.count() > rows.count()
     columns = ["event_id", "previous_ms", "glucose_change", "bp_change", "diastolic_change", "previous_readmission_risk", "previous_anomaly", "error"]
@@ -325,9 +322,8 @@ def test_clock_far_ahead_expires_nobody(spark, feed, tmp_path):
     changed = {(r.patient_id, r.event_id): r.previous_ms for r in spark.read.parquet(str(tmp_path / "changes")).collect()}
     assert changed["a", 31] == t and changed["z", 21] is None
     use_rocksdb(spark)
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     kept = patient_state_stream(score_request(stream(spark, str(tmp_path / "in"))))
-    S.run_available(kept, S.table_writer(str(tmp_path / "kept")), str(tmp_path / "c3"))
+    S.run_available(kept, S.table_writer(str(tmp_path / "kept")), str(tmp_path / "c3"), empty_batches=False)
     assert {r.event_id: r.previous_ms for r in spark.read.parquet(str(tmp_path / "kept")).where("patient_id = 'a'").collect()} == {11: None, 31: t}
 
 

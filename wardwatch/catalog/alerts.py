@@ -45,6 +45,29 @@ _LATE_BY_HOUR = """
 WITH s AS (SELECT event_ms // 3600000 * 3600000 AS t_ms, avg((arrival_ms - event_ms > 300000)::int) AS value FROM vitals GROUP BY ALL),"""
 
 
+# Check SQL: the changes of an alert on `value < 60` that must hold for two hours, where a sample speaks for one hour.
+CHANGES_SQL = """
+WITH s AS (SELECT event_type AS source, epoch_us(ts) // 1000 AS t_ms, max(value) AS value FROM events GROUP BY ALL),
+w AS (SELECT max(t_ms) AS until FROM s),
+f AS (SELECT *, value < 60 AS yes, lag(t_ms) OVER o AS t0, lag(value < 60) OVER o AS y0, lead(t_ms) OVER o AS t1, lead(value) OVER o AS v1
+  FROM s WINDOW o AS (PARTITION BY source ORDER BY t_ms)),
+g AS (SELECT *, sum((NOT (coalesce(y0, false) AND t_ms - t0 <= 3600000))::int) OVER (PARTITION BY source ORDER BY t_ms) AS island FROM f WHERE yes),
+r AS (SELECT source, min(t_ms) AS since_ms, max(t_ms) AS last_ms, arg_min(value, t_ms) AS v0, arg_max(value, t_ms) AS v_last, last(t1 ORDER BY t_ms) AS next_ms,
+  last(v1 ORDER BY t_ms) AS next_v, list(value ORDER BY t_ms) AS vs, list(t_ms ORDER BY t_ms) AS ts FROM g GROUP BY source, island),
+e AS (SELECT *, next_ms IS NOT NULL AND next_ms - last_ms <= 3600000 AS cut, since_ms + 7200000 AS fire_ms FROM r),
+d AS (SELECT *, CASE WHEN cut THEN next_ms ELSE last_ms + 3600000 END AS end_ms, CASE WHEN cut THEN next_v ELSE v_last END AS end_v FROM e),
+h AS (SELECT *, CASE WHEN cut THEN fire_ms < end_ms ELSE fire_ms <= end_ms END AS fired FROM d)
+SELECT source, since_ms AS at_ms, 'pending' AS state, since_ms, v0 AS value FROM h, w WHERE since_ms <= until
+UNION ALL SELECT source, fire_ms, 'firing', since_ms, vs[len(list_filter(ts, lambda x: x <= fire_ms))] FROM h, w WHERE fired AND fire_ms <= until
+UNION ALL SELECT source, end_ms, CASE WHEN fired THEN 'resolved' ELSE 'inactive' END, since_ms, end_v FROM h, w WHERE end_ms <= until"""
+
+
+@query("alert_changes", "", CHANGES_SQL)
+def _alert_changes(spark, sf_dir):
+    samples = requests(spark, sf_dir).groupBy("source", F.col("ms").alias("t_ms")).agg(F.max("latency_ms").alias("value"))
+    return A.alert_changes(stage(samples, "samples"), ["source"], F.col("value") < 60, 2 * HOUR_MS, max_gap_ms=HOUR_MS)
+
+
 @query("alert_hold", "vitals", _LATE_BY_HOUR + hold_sql("s", "value > 0.02", 7_200_000))
 def _alert_hold(spark, sf_dir):
     ratio = late_ratio_by_window(vitals(spark, sf_dir), HOUR_MS).select(F.col("window_ms").alias("t_ms"), F.col("late_data_ratio").alias("value"))

@@ -5,16 +5,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardwatch.catalog.history import _DELTA_SQL, delta_columns
-from wardwatch.catalog.quality import _DAILY_DRIFT, _TIERS_SQL
+from wardwatch.catalog.history import _AS_OF_SQL, _DELTA_SQL, delta_columns
+from wardwatch.catalog.alerts import CHANGES_SQL
+from wardwatch.catalog.quality import _DAILY_DRIFT, _TIERS_SQL, _WATCH_SQL
 from wardwatch.catalog.registry import query
 from wardwatch.fixtures import as_vitals, events, reference, vitals
-from wardwatch.operators.history import DAY_MS
+from wardwatch.operators.drift import reference_means
+from wardwatch.operators.history import DAY_MS, HOUR_MS
 from wardwatch.operators.scoring import score_request
 from wardwatch.session import work_dir
 from wardwatch.sinks.tables import latest_revision
 from wardwatch.streaming import queries as S
+from wardwatch.streaming.alerting import alert_changes_stream
 from wardwatch.streaming.state import patient_state_stream, use_rocksdb
+from wardwatch.streaming.watch import drift_watch_stream
 from wardwatch.streaming.windows import tumbling_vitals
 
 EVENTS = T.StructType(
@@ -106,11 +110,9 @@ def _history_stream(spark, sf_dir):
 def _patient_state_stream(spark, sf_dir):
     """The batches follow the clock of arrival, so late rows come after newer ones."""
     use_rocksdb(spark)
-    # With expiring state a finished stream would run empty batches for ever.
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     base = work_dir(spark, "patient-state")
     changes = patient_state_stream(score_request(_vitals_stream(spark, sf_dir, "arrival_ms")), DAY_MS)
-    S.run_available(changes, S.table_writer(f"{base}/changes"), f"{base}/checkpoint")
+    S.run_available(changes, S.table_writer(f"{base}/changes"), f"{base}/checkpoint", empty_batches=False)
     return delta_columns(latest_revision(spark.read.parquet(f"{base}/changes"), ["patient_id", "event_id"]))
 
 
@@ -164,3 +166,42 @@ def _dedupe_stream(spark, sf_dir):
     once = S.dedupe_stream(twice).select("event_id", "patient_id", "event_ms")
     S.run_available(once, S.table_writer(f"{base}/events"), f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/events").drop("batch_id")
+
+
+@query(
+    "drift_watch_stream",
+    "vitals reference",
+    # The last rows wait for the timer of the wall clock, unless they fill a check.
+    _WATCH_SQL.format(timer=5 * DAY_MS) + " WHERE hi < (SELECT max(r) FROM n) OR n_rows = 1000",
+)
+def _drift_watch_stream(spark, sf_dir):
+    use_rocksdb(spark)
+    base = work_dir(spark, "drift-watch")
+    columns = ["age", "bmi", "glucose_level"]
+    known = reference_means(reference(spark, sf_dir), columns)
+    checks = drift_watch_stream(_vitals_stream(spark, sf_dir, "arrival_ms"), known, columns, timer_ms=5 * DAY_MS)
+    S.run_available(checks, S.table_writer(f"{base}/checks"), f"{base}/checkpoint", empty_batches=False)
+    out = spark.read.parquet(f"{base}/checks").drop("batch_id")
+    return out.withColumns({c: F.round(c, 6) for c in ("drift_score", "late_data_ratio")})
+
+
+@query("alert_stream", "", CHANGES_SQL)
+def _alert_stream(spark, sf_dir):
+    """Changes of an alert on every event's value, per type, as far as the last watermark."""
+    use_rocksdb(spark)
+    base = work_dir(spark, "alerts")
+    path, files = _sliced(spark, sf_dir, "event_ms")
+    rows = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(path)
+    series = rows.select(F.col("event_type").alias("source"), F.unix_millis(F.col("ts").cast("timestamp")).alias("t_ms"), "value")
+    changes = alert_changes_stream(series, ["source"], F.col("value") < 60, 2 * HOUR_MS, HOUR_MS, "0 seconds")
+    S.run_available(changes, S.table_writer(f"{base}/changes"), f"{base}/checkpoint", empty_batches=True)
+    return spark.read.parquet(f"{base}/changes").drop("batch_id")
+
+
+@query("enrich_stream", "judged", _AS_OF_SQL)
+def _enrich_stream(spark, sf_dir):
+    base = work_dir(spark, "enrich")
+    write = S.enrich_writer(f"{base}/enriched", f"{base}/history")
+    S.run_available(_vitals_stream(spark, sf_dir), write, f"{base}/checkpoint")
+    out = spark.read.parquet(f"{base}/enriched")
+    return out.select("event_id", "patient_id", F.round("previous_risk_score", 6).alias("previous_risk_score"), "previous_anomaly")

@@ -45,6 +45,74 @@ def alert_hold(
     return started.withColumns({"active_since_ms": F.when(on, F.col("_since")), "state": state}).drop("_on", "_was", "_at", "_start", "_since")
 
 
+def alert_changes(
+    series: DataFrame,
+    keys: Sequence[str],
+    condition: Column,
+    hold_ms: int,
+    until_ms: int | None = None,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+    max_gap_ms: int = STALE_MS,
+) -> DataFrame:
+    """When the alert of each series changed: `(keys, at_ms, state, since_ms, value)`.
+
+    A condition holds from a true sample to the next sample, or for `max_gap_ms` where none comes. It is pending from
+    its first true sample, fires once it has held for `hold_ms`, and ends as `resolved` if it had fired, else as `inactive`.
+    Changes later than `until_ms` (by default the newest sample of all) are not known yet. The value is that of the last
+    true sample before the change, or of the sample that ended it.
+    """
+    states = stage(alert_hold(series.select(*keys, "t_ms", "value"), keys, condition, hold_ms, rows_per_chunk=rows_per_chunk, max_gap_ms=max_gap_ms), "alert-states")
+    if until_ms is None:
+        until_ms = states.agg(F.max("t_ms")).first()[0] or 0
+    before = F.struct("t_ms", "active_since_ms", "value")
+    scanned = ordered_scan(states, keys, ["t_ms"], {"_was": Scan("last", before, inclusive=False)}, rows_per_chunk)
+    was, since = F.col("_was"), F.col("active_since_ms")
+    ended = was["active_since_ms"].isNotNull() & (since.isNull() | (since != was["active_since_ms"]))
+    near = F.col("t_ms") - was["t_ms"] <= max_gap_ms
+    ends = scanned.where(ended).select(
+        *keys,
+        was["active_since_ms"].alias("since_ms"),
+        was["t_ms"].alias("last_ms"),
+        F.when(near, F.col("t_ms")).otherwise(was["t_ms"] + max_gap_ms).alias("end_ms"),
+        F.when(near, F.col("value")).otherwise(was["value"]).alias("end_value"),
+        near.alias("cut"),
+    )
+    newest = F.max_by(F.struct("t_ms", "active_since_ms", "value"), F.col("t_ms"))
+    last = states.groupBy(*keys).agg(newest.alias("_l")) if keys else states.agg(newest.alias("_l"))
+    stale = F.col("_l.t_ms") + max_gap_ms
+    still = last.where(F.col("_l.active_since_ms").isNotNull()).select(
+        *keys,
+        F.col("_l.active_since_ms").alias("since_ms"),
+        F.col("_l.t_ms").alias("last_ms"),
+        stale.alias("end_ms"),
+        F.col("_l.value").alias("end_value"),
+        F.lit(False).alias("cut"),
+    )
+    runs = ends.unionByName(still)
+    fires = F.col("since_ms") + hold_ms
+    # A sample at the end of the hold is taken before the alert fires; a condition that only goes stale then has held.
+    fired = F.when(F.col("cut"), fires < F.col("end_ms")).otherwise(fires <= F.col("end_ms")) | F.lit(hold_ms == 0)
+    value_at = states.select(*keys, F.col("t_ms"), F.col("value"), F.col("active_since_ms").alias("since_ms")).where(F.col("since_ms").isNotNull())
+    at_start = F.min_by("value", F.col("t_ms")).alias("first_value")
+    at_fire = F.max_by(F.when(F.col("t_ms") <= fires, F.col("value")), F.when(F.col("t_ms") <= fires, F.col("t_ms"))).alias("fire_value")
+    values = value_at.groupBy(*keys, "since_ms").agg(at_start, at_fire)
+    joint = [F.col(f"r.{k}").eqNullSafe(F.col(f"v.{k}")) for k in keys] + [F.col("r.since_ms") == F.col("v.since_ms")]
+    full = runs.alias("r").join(values.alias("v"), joint).select("r.*", "v.first_value", "v.fire_value")
+
+    def change(at: Column, state: Column | str, value: str, there: Column) -> Column:
+        return F.when(there, F.struct(at.alias("at_ms"), (F.lit(state) if isinstance(state, str) else state).alias("state"), F.col(value).alias("value")))
+
+    changes = F.array_compact(
+        F.array(
+            change(F.col("since_ms"), "pending", "first_value", F.lit(hold_ms > 0)),
+            change(fires, "firing", "fire_value", fired),
+            change(F.col("end_ms"), F.when(fired, "resolved").otherwise("inactive"), "end_value", F.lit(True)),
+        )
+    )
+    listed = full.select(*keys, "since_ms", F.explode(changes).alias("c"))
+    return listed.where(F.col("c.at_ms") <= until_ms).select(*keys, "c.at_ms", "c.state", "since_ms", "c.value")
+
+
 @dataclass(frozen=True)
 class AlertRule:
     """A limit on a value, how long it must be broken, and the text to send."""

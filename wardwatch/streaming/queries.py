@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from wardwatch.functions.records import project_prediction
 from wardwatch.operators.drift import min_rows, reference_means, score_window_means
-from wardwatch.operators.history import DAY_MS, HOUR_MS, feature_rows, latest_per_patient, recent_history, vitals_delta
+from wardwatch.operators.history import DAY_MS, HOUR_MS, enrich_latest, feature_rows, latest_per_patient, recent_history, vitals_delta
 from wardwatch.operators.lateness import lateness_tiers, newest_by_source
 from wardwatch.operators.scoring import RISK_FACTOR_MODEL, RiskModel, dead_letter, score_request, successful_only
 from wardwatch.sinks.keyed import KeyedTable
@@ -38,9 +39,27 @@ def checkpointed(df: DataFrame, write: Batch, checkpoint: str, mode: str = "appe
     return writer.start()
 
 
-def run_available(df: DataFrame, write: Batch, checkpoint: str, mode: str = "append", timeout: int = 600) -> None:
-    """Process what is there and return; a failure or a timeout is raised."""
-    query = checkpointed(df, write, checkpoint, mode, trigger=None)
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for a while; a query that starts meanwhile keeps it."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
+def run_available(df: DataFrame, write: Batch, checkpoint: str, mode: str = "append", timeout: int = 600, empty_batches: bool | None = None) -> None:
+    """Process what is there and return; a failure or a timeout is raised.
+
+    A query whose state has timers or expiry on the wall clock would run batches without rows for ever, and is
+    given `empty_batches=False`; one with event-time timers needs them to fire behind the last row.
+    """
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    value = df.sparkSession.conf.get(name) if empty_batches is None else str(empty_batches).lower()
+    with setting(df.sparkSession, name, value):
+        query = checkpointed(df, write, checkpoint, mode, trigger=None)
     if not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream did not finish in {timeout} seconds")
@@ -104,6 +123,29 @@ def live_features(spark: SparkSession, path: str, ttl_ms: int = DAY_MS) -> DataF
     return table.where(F.lit(newest) - F.col("event_ms") < ttl_ms)
 
 
+def enrich_writer(enriched: str, history: str, model: RiskModel = RISK_FACTOR_MODEL, ttl_ms: int = DAY_MS, keep: int = 100) -> Batch:
+    """Score a batch, and attach to each event the newest features of its patient before it: the lookup inside the stream.
+
+    What a patient had before the batch comes from the keyed history as of the batch before, so a replay sees what the
+    first run saw; only the segments that the batch's patients fall into are opened. A row that comes late finds its
+    features among the last `keep` predictions of its patient.
+    """
+    table = history_table(history, keep)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        scored = score_request(batch, model).persist()
+        try:
+            fresh = feature_rows(scored)
+            before = table.read(spark, batch_id, scored)
+            write_batch(enrich_latest(scored, before.unionByName(fresh), ttl_ms), enriched, batch_id)
+            table.update(spark, batch_id, fresh)
+        finally:
+            scored.unpersist()
+
+    return write
+
+
 def lateness_writer(main: str, side: str, seen: str) -> Batch:
     """Split a batch by how late its rows are; the newest event per source is kept between batches."""
 

@@ -30,7 +30,7 @@ NONE = np.iinfo(np.int64).min
 #: Rows of one frame that is handed to Spark.
 FRAME_ROWS = 20_000
 #: The state of a patient is cut into parts of event time, so many in one lifetime of a reading.
-PARTS = 4
+PARTS = 1
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -193,29 +193,44 @@ class Readings:
 
 
 class _Stored(MutableMapping):
-    """A map in the state store as a mapping."""
+    """A map in the state store; each entry is read once and written once, by `flush`."""
 
     def __init__(self, state: Any):
         self.state = state
+        self.there = {key[0] for key in state.keys()}
+        self.known = set(self.there)
+        self.held: dict[int, tuple[bytes, list[str]]] = {}
+        self.changed: set[int] = set()
 
     def __contains__(self, part: object) -> bool:
-        return self.state.containsKey((part,))
+        return part in self.known
 
     def __getitem__(self, part: int) -> tuple[bytes, list[str]]:
-        rows, errors = self.state.getValue((part,))
-        return bytes(rows), list(errors)
+        if part not in self.held:
+            rows, errors = self.state.getValue((part,))
+            self.held[part] = (bytes(rows), list(errors))
+        return self.held[part]
 
     def __setitem__(self, part: int, value: tuple[bytes, list[str]]) -> None:
-        self.state.updateValue((part,), value)
+        self.held[part] = value
+        self.known.add(part)
+        self.changed.add(part)
 
     def __delitem__(self, part: int) -> None:
-        self.state.removeKey((part,))
+        self.known.remove(part)
+        self.held.pop(part, None)
 
     def __iter__(self) -> Iterator[int]:
-        return iter([key[0] for key in self.state.keys()])
+        return iter(self.known)
 
     def __len__(self) -> int:
-        return sum(1 for _ in self)
+        return len(self.known)
+
+    def flush(self) -> None:
+        for part in self.there - self.known:
+            self.state.removeKey((part,))
+        for part in self.changed & self.known:
+            self.state.updateValue((part,), self.held[part])
 
 
 class PreviousReading(StatefulProcessor):
@@ -235,10 +250,12 @@ class PreviousReading(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         newest = self.newest.get()[0] if self.newest.exists() else None
-        out, newest = Readings(_Stored(self.parts), self.ttl_ms, self.late_ms).add(rows, newest)
+        parts = _Stored(self.parts)
+        out, newest = Readings(parts, self.ttl_ms, self.late_ms).add(rows, newest)
         for frame in out:
             frame.insert(0, "patient_id", key[0])
             yield frame
+        parts.flush()
         if newest is not None:
             self.newest.update((newest,))
 
