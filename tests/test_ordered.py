@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from wardwatch.operators import ordered
 from wardwatch.operators.ordered import Scan, ordered_scan, plan_splits
 from wardwatch.operators.quantiles import percentiles
 
@@ -21,6 +22,7 @@ def scans():
         "top_before": Scan("max", F.col("v"), inclusive=False),
         "last": Scan("last", third),
         "last_before": Scan("last", third, inclusive=False),
+        "gained": Scan("increase", third.cast("double")),
     }
 
 
@@ -44,13 +46,21 @@ def expected(pdf):
         g["top_before"] = g["v"].cummax().shift(1)
         g["last"] = hit.ffill()
         g["last_before"] = hit.shift(1).ffill()
+        seen = hit.dropna()
+        step = seen.diff().where(seen >= seen.shift(1), seen).where(seen.shift(1).notna(), 0)
+        g["gained"] = step.reindex(g.index).fillna(0).cumsum()
         out.append(g)
     return pd.concat(out).sort_values("id").reset_index(drop=True)
 
 
 @pytest.mark.parametrize("chunk", [10**9, 400, 50, 7])
 @pytest.mark.parametrize("same_time", [False, True])
-def test_scans_match_brute_force(spark, chunk, same_time):
+@pytest.mark.parametrize("literals", [20_000, 4])
+def test_scans_match_brute_force(spark, chunk, same_time, literals, monkeypatch):
+    """Over cut points in the plan, and over ranges that Spark cuts where these would be too many."""
+    if literals == 4 and chunk in (10**9, 400):
+        pytest.skip("so few chunks are literals")
+    monkeypatch.setattr(ordered, "MOST_LITERALS", literals)
     pdf = rows(1200, same_time=same_time)
     got = ordered_scan(spark.createDataFrame(pdf), ["g"], ["t", "id"], scans(), chunk).toPandas().sort_values("id").reset_index(drop=True)
     want = expected(pdf)

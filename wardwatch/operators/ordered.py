@@ -6,8 +6,9 @@ about equal size. Each chunk is scanned with a window of its own, and what a chu
 the chunks before it comes from a small table with one row per chunk of a large group.
 
 The cut points are literals in the plan, so every branch and every task retry puts a row into the
-same chunk. They only shape the work; the result does not depend on them. Groups below the chunk
-size are never cut, and input below it gives the plain window plan.
+same chunk. Where there would be more than `MOST_LITERALS`, Spark's range partitioning cuts instead, and the rows are
+written once with the number of their range. Cut points only shape the work; the result does not depend on
+them. Groups below the chunk size are never cut, and input below it gives the plain window plan.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
@@ -25,7 +26,7 @@ from pyspark.sql.window import Window, WindowSpec
 from wardwatch.session import stage
 
 ROWS_PER_CHUNK = 2_000_000
-MAX_CHUNKS = 20_000
+MOST_LITERALS = 20_000
 SAMPLES_PER_CHUNK = 20
 GLOBAL_MIN_CHUNKS = 8
 GLOBAL_MIN_ROWS = 1_000
@@ -33,11 +34,17 @@ GLOBAL_MIN_ROWS = 1_000
 FEW_EDGES = 32
 
 CHUNK = "_chunk"
+_HASHES = 1_000_000_007
 
 
 @dataclass(frozen=True)
 class Scan:
-    """A running value: `count`, `sum`, `max` or `last` (newest non-null), with or without the row itself."""
+    """A running value: `count`, `sum`, `max` or `last` (newest non-null), with or without the row itself.
+
+    `increase` adds up what a counter has gained, with the row itself: a value below the one before is a reset and
+    counts whole; nulls are passed over. Two neighbouring pieces of a series combine from their first value, their
+    last and what each gained inside.
+    """
 
     kind: str
     value: Column | None = None
@@ -52,6 +59,8 @@ class Splits:
     order: tuple[str, ...]
     schema: T.StructType
     edges: tuple[tuple, ...] = ()
+    #: Ranges that Spark cuts, where cut points would be too many for the plan.
+    ranges: int = 0
 
     @property
     def keys(self) -> list[str]:
@@ -121,21 +130,31 @@ def _typed(text: Column, kind: T.DataType) -> Column:
 
 
 def plan_splits(df: DataFrame, group: Sequence[str], order: Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK) -> Splits:
-    """Find cut points from a sample of keys whose size depends on the number of chunks only."""
+    """Find cut points from a sample of keys whose size depends on the number of chunks only.
+
+    The driver sees at most `SAMPLES_PER_CHUNK * MOST_LITERALS` keys, or as many as Spark's range partitioning takes.
+    """
     keys = df.select(*group, *order)
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in keys.schema.fields])
     none = Splits(tuple(group), tuple(order), schema)
-    rows = keys.count()
-    if not group and rows > GLOBAL_MIN_ROWS:
-        rows_per_chunk = min(rows_per_chunk, math.ceil(rows / GLOBAL_MIN_CHUNKS))
-    chunks = min(math.ceil(rows / rows_per_chunk), MAX_CHUNKS)
+    hashed = F.pmod(F.xxhash64(*[F.col(c) for c in keys.columns]), F.lit(_HASHES))
+    if group:
+        # The share to sample follows from the chunk size alone, so one pass counts and samples.
+        seen = Observation()
+        counted = keys.observe(seen, F.count(F.lit(1)).alias("rows"))
+        found = stage(counted.where(hashed < math.ceil(min(1.0, SAMPLES_PER_CHUNK / rows_per_chunk) * _HASHES)), "range-sample")
+        rows = seen.get["rows"]
+    else:
+        rows = keys.count()
+        if rows > GLOBAL_MIN_ROWS:
+            rows_per_chunk = min(rows_per_chunk, math.ceil(rows / GLOBAL_MIN_CHUNKS))
+        found = keys.where(hashed < math.ceil(min(1.0, SAMPLES_PER_CHUNK / rows_per_chunk) * _HASHES))
+    chunks = math.ceil(rows / rows_per_chunk)
     if chunks < 2:
         return none
-    wanted = chunks * SAMPLES_PER_CHUNK
-    hashed = F.pmod(F.xxhash64(*[F.col(c) for c in keys.columns]), F.lit(1_000_000_007))
-    share = min(1.0, wanted / rows)
-    chosen = keys.where(hashed < int(share * 1_000_000_007)).orderBy(*keys.columns)
-    sample = chosen.select(*[_text_of(f.name, f.dataType).alias(f.name) for f in schema.fields]).collect()
+    if chunks > MOST_LITERALS:
+        return replace(none, ranges=chunks)
+    sample = found.orderBy(*keys.columns).select(*[_text_of(f.name, f.dataType).alias(f.name) for f in schema.fields]).collect()
     every = max(1, round(len(sample) / chunks))
     cuts = [tuple(sample[i]) for i in range(every, len(sample), every)]
     if group:
@@ -145,30 +164,68 @@ def plan_splits(df: DataFrame, group: Sequence[str], order: Sequence[str], rows_
     return Splits(tuple(group), tuple(order), schema, tuple(dict.fromkeys(cuts)))
 
 
-def _running(scan: Scan, window: WindowSpec) -> Column:
+def _gain(value: Column, before: Column) -> Column:
+    """What a counter gained between two of its values."""
+    return F.when(value.isNotNull() & before.isNotNull(), F.when(value >= before, value - before).otherwise(value))
+
+
+def _running(scan: Scan, window: WindowSpec, gain: str = "") -> Column:
     frame = window.rowsBetween(Window.unboundedPreceding, 0 if scan.inclusive else -1)
     if scan.kind == "count":
         return F.count(F.lit(1)).over(frame)
     if scan.kind == "last":
         return F.last(scan.value, ignorenulls=True).over(frame)
+    if scan.kind == "increase":
+        return F.coalesce(F.sum(gain).over(frame), F.lit(0.0))
     return {"sum": F.sum, "max": F.max}[scan.kind](scan.value).over(frame)
 
 
-def _chunk_total(scan: Scan, order: Sequence[str]) -> Column:
+def _windowed(df: DataFrame, scans: Mapping[str, Scan], window: WindowSpec) -> DataFrame:
+    """Running values over a window; increases leave the gain of each row, and whether a value has come by then."""
+    before, upto = (window.rowsBetween(Window.unboundedPreceding, end) for end in (-1, 0))
+    gains = {}
+    for n, s in scans.items():
+        if s.kind == "increase":
+            gains[f"_gain_{n}"] = _gain(s.value, F.last(s.value, ignorenulls=True).over(before))
+            gains[f"_come_{n}"] = F.count(s.value).over(upto) > 0
+    return (df.withColumns(gains) if gains else df).withColumns({n: _running(s, window, f"_gain_{n}") for n, s in scans.items()})
+
+
+def _chunk_total(name: str, scan: Scan, order: Sequence[str]) -> Column:
     if scan.kind == "count":
         return F.count(F.lit(1))
-    if scan.kind == "last":
-        place = F.struct(*[F.col(c) for c in order])
-        return F.max_by(scan.value, F.when(scan.value.isNotNull(), place))
+    if scan.kind in ("last", "increase"):
+        place = F.when(scan.value.isNotNull(), F.struct(*[F.col(c) for c in order]))
+        newest = F.max_by(scan.value, place)
+        if scan.kind == "last":
+            return newest
+        return F.struct(F.min_by(scan.value, place).alias("first"), newest.alias("last"), F.coalesce(F.sum(f"_gain_{name}"), F.lit(0.0)).alias("gain"))
     return {"sum": F.sum, "max": F.max}[scan.kind](scan.value)
 
 
-def _carried(scan: Scan, total: str, window: WindowSpec) -> Column:
-    kind = "sum" if scan.kind == "count" else scan.kind
-    return _running(Scan(kind, F.col(total), inclusive=False), window)
+def _carries(totals: DataFrame, scans: Mapping[str, Scan], window: WindowSpec) -> DataFrame:
+    """What each chunk must know about those before it, `_carry_` and the name."""
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
+    joints, carries = {}, {}
+    for name, scan in scans.items():
+        total = F.col(f"_total_{name}")
+        if scan.kind == "increase":
+            # The step from the piece before into this one counts from the first value of this one on.
+            joints[f"_joint_{name}"] = _gain(total["first"], F.last(total["last"], ignorenulls=True).over(before))
+            inside = F.sum(total["gain"]).over(before)
+            steps = F.sum(f"_joint_{name}").over(before)
+            base = F.coalesce(inside, F.lit(0.0)) + F.coalesce(steps, F.lit(0.0))
+            carries[f"_carry_{name}"] = F.struct(base.alias("base"), F.coalesce(f"_joint_{name}", F.lit(0.0)).alias("joint"))
+        else:
+            kind = "sum" if scan.kind == "count" else scan.kind
+            carries[f"_carry_{name}"] = _running(Scan(kind, total, inclusive=False), window)
+    return (totals.withColumns(joints) if joints else totals).withColumns(carries)
 
 
-def _combine(scan: Scan, own: Column, carry: Column) -> Column:
+def _combine(name: str, scan: Scan, own: Column, carry: Column) -> Column:
+    if scan.kind == "increase":
+        joint = F.when(F.col(f"_come_{name}"), carry["joint"]).otherwise(F.lit(0.0))
+        return own + F.coalesce(carry["base"] + joint, F.lit(0.0))
     if scan.kind in ("count", "sum"):
         return F.coalesce(own + carry, own, carry)
     if scan.kind == "max":
@@ -191,32 +248,33 @@ def ordered_scan(
     """
     if splits is None and rows_per_chunk is not None:
         splits = plan_splits(df, group, order, rows_per_chunk)
-    if splits is None or not splits.edges:
+    if splits is None or not (splits.edges or splits.ranges):
         window = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumns({name: _running(s, window) for name, s in scans.items()})
-
-    chunked = df.withColumn(CHUNK, splits.chunk())
-    window = Window.partitionBy(*group, CHUNK).orderBy(*order)
-    own = chunked.withColumns({name: _running(s, window) for name, s in scans.items()})
-
-    totals = (
-        chunked.where(splits.hot())
-        .groupBy(*group, CHUNK)
-        .agg(*[_chunk_total(s, order).alias(f"_total_{name}") for name, s in scans.items()])
-    )
-    across = Window.partitionBy(*group).orderBy(CHUNK)
-    carry = totals.select(
-        *[F.col(c).alias(f"_key_{c}") for c in (*group, CHUNK)],
-        *[_carried(s, f"_total_{name}", across).alias(f"_carry_{name}") for name, s in scans.items()],
+        return _windowed(df, scans, window).select(*df.columns, *scans)
+
+    if splits.ranges:
+        ranged = df.repartitionByRange(splits.ranges, *group, *order).withColumn(CHUNK, F.spark_partition_id())
+        # Written once, so that all branches and retries see the same ranges.
+        chunked, cut = stage(ranged, "ranged-rows"), F.lit(True)
+    else:
+        chunked, cut = df.withColumn(CHUNK, splits.chunk()), splits.hot()
+    own = _windowed(chunked, scans, Window.partitionBy(*group, CHUNK).orderBy(*order))
+    if any(s.kind == "increase" for s in scans.values()):
+        # The totals need the gains, so the scan is written instead of made twice.
+        own = chunked = stage(own, "ordered-scan")
+
+    totals = chunked.where(cut).groupBy(*group, CHUNK).agg(*[_chunk_total(n, s, order).alias(f"_total_{n}") for n, s in scans.items()])
+    carry = _carries(totals, scans, Window.partitionBy(*group).orderBy(CHUNK)).select(
+        *[F.col(c).alias(f"_key_{c}") for c in (*group, CHUNK)], *[F.col(f"_carry_{name}") for name in scans]
     )
     on = F.lit(True)
     for c in (*group, CHUNK):
         on = on & F.col(c).eqNullSafe(F.col(f"_key_{c}"))
-    # At most two rows per cut point, so the size of this side is known: 2 * MAX_CHUNKS rows.
-    joined = own.join(F.broadcast(carry), on, "left")
+    # With literal cut points there are at most two rows for each; ranges also list the small groups, and Spark decides.
+    joined = own.join(carry if splits.ranges else F.broadcast(carry), on, "left")
     return joined.select(
         *df.columns,
-        *[_combine(s, F.col(name), F.col(f"_carry_{name}")).alias(name) for name, s in scans.items()],
+        *[_combine(name, s, F.col(name), F.col(f"_carry_{name}")).alias(name) for name, s in scans.items()],
     )
 
 
@@ -226,4 +284,4 @@ def settle(df: DataFrame, splits: Splits | None, name: str) -> DataFrame:
     A split scan reads its input twice, so scans on top of each other would double the work at
     every level.
     """
-    return stage(df, name) if splits is not None and splits.edges else df
+    return stage(df, name) if splits is not None and (splits.edges or splits.ranges) else df

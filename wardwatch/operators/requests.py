@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardwatch.functions.timing import cell_end
-from wardwatch.operators.ordered import ROWS_PER_CHUNK, Scan, ordered_scan, plan_splits, settle
+from wardwatch.operators.ordered import ROWS_PER_CHUNK, Scan, ordered_scan
 from wardwatch.operators.quantiles import percentile_columns, percentiles
 from wardwatch.session import stage
 
@@ -160,7 +160,8 @@ def trailing_sums(steps: DataFrame, by: Sequence[str], values: Sequence[str], st
     return spread.groupBy(*by, (F.col("_from") + F.col("_after")).alias("t_ms")).agg(*sums)
 
 
-def bucket_rates(    df: DataFrame, by: Sequence[str] = (), step_ms: int = 60_000, range_ms: int = RATE_RANGE_MS, buckets: Sequence[float] = LATENCY_BUCKETS
+def bucket_rates(
+    df: DataFrame, by: Sequence[str] = (), step_ms: int = 60_000, range_ms: int = RATE_RANGE_MS, buckets: Sequence[float] = LATENCY_BUCKETS
 ) -> DataFrame:
     """Per-second rate of each latency bucket over the trailing range, at every step that a request reaches.
 
@@ -178,24 +179,16 @@ def bucket_rates(    df: DataFrame, by: Sequence[str] = (), step_ms: int = 60_00
 def counter_rate(counter: DataFrame, by: Sequence[str], range_ms: int = RATE_RANGE_MS, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Per-second increase of a counter over `(t - range, t]`, for samples `(by, ms, value)`.
 
-    A series has one sample per `ms`. A drop is a reset and counts the new value. The increase is
-    a difference of two running totals: the one at `t`, and the newest one that has left the range
-    by `t`. Both come from ordered scans, so a series of any length is split. `counter` is read
-    several times; it should be a stored table.
+    A series has one sample per `ms`. A drop is a reset and counts the new value. The increase is a difference of two
+    running increases: that of the samples up to `t`, and that of the samples which have left the range by `t`. Each
+    sample stands in the series twice, where it comes and where it leaves, so one ordered scan gives both.
     """
-    splits = plan_splits(counter, by, ["ms"], rows_per_chunk)
-    before = {"_before": Scan("last", F.col("value"), inclusive=False)}
-    steps = settle(ordered_scan(counter.select(*by, "ms", "value"), by, ["ms"], before, None, splits), splits, "counter-steps")
-    gain = F.when(F.col("value") >= F.col("_before"), F.col("value") - F.col("_before")).when(F.col("_before").isNotNull(), F.col("value"))
-    gains = steps.withColumn("_gain", F.coalesce(gain, F.lit(0.0)))
-    totals = ordered_scan(gains, by, ["ms"], {"_total": Scan("sum", F.col("_gain"))}, None, splits).select(*by, "ms", "_total")
-    totals = settle(totals, splits, "counter-totals")
-
-    leaving = totals.select(*by, (F.col("ms") + range_ms).alias("ms"), F.lit(0).alias("_side"), F.col("_total").alias("_left"), F.lit(None).cast("double").alias("_total"))
-    readers = totals.select(*by, "ms", F.lit(1).alias("_side"), F.lit(None).cast("double").alias("_left"), "_total")
-    scanned = ordered_scan(readers.unionByName(leaving), by, ["ms", "_side"], {"_gone": Scan("last", F.col("_left"))}, rows_per_chunk)
-    increase = F.col("_total") - F.coalesce(F.col("_gone"), F.lit(0.0))
-    return scanned.where(F.col("_side") == 1).select(*by, "ms", (increase / (range_ms / 1000.0)).alias("rate"))
+    slim = counter.select(*by, "ms", F.col("value").cast("double").alias("value"))
+    sides = F.explode(F.array(F.struct(F.lit(1).alias("side"), F.col("ms").alias("at")), F.struct(F.lit(0).alias("side"), (F.col("ms") + range_ms).alias("at"))))
+    both = slim.select(*by, "value", sides.alias("_s")).select(*by, "value", F.col("_s.at").alias("ms"), F.col("_s.side").alias("_side"))
+    scans = {f"_{n}": Scan("increase", F.when(F.col("_side") == side, F.col("value"))) for n, side in (("total", 1), ("gone", 0))}
+    scanned = ordered_scan(both, by, ["ms", "_side"], scans, rows_per_chunk).where(F.col("_side") == 1)
+    return scanned.select(*by, "ms", ((F.col("_total") - F.col("_gone")) / (range_ms / 1000.0)).alias("rate"))
 
 
 def count_rate(df: DataFrame, by: Sequence[str], step_ms: int = 60_000, range_ms: int = RATE_RANGE_MS) -> DataFrame:
