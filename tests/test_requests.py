@@ -119,6 +119,22 @@ def test_a_service_that_stops_for_good_is_down(spark):
     assert P.model_server_down(df.limit(0), ["service"]).collect() == []
 
 
+def test_a_lone_dead_service_fires(spark):
+    """Silent since minute 2; the receiver's clock, which other rows move, says how long. A wrong stamp costs one row."""
+    df = spark.createDataFrame([("m", 0), ("m", 60_000), ("m", 120_000)], "service STRING, arrival_ms BIGINT")
+    clock = spark.createDataFrame([(600_000,)], "arrival_ms BIGINT")
+    (alert,) = P.down_alerts(P.service_intervals(df, ["service"], clock=clock), ["service"]).collect()
+    assert (alert.since_ms, alert.firing_ms, alert.resolved_ms) == (180_000, 210_000, None)
+    assert [r.state for r in P.model_server_down(df, ["service"], clock=clock).orderBy("t_ms").collect()] == ["inactive"] * 3 + ["pending"] + ["firing"] * 7
+    far = df.unionByName(spark.createDataFrame([("x", 10**15)], df.schema))
+    assert P.service_intervals(far, ["service"]).count() == 3
+    assert {r.service for r in P.service_intervals(far, ["service"], clock=clock).collect()} == {"m"}
+    back = df.unionByName(spark.createDataFrame([("m", 600_000)], df.schema))
+    (alert,) = P.down_alerts(P.service_intervals(back, ["service"], clock=clock), ["service"]).collect()
+    assert alert.resolved_ms == 600_000
+    assert "NestedLoop" not in P.model_server_down(df, ["service"])._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rates_fall_to_zero_when_traffic_stops(spark):
     df = spark.createDataFrame([(1, 30_000), (2, 600_000)], "event_id INT, ms BIGINT")
     got = {r.t_ms: r.rate for r in R.count_rate(df, [], 60_000, 300_000).collect()}

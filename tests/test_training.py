@@ -58,10 +58,10 @@ def test_model_survives_saving(spark, table, tmp_path):
     assert loaded.weights == pytest.approx({c: float(v) for c, v in zip(FEATURE_ORDER, fitted.coefficients)})
 
 
-@pytest.mark.parametrize("chunk", [10**9, 100])
-def test_split_keeps_label_shares(table, chunk):
+@pytest.mark.parametrize("digits", [1, 2, 4, 32])
+def test_split_keeps_label_shares(table, digits):
     pdf, df = table
-    parts = T.stratified_split(df, "event_id", rows_per_chunk=chunk).groupBy(T.LABEL).agg(F.count_if("is_test").alias("t"), F.count(F.lit(1)).alias("n"))
+    parts = T.stratified_split(df, "event_id", digits=digits).groupBy(T.LABEL).agg(F.count_if("is_test").alias("t"), F.count(F.lit(1)).alias("n"))
     assert all(r.t == int(np.ceil(0.2 * r.n)) for r in parts.collect())
 
 
@@ -93,4 +93,34 @@ def test_training_drops_unknown_categories_and_scores(spark, sf_dir, tmp_path):
 def test_sample_is_the_same_every_time(spark):
     df = spark.range(1000).withColumnRenamed("id", "event_id")
     first, second = ([r.event_id for r in T.sample_rows(df.repartition(n), 50).collect()] for n in (2, 7))
-    assert first == second and len(set(first)) == 50
+    assert sorted(first) == sorted(second) and len(set(first)) == 50
+
+
+@pytest.mark.parametrize("n", [0, 1, 50, 999, 1000, 5000])
+def test_sample_is_the_first_by_hash(spark, n):
+    """Found by counting digits; half the table is filtered, not gathered in one task."""
+    import hashlib
+
+    df = spark.range(1000).withColumnRenamed("id", "event_id")
+    want = sorted(range(1000), key=lambda i: (hashlib.md5(f"{i}:42".encode()).hexdigest(), i))[:n]
+    out = T.sample_rows(df, n)
+    assert sorted(r.event_id for r in out.collect()) == sorted(want)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "Exchange" not in plan
+    if 0 < n <= 1000:
+        found = T.hash_threshold(df, F.md5(F.concat(F.col("event_id").cast("string"), F.lit(":42"))), "event_id", n, digits=1, few=3)
+        assert found[1] == want[-1]
+
+
+def test_report_of_held_out_rows_by_hand(spark, sf_dir):
+    """Precision, recall and F1 counted row by row in Python."""
+    from wardwatch.catalog import QUERIES
+
+    rows = {r["class"]: r for r in QUERIES["held_out_report"](spark, sf_dir).collect()}
+    assert set(rows) == {"0", "1", "accuracy", "macro avg", "weighted avg"}
+    assert all(r.recomputed and r.better_than_turned for r in rows.values())
+    scored = spark.createDataFrame([(i % 3 % 2, int(i % 5 < 2)) for i in range(200)], "y INT, p INT")
+    pairs = [(r.y, r.p) for r in scored.collect()]
+    hit, said, was = sum(y == p == 1 for y, p in pairs), sum(p for _, p in pairs), sum(y for y, _ in pairs)
+    row = next(r for r in T.classification_report(scored, "y", "p").collect() if r["class"] == "1")
+    assert (row.precision, row.recall, row.f1) == pytest.approx((hit / said, hit / was, 2 * hit / (said + was)))

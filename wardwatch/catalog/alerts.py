@@ -124,6 +124,23 @@ def _model_server_down(spark, sf_dir):
     return _states(P.model_server_down(vitals(spark, sf_dir).where(~gone), ["source_partition"], HOUR_MS), "source_partition")
 
 
+@query(
+    "down_alerts",
+    "vitals",
+    """
+WITH beats AS (SELECT DISTINCT source_partition, arrival_ms // 3600000 * 3600000 AS t_ms FROM vitals WHERE source_partition = 2 AND ts < TIMESTAMP '2024-01-16'),
+e AS (SELECT max(arrival_ms) // 3600000 * 3600000 AS stop FROM vitals),
+n AS (SELECT *, lead(t_ms) OVER (PARTITION BY source_partition ORDER BY t_ms) AS next_ms FROM beats)
+SELECT 'ModelServerDown' AS alert, source_partition, t_ms + 3600000 AS since_ms, t_ms + 3630000 AS firing_ms, next_ms AS resolved_ms
+FROM n, e WHERE coalesce(next_ms - t_ms > 3600000, t_ms < stop)""",
+)
+def _down_alerts(spark, sf_dir):
+    """A lone source that stops for good, watched by the arrival clock of all events."""
+    rows = vitals(spark, sf_dir)
+    lone = rows.where((F.col("source_partition") == 2) & (F.col("ts") < F.lit(HALF_DAY).cast("timestamp_ntz")))
+    return P.down_alerts(P.service_intervals(lone, ["source_partition"], HOUR_MS, clock=rows), ["source_partition"], step_ms=HOUR_MS)
+
+
 _RATES_SQL = """
 WITH les AS (SELECT unnest([1, 2, 5, 10, 20, 30, 50, 100, 200, 500, 1000, NULL]) AS b),
 cells AS (SELECT *, ceil(ms / 3600000)::bigint * 3600000 AS cell FROM requests),

@@ -13,11 +13,12 @@ from wardwatch.operators import drift as D
 from wardwatch.operators import requests as R
 from wardwatch.operators import training as T
 from wardwatch.operators.scoring import score_request, successful_only
-from wardwatch.schemas import FEATURE_ORDER
+from wardwatch.plans import alerting as P
+from wardwatch.schemas import FEATURE_ORDER, PATIENTS_CSV
 from wardwatch.session import stage, work_dir
-from wardwatch.sinks.tables import write_batch, write_predictions, write_report
+from wardwatch.sinks.tables import emit_metrics, read_metrics, write_batch, write_predictions, write_report
 from wardwatch.sources.models import load_model, save_model
-from wardwatch.sources.vitals import event_time_error, predictions_table, vitals_stream
+from wardwatch.sources.vitals import event_time_error, predictions_table, vitals_stream, vitals_table
 from wardwatch.streaming import queries as S
 
 
@@ -155,18 +156,95 @@ def _training_chain(spark, sf_dir):
     return slope.select("feature", (F.abs("slope") < 1e-3).alias("settled")).crossJoin(sizes)  # one row of sizes
 
 
+_REPORT_NAMES = ["0", "1", "accuracy", "macro avg", "weighted avg"]
+
+
 @query(
     "held_out_report",
     "vitals",
-    """
+    f"""
 WITH ranked AS (SELECT readmitted_30_days AS y, row_number() OVER (PARTITION BY readmitted_30_days ORDER BY md5(event_id::varchar), event_id) AS k,
-  count(*) OVER (PARTITION BY readmitted_30_days) AS n FROM vitals WHERE blood_pressure <> 'n/a')
-SELECT (y = 'Yes')::int::varchar AS class, count(*)::double AS support FROM ranked WHERE k <= ceil(0.2 * n) GROUP BY ALL""",
+  count(*) OVER (PARTITION BY readmitted_30_days) AS n FROM vitals WHERE blood_pressure <> 'n/a'),
+held AS (SELECT y FROM ranked WHERE k <= ceil(0.2 * n))
+SELECT class, count(*) FILTER (class NOT IN ('0', '1') OR (y = 'Yes')::int::varchar = class)::double AS support, true AS recomputed, true AS better_than_turned
+FROM held, (SELECT unnest({_REPORT_NAMES!r}) AS class) GROUP BY ALL""",
 )
 def _held_out_report(spark, sf_dir):
-    """The report of the fitted model on rows that it was not fitted on; SQL checks whom it judges."""
+    """The whole report of the fitted model on rows that it was not fitted on.
+
+    SQL cannot fit, so it checks whom the report judges. Each line's precision, recall and F1 are recomputed in plain SQL from the
+    scored rows, and the model must beat the one that says the opposite of it.
+    """
     rows = T.prepare_training(vitals(spark, sf_dir), ["event_id"]).dropna(subset=[*FEATURE_ORDER, T.LABEL])
     parts = stage(T.stratified_split(rows, "event_id"), "training-parts")
     model = T.as_risk_model(T.train_risk_model(parts.where(~F.col("is_test"))))
-    report = T.classification_report(T.predict_label(parts.where("is_test"), model, F.struct(*FEATURE_ORDER)))
-    return report.where(F.col("class").isin("0", "1")).select("class", "support")
+    scored = stage(T.predict_label(parts.where("is_test"), model, F.struct(*FEATURE_ORDER)), "held-out-scored")
+    report = T.classification_report(scored)
+    again = spark.sql(
+        """
+WITH s AS (SELECT readmitted_30_days AS y, prediction AS p FROM {scored}),
+c AS (SELECT k, count_if(y = k) AS n, coalesce(try_divide(count_if(y = k AND p = k), count_if(p = k)), 0) AS pr,
+  coalesce(try_divide(count_if(y = k AND p = k), count_if(y = k)), 0) AS re FROM s, (SELECT explode(array(0, 1)) AS k) GROUP BY k),
+f AS (SELECT *, coalesce(try_divide(2 * pr * re, pr + re), 0) AS f1 FROM c)
+SELECT cast(k AS string) AS name, pr, re, f1 FROM f
+UNION ALL SELECT 'accuracy', avg(int(y = p)), avg(int(y = p)), avg(int(y = p)) FROM s
+UNION ALL SELECT 'macro avg', avg(pr), avg(re), avg(f1) FROM f
+UNION ALL SELECT 'weighted avg', sum(pr * n) / sum(n), sum(re * n) / sum(n), sum(f1 * n) / sum(n) FROM f""",
+        scored=scored,
+    )
+    right = scored.agg((F.avg((F.col(T.LABEL) == F.col("prediction")).cast("int")) > 0.5).alias("better_than_turned"))
+    near = [F.abs(F.col(a) - F.col(b)) < 1e-9 for a, b in (("precision", "pr"), ("recall", "re"), ("f1", "f1_"))]
+    both = report.join(again.withColumnRenamed("f1", "f1_"), F.col("class") == F.col("name"))
+    return both.select("class", "support", (near[0] & near[1] & near[2]).alias("recomputed")).crossJoin(right)  # one row
+
+
+@query(
+    "vitals_table",
+    "vitals",
+    """
+SELECT user_patient AS patient_id, count(*) AS n, sum(age)::bigint AS ages, min(blood_pressure) AS lowest, round(sum(bmi), 6) AS bmis, max(discharge_destination) AS destination
+FROM (SELECT *, patient_id::integer AS user_patient FROM vitals) GROUP BY ALL""",
+)
+def _vitals_table(spark, sf_dir):
+    """Patients as CSV with a header, read as a typed table."""
+    path = f"{work_dir(spark, 'patients')}.csv"
+    vitals(spark, sf_dir).select(*[F.col(f.name).cast(f.dataType) for f in PATIENTS_CSV.fields]).write.option("header", True).csv(path)
+    rows = vitals_table(spark, path)
+    sums = [F.count(F.lit(1)).alias("n"), F.sum("age").alias("ages"), F.min("blood_pressure").alias("lowest"), r6(F.sum("bmi"), "bmis")]
+    return rows.groupBy("patient_id").agg(*sums, F.max("discharge_destination").alias("destination"))
+
+
+@query(
+    "json_predictions_stream",
+    "judged",
+    "SELECT event_id, patient_id, round(risk, 4) AS risk_score, anomaly FROM judged WHERE error IS NULL",
+)
+def _json_predictions_stream(spark, sf_dir):
+    """Predictions of a stream as one JSON text per record, the form a topic takes, decoded again."""
+    base = work_dir(spark, "json-predictions")
+    shape = lambda df: project_prediction(successful_only(score_request(df)), keep=("event_id",))
+    S.run_available(_vitals_stream(spark, sf_dir), S.json_writer(f"{base}/records", shape), f"{base}/checkpoint")
+    record = "event_id BIGINT, patient_id STRING, risk_score DOUBLE, anomaly BOOLEAN"
+    texts = spark.read.option("basePath", f"{base}/records").text(f"{base}/records/batch_id=*")
+    return texts.select(F.from_json("value", record).alias("r")).select("r.*")
+
+
+@query(
+    "state_panel",
+    "vitals",
+    """
+WITH m AS (SELECT source_partition::varchar AS query, (event_id % 2)::varchar AS operator, event_ms AS ts_ms, event_ms // 3600000 * 3600000 AS t_ms, event_id, glucose_level AS v FROM vitals),
+took AS (SELECT query, t_ms, max(v) / 1000 AS s FROM m GROUP BY ALL),
+held AS (SELECT query, operator, t_ms, arg_max(v * 1000, struct_pack(a := ts_ms, b := v)) AS v FROM m GROUP BY ALL),
+size AS (SELECT query, t_ms, sum(v) / (1024 * 1024) AS mb FROM held GROUP BY ALL)
+SELECT query, t_ms, round(s, 6) AS checkpoint_seconds, round(mb, 6) AS state_mb FROM took JOIN size USING (query, t_ms)""",
+)
+def _state_panel(spark, sf_dir):
+    """The panel over a metric table in the form that a running query writes."""
+    labels = F.create_map(F.lit("query"), F.col("source_partition").cast("string"), F.lit("operator"), (F.col("event_id") % 2).cast("string"))
+    pairs = F.explode(F.create_map(F.lit("checkpoint_duration_ms"), F.col("glucose_level"), F.lit("state_size_bytes"), F.col("glucose_level") * 1000)).alias("metric", "value")
+    rows = vitals(spark, sf_dir).select(labels.alias("labels"), F.col("event_ms").alias("ts_ms"), pairs)
+    path = work_dir(spark, "metrics")
+    emit_metrics(rows.select("metric", "labels", "ts_ms", "value"), path)
+    panel = P.state_panel(read_metrics(spark, path), 3_600_000)
+    return panel.withColumns({c: F.round(c, 6) for c in ("checkpoint_seconds", "state_mb")})

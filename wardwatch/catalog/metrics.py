@@ -9,6 +9,8 @@ from wardwatch.catalog.registry import LOGIT, query, r6
 from wardwatch.fixtures import counter, current, reference, requests, vitals
 from wardwatch.operators import requests as R
 from wardwatch.operators import training as T
+from wardwatch.schemas import FEATURE_ORDER
+from wardwatch.session import stage
 from wardwatch.operators.drift import mean_shift_drift
 from wardwatch.operators.lateness import late_counts, late_ratio
 from wardwatch.operators.reconcile import metric_or
@@ -229,7 +231,7 @@ def _stratified_split(spark, sf_dir):
 
 @query("stratified_split_large", "vitals", _SPLIT_SQL)
 def _stratified_split_large(spark, sf_dir):
-    return T.stratified_split(vitals(spark, sf_dir).select("event_id", "readmitted_30_days"), "event_id", rows_per_chunk=SMALL_CHUNK)
+    return T.stratified_split(vitals(spark, sf_dir).select("event_id", "readmitted_30_days"), "event_id", digits=1)
 
 
 @query(
@@ -263,10 +265,22 @@ def _classification_report(spark, sf_dir):
     return _rounded(T.classification_report(labelled), "precision", "recall", "f1")
 
 
-@query("rank_coefficients")
+@query(
+    "rank_coefficients",
+    "",
+    f"SELECT feature, true AS in_order, true AS settled FROM (SELECT unnest({list(FEATURE_ORDER)!r}) AS feature)",
+)
 def _rank_coefficients(spark, sf_dir):
-    """Trains on the whole table; an optimiser has no SQL form."""
-    rows = T.prepare_training(vitals(spark, sf_dir), ["event_id"])
-    parts = T.stratified_split(rows, "event_id")
-    model = T.as_risk_model(T.train_risk_model(parts.where(~F.col("is_test"))))
-    return T.rank_coefficients(spark, model).withColumn("coefficient", F.round("coefficient", 4))
+    """Trains on the training part. SQL has no optimiser, but knows what holds at its end: the penalised loss has no slope
+    along any feature, and the features come in the order of their coefficients' size."""
+    rows = T.prepare_training(vitals(spark, sf_dir), ["event_id"]).dropna(subset=[*FEATURE_ORDER, T.LABEL])
+    train = stage(T.stratified_split(rows, "event_id").where(~F.col("is_test")), "training-part")
+    model = T.as_risk_model(T.train_risk_model(train))
+    ranked = [r.feature for r in T.rank_coefficients(spark, model).collect()]
+    sizes = [abs(model.weights[name]) for name in ranked]
+    order = {name: all(size <= before for before in sizes[:i]) for i, (name, size) in enumerate(zip(ranked, sizes))}
+    off = 1 / (1 + F.exp(-model.logit(F.struct(*FEATURE_ORDER)))) - F.col(T.LABEL)
+    slopes = [(F.avg(off * F.col(c)) + model.weights[c] / F.count(off)) / F.greatest(F.avg(F.abs(F.col(c))), F.lit(1.0)) for c in FEATURE_ORDER]
+    slope = train.agg(*[s.alias(c) for c, s in zip(FEATURE_ORDER, slopes)]).unpivot([], list(FEATURE_ORDER), "feature", "slope")
+    placed = spark.createDataFrame(list(order.items()), "feature STRING, in_order BOOLEAN")
+    return slope.join(placed, "feature").select("feature", "in_order", (F.abs("slope") < 1e-3).alias("settled"))

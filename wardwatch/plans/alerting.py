@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardwatch.functions.scores import DRIFT_BANDS, LATE_BANDS, LATENCY_BANDS, RISK_BANDS, severity_band
-from wardwatch.functions.timing import cell_end, cell_start, ms_to_seconds
+from wardwatch.functions.timing import bytes_to_mb, cell_end, cell_start, ms_to_seconds
 from wardwatch.operators import alerts as A
 from wardwatch.operators import requests as R
 from wardwatch.operators.drift import WINDOW_MIN_ROWS, score_window_means, shift_by_window
+from wardwatch.operators.ordered import Scan, ordered_scan
 from wardwatch.operators.lateness import event_time_lag, late_flag, late_ratio, late_ratio_by_window
 from wardwatch.operators.reconcile import metric_or
 from wardwatch.session import stage
@@ -25,21 +26,47 @@ def lag_series(df: DataFrame, width_ms: int = MINUTE_MS) -> DataFrame:
     return event_time_lag(df, width_ms).select(F.col("window_ms").alias("t_ms"), F.col("lag_ms").cast("double").alias("value"))
 
 
-def heartbeat_series(df: DataFrame, by: Sequence[str], step_ms: int = MINUTE_MS, until_ms: int | None = None) -> DataFrame:
-    """`up` of each service at every step from its first heartbeat on: 1 with a heartbeat in the step, else 0.
+def service_intervals(df: DataFrame, by: Sequence[str], step_ms: int = MINUTE_MS, until_ms: int | None = None, clock: DataFrame | None = None) -> DataFrame:
+    """When each service was up and when down: `(by, from_ms, to_ms, up)`, first and last step of each interval.
 
-    All services are watched until `until_ms`, or until the newest heartbeat of any, so one that stops
-    for good is down from then on. The steps are a distributed range joined to the services, of which
-    there are few; heartbeats are first reduced to one row per step.
+    A service is watched from its first heartbeat to `until_ms`, or else to the newest `arrival_ms` of `clock`, the
+    receiver's own log, so a lone service that stops is down too; without either, to the newest heartbeat of any.
+    Later heartbeats do not count. The number of rows follows the interruptions, however long these are.
     """
-    beats = stage(df.select(*by, cell_start(F.col("arrival_ms"), step_ms).alias("t_ms")).distinct(), "heartbeats")
-    first, last = beats.agg(F.min("t_ms"), F.max("t_ms")).first()
-    if until_ms is not None and first is not None:
-        last = max(first, until_ms // step_ms * step_ms)
-    steps = df.sparkSession.range(first or 0, (last + step_ms) if first is not None else 0, step_ms).withColumnRenamed("id", "t_ms")
-    life = beats.groupBy(*by).agg(F.min("t_ms").alias("_first"))
-    grid = steps.join(life, F.col("t_ms") >= F.col("_first")).drop("_first")
-    return grid.join(beats.withColumn("_up", F.lit(1.0)), [*by, "t_ms"], "left").select(*by, "t_ms", F.coalesce("_up", F.lit(0.0)).alias("value"))
+    seen = df.select(*by, "arrival_ms").where(F.col("arrival_ms") <= until_ms) if until_ms is not None else df
+    beats = stage(seen.select(*by, cell_start(F.col("arrival_ms"), step_ms).alias("t_ms")).distinct(), "heartbeats")
+    if until_ms is None:
+        until_ms = (clock.agg(F.max("arrival_ms")) if clock is not None else beats.agg(F.max("t_ms"))).first()[0]
+    end = F.lit((until_ms or 0) // step_ms * step_ms)
+    beats = beats.where(F.col("t_ms") <= end)
+    before = stage(ordered_scan(beats, by, ["t_ms"], {"_before": Scan("last", F.col("t_ms"), inclusive=False)}), "heartbeat-gaps")
+    start = F.col("_before").isNull() | (F.col("t_ms") - F.col("_before") > step_ms)
+    runs = ordered_scan(before, by, ["t_ms"], {"_since": Scan("last", F.when(start, F.col("t_ms")))})
+    up = runs.groupBy(*by, F.col("_since").alias("from_ms")).agg(F.max("t_ms").alias("to_ms")).withColumn("up", F.lit(True))
+    hole = [(F.col("_before") + step_ms).alias("from_ms"), (F.col("t_ms") - step_ms).alias("to_ms"), F.lit(False).alias("up")]
+    holes = before.where(start & F.col("_before").isNotNull()).select(*by, *hole)
+    last = before.groupBy(*by).agg(F.max("t_ms").alias("_last")) if by else before.agg(F.max("t_ms").alias("_last"))
+    tail = last.where(F.col("_last") < end).select(*by, (F.col("_last") + step_ms).alias("from_ms"), end.alias("to_ms"), F.lit(False).alias("up"))
+    return up.unionByName(holes).unionByName(tail)
+
+
+def heartbeat_series(intervals: DataFrame, by: Sequence[str], step_ms: int = MINUTE_MS) -> DataFrame:
+    """`up` of each service at every step of its intervals, for panels: 1 with a heartbeat in the step, else 0."""
+    steps = F.explode(F.sequence("from_ms", "to_ms", F.lit(step_ms))).alias("t_ms")
+    return intervals.select(*by, "from_ms", steps, F.when(F.col("up"), 1.0).otherwise(0.0).alias("value"))
+
+
+def down_alerts(intervals: DataFrame, by: Sequence[str], rule: A.AlertRule = A.MODEL_SERVER_DOWN, step_ms: int = MINUTE_MS) -> DataFrame:
+    """One row for each time that a service was down long enough: since when, when it fired, and when it came back, if it did."""
+    over = F.col("to_ms") + step_ms
+    fires = F.col("from_ms") + rule.hold_ms
+    newest = intervals.groupBy(*by).agg(F.max("to_ms").alias("_end")) if by else intervals.agg(F.max("to_ms").alias("_end"))
+    on = F.lit(True)
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_key_{c}"))
+    down = intervals.where(~F.col("up") & (fires < over)).join(newest.withColumnsRenamed({c: f"_key_{c}" for c in by}), on)
+    back = F.when(F.col("to_ms") < F.col("_end"), over)
+    return down.select(F.lit(rule.name).alias("alert"), *by, F.col("from_ms").alias("since_ms"), fires.alias("firing_ms"), back.alias("resolved_ms"))
 
 
 def source_lag(df: DataFrame, by: Sequence[str] = ("source_partition",), step_ms: int = MINUTE_MS) -> DataFrame:
@@ -68,8 +95,17 @@ def high_processing_latency(df: DataFrame, width_ms: int = MINUTE_MS) -> DataFra
     return A.evaluate_rule(lag_series(df, width_ms), A.HIGH_PROCESSING_LATENCY, max_gap_ms=gap_of(width_ms))
 
 
-def model_server_down(df: DataFrame, by: Sequence[str], step_ms: int = MINUTE_MS, until_ms: int | None = None) -> DataFrame:
-    return A.evaluate_rule(heartbeat_series(df, by, step_ms, until_ms), A.MODEL_SERVER_DOWN, by, gap_of(step_ms))
+def model_server_down(df: DataFrame, by: Sequence[str], step_ms: int = MINUTE_MS, until_ms: int | None = None, clock: DataFrame | None = None) -> DataFrame:
+    """The state of the rule at every step; `down_alerts` says the same in one row for each time."""
+    rule = A.MODEL_SERVER_DOWN
+    steps = heartbeat_series(service_intervals(df, by, step_ms, until_ms, clock), by, step_ms)
+    down = F.col("value") == 0
+    since = F.when(down, F.col("from_ms"))
+    held = F.col("t_ms") - F.col("from_ms") >= rule.hold_ms
+    state = F.when(~down, F.lit("inactive")).when(held, F.lit("firing")).otherwise(F.lit("pending"))
+    text = F.when(down, A.alert_text(rule, F.col("value")))
+    named = [F.lit(rule.name).alias("alert"), F.lit(rule.severity).alias("severity")]
+    return steps.select(*named, *by, "t_ms", "value", since.alias("active_since_ms"), state.alias("state"), text.alias("description"))
 
 
 def high_prediction_latency(requests: DataFrame, by: Sequence[str] = (), step_ms: int = MINUTE_MS, range_ms: int = R.RATE_RANGE_MS) -> DataFrame:
@@ -165,3 +201,16 @@ def risk_gauge(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The newest risk score with its band."""
     newest = R.last_gauge(scored.where(F.col("error").isNull()), by, "risk_score", ["event_ms", "event_id"])
     return newest.withColumn("band", severity_band(F.col("risk_score"), RISK_BANDS))
+
+
+def state_panel(metrics: DataFrame, step_ms: int = MINUTE_MS) -> DataFrame:
+    """Of each streaming query and step: the longest checkpoint in seconds, and the newest state size in megabytes.
+
+    Reads the metric table that `ProgressMetrics` writes; the sizes of a query's state operators add up.
+    """
+    query, operator = F.col("labels")["query"].alias("query"), F.coalesce(F.col("labels")["operator"], F.lit("")).alias("operator")
+    cells = metrics.select("metric", query, operator, cell_start(F.col("ts_ms"), step_ms).alias("t_ms"), "ts_ms", "value")
+    took = cells.where("metric = 'checkpoint_duration_ms'").groupBy("query", "t_ms").agg(ms_to_seconds(F.max("value")).alias("checkpoint_seconds"))
+    held = cells.where("metric = 'state_size_bytes'").groupBy("query", "operator", "t_ms").agg(F.max_by("value", F.struct("ts_ms", "value")).alias("value"))
+    size = held.groupBy("query", "t_ms").agg(bytes_to_mb(F.sum("value")).alias("state_mb"))
+    return took.join(size, ["query", "t_ms"], "full")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from wardwatch.functions.records import project_prediction
+from wardwatch.functions.records import as_json, project_prediction
 from wardwatch.operators.drift import min_rows, reference_means, score_window_means
 from wardwatch.operators.history import DAY_MS, HOUR_MS, enrich_latest, feature_rows, latest_per_patient, recent_history, vitals_delta
 from wardwatch.operators.lateness import lateness_tiers, newest_by_source
@@ -72,6 +72,15 @@ def table_writer(path: str, shape: Callable[[DataFrame], DataFrame] = lambda df:
     return write
 
 
+def json_writer(path: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df) -> Batch:
+    """Each record of a batch as one JSON text, the form a topic takes; a replay of the batch replaces it."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        as_json(shape(batch)).write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
 @dataclass(frozen=True)
 class ScoringPaths:
     """Where the scoring query writes; each is a folder of its own."""
