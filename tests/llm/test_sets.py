@@ -146,6 +146,20 @@ def test_mixing_odd_rows_against_sql(spark, crowded, edge_rows):
     assert all(0 < r.taken <= 2 * r.size for r in rows if r.size)
 
 
+@pytest.mark.parametrize("same_text", [False, True])
+def test_mixing_rows_that_share_an_id(spark, same_text):
+    """A source without ids, of different rows or of copies of one, comes as near its target as others."""
+    text = F.lit("one two three four five six seven eight nine ten") if same_text else F.concat(F.lit("w "), F.col("id").cast("string"))
+    rows = spark.range(1_000).select(F.lit(None).cast("bigint").alias("doc_id"), text.alias("text"), F.lit("a").alias("source"))
+    other = spark.range(9_000).select(F.col("id").alias("doc_id"), F.lit("x y").alias("text"), F.lit("b").alias("source"))
+    docs = rows.unionByName(other).withColumns({"lang": F.lit("en"), "h": F.lit(1), "_size": F.lit(2)}).repartition(7)
+    for out in (mixing.mix_sources(docs), mixing.mixed_documents(docs)):
+        got = {r.source: r for r in out.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()}
+        for r in got.values():
+            assert abs(r.taken - r.target) <= 0.01 * r.target
+    assert mixing.mixed_documents(docs).where("taken > 2 * size").count() == 0
+
+
 def test_mixing_nothing(no_docs, edge_docs):
     assert mixing.mix_sources(no_docs).collect() == []
     wordless = edge_docs.where("doc_id < 4")
@@ -153,7 +167,7 @@ def test_mixing_nothing(no_docs, edge_docs):
 
 
 def test_budgets_are_nested(edge_docs):
-    sized = edge_docs.select("source", mixing.n_words("text").alias("size"), mixing.id_hash("doc_id").alias("h"))
+    sized = edge_docs.select("source", mixing.n_words("text").alias("size"), mixing.row_hash(mixing.row_digest()).alias("h"))
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     cuts = []
     for share in (0.1, 0.3, 0.7):
