@@ -70,7 +70,7 @@ def cut_words(docs: DataFrame, kind: Kind = KIND) -> DataFrame:
                 words = text.split()
                 gone = covered(spans, len(words), kind)
                 kept = b" ".join([words[i] for i in np.flatnonzero(~gone)] if spans else words)
-                out.append((len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode()))
+                out.append((len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
             columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.string(), pa.string()))]
             yield pa.record_batch([batch.column(0), *columns], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
 

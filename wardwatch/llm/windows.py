@@ -336,7 +336,7 @@ def segments(docs: DataFrame, alike: DataFrame, kind: Kind) -> DataFrame:
                     ["doc_id", "text_hash", "start", "weight", "key", "content"],
                 )
 
-    return map_arrow(rows, cut, "doc_id bigint, text_hash int, start int, weight int, key bigint, content binary")
+    return map_arrow(rows, cut, "doc_id bigint, text_hash bigint, start int, weight int, key bigint, content binary")
 
 
 #: Symbols of distinct texts, number of windows of each and its weight or first document, to a value per window.
@@ -404,7 +404,7 @@ def _cold_spans(parts: DataFrame, kind: Kind, index: Index) -> DataFrame:
             yield solve(block)
 
     met = parts.select("doc_id", "text_hash", "start", "weight", "key", "content").repartition("key").sortWithinPartitions("key")
-    return map_arrow(met, run, "doc_id bigint, text_hash int, start int, stop int")
+    return map_arrow(met, run, "doc_id bigint, text_hash bigint, start int, stop int")
 
 
 def _hot_spans(parts: DataFrame, kind: Kind) -> DataFrame:
@@ -460,7 +460,7 @@ def with_ids(docs: DataFrame, row: bool = False) -> DataFrame:
     ids = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID))
     others = [F.col(c).alias(f"c_{c}") for c in docs.columns if c != "text"]
     whole = [F.struct(*others, F.length("text").alias("length")).alias("_row")] if row else []
-    return bounded_batches(docs).select(ids.alias("doc_id"), F.hash("text").alias("text_hash"), "text", *whole)
+    return bounded_batches(docs).select(ids.alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text", *whole)
 
 
 def removed_spans(docs: DataFrame, kind: Kind, index: Index, name: str) -> DataFrame:
