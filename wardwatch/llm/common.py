@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from wardwatch.session import ship
@@ -60,6 +62,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def lower_texts(column: pa.Array) -> list[bytes]:
+    """UTF-8 of each text in lower case, empty for null; ill-formed sequences become replacement characters first."""
+    try:
+        return texts_of(pc.utf8_lower(column))
+    except pa.ArrowInvalid:
+        sound = [t.decode("utf-8", "replace") for t in texts_of(column)]
+        return texts_of(pc.utf8_lower(pa.array(sound, pa.string())))
+
+
 #: Odd, so that it has an inverse modulo 2**64.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -90,6 +101,8 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nda
     return mix64((prefix[stop] - prefix[start]) * powers(len(prefix), inverse=True)[start] + (stop - start).astype(np.uint64))
 
 
+#: Longer words are hashed by a digest: from some 1,000 letters on there are words that powers modulo 2**64 confuse.
+LONG_WORD = 256
 #: For each byte, whether it ends a word: the six spaces; or all of ASCII but letters and digits.
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -113,7 +126,10 @@ def words_in(blob: np.ndarray, ends: np.ndarray = SPACE) -> tuple[np.ndarray, np
 
 
 def word_hashes(blob: np.ndarray, start: np.ndarray, *stops: np.ndarray) -> list[np.ndarray]:
-    """A 64-bit hash of the bytes from start to each of the stops (the last is the farthest), a piece of the blob at a time."""
+    """A 64-bit hash of the bytes from start to each of the stops (the last is the farthest), a piece of the blob at a time.
+
+    Powers modulo 2**64 tell short words apart; there are long ones that they do not, so these take a digest.
+    """
     out, at, last = [np.empty(len(start), np.uint64) for _ in stops], 0, stops[-1]
     while at < len(start):
         upto = max(at + 1, int(np.searchsorted(last, start[at] + BYTES_AT_ONCE, "right")))
@@ -122,6 +138,9 @@ def word_hashes(blob: np.ndarray, start: np.ndarray, *stops: np.ndarray) -> list
         for hashes, stop in zip(out, stops):
             hashes[at:upto] = span_hash(prefix, start[at:upto] - low, stop[at:upto] - low)
         at = upto
+    for hashes, stop in zip(out, stops):
+        for i in np.flatnonzero(stop - start > LONG_WORD):
+            hashes[i] = int.from_bytes(hashlib.blake2b(blob[start[i] : stop[i]].tobytes(), digest_size=8).digest(), "little")
     return out
 
 

@@ -21,11 +21,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardwatch.llm.common import NOT_LETTER, bounded_batches, groups_of, join_texts, lockstep, map_arrow, texts_of, words_in
+from wardwatch.llm.common import NOT_LETTER, bounded_batches, groups_of, join_texts, lockstep, lower_texts, map_arrow, words_in
 from wardwatch.session import ship
 
 ship(__name__)
@@ -73,10 +72,6 @@ def _features(blob: np.ndarray) -> np.ndarray:
     return ((x ^ (x >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> np.uint32(16)
 
 
-def _lower(column: pa.Array) -> list[bytes]:
-    return texts_of(pc.utf8_lower(column))
-
-
 def _words(blob: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     start, stop = words_in(blob, NOT_LETTER)
     if not len(start):
@@ -100,7 +95,7 @@ def fit(docs: DataFrame, trained: Column, sample: int = SAMPLE) -> Model | None:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(languages), FEATURES + SCRIPTS), np.int64)
         for batch in batches:
-            texts, labels = _lower(batch.column(0)), batch.column(1).to_pylist()
+            texts, labels = lower_texts(batch.column(0)), batch.column(1).to_pylist()
             for rows in groups_of(texts):
                 blob, at = join_texts([texts[i] for i in rows])
                 features = _features(blob)
@@ -196,7 +191,7 @@ def identify(docs: DataFrame, trained: Column, keep: tuple[str, ...] = ("doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
         for batch in batches:
-            texts, found = _lower(batch.column(len(keep))), []
+            texts, found = lower_texts(batch.column(len(keep))), []
             for group in groups_of(texts):
                 some = [texts[i] for i in group]
                 found += label_texts(some, model) if model else [(UNKNOWN, 0.0, [])] * len(some)

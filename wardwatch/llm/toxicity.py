@@ -23,11 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardwatch.llm.common import NOT_ALNUM, bounded_batches, groups_of, join_texts, lockstep, map_arrow, texts_of, word_hashes, words_in
+from wardwatch.llm.common import NOT_ALNUM, bounded_batches, groups_of, join_texts, lockstep, lower_texts, map_arrow, word_hashes, words_in
 from wardwatch.session import ship
 
 ship(__name__)
@@ -251,7 +250,7 @@ def score_documents(docs: DataFrame, model: Model | None, keep: tuple[str, ...]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(pc.utf8_lower(batch.column(len(keep))))
+            texts = lower_texts(batch.column(len(keep)))
             scores, marked = [], []
             for group in groups_of(texts):
                 own: list[list[dict]] = [[] for _ in group]
