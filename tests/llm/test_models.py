@@ -7,10 +7,11 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from wardwatch.llm import language_model, languages, toxicity
+from wardwatch.llm import common, language_model, languages, substring_dedup, toxicity
 
 PARTS = {"en": ["the", "ing", "tion", "wh", "and", "sh"], "de": ["sch", "ung", "keit", "der", "ich", "ß"], "el": ["και", "του", "μου", "ση", "λο", "θα"]}
 
@@ -78,8 +79,29 @@ def katz(rows, trained):
     total, distinct, k = sum(one.values()), len(one), language_model.K
 
     def kept(counts):
+        """Good and Turing's rule with smoothed numbers, written out."""
         of = collections.Counter(counts)
-        factor = language_model.discounts(np.array([0, *[of[r] for r in range(1, k + 2)]], float))
+        points = [r for r in range(1, k + 2) if of[r]]
+        logs = []
+        for i, r in enumerate(points):
+            low = points[i - 1] if i else 0
+            high = points[i + 1] if i + 1 < len(points) else 2 * r - low
+            logs.append((math.log(r), math.log(2 * of[r] / (high - low))))
+        slope, start = -1.1, 0.0
+        if len(logs) > 1:
+            mx, my = (sum(c) / len(logs) for c in zip(*logs))
+            slope = sum((x - mx) * (y - my) for x, y in logs) / sum((x - mx) ** 2 for x, _ in logs)
+            start = my - slope * mx
+        z = lambda r: math.exp(start + min(slope, -1.1) * math.log(r))
+        most, turing, factor = (k + 1) * z(k + 1) / z(1), True, {}
+        for r in range(1, k + 1):
+            star = (r + 1) * z(r + 1) / z(r)
+            if turing and of[r] and of[r + 1]:
+                raw = (r + 1) * of[r + 1] / of[r]
+                turing = abs(raw - star) > 1.65 * math.sqrt((r + 1) ** 2 * of[r + 1] / of[r] ** 2 * (1 + of[r + 1] / of[r]))
+                star = raw if turing and 0 < raw < r else star
+            d = (star / r - most) / (1 - most)
+            factor[r] = d if 0 < d < 1 else star / r
         return lambda c: c * (factor[c] if c <= k else 1)
 
     single = kept(one.values())
@@ -107,6 +129,43 @@ def katz(rows, trained):
     return out
 
 
+def test_discounts_of_given_tables_follow_the_rule(sf_dir):
+    """On the words and pairs of the given documents no factor is the half count that once stood in for all."""
+    docs = pd.read_parquet(sf_dir.replace("sf0.001", "sf0.01") + "/documents.parquet").text.dropna()
+    one, two = collections.Counter(), collections.Counter()
+    for text in docs:
+        words = text.encode().lower().split()
+        one.update(words)
+        two.update(zip(words, words[1:]))
+    for counts in (one, two):
+        of = np.bincount(np.minimum(list(counts.values()), language_model.K + 2), minlength=language_model.K + 3)[: language_model.K + 2]
+        factor = language_model.discounts(of.astype(float))
+        assert all(0 < f < 1 for f in factor[1:]) and not any(f == 1 - 0.5 / r for r, f in enumerate(factor) if r)
+    # One odd number changes its neighbours' factors most, and leaves all between 0 and 1.
+    for odd in (0, 5, 10**6):
+        factor = language_model.discounts(np.array([0, 1000, 400, 200, odd, 80, 60.0]))
+        assert ((factor[1:] > 0) & (factor[1:] < 1)).all()
+
+
+def test_long_words_with_equal_powers_are_told_apart(spark):
+    """Two words of 1,024 letters in Thue and Morse's order, which powers modulo 2**64 confuse."""
+    order = [bin(i).count("1") % 2 for i in range(1_024)]
+    a, b = ("".join("ab"[x ^ flip] for x in order) for flip in (0, 1))
+    blob = np.frombuffer(f"{a} {b} ".encode(), np.uint8)
+    (hashes,) = common.word_hashes(blob, np.array([0, 1_025]), np.array([1_024, 2_049]))
+    assert hashes[0] != hashes[1]
+
+
+def test_ill_formed_texts_end_no_job(spark, spoken):
+    rows = spark.sql("select 1L doc_id, cast(concat(x'ff', cast(' der Hund und die Katze' as binary)) as string) text, 'de' lang, 'a' source")
+    docs = spoken.select("doc_id", "text", "lang", "source").unionByName(rows)
+    assert languages.identify(docs, F.lit(True), ("doc_id",)).where("doc_id = 1").count() >= 1
+    labels = docs.select("doc_id", F.lit(0).alias("toxic"))
+    assert toxicity.toxicity(docs, labels, F.lit(True)).where("doc_id = 1").count() >= 1
+    (row,) = substring_dedup.cut_words(rows).collect()
+    assert row.n_words == 6 and row.n_removed == 0
+
+
 @pytest.mark.parametrize("chunk", [language_model.CHUNK_BYTES, 1_000])
 def test_language_model(crowded, edge_rows, monkeypatch, chunk):
     monkeypatch.setattr(language_model, "CHUNK_BYTES", chunk)

@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,10 @@ ship(__name__)
 SHARE, HOT_SHARE = 2e-6, 2e-5
 #: Counts up to this are discounted.
 K = 5
+#: A row is numbered by its task, shifted by so many bits, and its place in the task.
+TASK_BITS = 40
+#: The smoothed numbers of things seen r times fall at least like this power of r, so every estimate is below its count.
+LEAST_SLOPE = -1.1
 CHUNK_BYTES = 8 << 20
 #: Stands for the end of a text; words' hashes are never so small, nor as small as numbers of frequent words.
 END = np.uint64(1)
@@ -212,17 +217,32 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def discounts(of: np.ndarray) -> np.ndarray:
-    """Factors for counts 0 to K, from the numbers of things seen r times (`of[r]`, up to K + 1).
+    """Factors for counts 0 to K, from the numbers of things seen r times (`of[r]`, up to K + 1), after Good and Turing.
 
-    Where the numbers are too few for Good and Turing's rule, half a count is taken off instead.
+    The numbers are spread over the gaps between them and smoothed by a line in logarithms, not less steep than
+    `LEAST_SLOPE`. Turing's own estimate holds while it differs significantly from the line's, and lies between 0 and the
+    count; from the first that does not differ on, and wherever it lies outside, the line's does. So each factor is
+    between 0 and 1, and one odd number changes only its neighbours.
     """
-    r = np.arange(K + 1)
-    out = np.where(r > 0, 1 - 0.5 / np.maximum(r, 1), 0.0)
-    if (of[1 : K + 2] > 0).all():
-        most = (K + 1) * of[K + 1] / of[1]
-        rule = ((r[1:] + 1) * of[2 : K + 2] / of[1 : K + 1] / r[1:] - most) / (1 - most) if most != 1 else np.zeros(K)
-        if ((rule > 0) & (rule < 1)).all():
-            out[1:] = rule
+    seen = np.flatnonzero(of[1 : K + 2] > 0) + 1
+    slope, start = LEAST_SLOPE, 0.0
+    if len(seen) > 1:
+        before = np.r_[0, seen[:-1]]
+        after = np.r_[seen[1:], 2 * seen[-1] - before[-1]]
+        slope, start = np.polyfit(np.log(seen), np.log(of[seen] * 2 / (after - before)), 1)
+    smooth = np.exp(start + min(slope, LEAST_SLOPE) * np.log(np.arange(1, K + 2)))
+    out, differs = np.zeros(K + 1), True
+    for r in range(1, K + 1):
+        estimate = line = (r + 1) * smooth[r] / smooth[r - 1]
+        if differs and of[r] > 0 and of[r + 1] > 0:
+            turing = (r + 1) * of[r + 1] / of[r]
+            differs = abs(turing - line) > 1.65 * (r + 1) * np.sqrt(of[r + 1] / of[r] ** 2 * (1 + of[r + 1] / of[r]))
+            if differs and 0 < turing < r:
+                estimate = turing
+        # Katz: counts above K are not discounted, so those below give up that much more.
+        most = (K + 1) * smooth[K] / smooth[0]
+        factor = (estimate / r - most) / (1 - most)
+        out[r] = factor if 0 < factor < 1 else estimate / r
     return out
 
 
@@ -438,13 +458,16 @@ def pair_model(counted: DataFrame, moved: DataFrame, words: Words, texts: int) -
 
 
 _SENT = pa.schema([
-    ("bucket", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("sizes", pa.binary()), ("texts", pa.binary()), ("rows", pa.binary()), ("m", pa.int32()),
+    ("bucket", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("sizes", pa.binary()), ("texts", pa.binary()), ("rows", pa.binary()), ("m", pa.int32()), ("base", pa.int64()),
 ])
 _PART = "grp int, kind int, n int, ids binary, a binary, b binary, c binary"
 
 
-def _occurrences(kind: int, keys: np.ndarray, text: np.ndarray, rids: np.ndarray, buckets: int, owner: np.ndarray | None = None) -> list[tuple]:
-    """A row for each bucket (of the keys or their owners): keys in order, in how many texts each occurs (with repeats), and in which."""
+def _occurrences(kind: int, keys: np.ndarray, text: np.ndarray, base: int, buckets: int, owner: np.ndarray | None = None) -> list[tuple]:
+    """A row for each bucket (of the keys or their owners): keys in order, in how many texts each occurs (with repeats), and in which.
+
+    Texts are told by their number in the task, counted from `base`; in order and as differences they take about a byte.
+    """
     order = np.lexsort((text, keys))
     owner = (keys if owner is None else owner)[order]
     keys, text = keys[order], text[order]
@@ -463,7 +486,7 @@ def _occurrences(kind: int, keys: np.ndarray, text: np.ndarray, rids: np.ndarray
         n = size[own]
         place = np.repeat(begin[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         used, which = np.unique(text[place], return_inverse=True)
-        out.append((b, kind, hi - lo, _squeeze(np.diff(unique[own], prepend=np.uint64(0))), _squeeze(n.astype(np.uint32)), _squeeze(which.astype(np.uint32)), _squeeze(rids[used]), len(used)))
+        out.append((b, kind, hi - lo, _squeeze(np.diff(unique[own], prepend=np.uint64(0))), _squeeze(n.astype(np.uint32)), _squeeze(which.astype(np.uint32)), _squeeze(np.diff(used, prepend=0).astype(np.uint32)), len(used), base))
     return out
 
 
@@ -473,8 +496,10 @@ def _score_texts(docs: DataFrame, words: Words, pairs: Pairs, buckets: int) -> D
     log_p, log_base, log_weight = np.r_[log_p, 0.0], np.r_[log_base, 0.0], np.r_[pairs.log_weight, 0.0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start = TaskContext.get().partitionId() << TASK_BITS
         for texts, rest in _chunks(batches, 1):
             rids = rest["rid"].to_numpy()
+            first_row, start = start, start + len(texts)
             tokens, at = _all_tokens(texts)
             text = np.repeat(np.arange(len(texts)), np.diff(at))
             first, second, rare_first, rare_second = _pair_parts(tokens, words, at)
@@ -492,20 +517,20 @@ def _score_texts(docs: DataFrame, words: Words, pairs: Pairs, buckets: int) -> D
                 score += np.bincount(text[both[hot]], pairs.hot_gain[place[hot]], len(texts))
                 both, keys = both[~hot], keys[~hot]
             rare, mixed = np.flatnonzero(rare_second), np.flatnonzero(rare_first | rare_second)
-            rows = _occurrences(WORD, tokens[rare], text[rare], rids, buckets) + _occurrences(PAIR, keys, text[both], rids, buckets)
+            rows = _occurrences(WORD, tokens[rare], text[rare], first_row, buckets) + _occurrences(PAIR, keys, text[both], first_row, buckets)
             owner = np.where(rare_first, first, second)[mixed]
-            rows += _occurrences(RARE, _pair_hash(first[mixed], second[mixed]), text[mixed], rids, buckets, owner)
+            rows += _occurrences(RARE, _pair_hash(first[mixed], second[mixed]), text[mixed], first_row, buckets, owner)
             packed = np.stack([np.diff(at).astype(float), seen, base, score])
-            spread = _bucket(rids.view(np.uint64), buckets)
+            spread = _bucket(first_row + np.arange(len(texts)), buckets)
             order = np.argsort(spread, kind="stable")
             edges = np.searchsorted(spread[order], np.arange(buckets + 1))
             for b, (lo, hi) in enumerate(zip(edges, edges[1:])):
                 if hi > lo:
                     own = order[lo:hi]
-                    rows.append((b, DIRECT, hi - lo, _squeeze(rids[own]), None, None, _squeeze(packed[:, own]), 4))
+                    rows.append((b, DIRECT, hi - lo, _squeeze(rids[own]), None, _squeeze(own.astype(np.uint32)), _squeeze(packed[:, own]), 4, first_row))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SENT)], schema=_SENT)
 
-    return map_arrow(docs.select("rid", "text"), run, "bucket int, kind int, n int, keys binary, sizes binary, texts binary, rows binary, m int")
+    return map_arrow(docs.select("rid", "text"), run, "bucket int, kind int, n int, keys binary, sizes binary, texts binary, rows binary, m int, base bigint")
 
 
 def _sums_by_text(sent: DataFrame, tables: DataFrame, words: Words, pairs: Pairs, buckets: int) -> DataFrame:
@@ -515,7 +540,7 @@ def _sums_by_text(sent: DataFrame, tables: DataFrame, words: Words, pairs: Pairs
         spread = _bucket(mix64(ids.view(np.uint64)), buckets)
         order = np.argsort(spread, kind="stable")
         edges = np.searchsorted(spread[order], np.arange(buckets + 1))
-        return [(b, 1, hi - lo, _squeeze(ids[order[lo:hi]]), *[_squeeze(v[order[lo:hi]]) for v in values]) for b, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]
+        return [(b, 1, hi - lo, _squeeze(np.diff(ids[order[lo:hi]], prepend=0)), *[_squeeze(v[order[lo:hi]]) for v in values]) for b, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]
 
     def run(sent: pa.Table, known: pa.Table) -> pa.Table:
         counted = {kind: [(np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))] for kind in (WORD, PAIR, BY_SECOND, BY_FIRST, MOVED)}
@@ -535,14 +560,14 @@ def _sums_by_text(sent: DataFrame, tables: DataFrame, words: Words, pairs: Pairs
         order = np.argsort(hashes)
         tables[RARE] = hashes[order], gains[order]
         ids, sums, out = [np.empty(0, np.int64)], [np.empty((3, 0))], []
-        for kind, n, keys, sizes, texts, rows, m in zip(*(sent[c].to_pylist() for c in ("kind", "n", "keys", "sizes", "texts", "rows", "m"))):
+        for kind, n, keys, sizes, texts, rows, m, base in zip(*(sent[c].to_pylist() for c in ("kind", "n", "keys", "sizes", "texts", "rows", "m", "base"))):
             if kind == DIRECT:
-                own = _expand(keys, n, np.int64)
+                rids, own = _expand(keys, n, np.int64), base + _expand(texts, n, np.uint32).astype(np.int64)
                 values = _expand(rows, 4 * n, np.float64).reshape(4, n)
                 spread = _bucket(mix64(own.view(np.uint64)), buckets)
                 for b in np.unique(spread):
                     at = spread == b
-                    out.append((int(b), DIRECT, int(at.sum()), _squeeze(own[at]), _squeeze(values[:, at]), None, None))
+                    out.append((int(b), DIRECT, int(at.sum()), _squeeze(np.diff(own[at], prepend=0)), _squeeze(values[:, at]), _squeeze(rids[at]), None))
                 continue
             keys, sizes = np.cumsum(_expand(keys, n, np.uint64), dtype=np.uint64), _expand(sizes, n, np.uint32).astype(np.int64)
             count = _found(keys, *tables[kind])
@@ -555,7 +580,7 @@ def _sums_by_text(sent: DataFrame, tables: DataFrame, words: Words, pairs: Pairs
                 gain[count > 0] = pairs.gain(keys[count > 0], count[count > 0], words)
                 values = np.stack([np.zeros(n), np.zeros(n), gain])
             which = _expand(texts, int(sizes.sum()), np.uint32).astype(np.int64)
-            ids.append(_expand(rows, m, np.int64))
+            ids.append(base + np.cumsum(_expand(rows, m, np.uint32), dtype=np.int64))
             sums.append(np.stack([np.bincount(which, np.repeat(v, sizes), m) for v in values]))
         every, place = np.unique(np.concatenate(ids), return_inverse=True)
         values = np.concatenate(sums, axis=1)
@@ -570,29 +595,31 @@ def _sums_by_text(sent: DataFrame, tables: DataFrame, words: Words, pairs: Pairs
 
 
 def _gathered(parts: DataFrame, buckets: int) -> DataFrame:
-    """`rid, n_tokens, n_known, base_score, score`, one row for each distinct rid."""
+    """`rid, n_tokens, n_known, base_score, score`, one row for each row that was scored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, own, more_ids, more = [np.empty(0, np.int64)], [np.empty((4, 0))], [np.empty(0, np.int64)], [np.empty((3, 0))]
+        ids, rids, own, more_ids, more = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty((4, 0))], [np.empty(0, np.int64)], [np.empty((3, 0))]
         for batch in batches:
             for kind, n, some, a, b, c in zip(*(batch.column(i).to_pylist() for i in range(1, 7))):
+                some = np.cumsum(_expand(some, n, np.int64))
                 if kind == DIRECT:
-                    ids.append(_expand(some, n, np.int64))
+                    ids.append(some)
+                    rids.append(_expand(b, n, np.int64))
                     own.append(_expand(a, 4 * n, np.float64).reshape(4, n))
                 else:
-                    more_ids.append(_expand(some, n, np.int64))
+                    more_ids.append(some)
                     more.append(np.stack([_expand(a, n, np.int32).astype(float), _expand(b, n, np.float64), _expand(c, n, np.float64)]))
-        every, place, times = np.unique(np.concatenate(ids), return_inverse=True, return_counts=True)
+        every = np.concatenate(ids)
         if not len(every):
             return
-        values = np.concatenate(own, axis=1)
-        tokens, known, base, score = (np.bincount(place, v, len(every)) for v in values)
+        order = np.argsort(every)
+        every, rid = every[order], np.concatenate(rids)[order]
+        tokens, known, base, score = np.concatenate(own, axis=1)[:, order]
         added = np.searchsorted(every, np.concatenate(more_ids))
         for total, v in zip((known, base, score), np.concatenate(more, axis=1)):
             total += np.bincount(added, v, len(every))
-        # Rows of one id and text were added together.
-        whole = lambda x: pa.array(np.rint(x / times).astype(np.int64))
-        yield pa.record_batch([pa.array(every), whole(tokens), whole(known), pa.array(base / times), pa.array(score / times)], ["rid", "n_tokens", "n_known", "base_score", "score"])
+        whole = lambda x: pa.array(np.rint(x).astype(np.int64))
+        yield pa.record_batch([pa.array(rid), whole(tokens), whole(known), pa.array(base), pa.array(score)], ["rid", "n_tokens", "n_known", "base_score", "score"])
 
     return map_arrow(parts.repartition(buckets, "grp"), run, "rid bigint, n_tokens bigint, n_known bigint, base_score double, score double")
 
@@ -612,5 +639,6 @@ def score_documents(docs: DataFrame, trained: Column, keep: tuple[str, ...] = ("
     known = table.withColumn("kind", F.lit(WORD)).unionByName(counted.unionByName(moved.where(F.col("kind") == MOVED)), allowMissingColumns=True)
     scores = _gathered(_sums_by_text(sent, known, words, pairs, buckets), buckets)
     ids = docs.select(*keep, rid.alias("rid"))
-    joined = ids.join(scores, "rid")
+    # Rows of one id and text have one score.
+    joined = ids.join(scores.dropDuplicates(["rid"]), "rid")
     return joined.select(*keep, "n_tokens", "n_known", F.lit(words.total).cast("bigint").alias("train_tokens"), "base_score", "score")
