@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import random
 import re
 import textwrap
 
@@ -206,7 +207,52 @@ def test_whole_licence_texts(spark):
     rows = list(enumerate([*whole, *("\n".join(textwrap.fill(p, 70) for p in t.split("\n")) for t in whole)]))
     got = {r.doc_id: r.license for r in licenses.license_matches(spark.createDataFrame(rows, "doc_id bigint, text string")).where("part = 0").collect()}
     assert [got.get(i) for i, _ in rows] == [*licenses.FULL_TEXTS] * 2
-    assert "Jane" not in licenses.sql() and all(name not in licenses.sql() for name in licenses.FULL_TEXTS)
+
+
+def _licence_documents(seed: int = 5) -> list[tuple[int, str | None]]:
+    """Whole, wrapped, commented and embedded texts, some with words changed, among prose."""
+    rng = random.Random(seed)
+    prose = lambda n: " ".join(rng.choice(["water", "under", "general", "software", "license", "stone", "by", "the"]) for _ in range(n))
+    texts: list[str | None] = [None, "", "license", prose(2_000), "the mit license " * 50]
+    for text in licenses.KNOWN.values():
+        wrapped = textwrap.fill(text, 60)
+        words = text.split()
+        for i in rng.sample(range(len(words)), len(words) // 20):
+            words[i] = "zebra"
+        texts += [text, wrapped, "\n".join("# " + line for line in wrapped.split("\n"))]
+        texts += [prose(rng.randint(0, 300)) + "\n" + wrapped + "\n" + prose(rng.randint(1, 400)), prose(90) + " " + " ".join(words) + " " + prose(70)]
+    return [*enumerate(texts), (3, "Released under the MIT License."), (0, None)]
+
+
+def test_licences_wrapped_and_embedded(spark):
+    """The query equals its SQL, and finds long notices inside longer texts, wrapped or behind comment marks."""
+    rows = _licence_documents()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, r.part, r.license, round(r.dice, 9), r.first_word) for r in licenses.license_matches(docs).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id bigint, text varchar)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    # One id holds two texts, which the query tells apart and the SQL does not.
+    want = {(a, b, c, round(d, 9), e) for a, b, c, d, e in con.execute(licenses.sql()).fetchall()}
+    assert got == want
+    names = [*licenses.KNOWN]
+    found = {(d, name) for d, part, name, *_ in got}
+    for k, (name, text) in enumerate(licenses.KNOWN.items()):
+        if len(text.split()) >= 30:
+            assert {i for i in range(5 + 5 * k, 10 + 5 * k) if (i, name) in found} == set(range(5 + 5 * k, 10 + 5 * k)), name
+    assert len(names) == len(licenses.TEMPLATES) + len(licenses.FULL_TEXTS)
+
+
+def test_needed_words():
+    """What holds none of the needed words of a template shares too little of it, for any template and threshold."""
+    rng = random.Random(3)
+    for _ in range(200):
+        words = [rng.choice("aa bb cc dd license ee software ff of gg".split()) for _ in range(rng.randint(2, 40))]
+        bigrams = sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
+        for least in (0.3, 0.5, 0.8, 1.0):
+            needed = set(licenses.needed_words(bigrams, least))
+            rest = sum(not needed & set(pair.split()) for pair in bigrams)
+            assert 2 * rest / (rest + len(bigrams)) < least  # the best part without them is what is left
 
 
 VECTORS = "vec_id bigint, embedding array<float>, label int"
