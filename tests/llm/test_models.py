@@ -229,6 +229,41 @@ def test_toxicity(marked):
             assert texts[r.doc_id].lower().encode()[s.start : s.stop].decode().startswith(("vile", "rotten", "scumlike"))
 
 
+def test_toxicity_in_long_documents(spark):
+    """Where every toxic document is long, its toxic words are still learned and found."""
+    rng = random.Random(11)
+    rows, labels = [], []
+    for i in range(600):
+        text, toxic = words(rng, "en", rng.choice([500, 900])).split(), int(i % 3 == 0)
+        if toxic:
+            for _ in range(rng.randint(1, 6)):
+                text[rng.randrange(len(text))] = rng.choice(["vilsnort", "grubfang", "muckwretch"])
+        elif rng.random() < 0.5:
+            text = text[: rng.randint(20, 400)]
+        rows.append((i, " ".join(text)))
+        labels.append((i, toxic))
+    docs, labels = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    trained = languages.remainder("doc_id", 5) != 0
+    got = toxicity.toxicity(docs, labels, trained).join(labels, "doc_id").where(~trained).collect()
+    assert np.mean([r.predicted for r in got if r.toxic]) >= 0.9
+    assert np.mean([r.predicted for r in got if not r.toxic]) <= 0.05
+    text = dict(rows)
+    marked = [text[r.doc_id][s.start : s.stop] for r in got if r.toxic for s in r.spans]
+    assert len(marked) >= sum(r.toxic for r in got) and set(marked) <= {"vilsnort", "grubfang", "muckwretch"}
+
+
+def test_field_runs():
+    rng = np.random.default_rng(1)
+    for n, places in ((0, []), (400, [3]), (401, []), (5_000, [0, 2_499, 4_999]), (100_003, range(0, 100_003, 7))):
+        held = np.zeros(n, bool)
+        held[list(places)] = True
+        runs = toxicity.field_runs(held, rng)
+        assert all(a < b for a, b in runs if n) and all(r[1] <= s[0] for r, s in zip(runs, runs[1:]))
+        assert sum(b - a for a, b in runs) <= max(toxicity.FIELD_WORDS, 0) or n <= toxicity.FIELD_WORDS
+        if len(places) <= 3:  # few enough that each is read
+            assert all(any(a <= p < b for a, b in runs) for p in places)
+
+
 def test_toxicity_on_odd_rows(crowded, no_docs, marked, spark):
     docs, labels = marked
     model = toxicity.fit(docs, labels.select("doc_id", (F.col("toxic") > 0).alias("toxic")))

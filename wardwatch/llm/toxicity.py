@@ -7,11 +7,15 @@ with many copies earn nothing once that text is explained. Their occurrences in
 toxic tokens.
 
 The field has two labels; a token's observation is the word or beginning that was taken, or none. It is
-fitted by gradient on short documents of the sample. Forward and backward passes over the words of many
+fitted by gradient on documents of the sample, chosen by hash whatever their length; of one with more than
+`FIELD_WORDS` words it reads runs of `RUN` words, first those that hold what was taken, spread evenly over the
+document, then others at random. Forward and backward passes over the words of many
 texts at once give each token's probability. A text's score is a logistic function of the summed
 -log(1 - p) of its tokens and of its length, fitted on the sample; tokens above one half are its spans.
 
-Defined results: a null or empty text has no token and scores as a text in which nothing is toxic; without
+Defined results: a null or empty text has no token and scores as a text in which nothing is toxic; an
+ill-formed byte ends a word; a text of any length is scored whole, in groups of texts of bounded size, and the
+sampled texts are held whole by the driver; without
 labels of both kinds all texts score 0.5 less a hair; rows of one id are scored each by its own text, an id
 with several labels is toxic if one of them says so. Further columns are not read.
 """
@@ -33,8 +37,8 @@ ship(__name__)
 
 #: Documents of each label that the model is fitted on, chosen by hash of the id (so many are expected).
 SAMPLE = 2_000
-#: Of these, the field itself is fitted on so many of each label, of at most so many words.
-FIELD_DOCS, FIELD_WORDS = 600, 400
+#: Of these, the field itself is fitted on so many of each label, and on so many words of each, in runs of so many.
+FIELD_DOCS, FIELD_WORDS, RUN = 600, 400, 50
 #: A word is taken if it explains so many toxic documents, and this share of them; in clean ones it is at most so many times as frequent.
 LEAST_DOCS, LEAST_SHARE, CLEAN_SHARE = 3, 0.004, 0.2
 #: Bytes of the beginnings of words that are looked at.
@@ -158,9 +162,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
     picked = known.where(F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(part)) < limit)
     # About twice `sample` ids, whatever the tables hold; so no text is shuffled.
     chosen = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    rows = chosen.select("toxic", F.lower("text").alias("text")).distinct().orderBy("toxic", F.xxhash64("text"), "text").toArrow()
+    rows = chosen.select("toxic", "text").distinct().orderBy("toxic", F.xxhash64("text"), "text").toArrow()
     toxic = rows["toxic"].to_numpy().astype(bool)
-    texts = [t or b"" for t in rows["text"].cast(pa.binary()).to_pylist()]
+    texts = [t for chunk in rows["text"].chunks for t in lower_texts(chunk)]
     if not toxic.any() or toxic.all():
         return None
     units, lengths = [], []
@@ -182,13 +186,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
                     used.add(k)
         model.sizes = tuple(sorted(used - {0}))
 
-    short = (counts > 0) & (counts <= FIELD_WORDS)
-    picked = np.concatenate([np.flatnonzero(short & (toxic == label))[:FIELD_DOCS] for label in (True, False)])
+    some = counts > 0
+    picked = np.concatenate([np.flatnonzero(some & (toxic == label))[:FIELD_DOCS] for label in (True, False)])
     if len(picked):
-        found = tokens([texts[i] for i in picked], model.sizes)
-        observed = observations(model, found)
-        truth = ((observed > 0) & np.repeat(toxic[picked], found.counts)).astype(np.int64)
-        _fit_field(model, observed, found.counts, truth)
+        kinds, lengths, truths = [], [], []
+        rng = np.random.default_rng(len(texts))
+        for group in groups_of([texts[i] for i in picked]):
+            found = tokens([texts[picked[i]] for i in group], model.sizes)
+            ends = np.cumsum(found.counts)
+            observed = observations(model, found)
+            for i, low, high in zip(group, ends - found.counts, ends):
+                for start, stop in field_runs(observed[low:high] > 0, rng):
+                    kinds.append(observed[low + start : low + stop])
+                    lengths.append(stop - start)
+                    truths.append((kinds[-1] > 0) & toxic[picked[i]])
+        observed = np.concatenate(kinds)
+        _fit_field(model, observed, np.array(lengths), np.concatenate(truths).astype(np.int64))
         # What the fitted documents did not hold is as toxic as the rest of what was taken, on average.
         met = np.isin(1 + np.arange(len(taken)), observed)
         if met.any():
@@ -199,6 +212,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
     return model
 
 
+def field_runs(held: np.ndarray, rng: np.random.Generator) -> list[tuple[int, int]]:
+    """The words of a document that the field is fitted on: all, or runs, given where units taken are held."""
+    if len(held) <= FIELD_WORDS:
+        return [(0, len(held))]
+    starts = np.arange(0, len(held), RUN)
+    holds = np.logical_or.reduceat(held, starts)
+    most = FIELD_WORDS // RUN
+    first, others = np.flatnonzero(holds), np.flatnonzero(~holds)
+    # A quarter of the runs is kept for words around which nothing was taken.
+    spread = first[np.unique(np.linspace(0, len(first) - 1, min(len(first), most - most // 4)).astype(np.int64))] if len(first) else first
+    filled = rng.choice(others, min(len(others), most - len(spread)), replace=False)
+    return [(int(starts[i]), int(min(starts[i] + RUN, len(held)))) for i in np.sort(np.concatenate([spread, filled]))]
+
+
 def _fit_field(model: Model, kinds: np.ndarray, counts: np.ndarray, truth: np.ndarray) -> None:
     """Gradient steps with a rate of its own for each weight, and a small pull towards zero."""
     wanted = np.zeros_like(model.weights)
