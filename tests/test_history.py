@@ -87,6 +87,38 @@ def test_reconcile_of_nothing(spark):
     assert (row.sent, row.missing, row.success_rate) == (0, 0, 0.0)
 
 
+def test_reconcile_by_checksum_equals_reconcile(spark):
+    """Keys missing, repeated on either side, never sent, null; and sides that agree or are empty."""
+    schema = "event_id BIGINT, note STRING"
+    sent = spark.createDataFrame([(i % 500, "a") for i in range(900)] + [(None, "n")] * 3, schema)
+    got = spark.createDataFrame([(i % 490, "b") for i in range(1_000)] + [(i, "c") for i in range(600, 607)] + [(None, "n")], schema)
+    empty = sent.limit(0)
+    for a, b in ((sent, got), (sent.where("event_id > 3"), sent.where("event_id > 3")), (empty, got), (empty, empty)):
+        want, row = C.reconcile(a, b).first(), C.reconcile_by_checksum(a, b).first()
+        assert (row.missing, row.duplicates, row.all_processed) == (want.missing, want.duplicates, want.all_processed)
+        assert (row.sent_rows, row.received_rows) == (a.count(), b.count())
+        assert row.unexpected == C.reconcile(b, a).first().missing
+        counts = lambda df: df.where("event_id IS NOT NULL").groupBy("event_id").count().toPandas().set_index("event_id")["count"]
+        both = pd.DataFrame({"s": counts(a), "r": counts(b)}).fillna(0).astype(int)
+        differ = both[both.s != both.r]
+        found = {r.event_id: (r.sent, r.received) for r in C.differing_keys(a, b).collect()}
+        assert found == {k: (r.s, r.r) for k, r in differ.iterrows()}
+
+
+def test_checksums_open_few_rows(spark):
+    sent = spark.range(300_000).withColumnRenamed("id", "event_id")
+    got = sent.where("event_id % 30000 <> 17")
+    rows = C._tagged(sent, got, "event_id")
+    for levels, share in ((1, 0.01), (2, 0.0001)):
+        opened = C._open_rows(rows, levels)[0].count()
+        assert 10 <= opened < share * rows.count()
+    assert C.reconcile_by_checksum(sent, got).first().missing == 10
+    # Two keys exchanged for two others of the same number are seen too.
+    moved = got.unionByName(spark.range(400_000, 400_010).withColumnRenamed("id", "event_id"))
+    row = C.reconcile_by_checksum(sent, moved).first()
+    assert (row.sent_rows, row.received_rows, row.missing, row.unexpected) == (300_000, 300_000, 10, 10)
+
+
 def test_metric_or_takes_the_second_only_where_the_first_is_absent(spark):
     a = spark.createDataFrame([(1, 5.0)], "t BIGINT, value DOUBLE")
     b = spark.createDataFrame([(1, 7.0), (2, 8.0)], "t BIGINT, value DOUBLE")

@@ -138,6 +138,31 @@ def _reconcile(spark, sf_dir):
     return out.withColumn("success_rate", F.round("success_rate", 6))
 
 
+@query(
+    "reconcile_by_checksum",
+    "judged",
+    """
+SELECT count(*) AS sent_rows, count(*) FILTER (error IS NULL) AS received_rows, count(*) FILTER (error IS NOT NULL) AS missing,
+  0::bigint AS unexpected, 0::bigint AS duplicates, count(*) FILTER (error IS NOT NULL) = 0 AS all_processed
+FROM judged""",
+)
+def _reconcile_by_checksum(spark, sf_dir):
+    sent = vitals(spark, sf_dir)
+    return C.reconcile_by_checksum(sent, successful_only(score_request(sent)))
+
+
+@query(
+    "differing_keys",
+    "judged",
+    "SELECT event_id, 1::bigint AS sent, (CASE WHEN event_id % 97 = 0 THEN 2 ELSE 0 END)::bigint AS received FROM judged WHERE event_id % 97 = 0 OR event_id % 101 = 0",
+)
+def _differing_keys(spark, sf_dir):
+    """Some events came out twice, some never."""
+    sent = vitals(spark, sf_dir).select("event_id")
+    twice = sent.where("event_id % 97 = 0")
+    return C.differing_keys(sent, C.combine_batches(sent.where("event_id % 101 <> 0 OR event_id % 97 = 0"), twice))
+
+
 @query("missing_keys", "judged", "SELECT event_id FROM judged WHERE error IS NOT NULL")
 def _missing_keys(spark, sf_dir):
     sent = vitals(spark, sf_dir)
