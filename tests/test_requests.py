@@ -13,6 +13,28 @@ from wardwatch.sinks.tables import as_metrics, emit_metrics, read_metrics, write
 REQUEST = "event_id BIGINT, ms BIGINT, source STRING, latency_ms DOUBLE, status STRING"
 
 
+def test_stored_sketches_answer_any_range(spark):
+    """A hot source, a small one, one of equal values, nulls and NaNs; ranks against the exact ones."""
+    rng = np.random.default_rng(4)
+    rows = [(i, i * 60, "hot" if i % 3 else "cool", float(v), "success") for i, v in enumerate(rng.lognormal(3, 1, 20_000))]
+    rows += [(i, i * 3_000, "flat", 5.0, "success") for i in range(300)]
+    rows += [(i, 0, "none", v, s) for i, (v, s) in enumerate([(None, "success"), (float("nan"), "success"), (1.0, "error")])]
+    df = spark.createDataFrame(rows, REQUEST)
+    stored = R.latency_sketches(df)
+    assert stored.count() == stored.select("step_ms", "source").distinct().count() > 30
+    for low, high in ((None, None), (120_000, 600_000)):
+        got = {r.source: r for r in R.latency_between(stored, from_ms=low, to_ms=high).collect()}
+        assert set(got) == {"hot", "cool", "flat"}
+        for source, row in got.items():
+            values = np.sort([r[3] for r in rows if r[2] == source and (low is None or low <= r[1] < high)])
+            assert (row.n, row.lowest, row.highest) == (len(values), values[0], values[-1])
+            for name, q in R.PERCENTILE_POINTS.items():
+                below, upto = np.searchsorted(values, row[name], "left") / len(values), np.searchsorted(values, row[name], "right") / len(values)
+                assert below <= q + 0.01 and upto >= q - 0.01
+    assert R.latency_between(stored, by=()).first().n == 20_300
+    assert R.latency_between(stored, from_ms=10**12).collect() == R.latency_between(stored, by=(), from_ms=10**12).collect() == []
+
+
 def test_summary_of_nothing_is_zero(spark):
     row = R.latency_summary(spark.createDataFrame([], REQUEST)).first()
     assert (row.p99_ms, row.avg_latency_ms, row.error_rate, row.total_requests) == (0.0, 0.0, 0.0, 0)

@@ -50,6 +50,27 @@ def _latency_summary_split(spark, sf_dir):
     return _rounded(R.latency_summary(requests(spark, sf_dir), ["source"], rows_per_chunk=SMALL_CHUNK), *_MEASURED)
 
 
+@query(
+    "latency_sketches",
+    "requests",
+    """
+SELECT source, q.point, n, lowest, highest, true AS within FROM (
+  SELECT source, count(*) AS n, min(latency_ms) AS lowest, max(latency_ms) AS highest FROM requests WHERE status = 'success' GROUP BY ALL),
+  (VALUES ('p50_ms'), ('p95_ms'), ('p99_ms')) q(point)""",
+)
+def _latency_sketches(spark, sf_dir):
+    """Sketches by hour are stored and merged; `within` holds their percentiles' exact ranks to the promised error."""
+    rows = requests(spark, sf_dir)
+    stored = stage(R.latency_sketches(rows, step_ms=3_600_000), "latency-sketches")
+    merged = R.latency_between(stored).unpivot(["source", "n", "lowest", "highest"], [*R.PERCENTILE_POINTS], "point", "value")
+    # Three rows per source; each success is counted for each of them before the shuffle.
+    good = rows.where(F.col("status") == "success").select("source", "latency_ms").join(merged, "source")
+    below, upto = F.avg((F.col("latency_ms") < F.col("value")).cast("int")), F.avg((F.col("latency_ms") <= F.col("value")).cast("int"))
+    wanted = F.element_at(F.create_map(*[F.lit(x) for pair in R.PERCENTILE_POINTS.items() for x in pair]), F.col("point"))
+    within = (below <= wanted + 0.01) & (upto >= wanted - 0.01)
+    return good.groupBy("source", "point", "n", "lowest", "highest").agg(within.alias("within"))
+
+
 @query(
     "slo_check",
     "requests",

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from wardwatch.functions.timing import cell_end
 from wardwatch.operators.ordered import ROWS_PER_CHUNK, Scan, ordered_scan
-from wardwatch.operators.quantiles import percentile_columns, percentiles
+from wardwatch.operators.quantiles import merge_sketches, percentile_columns, percentiles, quantile_sketches, sketch_percentiles
 from wardwatch.session import stage
 
 # Bucket edges of the latency histogram in milliseconds, the p99 target, report sizes.
@@ -22,12 +22,30 @@ RATE_RANGE_MS = 300_000
 ERRORS_KEPT = 100
 
 INFINITY = "+Inf"
+SKETCH_STEP_MS = 60_000
 
 
 def non_empty_latency(df: DataFrame) -> DataFrame:
     return df.where(F.col("latency_ms") > 0)
 
 
+def latency_sketches(df: DataFrame, by: Sequence[str] = ("source",), step_ms: int = SKETCH_STEP_MS) -> DataFrame:
+    """A sketch of successful latencies per step (its begin in `step_ms`) and labels, to be stored as a table."""
+    good = df.where(F.col("status") == "success").withColumn("step_ms", (F.floor(F.col("ms") / step_ms) * step_ms).cast("bigint"))
+    return quantile_sketches(good, ["step_ms", *by], "latency_ms")
+
+
+def latency_between(
+    sketches: DataFrame, by: Sequence[str] = ("source",), from_ms: int | None = None, to_ms: int | None = None, points: Mapping[str, float] = PERCENTILE_POINTS
+) -> DataFrame:
+    """Percentiles of the steps from `from_ms` to before `to_ms`, from stored sketches alone."""
+    if from_ms is not None:
+        sketches = sketches.where(F.col("step_ms") >= from_ms)
+    if to_ms is not None:
+        sketches = sketches.where(F.col("step_ms") < to_ms)
+    return sketch_percentiles(merge_sketches(sketches, by), by, points)
+
+
 def latency_summary(
     df: DataFrame, by: Sequence[str] = (), digits: int | None = None, approximate: int | None = None, rows_per_chunk: int = ROWS_PER_CHUNK
 ) -> DataFrame:
