@@ -147,3 +147,19 @@ def test_a_dead_sensor_and_values_that_are_no_numbers(spark, bins):
     chi = {r.column: r for r in D.chi2_drift(ref, cur, ["c", "gone"]).collect()}
     assert chi["c"].statistic == 0 and not chi["gone"].drifted
     assert D.mean_shift_drift(ref, cur, ["x", "odd", "dead"]).first().drift_score == 0
+
+
+def test_profile_equals_the_reference_itself(spark, tmp_path):
+    """Nulls, NaNs, a constant, a column without a value on one side, a new category; versions; the plan reads no reference."""
+    from wardwatch.operators import profile as P
+
+    schema = "a DOUBLE, b INT, c DOUBLE, d DOUBLE, t STRING"
+    before = spark.createDataFrame([(float(i % 50), i, 3.0, None, "xyz"[i % 3]) for i in range(400)] + [(float("nan"), None, None, None, None)], schema)
+    now = spark.createDataFrame([(i % 40 + 0.5, i * 2, 3.0 + i % 2, 1.0, "xw"[i % 2]) for i in range(300)] + [(None, None, float("nan"), None, None)], schema)
+    path, numbers = str(tmp_path / "profile"), ["a", "b", "c", "d"]
+    P.write_profile(P.reference_profile(now, numbers, ["t"]), path, 1)
+    P.write_profile(P.reference_profile(before, numbers, ["t"]), path, 2)
+    rows = lambda df: sorted((r.column, r.method, None if r.distance is None else round(r.distance, 9), r.drifted, r.comparable) for r in df.collect())
+    assert rows(P.column_drift_from_profile(P.read_profile(spark, path), now)) == rows(D.column_drift(before, now, numbers, ["t"]))
+    assert rows(P.column_drift_from_profile(P.read_profile(spark, path, 1), before.limit(0))) == rows(D.column_drift(now, before.limit(0), numbers, ["t"]))
+    assert P.read_profile(spark, path).count() < 700  # bounded by bins and categories

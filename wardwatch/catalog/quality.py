@@ -9,6 +9,8 @@ from wardwatch.catalog.registry import query, r6
 from wardwatch.fixtures import current, reference, vitals
 from wardwatch.operators import drift as D
 from wardwatch.operators import lateness as L
+from wardwatch.operators.profile import column_drift_from_profile, read_profile, reference_profile, write_profile
+from wardwatch.session import work_dir
 from wardwatch.streaming.windows import tumbling_vitals
 
 NUMBERS = ["age", "bmi", "glucose_level", "cholesterol"]
@@ -181,6 +183,14 @@ def _column_drift_binned(spark, sf_dir):
     return _distances(D.column_drift(reference(spark, sf_dir), current(spark, sf_dir), NUMBERS, TEXTS))
 
 
+@query("column_drift_profile", "reference current_", _edf_sql(200) + _shares_sql(",") + _COLUMN_DRIFT)
+def _column_drift_profile(spark, sf_dir):
+    """The reference is profiled and stored first; the check reads the stored profile and the current rows."""
+    path = work_dir(spark, "profile")
+    write_profile(reference_profile(reference(spark, sf_dir), NUMBERS, TEXTS), path, 1)
+    return _distances(column_drift_from_profile(read_profile(spark, path), current(spark, sf_dir)))
+
+
 # The same distances over sides of which one lacks a column, or holds values that are not numbers.
 _ODD_SIDES = """
 ref_ AS (SELECT age, CASE WHEN event_id % 7 = 0 THEN 'nan'::double ELSE bmi END AS bmi, glucose_level, diabetes FROM reference),

@@ -8,7 +8,7 @@ many to compare one by one.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -172,6 +172,18 @@ def drift_watch(
     return score_window_means(seen, ["row_no", "t_ms", "late_data_count", "late_data_ratio"], reference, columns)
 
 
+def bin_middles(bounds: Mapping[str, tuple[float | None, float | None]], bins: int) -> Column:
+    """The middle of the bin of `value` within the bounds of its `column`; the value itself where they hold no range."""
+    binned = F.col("value")
+    for c, (lo, hi) in bounds.items():
+        if lo is None or hi <= lo:
+            continue
+        width = (hi - lo) / bins
+        place = F.least(F.greatest(F.floor((F.col("value") - lo) / width), F.lit(0)), F.lit(bins - 1))
+        binned = F.when(F.col("column") == c, lo + (place + 0.5) * width).otherwise(binned)
+    return binned
+
+
 def value_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins: int | None = None) -> DataFrame:
     """Rows `(column, value, ref_n, cur_n)` over the merged values of numeric columns; nulls and NaNs are skipped.
 
@@ -185,15 +197,7 @@ def value_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str
     rows = sides[0].unionByName(sides[1]).where(F.col("value").isNotNull())
     if bins:
         bounds = reference.agg(*[f(known(c)).cast("double").alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]).first()
-        binned = F.col("value")
-        for c in columns:
-            lo, hi = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
-            if lo is None or hi <= lo:
-                continue
-            width = (hi - lo) / bins
-            place = F.least(F.greatest(F.floor((F.col("value") - lo) / width), F.lit(0)), F.lit(bins - 1))
-            binned = F.when(F.col("column") == c, lo + (place + 0.5) * width).otherwise(binned)
-        rows = rows.withColumn("value", binned)
+        rows = rows.withColumn("value", bin_middles({c: (bounds[f"lo_{c}"], bounds[f"hi_{c}"]) for c in columns}, bins))
     return rows.groupBy("column", "value").agg(
         F.count_if(F.col("_side") == "ref_n").alias("ref_n"),
         F.count_if(F.col("_side") == "cur_n").alias("cur_n"),
@@ -239,11 +243,16 @@ def ks_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str], b
 
 
 def _wasserstein(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins: int | None, rows_per_chunk: int) -> DataFrame:
+    spread = reference.agg(*[F.stddev_pop(known(c)).alias(c) for c in columns]).unpivot([], list(columns), "column", "_std")
+    return wasserstein_of(value_counts(reference, current, columns, bins), spread, rows_per_chunk)
+
+
+def wasserstein_of(counts: DataFrame, spread: DataFrame, rows_per_chunk: int) -> DataFrame:
+    """Distances from `value_counts` rows and the reference's deviation `_std`, one row per column."""
     before_ref = F.try_divide(F.col("_ref_cum") - F.col("ref_n"), F.col("_ref_total"))
     before_cur = F.try_divide(F.col("_cur_cum") - F.col("cur_n"), F.col("_cur_total"))
     area = F.abs(before_ref - before_cur) * (F.col("value") - F.col("_before"))
-    scanned = _cumulative(value_counts(reference, current, columns, bins), rows_per_chunk)
-    spread = reference.agg(*[F.stddev_pop(known(c)).alias(c) for c in columns]).unpivot([], list(columns), "column", "_std")
+    scanned = _cumulative(counts, rows_per_chunk)
     return (
         scanned.groupBy("column")
         .agg(F.coalesce(F.sum(area), F.lit(0.0)).alias("_area"), F.max("_ref_total").alias("_n"), F.max("_cur_total").alias("_m"))
@@ -261,10 +270,13 @@ def category_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _category_pairs(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Counts and shares of each category on both sides, 0 where one side lacks it."""
-    tagged = category_frequencies(reference, columns).select("column", "value", F.col("n").alias("r"), F.lit(0).cast("bigint").alias("c"))
-    tagged = tagged.unionByName(
-        category_frequencies(current, columns).select("column", "value", F.lit(0).cast("bigint").alias("r"), F.col("n").alias("c"))
-    )
+    return pairs_of(category_frequencies(reference, columns), category_frequencies(current, columns))
+
+
+def pairs_of(before: DataFrame, now: DataFrame) -> DataFrame:
+    """The same from two tables of `category_frequencies`."""
+    tagged = before.select("column", "value", F.col("n").alias("r"), F.lit(0).cast("bigint").alias("c"))
+    tagged = tagged.unionByName(now.select("column", "value", F.lit(0).cast("bigint").alias("r"), F.col("n").alias("c")))
     pairs = tagged.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.sum("r").alias("ref_n"), F.sum("c").alias("cur_n"))
     totals = pairs.groupBy("column").agg(F.sum("ref_n").alias("ref_total"), F.sum("cur_n").alias("cur_total"))
     return pairs.join(F.broadcast(totals), "column").withColumns(
@@ -272,7 +284,7 @@ def _category_pairs(reference: DataFrame, current: DataFrame, columns: Sequence[
     )
 
 
-def _jensen_shannon(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+def jensen_shannon_of(pairs: DataFrame) -> DataFrame:
     r, c = F.col("ref_share"), F.col("cur_share")
     middle = (r + c) / 2
 
@@ -281,7 +293,7 @@ def _jensen_shannon(reference: DataFrame, current: DataFrame, columns: Sequence[
 
     divergence = F.greatest(F.sum((part(r) + part(c)) / 2), F.lit(0.0))
     both = (F.max("ref_total") > 0) & (F.max("cur_total") > 0)
-    return _category_pairs(reference, current, columns).groupBy("column").agg(
+    return pairs.groupBy("column").agg(
         F.lit("jensenshannon").alias("method"), F.when(both, F.sqrt(divergence)).alias("distance")
     )
 
@@ -303,8 +315,11 @@ def column_drift(
     if numeric:
         parts.append(_wasserstein(reference, current, numeric, bins, rows_per_chunk))
     if categorical:
-        parts.append(_jensen_shannon(reference, current, categorical))
-    both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        parts.append(jensen_shannon_of(_category_pairs(reference, current, categorical)))
+    return judged(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]))
+
+
+def judged(both: DataFrame) -> DataFrame:
     drifted = F.coalesce(F.col("distance") >= COLUMN_DRIFT_LIMIT, F.lit(False))
     return both.withColumns({"drifted": drifted, "comparable": F.col("distance").isNotNull()})
 
