@@ -11,6 +11,7 @@ from wardwatch.fixtures import requests, vitals
 from wardwatch.operators import alerts as A
 from wardwatch.operators.drift import drift_watch, reference_means
 from wardwatch.streaming import queries as S
+from wardwatch.streaming import alerting
 from wardwatch.streaming.alerting import AlertMachine, advance, alert_changes_stream, rule_changes_stream
 from wardwatch.streaming.state import use_rocksdb
 from wardwatch.streaming.watch import Watch, drift_watch_stream
@@ -117,6 +118,64 @@ def test_machine_in_slices_equals_whole():
         assert out == whole
 
 
+class Calls(dict):
+    """A map in the state store that counts its calls."""
+
+    n = 0
+
+    def _one(self, out):
+        self.n += 1
+        return out
+
+    def getValue(self, key):
+        return self._one(self[key])
+
+    def updateValue(self, key, value):
+        self._one(self.__setitem__(key, value))
+
+    def removeKey(self, key):
+        self._one(self.__delitem__(key))
+
+
+def test_many_waiting_samples_cost_few_calls():
+    """A series of 300,000 samples in no order waits in chunks; a slice of it is taken without reading the rest."""
+    rng = np.random.default_rng(4)
+    rows = np.zeros(300_000, alerting.SAMPLE)
+    rows["at"], rows["value"], rows["holds"] = rng.permutation(300_000), rng.random(300_000), 1
+    state = Calls()
+    for part in np.split(rows, 3):
+        alerting.Waiting(state).put(part)
+    assert state.n < 300
+    state.n, taken = 0, {}
+    for samples in alerting.Waiting(state).take(99_999):
+        taken |= samples
+    assert list(taken) == list(range(100_000)) and state.n < 30
+    assert sum(len(v[0]) for v in state.values()) == 200_000 * alerting.SAMPLE.itemsize
+
+
+def test_waiting_chunks_equal_a_map(monkeypatch):
+    """Small chunks, repeated times, values that miss: of one time the largest waits, whatever order they come in."""
+    monkeypatch.setattr(alerting, "CHUNK", 3)
+    rng, state, want = random.Random(3), Calls(), {}
+
+    def rank(sample):
+        return sample[0] is not None, sample[0] or 0.0, sample[1]
+
+    for _ in range(60):
+        new = [(rng.randrange(200), rng.choice([None, float("inf"), -1.5, 0.0, 2.0]), rng.random() < 0.5) for _ in range(rng.randrange(1, 12))]
+        for at, *sample in new:
+            want[at] = max(want.get(at, tuple(sample)), tuple(sample), key=rank)
+        rows = [(at, np.nan if value is None else value, on) for at, value, on in new]
+        alerting.Waiting(state).put(np.array(rows, alerting.SAMPLE))
+        upto = rng.randrange(250) if rng.random() < 0.3 else -1
+        taken = {}
+        for samples in alerting.Waiting(state).take(upto):
+            taken |= samples
+        assert list(taken) == sorted(t for t in want if t <= upto)
+        assert taken == {t: want.pop(t) for t in sorted(want) if t <= upto}
+        assert alerting.Waiting(state).starts == sorted(k[0] for k in state)
+
+
 @pytest.fixture(scope="module")
 def series(spark, sf_dir):
     rows = requests(spark, sf_dir).groupBy("source", F.col("ms").alias("t_ms")).agg(F.max("latency_ms").alias("value"))

@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, MutableMapping, Sequence
 from dataclasses import dataclass
+from itertools import islice
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,12 @@ from wardwatch.session import ship
 ship(__name__)
 
 TRANSITIONS = "at_ms BIGINT, state STRING, since_ms BIGINT, value DOUBLE"
+#: A sample that waits; a value of NaN stands for none.
+SAMPLE = np.dtype([("at", "<i8"), ("value", "<f8"), ("holds", "i1")])
+#: Samples of one entry of the state, and those taken in at a time.
+CHUNK, ROUND = 20_000, 2_000_000
+#: Rows of one frame that is handed to Spark.
+FRAME_ROWS = 20_000
 INACTIVE, PENDING, FIRING, RESOLVED = "inactive", "pending", "firing", "resolved"
 
 
@@ -84,35 +92,64 @@ def advance(machine: AlertMachine, waiting: MutableMapping[int, tuple[float | No
     yield from machine.pass_deadlines(upto + 1)
 
 
-class _Waiting(MutableMapping):
-    """Samples that wait for the watermark, by time; each is read once, and written once by `flush`."""
+def _packed(frame: pd.DataFrame) -> np.ndarray:
+    out = np.empty(len(frame), SAMPLE)
+    out["at"], out["holds"] = frame["t_ms"].astype("int64"), frame["holds"].astype("bool")
+    out["value"] = pd.to_numeric(frame["value"]).astype("float64")
+    return out
 
-    def __init__(self, state: Any):
-        self.state = state
-        self.there = {key[0]: tuple(value) for key, value in state.iterator()}
-        self.held = dict(self.there)
 
-    def __getitem__(self, at: int) -> tuple[float | None, bool]:
-        return self.held[at]
+def _largest(rows: np.ndarray) -> np.ndarray:
+    """In order of time; of samples of one time the largest counts, and one with a value before one without."""
+    known = ~np.isnan(rows["value"])
+    rows = rows[np.lexsort((rows["holds"], np.where(known, rows["value"], 0.0), known, rows["at"]))]
+    return rows[np.append(rows["at"][1:] != rows["at"][:-1], True)] if len(rows) > 1 else rows
 
-    def __setitem__(self, at: int, value: tuple[float | None, bool]) -> None:
-        self.held[at] = value
 
-    def __delitem__(self, at: int) -> None:
-        del self.held[at]
+class Waiting:
+    """Samples that wait for the watermark, in chunks of up to `CHUNK` that follow each other in time.
 
-    def __iter__(self) -> Iterator[int]:
-        return iter(self.held)
+    The state store holds a chunk under the time of its first sample. New samples rewrite only the chunks that they fall
+    into, and what the watermark has passed is read once, so a series costs a call for each chunk and not for each sample.
+    """
 
-    def __len__(self) -> int:
-        return len(self.held)
+    def __init__(self, state: Any):
+        self.state = state
+        self.starts = sorted(key[0] for key in state.keys())
+
+    def _load(self, start: int) -> np.ndarray:
+        return np.frombuffer(bytes(self.state.getValue((start,))[0]), SAMPLE)
+
+    def _replace(self, start: int | None, rows: np.ndarray) -> list[int]:
+        """Rows in place of a chunk; returns where they start."""
+        pieces = np.array_split(rows, -(-len(rows) // CHUNK)) if len(rows) else []
+        starts = [int(piece["at"][0]) for piece in pieces]
+        if start is not None and start not in starts:
+            self.state.removeKey((start,))
+        for at, piece in zip(starts, pieces):
+            self.state.updateValue((at,), (piece.tobytes(),))
+        return starts
+
+    def put(self, rows: np.ndarray) -> None:
+        rows, starts = _largest(rows), []
+        # Samples before the first chunk go into it.
+        owns = np.split(rows, np.searchsorted(rows["at"], self.starts[1:]))
+        for start, own in zip(self.starts or [None], owns):
+            if start is None:
+                starts += self._replace(None, own)
+            else:
+                starts += self._replace(start, _largest(np.concatenate([self._load(start), own]))) if len(own) else [start]
+        self.starts = starts
 
-    def flush(self) -> None:
-        for at in self.there.keys() - self.held.keys():
-            self.state.removeKey((at,))
-        for at, value in self.held.items():
-            if self.there.get(at) != value:
-                self.state.updateValue((at,), value)
+    def take(self, upto: int) -> Iterator[dict[int, tuple[float | None, bool]]]:
+        """The samples up to a moment, a chunk at a time; they no longer wait."""
+        while self.starts and self.starts[0] <= upto:
+            start = self.starts[0]
+            rows = self._load(start)
+            n = int(np.searchsorted(rows["at"], upto, "right"))
+            self.starts = self._replace(start, rows[n:]) + self.starts[1:]
+            values = [None if math.isnan(v) else v for v in rows["value"][:n].tolist()]
+            yield dict(zip(rows["at"][:n].tolist(), zip(values, (rows["holds"][:n] > 0).tolist())))
 
 
 class AlertProcessor(StatefulProcessor):
@@ -124,49 +161,49 @@ class AlertProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.machine = handle.getValueState("machine", "since BIGINT, last BIGINT, value DOUBLE, firing BOOLEAN")
-        self.waiting = handle.getMapState("samples", "at BIGINT", "value DOUBLE, holds BOOLEAN")
+        self.waiting = handle.getMapState("samples", "at BIGINT", "samples BINARY")
+
+    def _changes(self, machine: AlertMachine, waiting: Waiting, watermark: int) -> Iterator[tuple]:
+        for samples in waiting.take(watermark):
+            yield from advance(machine, samples, max(samples))
+        yield from advance(machine, {}, watermark)
 
-    def _advance(self, key: Any, waiting: _Waiting, watermark: int) -> Iterator[pd.DataFrame]:
+    def _advance(self, key: Any, waiting: Waiting, watermark: int) -> Iterator[pd.DataFrame]:
         held = self.machine.get() if self.machine.exists() else ()
         machine = AlertMachine(self.hold_ms, self.max_gap_ms, *held)
-        rows = list(advance(machine, waiting, watermark))
-        waiting.flush()
+        changes = self._changes(machine, waiting, watermark)
+        while rows := list(islice(changes, FRAME_ROWS)):
+            columns = {name: [key[i]] * len(rows) for i, name in enumerate(self.keys)}
+            yield pd.DataFrame({**columns, **{n.split()[0]: [r[i] for r in rows] for i, n in enumerate(TRANSITIONS.split(", "))}}, dtype=object)
         if machine.since is None:
             self.machine.clear()
         else:
             self.machine.update((machine.since, machine.last, machine.value, machine.firing))
-        moments = [t for t in (min(waiting, default=None), machine.deadline()) if t is not None]
+        moments = [t for t in (*waiting.starts[:1], machine.deadline()) if t is not None]
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         if moments:
             self.handle.registerTimer(max(min(moments), watermark + 1))
-        if not rows:
-            return
-        columns = {name: [key[i]] * len(rows) for i, name in enumerate(self.keys)}
-        yield pd.DataFrame({**columns, **{n.split()[0]: [r[i] for r in rows] for i, n in enumerate(TRANSITIONS.split(", "))}}, dtype=object)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        waiting = _Waiting(self.waiting)
+        waiting, held, n = Waiting(self.waiting), [], 0
         for frame in rows:
-            for at, value, on in zip(frame["t_ms"], frame["value"], frame["holds"]):
-                number = None if value is None or math.isnan(value) else float(value)
-                sample = (number, bool(on))
-                # Of samples of one time the largest counts.
-                if at not in waiting or _rank(waiting[at]) < _rank(sample):
-                    waiting[int(at)] = sample
+            held.append(_packed(frame))
+            n += len(frame)
+            if n >= ROUND:
+                waiting.put(np.concatenate(held))
+                held, n = [], 0
+        if held:
+            waiting.put(np.concatenate(held))
         yield from self._advance(key, waiting, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        yield from self._advance(key, _Waiting(self.waiting), timerValues.getCurrentWatermarkInMs())
+        yield from self._advance(key, Waiting(self.waiting), timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
 
 
-def _rank(sample: tuple[float | None, bool]) -> tuple:
-    return sample[0] is not None, sample[0] or 0.0, sample[1]
-
-
 def alert_changes_stream(series: DataFrame, keys: Sequence[str], condition: Column, hold_ms: int, max_gap_ms: int = STALE_MS, delay: str = "1 minute") -> DataFrame:
     """Of each series `(keys, t_ms, value)` the changes of its alert: `at_ms, state, since_ms, value`.
 
