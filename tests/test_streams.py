@@ -178,6 +178,68 @@ def test_two_million_rows_of_one_patient_fit(spark):
     assert n == 2_000_000 and peak < 10**9
 
 
+def test_patients_of_a_bucket_equal_patients_alone():
+    """Rows of several patients in no order over many batches, with errors, repeats and nulls; each as if it were alone."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    names = np.array(["a", "b", "c", None], object)
+    together, alone = {}, {name: {} for name in names}
+    newest, newest_alone = None, dict.fromkeys(names)
+
+    def said(frames):
+        rows = [r for f in frames for r in f.drop(columns="patient_id").astype(object).itertuples(index=False)]
+        return sorted(str(tuple(None if pd.isna(x) else x for x in r)) for r in rows)
+
+    revised = 0
+    for batch in range(80):
+        n = int(rng.integers(1, 12))
+        frame = pd.DataFrame(
+            {
+                "patient_id": names[rng.integers(0, 4, n)],
+                "event_id": pd.array(rng.integers(0, 1_000, n), "Int64"),
+                "event_ms": pd.array(batch * 12 + rng.integers(-150, 10, n), "Int64"),
+                "glucose_level": rng.normal(100, 9, n),
+                "systolic": 120.0,
+                "diastolic": 80.0,
+                "risk_score": rng.random(n),
+                "anomaly": rng.random(n) < 0.2,
+                "error": [None if e else rng.choice(["bad", "worse"]) for e in rng.random(n) < 0.7],
+            }
+        )
+        frame.loc[rng.random(n) < 0.03, "event_ms"] = pd.NA
+        out, newest = Readings(together, 100, 50).add(iter([frame]), newest)
+        out = list(out)
+        for name in names:
+            own = frame[frame["patient_id"].isna() if name is None else frame["patient_id"] == name]
+            if len(own):
+                one, newest_alone[name] = Readings(alone[name], 100, 50).add(iter([own.drop(columns="patient_id")]), newest_alone[name])
+                want = said(one)
+                revised += len(want) > len(own)
+            else:
+                want = []
+            got = [f[f["patient_id"].isna() if name is None else f["patient_id"] == name] for f in out]
+            assert said(got) == want
+    assert revised > 10 and {p for parts in alone.values() for p in parts} == set(together)
+
+
+def test_many_patients_share_state_and_frames(spark, tmp_path):
+    """2,000 patients of two readings: one call of the state and one frame for each bucket, not for each patient."""
+    calls = []
+
+    class Counted(dict):
+        def __setitem__(self, part, value):
+            calls.append(part)
+            super().__setitem__(part, value)
+
+    import numpy as np
+
+    frame = next(_frames(np.random.default_rng(2), 4_000)).assign(patient_id=[str(i % 2_000) for i in range(4_000)])
+    out, newest = Readings(Counted(), 10**8, 0).add(iter([frame]), None)
+    assert [len(f) for f in out] == [4_000] and calls == [0] and len(newest) == 2_000
+
+
 def test_old_parts_go_and_late_rows_revise(spark):
     import numpy as np
     import pandas as pd
