@@ -140,3 +140,19 @@ def test_keys_of_every_type_are_split(spark, kind):
         assert cut.edges or group != ["g"]
         many = ordered_scan(df, group, order, {"n": Scan("count"), "s": Scan("sum", F.col("v"))}, 40)
         assert {tuple(r) for r in many.select("id", "n", "s").collect()} == {tuple(r) for r in one.select("id", "n", "s").collect()}
+
+
+def test_many_small_chunks_take_few_tasks(spark, monkeypatch):
+    """Chunks beyond the literals are cut inside ranges of many rows: no task and no file for each."""
+    monkeypatch.setattr(ordered, "MOST_LITERALS", 4)
+    staged = []
+    write = ordered.stage
+    monkeypatch.setattr(ordered, "stage", lambda df, name: staged.append((name, out := write(df, name))) or out)
+    pdf = rows(6_000)
+    df = spark.createDataFrame(pdf)
+    got = ordered_scan(df, ["g"], ["t", "id"], scans(), rows_per_chunk=5).orderBy("id").toPandas()
+    pd.testing.assert_frame_equal(got, expected(pdf)[got.columns], check_dtype=False)
+    chunked = dict(staged)["ranged-rows"]
+    sizes = [r["count"] for r in chunked.groupBy(ordered.CHUNK).count().collect()]
+    assert max(sizes) == 5 and len(sizes) >= 1_200
+    assert len(chunked.inputFiles()) < 10

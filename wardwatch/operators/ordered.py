@@ -6,8 +6,9 @@ about equal size. Each chunk is scanned with a window of its own, and what a chu
 the chunks before it comes from a small table with one row per chunk of a large group.
 
 The cut points are literals in the plan, so every branch and every task retry puts a row into the
-same chunk. Where there would be more than `MOST_LITERALS`, Spark's range partitioning cuts instead, and the rows are
-written once with the number of their range. Cut points only shape the work; the result does not depend on
+same chunk. Where there would be more than `MOST_LITERALS`, Spark's range partitioning cuts instead: each range is sorted and
+cut by row number, and the rows are written once with the number of their chunk, so small chunks cost no task and no file each.
+Cut points only shape the work; the result does not depend on
 them. Groups below the chunk size are never cut, and input below it gives the plain window plan.
 """
 
@@ -28,6 +29,8 @@ from wardwatch.session import stage
 ROWS_PER_CHUNK = 2_000_000
 MOST_LITERALS = 20_000
 SAMPLES_PER_CHUNK = 20
+# Where Spark cuts, a range holds this many rows at least.
+ROWS_PER_RANGE = 100_000
 GLOBAL_MIN_CHUNKS = 8
 GLOBAL_MIN_ROWS = 1_000
 
@@ -59,8 +62,9 @@ class Splits:
     order: tuple[str, ...]
     schema: T.StructType
     edges: tuple[tuple, ...] = ()
-    #: Ranges that Spark cuts, where cut points would be too many for the plan.
+    #: Ranges that Spark cuts, where cut points would be too many for the plan, and the rows of a chunk inside a range.
     ranges: int = 0
+    range_chunk: int = ROWS_PER_CHUNK
 
     @property
     def keys(self) -> list[str]:
@@ -153,7 +157,7 @@ def plan_splits(df: DataFrame, group: Sequence[str], order: Sequence[str], rows_
     if chunks < 2:
         return none
     if chunks > MOST_LITERALS:
-        return replace(none, ranges=chunks)
+        return replace(none, ranges=math.ceil(rows / max(rows_per_chunk, ROWS_PER_RANGE)), range_chunk=rows_per_chunk)
     sample = found.orderBy(*keys.columns).select(*[_text_of(f.name, f.dataType).alias(f.name) for f in schema.fields]).collect()
     every = max(1, round(len(sample) / chunks))
     cuts = [tuple(sample[i]) for i in range(every, len(sample), every)]
@@ -253,8 +257,12 @@ def ordered_scan(
         return _windowed(df, scans, window).select(*df.columns, *scans)
 
     if splits.ranges:
-        ranged = df.repartitionByRange(splits.ranges, *group, *order).withColumn(CHUNK, F.spark_partition_id())
-        # Written once, so that all branches and retries see the same ranges.
+        ranged = df.repartitionByRange(splits.ranges, *group, *order).sortWithinPartitions(*group, *order)
+        # The number of the range is in the high bits, that of the row inside it in the low 33.
+        place = F.monotonically_increasing_id()
+        row = place.bitwiseAND(F.lit(2**33 - 1))
+        ranged = ranged.withColumn(CHUNK, place - row + F.floor(row / splits.range_chunk))
+        # Written once, so that all branches and retries see the same chunks.
         chunked, cut = stage(ranged, "ranged-rows"), F.lit(True)
     else:
         chunked, cut = df.withColumn(CHUNK, splits.chunk()), splits.hot()
